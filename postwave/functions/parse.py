@@ -32,7 +32,12 @@ def _typed(v: Column, path: str, typ: str, default, *, integral: bool = False) -
     """missing -> default; JSON null -> NULL; value -> typed (NULL if it does
     not have the type; integers must be JSON integers)."""
     x = _v(v, path)
-    value = F.try_variant_get(v, path, typ)
+    return _typed_x(x, typ, default, integral=integral)
+
+
+def _typed_x(x: Column, typ: str, default, *, integral: bool = False) -> Column:
+    """Same as ``_typed`` on an already extracted sub-value ``x``."""
+    value = x.try_cast(typ)
     if integral:
         value = F.when(F.schema_of_variant(x) == "BIGINT", value)
     return (F.when(x.isNull(), default)
@@ -40,10 +45,45 @@ def _typed(v: Column, path: str, typ: str, default, *, integral: bool = False) -
              .otherwise(value))
 
 
+def _is_object(v: Column) -> Column:
+    return F.schema_of_variant(v).startswith("OBJECT<")
+
+
 def decode_object(value: Column) -> Column:
     """Variant of a JSON object text; NULL for anything else."""
     v = F.when(value.rlike(OBJECT_TEXT), F.try_parse_json(value))
-    return F.when(F.schema_of_variant(v).startswith("OBJECT<"), v)
+    return F.when(_is_object(v), v)
+
+
+def _decode_stage(df: DataFrame, value_col: str, keep: list[str]) -> DataFrame:
+    """Parse each record once into ``_v`` (NULL unless it looks like one JSON
+    object); later stages read sub-values from ``_v``."""
+    txt = F.col(value_col)
+    return df.select(*keep, F.when(txt.rlike(OBJECT_TEXT), F.try_parse_json(txt)).alias("_v"))
+
+
+# Fields of the nine-field parsed post, their JSON paths and the
+# defaults used when a key is missing (None = no default, key read as is).
+PARSED_FIELDS = [
+    ("id", "$.id", "string", None, False),
+    ("content", "$.content", "string", "", False),
+    ("language", "$.language", "string", "unknown", False),
+    ("username", "$.account.username", "string", "", False),
+    ("followers_count", "$.account.followers_count", "bigint", 0, True),
+    ("favourites_count", "$.favourites_count", "bigint", 0, True),
+    ("reblogs_count", "$.reblogs_count", "bigint", 0, True),
+    ("tags", "$.tags", "array<string>", [], False),
+    ("created_at", "$.created_at", "string", "", False),
+    ("_replies_count", "$.replies_count", "bigint", 0, True),
+]
+
+
+def _default(typ: str, value) -> Column:
+    if value is None:
+        return F.lit(None).cast(typ)
+    if isinstance(value, list):
+        return F.array().cast(typ)
+    return F.lit(value).cast(typ)
 
 
 def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -52,31 +92,27 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None
     Defaults on a missing key: content ``''``, language ``'unknown'``,
     username ``''``, counts 0, tags ``[]``, created_at ``''``. A record is
     dropped when it is not a JSON object or ``account`` is present but not an
-    object. ``replies_count`` is not kept (as in the reference's parser).
+    object. ``replies_count`` is read into ``_replies_count`` only for the
+    documented score formula (the reference's parser drops it).
+
+    Three projections: parse once, pull each field's sub-value once, then
+    type it; the object checks filter between the first two.
     """
     keep = keep or []
-    v = decode_object(F.col(value_col))
-    staged = df.select(*keep, v.alias("_v"))
+    s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
     acc = _v(v, "$.account")
-    acc_ok = acc.isNull() | F.schema_of_variant(acc).startswith("OBJECT<")
-    zero = F.lit(0).cast("bigint")
-    out = staged.filter(v.isNotNull() & acc_ok).select(
-        *keep,
-        F.try_variant_get(v, "$.id", "string").alias("id"),
-        _typed(v, "$.content", "string", F.lit("")).alias("content"),
-        _typed(v, "$.language", "string", F.lit("unknown")).alias("language"),
-        _typed(v, "$.account.username", "string", F.lit("")).alias("username"),
-        _typed(v, "$.account.followers_count", "bigint", zero, integral=True).alias("followers_count"),
-        _typed(v, "$.favourites_count", "bigint", zero, integral=True).alias("favourites_count"),
-        _typed(v, "$.reblogs_count", "bigint", zero, integral=True).alias("reblogs_count"),
-        _typed(v, "$.tags", "array<string>", F.array().cast("array<string>")).alias("tags"),
-        _typed(v, "$.created_at", "string", F.lit("")).alias("created_at"),
-        # replies are read for the documented formula; the 9-field record
-        # drops them (see engagement_score)
-        _typed(v, "$.replies_count", "bigint", zero, integral=True).alias("_replies_count"),
-    )
-    return out
+    s2 = (s1.filter(_is_object(v) & (acc.isNull() | _is_object(acc)))
+            .select(*keep, *[_v(v, path).alias("_x_" + name)
+                             for name, path, _, _, _ in PARSED_FIELDS]))
+    outs = []
+    for name, _, typ, dflt, integral in PARSED_FIELDS:
+        x = F.col("_x_" + name)
+        if dflt is None:
+            outs.append(x.try_cast(typ).alias(name))
+        else:
+            outs.append(_typed_x(x, typ, _default(typ, dflt), integral=integral).alias(name))
+    return s2.select(*keep, *outs)
 
 
 def parsed_post_view(parsed: DataFrame) -> DataFrame:

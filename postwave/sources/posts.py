@@ -43,9 +43,20 @@ def _k(props: Column) -> Column:
     return F.regexp_extract(props, r"([0-9]+)", 1)
 
 
+def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """Hash-spread a scan that arrives in fewer partitions than the cluster
+    has cores (e.g. one parquet row group), so the per-post work after it
+    runs in parallel. Large inputs already split into many partitions and are
+    left alone; only narrow event rows move, never document text."""
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, key)
+    return df
+
+
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Canonical posts table; ``created_at`` is the event timestamp."""
-    ev = read_table(spark, sf_dir, "events")
+    ev = _spread(spark, read_table(spark, sf_dir, "events"), "event_id")
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     e = ev.withColumn("_doc", F.col("event_id") % n_docs)
