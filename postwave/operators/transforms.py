@@ -48,10 +48,10 @@ def scored_view(df: DataFrame) -> DataFrame:
     return df.select(*PARSED_POST_COLUMNS, "engagement_score")
 
 
-def extract_hashtags(parsed: DataFrame) -> DataFrame:
+def extract_hashtags(parsed: DataFrame, keep: list[str] | None = None) -> DataFrame:
     """Hashtag record of a parsed post; a NULL tag list drops the record."""
     return (parsed.filter(F.col("tags").isNotNull())
-            .select(F.col("id").alias("post_id"), F.col("tags").alias("hashtags"),
+            .select(*(keep or []), F.col("id").alias("post_id"), F.col("tags").alias("hashtags"),
                     F.size("tags").cast("int").alias("hashtag_count"), F.col("language")))
 
 

@@ -125,3 +125,328 @@ def q_parse_posts(spark, d):
     p = P.parse_posts(raw_posts(spark, d))
     return p.select("id", "content", "language", "username", "followers_count",
                     "favourites_count", "reblogs_count", _joined("tags"), "created_at")
+
+
+def _parsed(spark, d):
+    return P.parse_posts(raw_posts(spark, d))
+
+
+def _scored(spark, d):
+    """Pipeline J1 as a batch plan: parse -> score (replies lost at parse)."""
+    return T.engagement_score(_parsed(spark, d))
+
+
+# ------------------------------------------------------------ row operators --
+
+@register("engagement_score", with_posts("""
+SELECT id, favourites_count + reblogs_count * 2 AS engagement_score FROM posts"""))
+def q_engagement_score(spark, d):
+    return T.engagement_score(posts(spark, d)).select("id", "engagement_score")
+
+
+@register("engagement_score_with_replies", with_posts("""
+SELECT id, favourites_count + reblogs_count * 2 + replies_count AS engagement_score FROM posts"""))
+def q_engagement_score_with_replies(spark, d):
+    return T.engagement_score(posts(spark, d), include_replies=True).select("id", "engagement_score")
+
+
+@register("pipeline_engagement", with_posts("""
+SELECT id, username, language, favourites_count + reblogs_count * 2 AS engagement_score
+FROM parsed""", PARSED_CTE))
+def q_pipeline_engagement(spark, d):
+    return _scored(spark, d).select("id", "username", "language", "engagement_score")
+
+
+@register("pipeline_engagement_documented", with_posts("""
+SELECT id, favourites_count + reblogs_count * 2 + replies_count AS engagement_score
+FROM parsed""", PARSED_CTE))
+def q_pipeline_engagement_documented(spark, d):
+    return T.engagement_score(_parsed(spark, d), include_replies=True).select("id", "engagement_score")
+
+
+@register("language_filter", with_posts("""
+SELECT id, language FROM parsed WHERE language IN ('en', 'fr')""", PARSED_CTE))
+def q_language_filter(spark, d):
+    return T.language_filter(_parsed(spark, d)).select("id", "language")
+
+
+@register("language_filter_unknown", with_posts("""
+SELECT id, language FROM parsed WHERE language = 'unknown'""", PARSED_CTE))
+def q_language_filter_unknown(spark, d):
+    return T.language_filter(_parsed(spark, d), ["unknown"]).select("id", "language")
+
+
+@register("extract_hashtags", with_posts("""
+SELECT id AS post_id, array_to_string(tags, ',') AS hashtags,
+       CAST(len(tags) AS INTEGER) AS hashtag_count, language
+FROM parsed""", PARSED_CTE))
+def q_extract_hashtags(spark, d):
+    h = T.extract_hashtags_raw(raw_posts(spark, d))
+    return h.select("post_id", _joined("hashtags"), "hashtag_count", "language")
+
+
+@register("pipeline_full", with_posts("""
+SELECT 'engagement' AS branch, id AS record_id, favourites_count + reblogs_count * 2 AS metric
+FROM parsed
+UNION ALL
+SELECT 'hashtags' AS branch, id AS record_id, CAST(len(tags) AS BIGINT) AS metric FROM parsed""",
+                                   PARSED_CTE))
+def q_pipeline_full(spark, d):
+    from .pipelines import full_pipeline
+    eng, tags = full_pipeline(raw_posts(spark, d))
+    return (eng.select(F.lit("engagement").alias("branch"), F.col("id").alias("record_id"),
+                       F.col("engagement_score").alias("metric"))
+            .unionByName(tags.select(F.lit("hashtags").alias("branch"),
+                                     F.col("post_id").alias("record_id"),
+                                     F.col("hashtag_count").cast("bigint").alias("metric"))))
+
+
+@register("content_preview", with_posts("""
+SELECT id, CASE WHEN length(content) > 50 THEN substr(content, 1, 50) || '...' ELSE content END
+       AS content_preview FROM posts"""))
+def q_content_preview(spark, d):
+    return posts(spark, d).select("id", T.content_preview("content").alias("content_preview"))
+
+
+@register("tag_slice", with_posts("""
+SELECT id, array_to_string(list_slice(tags, 1, 5), ',') AS first_tags,
+       CAST(len(tags) AS INTEGER) AS tag_count FROM posts"""))
+def q_tag_slice(spark, d):
+    return posts(spark, d).select("id", F.array_join(T.tag_slice("tags"), ",").alias("first_tags"),
+                                  F.size("tags").alias("tag_count"))
+
+
+@register("normalise_created_at", with_posts("""
+SELECT p.id, q.created_at AS created_ts FROM parsed p JOIN posts q ON p.id = q.id""", PARSED_CTE))
+def q_normalise_created_at(spark, d):
+    return _parsed(spark, d).select(
+        "id", P.normalise_created_at(F.col("created_at")).cast("timestamp_ntz").alias("created_ts"))
+
+
+@register("filter_by_hashtag", with_posts("""
+SELECT id FROM posts WHERE list_contains(tags, 'click')"""))
+def q_filter_by_hashtag(spark, d):
+    return T.filter_by_hashtag(posts(spark, d), "CLICK").select("id")
+
+
+@register("significant_posts", with_posts("""
+SELECT id, favourites_count + reblogs_count * 2 AS engagement_score FROM parsed
+WHERE favourites_count + reblogs_count * 2 >= 300""", PARSED_CTE))
+def q_significant_posts(spark, d):
+    return T.significant_posts(_scored(spark, d), 300).select("id", "engagement_score")
+
+
+# ---------------------------------------------------------------- sources --
+
+@register("source_table", with_posts("""
+SELECT id, username, CASE WHEN seq % 19 = 0 THEN NULL ELSE language END AS language,
+       favourites_count, reblogs_count, replies_count,
+       array_to_string(tags, ',') AS tags, created_at AS event_time
+FROM posts WHERE seq % 97 <> 0"""))
+def q_source_table(spark, d):
+    t = P.register_source_table(raw_posts(spark, d))
+    return t.select("id", F.col("account.username").alias("username"), "language",
+                    "favourites_count", "reblogs_count", "replies_count", _joined("tags"),
+                    F.col("event_time").cast("timestamp_ntz").alias("event_time"))
+
+
+@register("quarantine_bad_json", with_posts("""
+SELECT seq, 'not_an_object' AS reason FROM posts WHERE seq % 97 = 0"""))
+def q_quarantine(spark, d):
+    return P.quarantine(raw_posts(spark, d)).select("seq", "reason")
+
+
+@register("project_raw_status", with_posts("""
+SELECT id, created_iso AS created_at, username, display_name, followers_count, language,
+       favourites_count, reblogs_count, replies_count, url, array_to_string(tags, ',') AS tags
+FROM posts WHERE seq % 43 <> 0"""))
+def q_project_raw_status(spark, d):
+    from ..sources.posts import raw_statuses
+    s = P.project_raw_status(raw_statuses(spark, d))
+    return s.select("id", "created_at", F.col("account.username").alias("username"),
+                    F.col("account.display_name").alias("display_name"),
+                    F.col("account.followers_count").alias("followers_count"), "language",
+                    "favourites_count", "reblogs_count", "replies_count", "url", _joined("tags"))
+
+
+@register("incremental_since", with_posts("""
+SELECT id, created_at, CAST(row_number() OVER (ORDER BY CAST(id AS DECIMAL(38,0))) AS INTEGER) AS poll_rank
+FROM (SELECT * FROM posts WHERE list_contains(tags, 'view') AND CAST(id AS DECIMAL(38,0)) > 5000
+      ORDER BY CAST(id AS DECIMAL(38,0)) DESC LIMIT 40)"""))
+def q_incremental_since(spark, d):
+    from ..sources.incremental import incremental_since
+    return incremental_since(posts(spark, d), last_id=5000, tag="view").select(
+        "id", "created_at", "poll_rank")
+
+
+@register("incremental_since_first", with_posts("""
+SELECT id, created_at, CAST(row_number() OVER (ORDER BY CAST(id AS DECIMAL(38,0))) AS INTEGER) AS poll_rank
+FROM (SELECT * FROM posts WHERE list_contains(tags, 'view')
+      ORDER BY CAST(id AS DECIMAL(38,0)) DESC LIMIT 20)"""))
+def q_incremental_since_first(spark, d):
+    from ..sources.incremental import incremental_since
+    return incremental_since(posts(spark, d), last_id=None, tag="view").select(
+        "id", "created_at", "poll_rank")
+
+
+# ------------------------------------------------------------------ sinks --
+
+@register("jsonl_roundtrip", with_posts("""
+SELECT id, username, language, favourites_count, replies_count,
+       array_to_string(tags, ',') AS tags, created_iso AS created_at FROM posts"""))
+def q_jsonl_roundtrip(spark, d):
+    from ..schemas import POST_SCHEMA
+    from ..session import shared_path
+    from ..sinks.writers import read_jsonl, write_jsonl
+    from ..sources.posts import canonical_json_rows
+    path = shared_path(spark, "archive")
+    write_jsonl(canonical_json_rows(posts(spark, d)), path, append=True)
+    back = read_jsonl(spark, path, POST_SCHEMA)
+    return back.select("id", F.col("account.username").alias("username"), "language",
+                       "favourites_count", "replies_count", _joined("tags"), "created_at")
+
+
+@register("kafka_value_frame", with_posts("""
+SELECT id, favourites_count + reblogs_count * 2 AS engagement_score, language FROM parsed""",
+                                          PARSED_CTE))
+def q_kafka_value_frame(spark, d):
+    from ..sinks.writers import kafka_value_frame
+    frame = kafka_value_frame(T.scored_view(_scored(spark, d)))
+    back = F.from_json("value", "id string, engagement_score bigint, language string")
+    return frame.select(back.alias("r")).select("r.id", "r.engagement_score", "r.language")
+
+
+@register("kafka_keyed_frame", with_posts("""
+SELECT id AS key, id, url FROM posts"""))
+def q_kafka_keyed_frame(spark, d):
+    from ..sinks.writers import kafka_keyed_frame
+    frame = kafka_keyed_frame(posts(spark, d).select("id", "url", "language"))
+    return frame.select("key", F.get_json_object("value", "$.id").alias("id"),
+                        F.get_json_object("value", "$.url").alias("url"))
+
+
+def _topic_frame(spark, d):
+    from ..schemas import TOPIC_ENGAGEMENT, TOPIC_HASHTAGS, TOPIC_POSTS
+    from ..sinks.writers import kafka_value_frame
+    raw = raw_posts(spark, d)
+    parsed = P.parse_posts(raw)
+    eng = kafka_value_frame(T.scored_view(T.engagement_score(parsed)), TOPIC_ENGAGEMENT)
+    tags = kafka_value_frame(T.extract_hashtags(parsed), TOPIC_HASHTAGS)
+    posts_topic = raw.select("value", F.lit(TOPIC_POSTS).alias("topic"))
+    return eng.unionByName(tags).unionByName(posts_topic)
+
+
+@register("route_by_topic", with_posts("""
+SELECT 'mastodon-engagement' AS topic, id AS doc_key FROM parsed
+UNION ALL SELECT 'mastodon-hashtags' AS topic, id AS doc_key FROM parsed""", PARSED_CTE))
+def q_route_by_topic(spark, d):
+    from ..sources.kafka import route_by_topic
+    from ..schemas import TOPIC_ENGAGEMENT, TOPIC_HASHTAGS
+    routes = route_by_topic(_topic_frame(spark, d), [TOPIC_ENGAGEMENT, TOPIC_HASHTAGS])
+    eng = routes[TOPIC_ENGAGEMENT].select(
+        F.col("topic"), F.get_json_object("value", "$.id").alias("doc_key"))
+    tags = routes[TOPIC_HASHTAGS].select(
+        F.col("topic"), F.get_json_object("value", "$.post_id").alias("doc_key"))
+    return eng.unionByName(tags)
+
+
+@register("ingest_summary", with_posts("""
+SELECT 'mastodon-engagement' AS topic, 'indexed' AS outcome, count(*) AS records FROM parsed
+UNION ALL SELECT 'mastodon-hashtags', 'indexed', count(*) FROM parsed
+UNION ALL SELECT 'mastodon-posts', 'indexed', count(*) FROM posts WHERE seq % 97 <> 0
+UNION ALL SELECT 'mastodon-posts', 'error', count(*) FROM posts WHERE seq % 97 = 0""", PARSED_CTE))
+def q_ingest_summary(spark, d):
+    return A.ingest_summary(_topic_frame(spark, d))
+
+
+# ------------------------------------------------------------ keyed tables --
+
+def _log_scored(spark, d):
+    from ..sources.posts import post_log
+    return T.engagement_score(post_log(spark, d)).select(
+        "id", "seq", "favourites_count", "engagement_score", "language", "tags")
+
+
+def upserted_engagement(spark, d):
+    from ..operators.upsert import upsert_latest
+    return upsert_latest(_log_scored(spark, d), "id", ["seq"])
+
+
+def upserted_hashtags(spark, d):
+    from ..operators.upsert import upsert_latest
+    h = T.extract_hashtags(_log_scored(spark, d), keep=["seq"])
+    return upsert_latest(h, "post_id", ["seq"])
+
+
+@register("upsert_engagement", with_posts("""
+SELECT id, seq, favourites_count, favourites_count + reblogs_count * 2 AS engagement_score
+FROM post_log QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1""", LOG_CTE))
+def q_upsert_engagement(spark, d):
+    return upserted_engagement(spark, d).select("id", "seq", "favourites_count", "engagement_score")
+
+
+@register("upsert_hashtags", with_posts("""
+SELECT id AS post_id, seq, CAST(len(tags) AS INTEGER) AS hashtag_count, language
+FROM post_log QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1""", LOG_CTE))
+def q_upsert_hashtags(spark, d):
+    return upserted_hashtags(spark, d).select("post_id", "seq", "hashtag_count", "language")
+
+
+@register("index_stats", with_posts("""
+SELECT 'mastodon-engagement' AS index_name, count(DISTINCT id) AS doc_count FROM post_log
+UNION ALL SELECT 'mastodon-hashtags', count(DISTINCT id) FROM post_log""", LOG_CTE))
+def q_index_stats(spark, d):
+    from ..schemas import TOPIC_ENGAGEMENT, TOPIC_HASHTAGS
+    return A.index_stats({TOPIC_ENGAGEMENT: upserted_engagement(spark, d),
+                          TOPIC_HASHTAGS: upserted_hashtags(spark, d)})
+
+
+@register("conform_engagement", with_posts("""
+SELECT id, CAST(followers_count AS INTEGER) AS followers_count,
+       CAST(favourites_count AS INTEGER) AS favourites_count,
+       CAST(favourites_count + reblogs_count * 2 AS INTEGER) AS engagement_score,
+       q.created_at AS created_at, true AS conform_ok
+FROM parsed JOIN (SELECT id AS qid, created_at FROM posts) q ON parsed.id = q.qid""", PARSED_CTE))
+def q_conform_engagement(spark, d):
+    from ..operators.upsert import conform
+    from ..schemas import ENGAGEMENT_TABLE
+    c = conform(T.scored_view(_scored(spark, d)), ENGAGEMENT_TABLE)
+    return c.select("id", "followers_count", "favourites_count", "engagement_score",
+                    F.col("created_at").cast("timestamp_ntz").alias("created_at"), "conform_ok")
+
+
+# ------------------------------------------------------------------ views --
+
+def _indexed(spark, d):
+    s = _scored(spark, d)
+    return s.withColumn("created_at", P.normalise_created_at(F.col("created_at")).cast("timestamp_ntz"))
+
+
+@register("view_language_share", with_posts("""
+SELECT language, count(*) AS post_count, count(*) / (SELECT count(*) FROM parsed) AS share
+FROM parsed GROUP BY language""", PARSED_CTE))
+def q_view_language_share(spark, d):
+    return A.view_language_share(_indexed(spark, d))
+
+
+@register("view_volume_over_time", with_posts("""
+SELECT date_trunc('hour', q.created_at) AS bucket, count(*) AS post_count
+FROM parsed JOIN (SELECT id AS qid, created_at FROM posts) q ON parsed.id = q.qid GROUP BY 1""",
+                                              PARSED_CTE))
+def q_view_volume_over_time(spark, d):
+    return A.view_volume_over_time(_indexed(spark, d))
+
+
+@register("view_top_hashtags", with_posts("""
+SELECT tag, count(*) AS tag_count FROM (SELECT unnest(tags) AS tag FROM parsed)
+GROUP BY tag ORDER BY tag_count DESC, tag LIMIT 10""", PARSED_CTE))
+def q_view_top_hashtags(spark, d):
+    return A.view_top_hashtags(_indexed(spark, d), 10)
+
+
+@register("view_engagement", with_posts("""
+SELECT count(*) AS posts, count(e) AS scored_posts, avg(CAST(e AS DOUBLE)) AS avg_engagement,
+       max(e) AS max_engagement, CAST(sum(e) AS BIGINT) AS total_engagement
+FROM (SELECT favourites_count + reblogs_count * 2 AS e FROM parsed)""", PARSED_CTE))
+def q_view_engagement(spark, d):
+    return A.view_engagement(_indexed(spark, d))

@@ -33,6 +33,7 @@ REPLIES_MOD = 7
 FOLLOWERS_MOD = 5000
 MISSING_LANGUAGE_KEY_MOD = 19   # raw JSON: "language" key left out
 BAD_JSON_MOD = 97               # raw JSON: value replaced by a broken object
+NULL_TAGS_MOD = 43              # raw status JSON: "tags": null (record dropped)
 REEMIT_TAG = "click"            # post log: posts with this tag are edited once
 REEMIT_SEQ_OFFSET = 10_000_000
 URL_PREFIX = "https://social.example/@user"
@@ -129,7 +130,9 @@ def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("content"), F.col("account"), F.col("language"),
         F.col("favourites_count"), F.col("reblogs_count"), F.col("replies_count"),
         F.col("url"),
-        F.transform("tags", lambda t: F.struct(t.alias("name"))).alias("tags"))
+        F.when(F.col("id").cast("bigint") % NULL_TAGS_MOD == 0,
+               F.lit(None).cast("array<struct<name:string>>"))
+         .otherwise(F.transform("tags", lambda t: F.struct(t.alias("name")))).alias("tags"))
     return p.select(F.col("id").cast("bigint").alias("seq"), F.to_json(st, opts).alias("value"))
 
 
@@ -141,3 +144,9 @@ def post_log(spark: SparkSession, sf_dir: str) -> DataFrame:
               .withColumn("favourites_count", F.col("favourites_count") + 5)
               .withColumn("seq", F.col("seq") + REEMIT_SEQ_OFFSET))
     return p.unionByName(again)
+
+
+def canonical_json_rows(p: DataFrame) -> DataFrame:
+    """Posts in canonical record shape (``created_at`` as ISO text), ready
+    for a JSON-lines archive or a topic."""
+    return p.select(_post_struct(p, True).alias("r")).select("r.*")
