@@ -450,3 +450,129 @@ SELECT count(*) AS posts, count(e) AS scored_posts, avg(CAST(e AS DOUBLE)) AS av
 FROM (SELECT favourites_count + reblogs_count * 2 AS e FROM parsed)""", PARSED_CTE))
 def q_view_engagement(spark, d):
     return A.view_engagement(_indexed(spark, d))
+
+
+# ------------------------------------------------------------- custom SQL --
+# Analyst queries through the guarded entry point (J7) over the posts table
+# registered as ``mastodon_posts``. Spark text first, DuckDB oracle second.
+
+CUSTOM_SQL: dict[str, tuple[str, str]] = {
+    "custom_sql_projection": ("""
+SELECT id, account.username AS username, language,
+       favourites_count + reblogs_count * 2 AS engagement
+FROM mastodon_posts WHERE language = 'en' AND reblogs_count > 50""", """
+SELECT id, username, language, favourites_count + reblogs_count * 2 AS engagement
+FROM posts WHERE language = 'en' AND reblogs_count > 50"""),
+    "custom_sql_group_having": ("""
+SELECT account.username AS username, count(*) AS posts, sum(favourites_count) AS favourites
+FROM mastodon_posts WHERE account.username IS NOT NULL
+GROUP BY account.username HAVING count(*) > 60""", """
+SELECT username, count(*) AS posts, CAST(sum(favourites_count) AS BIGINT) AS favourites
+FROM posts WHERE username IS NOT NULL GROUP BY username HAVING count(*) > 60"""),
+    # Same-user posts less than an hour apart. The hour bucket is an equi-key
+    # next to the user, so a prolific user is split across many join tasks.
+    "custom_sql_self_join": ("""
+WITH p AS (SELECT id, account.username AS username, created_at,
+                  date_trunc('HOUR', created_at) AS hb
+           FROM mastodon_posts WHERE account.username IS NOT NULL),
+     b AS (SELECT id, username, created_at, hb AS k FROM p
+           UNION ALL
+           SELECT id, username, created_at, hb - INTERVAL 1 HOUR AS k FROM p)
+SELECT a.id AS first_id, b.id AS second_id, a.username AS username
+FROM p a JOIN b ON a.username = b.username AND a.hb = b.k
+WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR""", """
+SELECT a.id AS first_id, b.id AS second_id, a.username AS username
+FROM posts a JOIN posts b ON a.username = b.username
+WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR"""),
+    "custom_sql_semi_anti": ("""
+SELECT p.id, p.language FROM mastodon_posts p
+WHERE EXISTS (SELECT 1 FROM mastodon_posts q
+              WHERE q.account.username = p.account.username AND q.favourites_count > 485)
+  AND NOT EXISTS (SELECT 1 FROM mastodon_posts r
+                  WHERE r.account.username = p.account.username AND r.language = 'es'
+                    AND r.reblogs_count > 97 AND r.favourites_count > 200)""", """
+SELECT p.id, p.language FROM posts p
+WHERE EXISTS (SELECT 1 FROM posts q WHERE q.username = p.username AND q.favourites_count > 485)
+  AND NOT EXISTS (SELECT 1 FROM posts r WHERE r.username = p.username AND r.language = 'es'
+                  AND r.reblogs_count > 97 AND r.favourites_count > 200)"""),
+    "custom_sql_union_intersect_except": ("""
+(SELECT account.username AS username FROM mastodon_posts WHERE language = 'en' AND reblogs_count > 95
+ INTERSECT
+ SELECT account.username FROM mastodon_posts WHERE language = 'fr' AND reblogs_count > 90)
+UNION
+(SELECT account.username FROM mastodon_posts WHERE language = 'de' AND favourites_count > 480
+ EXCEPT
+ SELECT account.username FROM mastodon_posts WHERE language = 'es')""", """
+(SELECT username FROM posts WHERE language = 'en' AND reblogs_count > 95
+ INTERSECT
+ SELECT username FROM posts WHERE language = 'fr' AND reblogs_count > 90)
+UNION
+(SELECT username FROM posts WHERE language = 'de' AND favourites_count > 480
+ EXCEPT
+ SELECT username FROM posts WHERE language = 'es')"""),
+    "custom_sql_rollup": ("""
+SELECT language, replies_count, CAST(grouping(language) AS INT) AS g_language,
+       CAST(grouping(replies_count) AS INT) AS g_replies, count(*) AS post_count
+FROM mastodon_posts GROUP BY ROLLUP(language, replies_count)""", """
+SELECT language, replies_count, CAST(grouping(language) AS INTEGER) AS g_language,
+       CAST(grouping(replies_count) AS INTEGER) AS g_replies, count(*) AS post_count
+FROM posts GROUP BY ROLLUP(language, replies_count)"""),
+    "custom_sql_rank_topk": ("""
+SELECT language, id, engagement, CAST(rn AS BIGINT) AS rn FROM (
+  SELECT language, id, favourites_count + reblogs_count * 2 AS engagement,
+         row_number() OVER (PARTITION BY language
+                            ORDER BY favourites_count + reblogs_count * 2 DESC NULLS LAST, id) AS rn
+  FROM mastodon_posts) WHERE rn <= 3""", """
+SELECT language, id, engagement, CAST(rn AS BIGINT) AS rn FROM (
+  SELECT language, id, favourites_count + reblogs_count * 2 AS engagement,
+         row_number() OVER (PARTITION BY language
+                            ORDER BY favourites_count + reblogs_count * 2 DESC NULLS LAST, id) AS rn
+  FROM posts) WHERE rn <= 3"""),
+    # Per user and day, so one prolific user spreads over many window tasks.
+    "custom_sql_lag_frame": ("""
+SELECT id,
+       lag(created_at) OVER (PARTITION BY account.username, date_trunc('DAY', created_at)
+                             ORDER BY created_at, id) AS previous_post,
+       sum(favourites_count) OVER (PARTITION BY account.username, date_trunc('DAY', created_at)
+                                   ORDER BY created_at, id
+                                   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS favourites_3
+FROM mastodon_posts""", """
+SELECT id, lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
+                                 ORDER BY created_at, id) AS previous_post,
+       CAST(sum(favourites_count) OVER (PARTITION BY username, date_trunc('day', created_at)
+                                        ORDER BY created_at, id
+                                        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS favourites_3
+FROM posts"""),
+    "custom_sql_hop_window": ("""
+SELECT window.start AS window_start, window.end AS window_end, count(*) AS post_count
+FROM mastodon_posts GROUP BY window(created_at, '10 minutes', '5 minutes')""", """
+SELECT w AS window_start, w + INTERVAL 10 MINUTE AS window_end, count(*) AS post_count
+FROM (SELECT unnest([make_timestamp((epoch_us(created_at) // 300000000) * 300000000),
+                     make_timestamp((epoch_us(created_at) // 300000000) * 300000000 - 300000000)]) AS w
+      FROM posts) GROUP BY w"""),
+    "custom_sql_session_window": ("""
+SELECT account.username AS username, session_window.start AS session_start,
+       session_window.end AS session_end, count(*) AS post_count
+FROM mastodon_posts WHERE account.username IS NOT NULL
+GROUP BY account.username, session_window(created_at, '30 minutes')""", """
+SELECT username, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
+       count(*) AS post_count
+FROM (SELECT *, sum(CASE WHEN prev IS NULL OR created_at >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY username ORDER BY created_at, id) AS sid
+      FROM (SELECT username, created_at, id,
+                   lag(created_at) OVER (PARTITION BY username ORDER BY created_at, id) AS prev
+            FROM posts WHERE username IS NOT NULL))
+GROUP BY username, sid"""),
+}
+
+
+def _custom(name: str, text: str):
+    def run(spark, d):
+        from .sql import custom_sql
+        return custom_sql(spark, text, posts(spark, d))
+    run.__name__ = f"q_{name}"
+    return run
+
+
+for _name, (_spark_sql, _duck_sql) in CUSTOM_SQL.items():
+    register(_name, with_posts(_duck_sql))(_custom(_name, _spark_sql))
