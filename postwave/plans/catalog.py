@@ -11,6 +11,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from ..functions import parse as P
 from ..operators import aggregates as A
@@ -576,3 +577,102 @@ def _custom(name: str, text: str):
 
 for _name, (_spark_sql, _duck_sql) in CUSTOM_SQL.items():
     register(_name, with_posts(_duck_sql))(_custom(_name, _spark_sql))
+
+
+# -------------------------------------------------------------- streaming --
+# The same functions run as Structured Streaming jobs over the raw records
+# replayed from files in the shared folder; results are read back whole.
+
+SOURCE_TABLE_CTE = """srctable AS (
+  SELECT id, seq, created_at, username, followers_count, favourites_count, reblogs_count,
+         replies_count, tags, CASE WHEN seq % 19 = 0 THEN NULL ELSE language END AS language
+  FROM posts WHERE seq % 97 <> 0
+)"""
+
+
+@register("stream_language_distribution", with_posts(f"""
+SELECT {wstart('created_at', 300)} AS window_start, {wend('created_at', 300)} AS window_end,
+       coalesce(raw_language, 'unknown') AS language, count(*) AS post_count,
+       CAST(sum(favourites_count + reblogs_count * 2) AS BIGINT) AS total_engagement
+FROM (SELECT *, language AS raw_language FROM srctable) GROUP BY 1, 2, raw_language""",
+                                                      SOURCE_TABLE_CTE))
+def q_stream_language_distribution(spark, d):
+    from ..session import shared_path
+    from ..sources.kafka import read_replay
+    from ..streaming.jobs import window_stream, write_stream
+    from ..streaming.replay import FLUSH_BEFORE, drain, write_replay
+    base = shared_path(spark, "stream-language")
+    write_replay(raw_posts(spark, d), f"{base}/in")
+    out = window_stream(read_replay(spark, f"{base}/in"), "language", time="event",
+                        window_minutes=5, delay="10 minutes")
+    q = write_stream(out, "parquet", f"{base}/ckpt", path=f"{base}/out")
+    drain(q, spark, f"{base}/in", flushes=2)
+    res = spark.read.parquet(f"{base}/out").filter(F.col("window_start") < F.lit(FLUSH_BEFORE))
+    return res.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+                      F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                      "language", "post_count", "total_engagement")
+
+
+@register("stream_pipeline_full", ORACLE["pipeline_full"])
+def q_stream_pipeline_full(spark, d):
+    from ..session import shared_path
+    from ..sources.kafka import read_replay
+    from ..streaming.jobs import full_pipeline_job
+    from ..streaming.replay import drain, write_replay
+    base = shared_path(spark, "stream-full")
+    write_replay(raw_posts(spark, d), f"{base}/in")
+    q = full_pipeline_job(read_replay(spark, f"{base}/in"), f"{base}/ckpt",
+                          {"fmt": "parquet", "path": f"{base}/eng"},
+                          {"fmt": "parquet", "path": f"{base}/tags"})
+    drain(q)
+    eng = spark.read.parquet(f"{base}/eng")
+    tags = spark.read.parquet(f"{base}/tags")
+    return (eng.select(F.lit("engagement").alias("branch"), F.col("id").alias("record_id"),
+                       F.col("engagement_score").alias("metric"))
+            .unionByName(tags.select(F.lit("hashtags").alias("branch"),
+                                     F.col("post_id").alias("record_id"),
+                                     F.col("hashtag_count").cast("bigint").alias("metric"))))
+
+
+@register("stream_archive", with_posts("""
+SELECT id, username, language, favourites_count, replies_count,
+       array_to_string(tags, ',') AS tags, created_iso AS created_at
+FROM (SELECT *, CASE WHEN seq % 19 = 0 THEN NULL ELSE language END AS lang2 FROM posts)
+     p(id, seq, created_at, content, username, display_name, followers_count, language_raw,
+       favourites_count, reblogs_count, replies_count, url, tags, created_iso, language)
+WHERE seq % 97 <> 0"""))
+def q_stream_archive(spark, d):
+    from ..schemas import POST_SCHEMA
+    from ..session import shared_path
+    from ..sinks.writers import read_jsonl
+    from ..sources.kafka import read_replay
+    from ..streaming.jobs import archive_job
+    from ..streaming.replay import drain, write_replay
+    base = shared_path(spark, "stream-archive")
+    write_replay(raw_posts(spark, d), f"{base}/in")
+    drain(archive_job(read_replay(spark, f"{base}/in"), f"{base}/archive", f"{base}/ckpt"))
+    back = read_jsonl(spark, f"{base}/archive", POST_SCHEMA)
+    return back.select("id", F.col("account.username").alias("username"), "language",
+                       "favourites_count", "replies_count", _joined("tags"), "created_at")
+
+
+@register("stream_upsert", ORACLE["upsert_engagement"])
+def q_stream_upsert(spark, d):
+    from ..schemas import TOPIC_ENGAGEMENT
+    from ..session import shared_path
+    from ..streaming import keyed
+    from ..streaming.replay import drain
+    base = shared_path(spark, "stream-upsert")
+    log = _log_scored(spark, d)
+    # the version order travels with each record, as Kafka offsets would
+    frame = log.select("seq", F.struct("id", "favourites_count", "engagement_score").alias("r")) \
+        .select("seq", F.to_json("r", {"ignoreNullFields": "false"}).alias("value"),
+                F.lit(TOPIC_ENGAGEMENT).alias("topic"))
+    frame.write.json(f"{base}/in")
+    stream = spark.readStream.schema("seq bigint, value string, topic string").json(f"{base}/in")
+    st = StructType([StructField("id", StringType()), StructField("favourites_count", LongType()),
+                     StructField("engagement_score", LongType())])
+    drain(keyed.upsert_job(stream, f"{base}/tables", f"{base}/ckpt",
+                           {TOPIC_ENGAGEMENT: (st, "engagement")}))
+    t = keyed.read_table(spark, f"{base}/tables/engagement", "id", ["seq"], st)
+    return t.select("id", "seq", "favourites_count", "engagement_score")
