@@ -102,9 +102,8 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None
     s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
     acc = _v(v, "$.account")
-    s2 = (s1.filter(_is_object(v) & (acc.isNull() | _is_object(acc)))
-            .select(*keep, *[_v(v, path).alias("_x_" + name)
-                             for name, path, _, _, _ in PARSED_FIELDS]))
+    s2 = _keep_if(s1, keep, _is_object(v) & (acc.isNull() | _is_object(acc)),
+                  [_v(v, path).alias("_x_" + name) for name, path, _, _, _ in PARSED_FIELDS])
     outs = []
     for name, _, typ, dflt, integral in PARSED_FIELDS:
         x = F.col("_x_" + name)
@@ -115,6 +114,18 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None
     return s2.select(*keep, *outs)
 
 
+def _keep_if(df: DataFrame, keep: list[str], cond: Column, fields: list[Column]) -> DataFrame:
+    """Rows where ``cond`` holds, projected to ``fields``, in one operator.
+
+    Written as ``inline`` of a zero-or-one element array rather than
+    ``filter`` + ``select``: Catalyst pushes a filter below the projection
+    that parses the record and would evaluate the parse (and whatever
+    produced the text) a second time inside the predicate; a generator is
+    not crossed, so each record is parsed exactly once.
+    """
+    return df.select(*keep, F.inline(F.when(cond, F.array(F.struct(*fields)))))
+
+
 def parsed_post_view(parsed: DataFrame) -> DataFrame:
     """The nine-field record exactly as the reference's parser emits it."""
     return parsed.select(*PARSED_POST_COLUMNS)
@@ -127,9 +138,9 @@ def source_table(df: DataFrame, value_col: str = "value", keep: list[str] | None
     ``created_at`` for event-time replay."""
     keep = keep or []
     txt = F.col(value_col)
-    ok = txt.rlike(OBJECT_TEXT) & F.schema_of_variant(F.try_parse_json(txt)).startswith("OBJECT<")
+    ok = txt.rlike(OBJECT_TEXT) & _is_object(F.try_parse_json(txt))
     rec = F.from_json(txt, POST_SCHEMA, {"mode": "PERMISSIVE"})
-    out = df.filter(ok).select(*keep, rec.alias("_r")).select(*keep, "_r.*")
+    out = _keep_if(df, keep, ok, [rec.alias("_r")]).select(*keep, "_r.*")
     out = out.withColumn("event_time", F.try_to_timestamp(F.col("created_at")))
     if with_proc_time:
         out = out.withColumn("proc_time", F.current_timestamp())
@@ -164,12 +175,11 @@ def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str]
     without ``name`` drops the record.
     """
     keep = keep or []
-    v0 = decode_object(F.col(value_col))
-    staged = df.select(*keep, v0.alias("_v"))
+    s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
     required = ["$.id", "$.created_at", "$.content", "$.account.username",
                 "$.account.display_name", "$.account.followers_count"]
-    present = F.lit(True)
+    present = _is_object(v)
     for p in required:
         present = present & _v(v, p).isNotNull()
     tags_x = _v(v, "$.tags")
@@ -177,24 +187,32 @@ def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str]
     tags_ok = tags_x.isNull() | (
         tag_items.isNotNull()
         & F.forall(tag_items, lambda t: F.try_variant_get(t, "$.name", "variant").isNotNull()))
+    fields = [("id", "$.id"), ("created_at", "$.created_at"), ("content", "$.content"),
+              ("username", "$.account.username"), ("display_name", "$.account.display_name"),
+              ("followers_count", "$.account.followers_count"), ("language", "$.language"),
+              ("favourites_count", "$.favourites_count"), ("reblogs_count", "$.reblogs_count"),
+              ("replies_count", "$.replies_count"), ("url", "$.url")]
+    s2 = _keep_if(s1, keep, present & tags_ok,
+                  [_v(v, path).alias("_x_" + n) for n, path in fields]
+                  + [F.transform(tag_items, lambda t: F.try_variant_get(t, "$.name", "string"))
+                     .alias("_names"), tags_x.isNull().alias("_no_tags")])
+    x = lambda n: F.col("_x_" + n)
     zero = F.lit(0).cast("bigint")
-    names = F.transform(tag_items, lambda t: F.try_variant_get(t, "$.name", "string"))
-    return staged.filter(v.isNotNull() & present & tags_ok).select(
+    return s2.select(
         *keep,
-        F.try_variant_get(v, "$.id", "string").alias("id"),
-        F.try_variant_get(v, "$.created_at", "string").alias("created_at"),
-        F.try_variant_get(v, "$.content", "string").alias("content"),
-        F.struct(
-            F.try_variant_get(v, "$.account.username", "string").alias("username"),
-            F.try_variant_get(v, "$.account.display_name", "string").alias("display_name"),
-            F.try_variant_get(v, "$.account.followers_count", "bigint").alias("followers_count"),
-        ).alias("account"),
-        F.try_variant_get(v, "$.language", "string").alias("language"),
-        _typed(v, "$.favourites_count", "bigint", zero, integral=True).alias("favourites_count"),
-        _typed(v, "$.reblogs_count", "bigint", zero, integral=True).alias("reblogs_count"),
-        _typed(v, "$.replies_count", "bigint", zero, integral=True).alias("replies_count"),
-        F.try_variant_get(v, "$.url", "string").alias("url"),
-        F.when(tags_x.isNull(), F.array().cast("array<string>")).otherwise(names).alias("tags"),
+        x("id").try_cast("string").alias("id"),
+        x("created_at").try_cast("string").alias("created_at"),
+        x("content").try_cast("string").alias("content"),
+        F.struct(x("username").try_cast("string").alias("username"),
+                 x("display_name").try_cast("string").alias("display_name"),
+                 x("followers_count").try_cast("bigint").alias("followers_count")).alias("account"),
+        x("language").try_cast("string").alias("language"),
+        _typed_x(x("favourites_count"), "bigint", zero, integral=True).alias("favourites_count"),
+        _typed_x(x("reblogs_count"), "bigint", zero, integral=True).alias("reblogs_count"),
+        _typed_x(x("replies_count"), "bigint", zero, integral=True).alias("replies_count"),
+        x("url").try_cast("string").alias("url"),
+        F.when(F.col("_no_tags"), F.array().cast("array<string>"))
+         .otherwise(F.col("_names")).alias("tags"),
     )
 
 

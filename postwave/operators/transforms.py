@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import _typed, decode_object
+from ..functions.parse import _decode_stage, _is_object, _keep_if, _typed_x, _v
 from ..schemas import DEFAULT_LANGUAGES, PARSED_POST_COLUMNS
 
 
@@ -60,16 +60,16 @@ def extract_hashtags_raw(df: DataFrame, value_col: str = "value",
     """Hashtag records straight from post JSON (no parse step in between,
     so ``account`` is never looked at)."""
     keep = keep or []
-    staged = df.select(*keep, decode_object(F.col(value_col)).alias("_v"))
+    s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
-    tags = _typed(v, "$.tags", "array<string>", F.array().cast("array<string>"))
-    return (staged.filter(v.isNotNull())
-            .select(*keep, F.try_variant_get(v, "$.id", "string").alias("post_id"),
-                    tags.alias("hashtags"),
-                    _typed(v, "$.language", "string", F.lit("unknown")).alias("language"))
-            .filter(F.col("hashtags").isNotNull())
-            .select(*keep, "post_id", "hashtags",
-                    F.size("hashtags").cast("int").alias("hashtag_count"), "language"))
+    tags_x = _v(v, "$.tags")
+    s2 = _keep_if(s1, keep, _is_object(v) & ~(tags_x.isNotNull() & F.is_variant_null(tags_x)),
+                  [_v(v, "$.id").alias("_id"), tags_x.alias("_tags"),
+                   _v(v, "$.language").alias("_lang")])
+    tags = _typed_x(F.col("_tags"), "array<string>", F.array().cast("array<string>"))
+    return s2.select(*keep, F.col("_id").try_cast("string").alias("post_id"),
+                     tags.alias("hashtags"), F.size(tags).cast("int").alias("hashtag_count"),
+                     _typed_x(F.col("_lang"), "string", F.lit("unknown")).alias("language"))
 
 
 def content_preview(col: str = "content", n: int = 50) -> Column:

@@ -193,13 +193,8 @@ UNION ALL
 SELECT 'hashtags' AS branch, id AS record_id, CAST(len(tags) AS BIGINT) AS metric FROM parsed""",
                                    PARSED_CTE))
 def q_pipeline_full(spark, d):
-    from .pipelines import full_pipeline
-    eng, tags = full_pipeline(raw_posts(spark, d))
-    return (eng.select(F.lit("engagement").alias("branch"), F.col("id").alias("record_id"),
-                       F.col("engagement_score").alias("metric"))
-            .unionByName(tags.select(F.lit("hashtags").alias("branch"),
-                                     F.col("post_id").alias("record_id"),
-                                     F.col("hashtag_count").cast("bigint").alias("metric"))))
+    from .pipelines import full_pipeline_records
+    return full_pipeline_records(raw_posts(spark, d))
 
 
 @register("content_preview", with_posts("""

@@ -35,3 +35,18 @@ def full_pipeline(raw: DataFrame, value_col: str = "value",
     (as the streaming job does per micro-batch) to share the parse."""
     p = parsed if parsed is not None else parse_posts(raw, value_col)
     return scored_view(engagement_score(p)), extract_hashtags(p)
+
+
+def full_pipeline_records(raw: DataFrame, value_col: str = "value") -> DataFrame:
+    """Both J4 branches from one parse in one pass, as ``branch, record_id,
+    metric`` rows (engagement score / hashtag count). Batch form of J4 for
+    callers that want a single output without persisting the parse."""
+    from pyspark.sql import functions as F
+    p = engagement_score(parse_posts(raw, value_col))
+    eng = F.struct(F.lit("engagement").alias("branch"), F.col("id").alias("record_id"),
+                   F.col("engagement_score").alias("metric"))
+    tags = F.when(F.col("tags").isNotNull(),
+                  F.struct(F.lit("hashtags").alias("branch"), F.col("id").alias("record_id"),
+                           F.size("tags").cast("bigint").alias("metric")))
+    both = F.filter(F.array(eng, tags), lambda r: r.isNotNull())
+    return p.select(F.inline(both))
