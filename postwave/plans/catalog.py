@@ -671,3 +671,37 @@ def q_stream_upsert(spark, d):
                            {TOPIC_ENGAGEMENT: (st, "engagement")}))
     t = keyed.read_table(spark, f"{base}/tables/engagement", "id", ["seq"], st)
     return t.select("id", "seq", "favourites_count", "engagement_score")
+
+
+def _stream_single(spark, d, name: str, job, select: list[str], **kw):
+    from ..session import shared_path
+    from ..sources.kafka import read_replay
+    from ..streaming.replay import drain, write_replay
+    base = shared_path(spark, name)
+    write_replay(raw_posts(spark, d), f"{base}/in")
+    drain(job(read_replay(spark, f"{base}/in"), "parquet", f"{base}/ckpt",
+              path=f"{base}/out", **kw))
+    return spark.read.parquet(f"{base}/out")
+
+
+@register("stream_source_replay", ORACLE["pipeline_engagement"])
+def q_stream_source_replay(spark, d):
+    """S1 + J1 as a streaming job over the replayed topic."""
+    from ..streaming.jobs import engagement_job
+    out = _stream_single(spark, d, "stream-engagement", engagement_job, [])
+    return out.select("id", "username", "language", "engagement_score")
+
+
+@register("stream_language_filter", ORACLE["language_filter"])
+def q_stream_language_filter(spark, d):
+    """J2 as a streaming job."""
+    from ..streaming.jobs import filter_job
+    return _stream_single(spark, d, "stream-filter", filter_job, []).select("id", "language")
+
+
+@register("stream_hashtags", ORACLE["extract_hashtags"])
+def q_stream_hashtags(spark, d):
+    """J3 as a streaming job."""
+    from ..streaming.jobs import hashtag_job
+    out = _stream_single(spark, d, "stream-hashtags", hashtag_job, [])
+    return out.select("post_id", _joined("hashtags"), "hashtag_count", "language")

@@ -134,17 +134,64 @@ def window_stream(raw: DataFrame, analysis: str, *, time: str = "processing",
 
     ``time="processing"`` stamps ``proc_time`` per micro-batch; ``"event"``
     uses ``created_at``. A heartbeat stream (see ``streaming.heartbeat``)
-    keeps the watermark moving on a silent source; its rows are dropped
-    after the watermark node, before the aggregation.
+    keeps the watermark moving on a silent source; its rows reach the
+    aggregation (so they advance the watermark) but are not counted, and
+    heartbeat-only groups are dropped after it.
     """
     posts = source_table(raw, with_proc_time=(time == "processing"))
     tcol = "proc_time" if time == "processing" else "event_time"
-    posts = posts.withColumn("is_post", F.lit(True))
+    kw = {"time_col": tcol}
     if heartbeat is not None:
-        posts = posts.unionByName(heartbeat, allowMissingColumns=True)
-    posts = posts.withWatermark(tcol, delay).filter(F.col("is_post"))
+        posts = posts.withColumn("is_post", F.lit(True)).unionByName(
+            heartbeat, allowMissingColumns=True)
+        kw["post_flag"] = "is_post"
+    posts = posts.withWatermark(tcol, delay)
     fn = WINDOW_ANALYSES[analysis]
-    kw = {"time_col": tcol}
     if window_minutes is not None and analysis in ("language", "users", "engagement"):
         kw["window_minutes"] = window_minutes
     return fn(posts, **kw)
+
+
+def observe_ingest(raw: DataFrame, name: str = "ingest", value_col: str = "value") -> DataFrame:
+    """Live ingest counters (records / indexed / errors) attached to a stream.
+
+    ``Dataset.observe`` computes them inside the micro-batch (no extra job);
+    they arrive in ``StreamingQueryProgress.observedMetrics`` — read them
+    with ``IngestListener`` or ``query.lastProgress``.
+    """
+    from ..functions.parse import OBJECT_TEXT
+    txt = F.col(value_col)
+    ok = txt.rlike(OBJECT_TEXT) & F.try_parse_json(txt).isNotNull()
+    return raw.observe(name, F.count(F.lit(1)).alias("records"),
+                       F.count_if(ok).alias("indexed"), F.count_if(~ok | txt.isNull()).alias("errors"))
+
+
+class IngestListener:
+    """Accumulates observed ingest counters across micro-batches.
+
+    Register with ``spark.streams.addListener(IngestListener.create(name))``.
+    """
+
+    @staticmethod
+    def create(name: str = "ingest"):
+        from pyspark.sql.streaming import StreamingQueryListener
+
+        class _L(StreamingQueryListener):
+            totals = {"records": 0, "indexed": 0, "errors": 0}
+
+            def onQueryStarted(self, event):
+                pass
+
+            def onQueryProgress(self, event):
+                row = event.progress.observedMetrics.get(name)
+                if row is not None:
+                    for k in self.totals:
+                        self.totals[k] += row[k] or 0
+
+            def onQueryIdle(self, event):
+                pass
+
+            def onQueryTerminated(self, event):
+                pass
+
+        return _L()
