@@ -546,19 +546,22 @@ SELECT w AS window_start, w + INTERVAL 10 MINUTE AS window_end, count(*) AS post
 FROM (SELECT unnest([make_timestamp((epoch_us(created_at) // 300000000) * 300000000),
                      make_timestamp((epoch_us(created_at) // 300000000) * 300000000 - 300000000)]) AS w
       FROM posts) GROUP BY w"""),
+    # Per-user daily sessions (30-minute gap): keyed by (user, day), so one
+    # prolific user is merged in many tasks rather than one.
     "custom_sql_session_window": ("""
 SELECT account.username AS username, session_window.start AS session_start,
        session_window.end AS session_end, count(*) AS post_count
 FROM mastodon_posts WHERE account.username IS NOT NULL
-GROUP BY account.username, session_window(created_at, '30 minutes')""", """
+GROUP BY account.username, date_trunc('DAY', created_at), session_window(created_at, '30 minutes')""", """
 SELECT username, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
        count(*) AS post_count
 FROM (SELECT *, sum(CASE WHEN prev IS NULL OR created_at >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY username ORDER BY created_at, id) AS sid
-      FROM (SELECT username, created_at, id,
-                   lag(created_at) OVER (PARTITION BY username ORDER BY created_at, id) AS prev
+                  OVER (PARTITION BY username, day ORDER BY created_at, id) AS sid
+      FROM (SELECT username, created_at, id, date_trunc('day', created_at) AS day,
+                   lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
+                                         ORDER BY created_at, id) AS prev
             FROM posts WHERE username IS NOT NULL))
-GROUP BY username, sid"""),
+GROUP BY username, day, sid"""),
 }
 
 

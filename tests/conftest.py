@@ -1,6 +1,5 @@
 import os
 import sys
-import tempfile
 
 import pytest
 
@@ -13,8 +12,8 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     from postwave.session import get_session
-    ckpt = tempfile.mkdtemp(prefix="postwave-test-ckpt-")
-    s = get_session("local[*]", app="postwave-tests", shuffle_partitions=8,
-                    extra={"spark.checkpoint.dir": ckpt})
+    # the shared folder comes from spark.checkpoint.dir; get_session sets a
+    # local one only when the environment names none
+    s = get_session("local[*]", app="postwave-tests", shuffle_partitions=8)
     yield s
     s.stop()
