@@ -79,15 +79,17 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--sink", choices=["kafka", "json", "parquet", "console"], default="console")
     p.add_argument("--output", help="topic (kafka) or folder (json/parquet)")
     p.add_argument("--checkpoint", required=True)
+    p.add_argument("--available-now", action="store_true",
+                   help="process what is available, then stop (scheduled runs)")
     return p
 
 
-def main(argv: list[str] | None = None) -> None:
+def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> None:
     from ..session import get_session
     from ..sources.kafka import read_replay, read_topic
     from ..streaming.jobs import full_pipeline_job, write_stream
     args = _parser().parse_args(argv)
-    spark = get_session()
+    spark = spark or get_session()
     if args.source == "kafka":
         start = args.starting_offsets or ("earliest" if args.mode == "stream" else "latest")
         raw = read_topic(spark, args.input_topic, args.bootstrap_servers, start)
@@ -96,7 +98,8 @@ def main(argv: list[str] | None = None) -> None:
     out = run_analysis(spark, raw, args.mode, args.analysis, window=args.window,
                        languages=args.languages, query=args.query, time=args.time,
                        delay=args.delay)
-    sink = {"bootstrap": args.bootstrap_servers}
+    trigger = {"availableNow": True} if args.available_now else None
+    sink = {"bootstrap": args.bootstrap_servers, "trigger": trigger}
     if args.sink == "kafka":
         sink["topic"] = args.output
     elif args.sink in ("json", "parquet"):
@@ -105,7 +108,7 @@ def main(argv: list[str] | None = None) -> None:
         fmt = "parquet" if args.sink == "console" else args.sink
         q = full_pipeline_job(raw, args.checkpoint,
                               {"fmt": fmt, "path": f"{args.output}/engagement"},
-                              {"fmt": fmt, "path": f"{args.output}/hashtags"})
+                              {"fmt": fmt, "path": f"{args.output}/hashtags"}, trigger=trigger)
     else:
         mode = "append"
         if args.analysis == "custom":

@@ -83,3 +83,66 @@ def test_heartbeat_top_users(spark):
     finally:
         q.stop()
     assert [(r.username, r.post_count, r.avg_followers) for r in rows] == [("ann", 2, 15)]
+
+
+def test_late_rows_behind_watermark_are_dropped(spark):
+    base = shared_path(spark, "t-late")
+    rec = '{"id":"%s","language":"en","favourites_count":1,"reblogs_count":0,"created_at":"%s"}'
+    src = f"{base}/in"
+    _write_lines(spark, src, [rec % ("1", "2026-01-27T10:01:00+00:00"),
+                              rec % ("2", "2026-01-27T10:20:00+00:00")])
+    out = window_stream(read_replay(spark, src), "language", time="event", window_minutes=5,
+                        delay="0 seconds")
+    q = write_stream(out, "memory", f"{base}/ckpt", query_name="late_rows")
+    try:
+        q.processAllAvailable()
+        _write_lines(spark, src, [rec % ("3", "2026-01-27T10:21:00+00:00")])
+        q.processAllAvailable()
+        _write_lines(spark, src, [rec % ("4", "2026-01-27T10:02:00+00:00"),   # late
+                                  rec % ("5", "2026-01-27T11:00:00+00:00")])
+        q.processAllAvailable()
+        _write_lines(spark, src, [rec % ("6", "2026-01-27T12:00:00+00:00")])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    got = {str(r.window_start): r.post_count for r in spark.sql("SELECT * FROM late_rows").collect()}
+    assert got["2026-01-27 10:00:00"] == 1          # the 10:02 row arrived behind the watermark
+    assert got["2026-01-27 10:20:00"] == 2
+
+
+def test_streaming_custom_sql_uses_update_mode(spark):
+    from postwave.functions.parse import register_source_table
+    from postwave.plans.sql import custom_sql, default_output_mode
+    base = shared_path(spark, "t-custom-stream")
+    _write_lines(spark, f"{base}/in", ['{"id":"1","language":"en"}', '{"id":"2","language":"en"}',
+                                       '{"id":"3","language":"fr"}'])
+    register_source_table(read_replay(spark, f"{base}/in"))
+    df = custom_sql(spark, "SELECT language, count(*) AS n FROM mastodon_posts GROUP BY language")
+    assert df.isStreaming and default_output_mode(df) == "update"
+    q = write_stream(df, "memory", f"{base}/ckpt", output_mode="update", query_name="custom_stream")
+    q.processAllAvailable()
+    q.stop()
+    got = {r.language: r.n for r in spark.sql("SELECT * FROM custom_stream").collect()}
+    assert got == {"en": 2, "fr": 1}
+
+
+def test_dispatcher_cli_available_now(spark):
+    import json as _json
+    from postwave.plans.dispatcher import main
+    base = shared_path(spark, "t-cli")
+    _write_lines(spark, f"{base}/in", [_json.dumps({"id": "1", "favourites_count": 3,
+                                                    "reblogs_count": 2})])
+    main(["--mode", "stream", "--analysis", "engagement", "--source", "files",
+          "--input", f"{base}/in", "--sink", "json", "--output", f"{base}/out",
+          "--checkpoint", f"{base}/ckpt", "--available-now"], spark=spark)
+    (r,) = spark.read.json(f"{base}/out").collect()
+    assert r.id == "1" and r.engagement_score == 7
+
+
+def test_read_or_empty_on_missing_archive(spark):
+    from postwave.schemas import POST_SCHEMA
+    from postwave.sinks.writers import path_exists, read_or_empty
+    missing = shared_path(spark, "t-missing")
+    assert not path_exists(spark, missing)
+    df = read_or_empty(spark, missing, POST_SCHEMA)
+    assert df.count() == 0 and df.schema == POST_SCHEMA
