@@ -2,13 +2,13 @@
 
 All are ``groupBy`` + algebraic aggregates (partial aggregation before the
 shuffle, so a hot tag or language is combined map-side). Totals needed for
-shares come from a scalar subquery, never from a window over the whole
-table (which would pull every row into one task).
+shares are summed over the already aggregated rows (one per language), never
+over the raw table in one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -20,10 +20,12 @@ def hashtag_frequency(df: DataFrame, col: str = "tags") -> DataFrame:
 
 
 def view_language_share(indexed: DataFrame) -> DataFrame:
-    total = indexed.select(F.count(F.lit(1))).scalar()
-    return (indexed.groupBy("language").agg(F.count(F.lit(1)).alias("post_count"))
-            .select("language", "post_count",
-                    (F.col("post_count") / total).alias("share")))
+    """Posts per language and their share of all posts. The total is a sum
+    over the per-language rows (bounded by the number of languages), so the
+    input is scanned once."""
+    per_lang = indexed.groupBy("language").agg(F.count(F.lit(1)).alias("post_count"))
+    total = F.sum("post_count").over(Window.partitionBy())
+    return per_lang.select("language", "post_count", (F.col("post_count") / total).alias("share"))
 
 
 def view_volume_over_time(indexed: DataFrame, time_col: str = "created_at",
@@ -68,7 +70,8 @@ def index_stats(tables: dict[str, DataFrame | None]) -> DataFrame:
 
 def ingest_summary(topic_frame: DataFrame, value_col: str = "value") -> DataFrame:
     """Per topic: records indexed (decodable JSON object) and errors."""
-    from ..functions.parse import decode_object
-    ok = decode_object(F.col(value_col)).isNotNull()
-    return (topic_frame.groupBy("topic", F.when(ok, "indexed").otherwise("error").alias("outcome"))
+    from ..functions.parse import _decode_stage, _is_object
+    staged = _decode_stage(topic_frame, value_col, ["topic"])
+    ok = F.coalesce(_is_object(F.col("_v")), F.lit(False))
+    return (staged.groupBy("topic", F.when(ok, "indexed").otherwise("error").alias("outcome"))
             .agg(F.count(F.lit(1)).alias("records")))
