@@ -604,7 +604,7 @@ def q_stream_language_distribution(spark, d):
     out = window_stream(read_replay(spark, f"{base}/in"), "language", time="event",
                         window_minutes=5, delay="10 minutes")
     q = write_stream(out, "parquet", f"{base}/ckpt", path=f"{base}/out")
-    drain(q, spark, f"{base}/in", flushes=2)
+    drain(q, spark, f"{base}/in", flushes=1)
     res = spark.read.parquet(f"{base}/out").filter(F.col("window_start") < F.lit(FLUSH_BEFORE))
     return res.select(F.col("window_start").cast("timestamp_ntz").alias("window_start"),
                       F.col("window_end").cast("timestamp_ntz").alias("window_end"),

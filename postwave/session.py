@@ -52,8 +52,6 @@ def get_session(master: str | None = None, app: str = "postwave",
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable part of BASE_CONF to an existing session."""
     for k, v in BASE_CONF.items():
-        if k.startswith("spark.sql.streaming.stateStore"):
-            continue
         try:
             spark.conf.set(k, v)
         except Exception:  # static conf on a shared session: leave as is
