@@ -11,8 +11,10 @@ A few deterministic rules inject the edge cases the operators must handle
 lists). They shape values; they never drop rows.
 
 Everything here is a lazy DataFrame: the join is an equi-join on a uniform
-key (so no hot key from the adapter), ``documents`` is pruned to the columns
-a query needs, and AQE picks broadcast vs. sort-merge from runtime sizes.
+key (so no hot key from the adapter) and ``documents`` is pruned to the
+columns a query needs. The documents side is broadcast only when its decoded
+size (texts included) is proven under the limit (``operators.joins``);
+otherwise both sides shuffle on the key.
 """
 
 from __future__ import annotations
@@ -20,7 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .tables import read_table
+from ..operators.joins import sized_side
+from .tables import read_table, table_path
 
 # Edge-case injection rules of the posts adapter (moduli of
 # event_id) and the URL pattern.
@@ -61,6 +64,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     n_docs = docs.select(F.count(F.lit(1))).scalar()
     e = ev.withColumn("_doc", F.col("event_id") % n_docs)
+    docs = sized_side(spark, docs, [table_path(sf_dir, "documents")])
     j = e.join(docs, e["_doc"] == docs["doc_id"], "left")
     eid = F.col("event_id")
     uid = F.col("user_id").cast("string")

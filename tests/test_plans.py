@@ -50,3 +50,31 @@ def test_time_filter_reaches_scan(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "GreaterThanOrEqual(ts," in plan        # pushed into the parquet scan
     assert "text" not in plan.split("documents.parquet")[1].split("\n")[0]  # body not read
+
+
+def test_document_side_broadcast_only_on_measured_size(spark):
+    from postwave.operators import joins
+    from postwave.sources.posts import posts
+    from postwave.sources.tables import table_path
+    docs = spark.read.parquet(table_path(SF_SMALL, "documents")).select("doc_id", "text", "lang")
+    measured = joins.decoded_bytes(docs)
+    # a bound on what gets broadcast: every text byte plus fixed words per row
+    texts = docs.selectExpr("sum(octet_length(text)) + sum(octet_length(lang))").first()[0]
+    assert measured >= texts > 0
+
+    def plan():
+        df = posts(spark, SF_SMALL).select("id", "content")
+        df.write.format("noop").mode("overwrite").save()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    old = spark.conf.get(joins.LIMIT_CONF, None)
+    try:
+        spark.conf.set(joins.LIMIT_CONF, str(measured))      # fits exactly
+        assert "BroadcastHashJoin" in plan()
+        spark.conf.set(joins.LIMIT_CONF, str(measured - 1))  # one byte short
+        p = plan()
+        assert "SortMergeJoin" in p and "BroadcastExchange" not in p
+        spark.conf.set(joins.LIMIT_CONF, "1")                # smaller than the files
+        assert "SortMergeJoin" in plan()
+    finally:
+        spark.conf.unset(joins.LIMIT_CONF) if old is None else spark.conf.set(joins.LIMIT_CONF, old)
