@@ -66,12 +66,14 @@ def top_users(posts: DataFrame, time_col: str = "proc_time",
     """Users with more than one post in a window and their mean follower
     count, truncated to an integer. No ranking or limit.
 
-    With a heartbeat flag the NULL-user test becomes ``count(username) > 0``
-    after the aggregation: a predicate on the grouping key would be pushed
-    below the aggregate and the watermark and drop the heartbeat rows."""
+    On a stream (or with a heartbeat flag) the NULL-user test becomes
+    ``count(username) > 0`` after the aggregation: a predicate on the
+    grouping key would be pushed below the aggregate and the watermark, so
+    rows without a user (or heartbeat rows) would stop advancing it and the
+    last windows would never close. Batch input is filtered first."""
     user = F.col("account.username")
     followers = F.col("account.followers_count")
-    src = posts if post_flag else posts.filter(user.isNotNull())
+    src = posts if (post_flag or posts.isStreaming) else posts.filter(user.isNotNull())
     agg = (src.groupBy(_tumble(time_col, f"{window_minutes} minutes"), user.alias("username"))
            .agg(_count(post_flag).alias("post_count"), F.count(user).alias("_uc"),
                 F.sum(followers).alias("_fs"), F.count(followers).alias("_fc"))
@@ -104,13 +106,16 @@ def dashboard_volume(posts: DataFrame, time_col: str = "proc_time",
 
 
 def simple_count(posts: DataFrame, time_col: str = "proc_time",
-                 post_flag: str | None = None) -> DataFrame:
-    """Ten-second post counts keyed by the window end as ``HH:mm:ss``."""
+                 post_flag: str | None = None, keep_end: str | None = None) -> DataFrame:
+    """Ten-second post counts keyed by the window end as ``HH:mm:ss``.
+    ``keep_end`` names an extra column with the full window-end timestamp
+    (the clock string alone loses the date)."""
     agg = (posts.groupBy(_tumble(time_col, "10 seconds"))
            .agg(_count(post_flag).alias("post_count")))
+    extra = [F.col("w.end").alias(keep_end)] if keep_end else []
     return (_drop_empty(agg, post_flag, "post_count")
             .select(F.date_format(F.col("w.end"), "HH:mm:ss").alias("window_end"),
-                    "post_count"))
+                    "post_count", *extra))
 
 
 def trending_hashtags(posts: DataFrame, time_col: str = "proc_time",

@@ -611,6 +611,114 @@ def q_stream_language_distribution(spark, d):
                       "language", "post_count", "total_engagement")
 
 
+def _stream_window(spark, d, analysis: str, name: str, window_minutes: int | None = None):
+    """A windowed SQL analysis as a Structured Streaming job: replayed raw
+    records -> declared-table decode -> event-time watermark -> the batch
+    window function -> append-mode parquet sink, then read back whole."""
+    from ..session import shared_path
+    from ..sources.kafka import read_replay
+    from ..streaming.jobs import window_stream, write_stream
+    from ..streaming.replay import FLUSH_BEFORE, drain, write_replay
+    base = shared_path(spark, name)
+    write_replay(raw_posts(spark, d), f"{base}/in")
+    out = window_stream(read_replay(spark, f"{base}/in"), analysis, time="event",
+                        window_minutes=window_minutes, delay="10 minutes")
+    q = write_stream(out, "parquet", f"{base}/ckpt", path=f"{base}/out")
+    drain(q, spark, f"{base}/in", flushes=1)
+    res = spark.read.parquet(f"{base}/out")
+    if "window_start" in res.columns:
+        res = res.filter(F.col("window_start") < F.lit(FLUSH_BEFORE))
+        res = (res.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+                  .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+    return res
+
+
+@register("stream_top_users", with_posts(f"""
+SELECT {wstart('created_at', 3600)} AS window_start, {wend('created_at', 3600)} AS window_end,
+       username, count(*) AS post_count,
+       CAST(sum(followers_count) // count(followers_count) AS BIGINT) AS avg_followers
+FROM srctable WHERE username IS NOT NULL
+GROUP BY 1, 2, username HAVING count(*) > 1""", SOURCE_TABLE_CTE))
+def q_stream_top_users(spark, d):
+    """A2 as a streaming job (60-minute windows)."""
+    return _stream_window(spark, d, "users", "stream-users", 60)
+
+
+@register("stream_engagement_metrics", with_posts(f"""
+SELECT {wstart('created_at', 300)} AS window_start, {wend('created_at', 300)} AS window_end,
+       count(*) AS total_posts,
+       avg(CAST(favourites_count AS DOUBLE)) AS avg_favourites,
+       avg(CAST(reblogs_count AS DOUBLE)) AS avg_reblogs,
+       max(favourites_count + reblogs_count * 2) AS max_engagement
+FROM srctable GROUP BY 1, 2""", SOURCE_TABLE_CTE))
+def q_stream_engagement_metrics(spark, d):
+    """A3 as a streaming job."""
+    return _stream_window(spark, d, "engagement", "stream-engagement-metrics", 5)
+
+
+@register("stream_dashboard_volume", with_posts(f"""
+SELECT {wstart('created_at', 60)} AS window_start, {wend('created_at', 60)} AS window_end,
+       'volume' AS metric_type, 'posts_per_minute' AS metric_name,
+       CAST(count(*) AS DOUBLE) AS metric_value
+FROM srctable GROUP BY 1, 2""", SOURCE_TABLE_CTE))
+def q_stream_dashboard_volume(spark, d):
+    """A4 as a streaming job."""
+    return _stream_window(spark, d, "dashboard", "stream-dashboard")
+
+
+@register("stream_simple_count", with_posts(f"""
+SELECT strftime(w_end, '%H:%M:%S') AS window_end, count(*) AS post_count
+FROM (SELECT {wend('created_at', 10)} AS w_end FROM srctable)
+WHERE w_end < TIMESTAMP '2099-01-01' GROUP BY w_end""", SOURCE_TABLE_CTE))
+def q_stream_simple_count(spark, d):
+    """A5 as a streaming job. Its output keeps only the clock time of the
+    window end, so the flush record's window is recognised by the raw
+    window before formatting."""
+    from ..session import shared_path
+    from ..sources.kafka import read_replay
+    from ..streaming.jobs import window_stream, write_stream
+    from ..streaming.replay import FLUSH_BEFORE, drain, write_replay
+    base = shared_path(spark, "stream-count")
+    write_replay(raw_posts(spark, d), f"{base}/in")
+    out = window_stream(read_replay(spark, f"{base}/in"), "count", time="event",
+                        delay="10 minutes", keep_window_end=True)
+    q = write_stream(out, "parquet", f"{base}/ckpt", path=f"{base}/out")
+    drain(q, spark, f"{base}/in", flushes=1)
+    res = spark.read.parquet(f"{base}/out")
+    return res.filter(F.col("_w_end") < F.lit(FLUSH_BEFORE)).select("window_end", "post_count")
+
+
+# J8: the dispatcher's SQL mode on a batch read of the replayed topic.
+@register("dispatch_sql_engagement", with_posts(f"""
+SELECT {wstart('created_at', 600)} AS window_start, {wend('created_at', 600)} AS window_end,
+       count(*) AS total_posts,
+       avg(CAST(favourites_count AS DOUBLE)) AS avg_favourites,
+       avg(CAST(reblogs_count AS DOUBLE)) AS avg_reblogs,
+       max(favourites_count + reblogs_count * 2) AS max_engagement
+FROM srctable GROUP BY 1, 2""", SOURCE_TABLE_CTE))
+def q_dispatch_sql_engagement(spark, d):
+    """``--mode sql --analysis engagement --window 10 --time event`` over the
+    topic's records, batch (the same call runs on a stream)."""
+    from .dispatcher import run_analysis
+    out = run_analysis(spark, raw_posts(spark, d).select("value"), "sql", "engagement",
+                       window=10, time="event")
+    return (out.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+               .withColumn("window_end", F.col("window_end").cast("timestamp_ntz")))
+
+
+@register("dispatch_stream_filter", with_posts("""
+SELECT id, content, language, username, followers_count, favourites_count, reblogs_count,
+       array_to_string(tags, ',') AS tags, created_at
+FROM parsed WHERE language IN ('fr', 'de')""", PARSED_CTE))
+def q_dispatch_stream_filter(spark, d):
+    """``--mode stream --analysis filter --languages fr de`` (J2 through J8)."""
+    from .dispatcher import run_analysis
+    out = run_analysis(spark, raw_posts(spark, d).select("value"), "stream", "filter",
+                       languages=["fr", "de"])
+    return out.select("id", "content", "language", "username", "followers_count",
+                      "favourites_count", "reblogs_count", _joined("tags"), "created_at")
+
+
 @register("stream_pipeline_full", ORACLE["pipeline_full"])
 def q_stream_pipeline_full(spark, d):
     from ..session import shared_path

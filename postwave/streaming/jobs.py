@@ -129,14 +129,16 @@ def run_with_callback(raw: DataFrame, callback: Callable[[DataFrame, int], None]
 
 def window_stream(raw: DataFrame, analysis: str, *, time: str = "processing",
                   window_minutes: int | None = None, delay: str = "0 seconds",
-                  heartbeat: DataFrame | None = None) -> DataFrame:
+                  heartbeat: DataFrame | None = None,
+                  keep_window_end: bool = False) -> DataFrame:
     """Windowed analysis over a raw post stream, ready for append mode.
 
     ``time="processing"`` stamps ``proc_time`` per micro-batch; ``"event"``
     uses ``created_at``. A heartbeat stream (see ``streaming.heartbeat``)
     keeps the watermark moving on a silent source; its rows reach the
     aggregation (so they advance the watermark) but are not counted, and
-    heartbeat-only groups are dropped after it.
+    heartbeat-only groups are dropped after it. ``keep_window_end`` adds the
+    full window-end timestamp ``_w_end`` to the 10-second counts.
     """
     posts = source_table(raw, with_proc_time=(time == "processing"))
     tcol = "proc_time" if time == "processing" else "event_time"
@@ -149,6 +151,8 @@ def window_stream(raw: DataFrame, analysis: str, *, time: str = "processing",
     fn = WINDOW_ANALYSES[analysis]
     if window_minutes is not None and analysis in ("language", "users", "engagement"):
         kw["window_minutes"] = window_minutes
+    if keep_window_end and analysis == "count":
+        kw["keep_end"] = "_w_end"
     return fn(posts, **kw)
 
 

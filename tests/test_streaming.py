@@ -146,3 +146,26 @@ def test_read_or_empty_on_missing_archive(spark):
     assert not path_exists(spark, missing)
     df = read_or_empty(spark, missing, POST_SCHEMA)
     assert df.count() == 0 and df.schema == POST_SCHEMA
+
+
+def test_post_without_user_still_closes_top_user_windows(spark):
+    """The NULL-user test must not be pushed below the watermark: a later
+    post with no account moves event time on and closes the earlier window."""
+    base = shared_path(spark, "t-users-null")
+    rec = '{"id":"%s","account":{"username":"ann","followers_count":%d},"created_at":"%s"}'
+    src = f"{base}/in"
+    _write_lines(spark, src, [rec % ("1", 10, "2026-01-27T10:01:00+00:00"),
+                              rec % ("2", 21, "2026-01-27T10:03:00+00:00")])
+    out = window_stream(read_replay(spark, src), "users", time="event", window_minutes=10,
+                        delay="0 seconds")
+    q = write_stream(out, "memory", f"{base}/ckpt", query_name="users_null_close")
+    try:
+        q.processAllAvailable()
+        _write_lines(spark, src, ['{"id":"3","created_at":"2026-01-27T11:00:00+00:00"}'])
+        q.processAllAvailable()
+        _write_lines(spark, src, ['{"id":"4","created_at":"2026-01-27T11:01:00+00:00"}'])
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    rows = spark.sql("SELECT * FROM users_null_close").collect()
+    assert [(r.username, r.post_count, r.avg_followers) for r in rows] == [("ann", 2, 15)]
