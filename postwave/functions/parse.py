@@ -20,14 +20,45 @@ from pyspark.sql import functions as F
 
 from ..schemas import PARSED_POST_COLUMNS, POST_SCHEMA, RAW_STATUS_SCHEMA
 
-# Fixed value: a record must be one JSON object and nothing else.
+# A record must be one JSON object and nothing else. Its text
+# starts with "{" (after blanks); parsed inside "[" ... ",0]" it must give a
+# two-element array whose last element is 0. OBJECT_TEXT is the coarse shape
+# used to label quarantined records.
+OBJECT_START = r"^\s*\{"
 OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
+WRAP_OPEN, WRAP_CLOSE = "[", ",0]"
 
 
 def _v(path_root: Column, path: str) -> Column:
     return F.try_variant_get(path_root, path, "variant")
 
 
+def record(value: Column) -> Column:
+    """Parse a JSON record text once, as the Variant ``[record, 0]``.
+
+    Spark's JSON parser stops after the first complete value and ignores
+    what follows, so ``{...}{...}`` or ``{...} junk}`` would parse as the
+    first object. Parsed inside ``[`` ... ``,0]``, trailing content either
+    breaks the array or changes its length or last element, which
+    ``is_record`` checks. Texts that do not start with ``{`` are not parsed.
+    """
+    return F.when(value.rlike(OBJECT_START),
+                  F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE))))
+
+
+def is_record(w: Column) -> Column:
+    """``w`` (from ``record``) holds exactly one JSON object; never NULL.
+    Pass a column reference, so the parse is not repeated for each test."""
+    return F.coalesce(w.isNotNull() & F.try_variant_get(w, "$[2]", "variant").isNull()
+                      & (F.try_variant_get(w, "$[1]", "bigint") == 0), F.lit(False))
+
+
+def field(w: Column, path: str, typ: str = "variant") -> Column:
+    """A field of the record in ``w``; ``path`` is written from the record
+    root (``$.account.username``)."""
+    return F.try_variant_get(w, "$[0]" + path[1:], typ)
+
+
 def _typed(v: Column, path: str, typ: str, default, *, integral: bool = False) -> Column:
     """missing -> default; JSON null -> NULL; value -> typed (NULL if it does
     not have the type; integers must be JSON integers)."""
@@ -49,17 +80,10 @@ def _is_object(v: Column) -> Column:
     return F.schema_of_variant(v).startswith("OBJECT<")
 
 
-def decode_object(value: Column) -> Column:
-    """Variant of a JSON object text; NULL for anything else."""
-    v = F.when(value.rlike(OBJECT_TEXT), F.try_parse_json(value))
-    return F.when(_is_object(v), v)
-
-
 def _decode_stage(df: DataFrame, value_col: str, keep: list[str]) -> DataFrame:
-    """Parse each record once into ``_v`` (NULL unless it looks like one JSON
-    object); later stages read sub-values from ``_v``."""
-    txt = F.col(value_col)
-    return df.select(*keep, F.when(txt.rlike(OBJECT_TEXT), F.try_parse_json(txt)).alias("_v"))
+    """Parse each record once into ``_v`` (see ``record``); later stages
+    test it with ``is_record`` and read fields with ``field``."""
+    return df.select(*keep, record(F.col(value_col)).alias("_v"))
 
 
 # Fields of the nine-field parsed post, their JSON paths and the
@@ -101,9 +125,9 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None
     keep = keep or []
     s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
-    acc = _v(v, "$.account")
-    s2 = _keep_if(s1, keep, _is_object(v) & (acc.isNull() | _is_object(acc)),
-                  [_v(v, path).alias("_x_" + name) for name, path, _, _, _ in PARSED_FIELDS])
+    acc = field(v, "$.account")
+    s2 = _keep_if(s1, keep, is_record(v) & (acc.isNull() | _is_object(acc)),
+                  [field(v, path).alias("_x_" + name) for name, path, _, _, _ in PARSED_FIELDS])
     outs = []
     for name, _, typ, dflt, integral in PARSED_FIELDS:
         x = F.col("_x_" + name)
@@ -137,10 +161,9 @@ def source_table(df: DataFrame, value_col: str = "value", keep: list[str] | None
     records skipped, ``proc_time`` added, ``event_time`` parsed from
     ``created_at`` for event-time replay."""
     keep = keep or []
-    txt = F.col(value_col)
-    ok = txt.rlike(OBJECT_TEXT) & _is_object(F.try_parse_json(txt))
-    rec = F.from_json(txt, POST_SCHEMA, {"mode": "PERMISSIVE"})
-    out = _keep_if(df, keep, ok, [rec.alias("_r")]).select(*keep, "_r.*")
+    staged = _decode_stage(df, value_col, keep + [value_col])
+    rec = F.from_json(F.col(value_col), POST_SCHEMA, {"mode": "PERMISSIVE"})
+    out = _keep_if(staged, keep, is_record(F.col("_v")), [rec.alias("_r")]).select(*keep, "_r.*")
     out = out.withColumn("event_time", F.try_to_timestamp(F.col("created_at")))
     if with_proc_time:
         out = out.withColumn("proc_time", F.current_timestamp())
@@ -154,15 +177,17 @@ def register_source_table(df: DataFrame, name: str = "mastodon_posts", **kw) ->
 
 
 def quarantine(df: DataFrame, value_col: str = "value") -> DataFrame:
-    """Records the decoders skip (not one JSON object), with a reason."""
+    """Records the decoders skip (not exactly one JSON object), with a
+    reason: ``null``, ``not_an_object`` (not shaped ``{...}``) or
+    ``malformed_json`` (shaped so, but not one valid JSON object)."""
     txt = F.col(value_col)
-    v = F.when(txt.rlike(OBJECT_TEXT), F.try_parse_json(txt))
+    staged = df.withColumn("_w", record(txt))
     reason = (F.when(txt.isNull(), F.lit("null"))
                .when(~txt.rlike(OBJECT_TEXT), F.lit("not_an_object"))
-               .when(v.isNull(), F.lit("malformed_json"))
-               .when(~F.schema_of_variant(v).startswith("OBJECT<"), F.lit("not_an_object"))
+               .when(~is_record(F.col("_w")), F.lit("malformed_json"))
                .otherwise(F.lit(None)))
-    return df.withColumn("reason", reason).filter(F.col("reason").isNotNull())
+    return (staged.withColumn("reason", reason).drop("_w")
+            .filter(F.col("reason").isNotNull()))
 
 
 def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -179,11 +204,11 @@ def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str]
     v = F.col("_v")
     required = ["$.id", "$.created_at", "$.content", "$.account.username",
                 "$.account.display_name", "$.account.followers_count"]
-    present = _is_object(v)
+    present = is_record(v)
     for p in required:
-        present = present & _v(v, p).isNotNull()
-    tags_x = _v(v, "$.tags")
-    tag_items = F.try_variant_get(v, "$.tags", "array<variant>")
+        present = present & field(v, p).isNotNull()
+    tags_x = field(v, "$.tags")
+    tag_items = field(v, "$.tags", "array<variant>")
     tags_ok = tags_x.isNull() | (
         tag_items.isNotNull()
         & F.forall(tag_items, lambda t: F.try_variant_get(t, "$.name", "variant").isNotNull()))
@@ -193,7 +218,7 @@ def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str]
               ("favourites_count", "$.favourites_count"), ("reblogs_count", "$.reblogs_count"),
               ("replies_count", "$.replies_count"), ("url", "$.url")]
     s2 = _keep_if(s1, keep, present & tags_ok,
-                  [_v(v, path).alias("_x_" + n) for n, path in fields]
+                  [field(v, path).alias("_x_" + n) for n, path in fields]
                   + [F.transform(tag_items, lambda t: F.try_variant_get(t, "$.name", "string"))
                      .alias("_names"), tags_x.isNull().alias("_no_tags")])
     x = lambda n: F.col("_x_" + n)

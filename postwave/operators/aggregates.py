@@ -70,8 +70,8 @@ def index_stats(tables: dict[str, DataFrame | None]) -> DataFrame:
 
 def ingest_summary(topic_frame: DataFrame, value_col: str = "value") -> DataFrame:
     """Per topic: records indexed (decodable JSON object) and errors."""
-    from ..functions.parse import _decode_stage, _is_object
+    from ..functions.parse import _decode_stage, is_record
     staged = _decode_stage(topic_frame, value_col, ["topic"])
-    ok = F.coalesce(_is_object(F.col("_v")), F.lit(False))
+    ok = F.coalesce(is_record(F.col("_v")), F.lit(False))
     return (staged.groupBy("topic", F.when(ok, "indexed").otherwise("error").alias("outcome"))
             .agg(F.count(F.lit(1)).alias("records")))

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import _decode_stage, _is_object, _keep_if, _typed_x, _v
+from ..functions.parse import _decode_stage, _keep_if, _typed_x, field, is_record
 from ..schemas import DEFAULT_LANGUAGES, PARSED_POST_COLUMNS
 
 
@@ -62,10 +62,10 @@ def extract_hashtags_raw(df: DataFrame, value_col: str = "value",
     keep = keep or []
     s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
-    tags_x = _v(v, "$.tags")
-    s2 = _keep_if(s1, keep, _is_object(v) & ~(tags_x.isNotNull() & F.is_variant_null(tags_x)),
-                  [_v(v, "$.id").alias("_id"), tags_x.alias("_tags"),
-                   _v(v, "$.language").alias("_lang")])
+    tags_x = field(v, "$.tags")
+    s2 = _keep_if(s1, keep, is_record(v) & ~(tags_x.isNotNull() & F.is_variant_null(tags_x)),
+                  [field(v, "$.id").alias("_id"), tags_x.alias("_tags"),
+                   field(v, "$.language").alias("_lang")])
     tags = _typed_x(F.col("_tags"), "array<string>", F.array().cast("array<string>"))
     return s2.select(*keep, F.col("_id").try_cast("string").alias("post_id"),
                      tags.alias("hashtags"), F.size(tags).cast("int").alias("hashtag_count"),

@@ -163,11 +163,12 @@ def observe_ingest(raw: DataFrame, name: str = "ingest", value_col: str = "value
     they arrive in ``StreamingQueryProgress.observedMetrics`` — read them
     with ``IngestListener`` or ``query.lastProgress``.
     """
-    from ..functions.parse import OBJECT_TEXT
-    txt = F.col(value_col)
-    ok = txt.rlike(OBJECT_TEXT) & F.try_parse_json(txt).isNotNull()
-    return raw.observe(name, F.count(F.lit(1)).alias("records"),
-                       F.count_if(ok).alias("indexed"), F.count_if(~ok | txt.isNull()).alias("errors"))
+    from ..functions.parse import is_record, record
+    staged = raw.withColumn("_w", record(F.col(value_col)))
+    ok = F.coalesce(is_record(F.col("_w")), F.lit(False))
+    return staged.observe(name, F.count(F.lit(1)).alias("records"),
+                          F.count_if(ok).alias("indexed"),
+                          F.count_if(~ok).alias("errors")).drop("_w")
 
 
 class IngestListener:

@@ -106,3 +106,28 @@ def test_raw_status_required_keys(spark):
     assert set(out) == {"ok", "notags"}
     assert out["ok"].tags == ["a"] and out["notags"].tags == []
     assert out["ok"].favourites_count == 0 and out["ok"].language is None
+
+
+# A record must be exactly one JSON value: Python's json.loads rejects extra
+# data after it, so these records are dropped by every decoder.
+EXTRA_DATA = [
+    ("two_objects", '{"id":"x1"}{"id":"x2"}'),
+    ("two_lines", '{"id":"x3"}\n{"id":"x4"}'),
+    ("comma", '{"id":"x5"},{"id":"x6"}'),
+    ("brace_garbage", '{"id":"x7"} junk}'),
+    ("bracket_garbage", '{"id":"x8"}]z}'),
+    ("nan", '{"id":"x9","favourites_count":NaN}'),
+    ("blanks_ok", '  {"id":"ok1","tags":["a"]}  \n'),
+    ("brackets_in_text_ok", '{"id":"ok2","content":"a ]} [{ b","tags":[]}'),
+]
+
+
+def test_extra_data_after_the_object_drops_the_record(spark):
+    df = spark.createDataFrame(EXTRA_DATA, "tag string, value string")
+    kept = {r.tag for r in parse_posts(df, keep=["tag"]).collect()}
+    assert kept == {"blanks_ok", "brackets_in_text_ok"}
+    assert {r.tag for r in source_table(df, keep=["tag"]).collect()} == kept
+    assert {r.tag for r in extract_hashtags_raw(df, keep=["tag"]).collect()} == kept
+    q = {r.tag: r.reason for r in quarantine(df).collect()}
+    assert set(q) == {t for t, _ in EXTRA_DATA} - kept
+    assert q["two_objects"] == "malformed_json" and q["brace_garbage"] == "malformed_json"
