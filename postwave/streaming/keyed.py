@@ -59,11 +59,18 @@ def read_table(spark: SparkSession, root: str, key: str, order: list[str],
 
 def compact(spark: SparkSession, root: str, key: str, order: list[str],
             schema: StructType) -> int | None:
-    """Write the current view as a new snapshot version; returns it."""
+    """Write the current view as a new snapshot version; returns it.
+
+    Idempotent: when the newest snapshot already covers the newest log batch
+    (a retried compaction), nothing is read or written, so a snapshot is
+    never overwritten by a job that reads it."""
     batches = _versions(spark, f"{root}/log", "batch_id=")
     if not batches:
         return None
     v = batches[-1]
+    snaps = _versions(spark, f"{root}/snapshot", "v=")
+    if snaps and snaps[-1] >= v:
+        return snaps[-1]
     view = read_table(spark, root, key, order, schema)
     view.write.mode("overwrite").parquet(f"{root}/snapshot/v={v}")
     return v
@@ -71,23 +78,30 @@ def compact(spark: SparkSession, root: str, key: str, order: list[str],
 
 def upsert_job(raw: DataFrame, root: str, checkpoint: str,
                topics: dict[str, tuple[StructType, str]],
-               trigger: dict | None = None) -> StreamingQuery:
+               trigger: dict | None = None, key: str = "id",
+               compact_every: int | None = None) -> StreamingQuery:
     """J6: multi-topic stream -> one keyed log per topic.
 
-    ``topics`` maps topic -> (record schema, table name). Records keep the
+    ``topics`` maps topic -> (record schema, table name[, key]). Records keep the
     Kafka ``(timestamp, partition, offset)`` (or the replay ``seq``) as the
-    version order.
+    version order. With ``compact_every=N`` each table is compacted after
+    every N-th batch, so reads never scan more than N log batches past the
+    newest snapshot; ``key`` is the document key used by compaction.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         batch = batch.persist()
         try:
             for topic, part in route_by_topic(batch, list(topics)).items():
-                schema, name = topics[topic]
+                schema, name = topics[topic][:2]
+                tkey = topics[topic][2] if len(topics[topic]) > 2 else key
                 meta = [c for c in ("timestamp", "partition", "offset", "seq") if c in batch.columns]
                 rec = part.select(*meta, F.from_json("value", schema).alias("r")).select(
                     "r.*", *meta)
                 rec = rec.withColumn("indexed_at", F.current_timestamp())
                 append_batch(rec, f"{root}/{name}", batch_id)
+                if compact_every and (batch_id + 1) % compact_every == 0:
+                    order = [c for c in ("timestamp", "partition", "offset", "seq") if c in meta]
+                    compact(batch.sparkSession, f"{root}/{name}", tkey, order, schema)
         finally:
             batch.unpersist()
     w = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)

@@ -58,9 +58,33 @@ def test_keyed_log_latest_wins_and_compaction(spark):
     root = f"{base}/tables/tbl"
     view = sorted((r.id or "", r.v) for r in keyed.read_table(spark, root, "id", ["seq"], st).collect())
     assert view == [("", 4), ("a", 3), ("b", 2)]
-    assert keyed.compact(spark, root, "id", ["seq"], st) is not None
+    v = keyed.compact(spark, root, "id", ["seq"], st)
+    assert v is not None
     again = sorted((r.id or "", r.v) for r in keyed.read_table(spark, root, "id", ["seq"], st).collect())
     assert again == view
+    # a retried compaction neither re-reads nor overwrites its own snapshot
+    assert keyed.compact(spark, root, "id", ["seq"], st) == v
+
+
+def test_keyed_log_compacts_every_n_batches(spark):
+    base = shared_path(spark, "t-keyed-auto")
+    st = StructType([StructField("post_id", StringType()), StructField("v", LongType())])
+    src = f"{base}/in"
+    batches = [[(1, '{"post_id":"a","v":1}', "t"), (2, '{"post_id":"b","v":2}', "t")],
+               [(3, '{"post_id":"a","v":3}', "t")],
+               [(4, '{"post_id":"b","v":4}', "t"), (5, '{"post_id":"c","v":5}', "t")]]
+    for rows in batches:
+        spark.createDataFrame(rows, "seq long, value string, topic string").coalesce(1) \
+            .write.mode("append").json(src)
+    stream = spark.readStream.schema("seq long, value string, topic string") \
+        .option("maxFilesPerTrigger", "1").json(src)
+    drain(keyed.upsert_job(stream, f"{base}/tables", f"{base}/ckpt",
+                           {"t": (st, "tags", "post_id")}, compact_every=2))
+    root = f"{base}/tables/tags"
+    assert keyed._versions(spark, f"{root}/snapshot", "v=") == [1]   # after batches 0 and 1
+    view = sorted((r.post_id, r.v) for r in
+                  keyed.read_table(spark, root, "post_id", ["seq"], st).collect())
+    assert view == [("a", 3), ("b", 4), ("c", 5)]
 
 
 def test_heartbeat_top_users(spark):
