@@ -64,3 +64,13 @@ def test_incremental_since_pages(spark):
     assert [r.id for r in first] == [str(i) for i in range(161, 200, 2)]
     nxt = incremental_since(df, 150, "news", limit=3).collect()
     assert [r.id for r in nxt] == ["195", "197", "199"]
+
+
+def test_print_sink_shows_rows(spark, capsys):
+    """K3: the print sink shows rows in full (no truncation of long text)."""
+    from postwave.sinks.writers import console
+    long_text = "x" * 80
+    df = spark.createDataFrame([("1", long_text), ("2", "short")], "id string, content string")
+    console(df)
+    out = capsys.readouterr().out
+    assert long_text in out and "short" in out and "content" in out
