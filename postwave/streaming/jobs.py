@@ -86,6 +86,8 @@ def _write_batch(df: DataFrame, fmt: str, batch_id: int, path: str | None = None
          .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
     elif fmt == "json":
         df.write.mode("overwrite").options(**JSON_OPTS).json(f"{path}/batch_id={batch_id}")
+    elif fmt == "console":
+        df.show(20, truncate=False)
     else:
         df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

@@ -193,3 +193,34 @@ def test_post_without_user_still_closes_top_user_windows(spark):
         q.stop()
     rows = spark.sql("SELECT * FROM users_null_close").collect()
     assert [(r.username, r.post_count, r.avg_followers) for r in rows] == [("ann", 2, 15)]
+
+
+def test_analyzer_objects_run_the_original_jobs(spark):
+    """The analyzer objects (original method names) over a file source."""
+    from postwave.streaming.analyzers import SQLAnalyzer, StreamAnalyzer
+    base = shared_path(spark, "t-analyzers")
+    rec = ('{"id":"%s","language":"%s","favourites_count":%d,"reblogs_count":1,'
+           '"tags":["a"],"created_at":"%s"}')
+    _write_lines(spark, f"{base}/in", [rec % ("1", "en", 3, "2026-01-27T10:01:00+00:00"),
+                                       rec % ("2", "fr", 5, "2026-01-27T10:02:00+00:00"),
+                                       rec % ("3", "en", 7, "2026-01-27T10:03:00+00:00"),
+                                       rec % ("4", "en", 0, "2026-01-27T11:00:00+00:00")])
+    common = dict(source="files", input_path=f"{base}/in", sink="parquet",
+                  output_root=f"{base}/out", trigger={"availableNow": True})
+    sql = SQLAnalyzer(spark, time="event", **common)
+    q = sql.analyze_language_distribution(window_minutes=5)
+    q.awaitTermination()
+    q = sql.simple_count_analysis()
+    q.awaitTermination()
+    stream = StreamAnalyzer(spark, **common)
+    q = stream.run_full_pipeline()
+    q.awaitTermination()
+    langs = {(str(r.window_start), r.language): (r.post_count, r.total_engagement)
+             for r in spark.read.parquet(f"{base}/out/language_stats").collect()}
+    assert langs == {("2026-01-27 10:00:00", "en"): (2, 14), ("2026-01-27 10:00:00", "fr"): (1, 7)}
+    counts = {r.window_end: r.post_count for r in spark.read.parquet(f"{base}/out/mastodon-counts").collect()}
+    assert counts == {"10:01:10": 1, "10:02:10": 1, "10:03:10": 1}
+    eng = {r.id: r.engagement_score for r in spark.read.parquet(f"{base}/out/mastodon-engagement").collect()}
+    assert eng == {"1": 5, "2": 7, "3": 9, "4": 2}
+    tags = spark.read.parquet(f"{base}/out/mastodon-hashtags").count()
+    assert tags == 4
