@@ -8,6 +8,14 @@ silently did nothing).
 
     spark-submit -m postwave.plans.dispatcher --mode sql --analysis language \
         --source files --input /data/posts --output /data/out --checkpoint /ckpt/x
+
+Two more modes run the consumer jobs: ``--mode archive`` appends every raw
+post to a JSON-lines archive at ``--output`` (exactly-once file sink), and
+``--mode index`` keeps the engagement and hashtag topics (``--topics``) as
+keyed tables under ``--output`` where the latest version of a post wins
+(``--compact-every N`` folds the log into snapshots). With the files source,
+index input is JSON lines of Kafka-shaped records (``topic``, ``value``,
+``seq``).
 """
 
 from __future__ import annotations
@@ -17,11 +25,17 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.parse import register_source_table
-from ..schemas import TOPIC_POSTS
+from ..schemas import (ENGAGEMENT_RECORD_SCHEMA, HASHTAG_RECORD_SCHEMA, TOPIC_ENGAGEMENT,
+                       TOPIC_HASHTAGS, TOPIC_POSTS)
 from . import pipelines
 from .sql import custom_sql
 
 STREAM_ANALYSES = ("engagement", "filter", "hashtags", "full")
+# index topics: short name -> (topic, record schema, table name, document key)
+INDEX_TOPICS = {
+    "engagement": (TOPIC_ENGAGEMENT, ENGAGEMENT_RECORD_SCHEMA, "engagement", "id"),
+    "hashtags": (TOPIC_HASHTAGS, HASHTAG_RECORD_SCHEMA, "hashtags", "post_id"),
+}
 SQL_ANALYSES = ("language", "users", "engagement", "dashboard", "count", "custom")
 
 
@@ -64,8 +78,12 @@ def run_analysis(spark: SparkSession, raw: DataFrame, mode: str, analysis: str,
 
 def _parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(description="post stream analytics on Spark")
-    p.add_argument("--mode", choices=["stream", "sql"], required=True)
-    p.add_argument("--analysis", required=True)
+    p.add_argument("--mode", choices=["stream", "sql", "archive", "index"], required=True)
+    p.add_argument("--analysis", help="required for --mode stream / sql")
+    p.add_argument("--topics", nargs="+", choices=sorted(INDEX_TOPICS), default=sorted(INDEX_TOPICS),
+                   help="topics kept by --mode index")
+    p.add_argument("--compact-every", type=int, default=None,
+                   help="--mode index: fold the log into a snapshot every N batches")
     p.add_argument("--source", choices=["kafka", "files"], default="kafka")
     p.add_argument("--bootstrap-servers", default="localhost:9092")
     p.add_argument("--input-topic", default=TOPIC_POSTS)
@@ -90,6 +108,12 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     from ..streaming.jobs import full_pipeline_job, write_stream
     args = _parser().parse_args(argv)
     spark = spark or get_session()
+    trigger = {"availableNow": True} if args.available_now else None
+    if args.mode in ("archive", "index"):
+        _consumer(spark, args, trigger).awaitTermination()
+        return
+    if not args.analysis:
+        raise ValueError(f"--mode {args.mode} needs --analysis")
     if args.source == "kafka":
         start = args.starting_offsets or ("earliest" if args.mode == "stream" else "latest")
         raw = read_topic(spark, args.input_topic, args.bootstrap_servers, start)
@@ -98,7 +122,6 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     out = run_analysis(spark, raw, args.mode, args.analysis, window=args.window,
                        languages=args.languages, query=args.query, time=args.time,
                        delay=args.delay)
-    trigger = {"availableNow": True} if args.available_now else None
     sink = {"bootstrap": args.bootstrap_servers, "trigger": trigger}
     if args.sink == "kafka":
         sink["topic"] = args.output
@@ -118,5 +141,28 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     q.awaitTermination()
 
 
+def _consumer(spark: SparkSession, args, trigger: dict | None):
+    """The archive (raw posts -> JSON lines) and index (result topics ->
+    keyed tables) jobs. Consumers start from the latest offsets."""
+    from ..sources.kafka import read_replay, read_topic
+    from ..streaming.jobs import archive_job
+    from ..streaming.keyed import upsert_job
+    if not args.output:
+        raise ValueError(f"--mode {args.mode} needs --output")
+    start = args.starting_offsets or "latest"
+    if args.mode == "archive":
+        raw = (read_topic(spark, args.input_topic, args.bootstrap_servers, start)
+               if args.source == "kafka" else read_replay(spark, args.input))
+        return archive_job(raw, args.output, args.checkpoint, trigger=trigger)
+    chosen = [INDEX_TOPICS[t] for t in args.topics]
+    if args.source == "kafka":
+        raw = read_topic(spark, [t[0] for t in chosen], args.bootstrap_servers, start)
+    else:
+        raw = spark.readStream.schema("topic string, value string, seq bigint").json(args.input)
+    return upsert_job(raw, args.output, args.checkpoint,
+                      {topic: (schema, name, key) for topic, schema, name, key in chosen},
+                      trigger=trigger, compact_every=args.compact_every)
+
+
 if __name__ == "__main__":
     main()

@@ -57,6 +57,10 @@ PARSED_POST_SCHEMA = StructType([
     StructField("created_at", StringType()),
 ])
 
+# Record on the engagement topic: the parsed post plus its score.
+ENGAGEMENT_RECORD_SCHEMA = StructType(PARSED_POST_SCHEMA.fields
+                                      + [StructField("engagement_score", LongType())])
+
 HASHTAG_RECORD_SCHEMA = StructType([
     StructField("post_id", StringType()),
     StructField("hashtags", ArrayType(StringType())),

@@ -224,3 +224,30 @@ def test_analyzer_objects_run_the_original_jobs(spark):
     assert eng == {"1": 5, "2": 7, "3": 9, "4": 2}
     tags = spark.read.parquet(f"{base}/out/mastodon-hashtags").count()
     assert tags == 4
+
+
+def test_dispatcher_consumer_modes(spark):
+    """--mode archive (raw posts -> JSON lines) and --mode index (result
+    topics -> keyed tables, latest version wins)."""
+    import json as _json
+    from postwave.plans.dispatcher import main
+    from postwave.schemas import ENGAGEMENT_RECORD_SCHEMA, HASHTAG_RECORD_SCHEMA
+    base = shared_path(spark, "t-cli-consumers")
+    _write_lines(spark, f"{base}/raw", ['{"id":"1","language":"en"}', "{bad", '{"id":"2"}'])
+    main(["--mode", "archive", "--source", "files", "--input", f"{base}/raw",
+          "--output", f"{base}/archive", "--checkpoint", f"{base}/ckpt-a", "--available-now"],
+         spark=spark)
+    assert sorted(r.id for r in spark.read.json(f"{base}/archive").collect()) == ["1", "2"]
+
+    eng = lambda i, s: _json.dumps({"id": i, "engagement_score": s})
+    recs = [("mastodon-engagement", eng("1", 5), 1), ("mastodon-engagement", eng("1", 9), 2),
+            ("mastodon-hashtags", _json.dumps({"post_id": "1", "hashtag_count": 2}), 3)]
+    spark.createDataFrame(recs, "topic string, value string, seq long").write.json(f"{base}/topics")
+    main(["--mode", "index", "--source", "files", "--input", f"{base}/topics",
+          "--output", f"{base}/index", "--checkpoint", f"{base}/ckpt-i", "--available-now",
+          "--compact-every", "1"], spark=spark)
+    e = keyed.read_table(spark, f"{base}/index/engagement", "id", ["seq"], ENGAGEMENT_RECORD_SCHEMA)
+    assert [(r.id, r.engagement_score) for r in e.collect()] == [("1", 9)]
+    h = keyed.read_table(spark, f"{base}/index/hashtags", "post_id", ["seq"], HASHTAG_RECORD_SCHEMA)
+    assert [(r.post_id, r.hashtag_count) for r in h.collect()] == [("1", 2)]
+    assert keyed._versions(spark, f"{base}/index/engagement/snapshot", "v=") == [0]
