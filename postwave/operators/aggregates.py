@@ -48,10 +48,10 @@ def view_engagement(indexed: DataFrame) -> DataFrame:
                        F.max(s).alias("max_engagement"), F.sum(s).alias("total_engagement"))
 
 
-def index_stats(tables: dict[str, DataFrame | None]) -> DataFrame:
-    """Document count per keyed table; a missing table counts 0."""
+def index_stats(tables: dict[str, DataFrame | None], spark=None) -> DataFrame:
+    """Document count per keyed table; a missing table (``None``) counts 0.
+    ``spark`` is needed only when every table is missing."""
     parts = []
-    spark = None
     for name, df in tables.items():
         if df is None:
             continue
@@ -62,9 +62,11 @@ def index_stats(tables: dict[str, DataFrame | None]) -> DataFrame:
     out = parts[0] if parts else None
     for p in parts[1:]:
         out = out.unionByName(p)
-    if missing and spark is not None:
+    if missing:
+        if spark is None:
+            raise ValueError("every table is missing: pass spark")
         zeros = spark.createDataFrame([(n, 0) for n in missing], "index_name string, doc_count bigint")
-        out = out.unionByName(zeros)
+        out = zeros if out is None else out.unionByName(zeros)
     return out
 
 

@@ -57,6 +57,17 @@ def read_table(spark: SparkSession, root: str, key: str, order: list[str],
     return upsert_latest(df, key, order)
 
 
+def index_stats_at(spark: SparkSession, root: str,
+                   tables: dict[str, tuple[str, list[str], StructType]]) -> DataFrame:
+    """Documents per keyed table under ``root`` (``name -> (key, order,
+    schema)``); a table the index job has not created yet counts 0."""
+    from ..operators.aggregates import index_stats
+    views = {name: (read_table(spark, f"{root}/{name}", key, order, schema)
+                    if path_exists(spark, f"{root}/{name}") else None)
+             for name, (key, order, schema) in tables.items()}
+    return index_stats(views, spark)
+
+
 def compact(spark: SparkSession, root: str, key: str, order: list[str],
             schema: StructType) -> int | None:
     """Write the current view as a new snapshot version; returns it.

@@ -251,3 +251,11 @@ def test_dispatcher_consumer_modes(spark):
     h = keyed.read_table(spark, f"{base}/index/hashtags", "post_id", ["seq"], HASHTAG_RECORD_SCHEMA)
     assert [(r.post_id, r.hashtag_count) for r in h.collect()] == [("1", 2)]
     assert keyed._versions(spark, f"{base}/index/engagement/snapshot", "v=") == [0]
+    spec = {"engagement": ("id", ["seq"], ENGAGEMENT_RECORD_SCHEMA),
+            "hashtags": ("post_id", ["seq"], HASHTAG_RECORD_SCHEMA),
+            "not_created": ("id", ["seq"], ENGAGEMENT_RECORD_SCHEMA)}
+    stats = {r.index_name: r.doc_count
+             for r in keyed.index_stats_at(spark, f"{base}/index", spec).collect()}
+    assert stats == {"engagement": 1, "hashtags": 1, "not_created": 0}
+    nothing = keyed.index_stats_at(spark, f"{base}/nowhere", {"engagement": spec["engagement"]})
+    assert [(r.index_name, r.doc_count) for r in nothing.collect()] == [("engagement", 0)]
