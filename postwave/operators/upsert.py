@@ -5,7 +5,7 @@
 partially on the map side, so a key with millions of re-emissions (a hot
 group of copies) shrinks to one row per input partition before the shuffle
 instead of landing whole in one task, as a ``row_number`` window would.
-Rows with a NULL key are all kept (they are new documents each time).
+Rows with a NULL key are new documents: each record is kept once.
 
 ``conform`` enforces the typed table mapping with ``try_cast`` and reports
 rows that do not fit instead of failing the job.
@@ -19,16 +19,22 @@ from pyspark.sql.types import StructType, TimestampType
 
 
 def upsert_latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
-    """One row per non-NULL ``key`` (greatest ``order`` tuple wins) plus every
-    NULL-key row. ``order`` must be a total order within a key, e.g.
-    ``["seq"]`` or ``["timestamp", "partition", "offset"]``."""
+    """One row per non-NULL ``key`` (greatest ``order`` tuple wins) plus one
+    row per NULL-key record.
+
+    ``order`` must identify a record, as ``["seq"]`` or Kafka's
+    ``["timestamp", "partition", "offset"]`` do. NULL-key rows are grouped by
+    that tuple, so each record stays its own document and a re-delivered copy
+    of the same record collapses. This is a single aggregate: the input is
+    read once, and a hot key (or a mass of NULL keys) is combined, or spread
+    by its order tuple, before the shuffle."""
     cols = df.columns
     row = F.struct(*[F.col(c) for c in cols])
     ordering = F.struct(*[F.col(c) for c in order])
-    latest = (df.filter(F.col(key).isNotNull())
-              .groupBy(key).agg(F.max_by(row, ordering).alias("_r"))
-              .select("_r.*"))
-    return latest.unionByName(df.filter(F.col(key).isNull()))
+    k = F.col(key)
+    return (df.groupBy(k.alias("_k"), F.when(k.isNull(), ordering).alias("_n"))
+            .agg(F.max_by(row, ordering).alias("_r"))
+            .select("_r.*"))
 
 
 def merge_into(current: DataFrame | None, updates: DataFrame, key: str,

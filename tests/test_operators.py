@@ -14,6 +14,20 @@ def test_upsert_latest_wins_and_null_keys_kept(spark):
         "id string, seq long, v long")
     out = sorted((r.id or "", r.seq, r.v) for r in upsert_latest(df, "id", ["seq"]).collect())
     assert out == [("", 1, 1), ("", 2, 2), ("a", 3, 30), ("b", 1, 5)]
+    # a NULL-key record delivered twice (same version) is still one document
+    again = df.unionByName(df.filter("id IS NULL AND seq = 2"))
+    out2 = sorted((r.id or "", r.seq, r.v) for r in upsert_latest(again, "id", ["seq"]).collect())
+    assert out2 == out
+
+
+def test_upsert_reads_its_input_once(spark):
+    df = spark.range(0, 1000).selectExpr(
+        "CASE WHEN id % 10 = 0 THEN NULL ELSE CAST(id % 7 AS STRING) END AS id", "id AS seq")
+    out = upsert_latest(df, "id", ["seq"])
+    out.write.format("noop").mode("overwrite").save()
+    plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("Range (") == 1 and "Union" not in plan
+    assert out.count() == 100 + 7
 
 
 def test_upsert_hot_key_combines_before_shuffle(spark):
