@@ -524,21 +524,6 @@ SELECT language, id, engagement, CAST(rn AS BIGINT) AS rn FROM (
          row_number() OVER (PARTITION BY language
                             ORDER BY favourites_count + reblogs_count * 2 DESC NULLS LAST, id) AS rn
   FROM posts) WHERE rn <= 3"""),
-    # Per user and day, so one prolific user spreads over many window tasks.
-    "custom_sql_lag_frame": ("""
-SELECT id,
-       lag(created_at) OVER (PARTITION BY account.username, date_trunc('DAY', created_at)
-                             ORDER BY created_at, id) AS previous_post,
-       sum(favourites_count) OVER (PARTITION BY account.username, date_trunc('DAY', created_at)
-                                   ORDER BY created_at, id
-                                   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS favourites_3
-FROM mastodon_posts""", """
-SELECT id, lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
-                                 ORDER BY created_at, id) AS previous_post,
-       CAST(sum(favourites_count) OVER (PARTITION BY username, date_trunc('day', created_at)
-                                        ORDER BY created_at, id
-                                        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS favourites_3
-FROM posts"""),
     "custom_sql_hop_window": ("""
 SELECT window.start AS window_start, window.end AS window_end, count(*) AS post_count
 FROM mastodon_posts GROUP BY window(created_at, '10 minutes', '5 minutes')""", """
@@ -546,22 +531,6 @@ SELECT w AS window_start, w + INTERVAL 10 MINUTE AS window_end, count(*) AS post
 FROM (SELECT unnest([make_timestamp((epoch_us(created_at) // 300000000) * 300000000),
                      make_timestamp((epoch_us(created_at) // 300000000) * 300000000 - 300000000)]) AS w
       FROM posts) GROUP BY w"""),
-    # Per-user daily sessions (30-minute gap): keyed by (user, day), so one
-    # prolific user is merged in many tasks rather than one.
-    "custom_sql_session_window": ("""
-SELECT account.username AS username, session_window.start AS session_start,
-       session_window.end AS session_end, count(*) AS post_count
-FROM mastodon_posts WHERE account.username IS NOT NULL
-GROUP BY account.username, date_trunc('DAY', created_at), session_window(created_at, '30 minutes')""", """
-SELECT username, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
-       count(*) AS post_count
-FROM (SELECT *, sum(CASE WHEN prev IS NULL OR created_at >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY username, day ORDER BY created_at, id) AS sid
-      FROM (SELECT username, created_at, id, date_trunc('day', created_at) AS day,
-                   lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
-                                         ORDER BY created_at, id) AS prev
-            FROM posts WHERE username IS NOT NULL))
-GROUP BY username, day, sid"""),
 }
 
 
@@ -577,6 +546,49 @@ for _name, (_spark_sql, _duck_sql) in CUSTOM_SQL.items():
     register(_name, with_posts(_duck_sql))(_custom(_name, _spark_sql))
 
 
+# Sequence samples: what an analyst writes as
+#   lag(created_at) / sum(favourites_count) ROWS 2 PRECEDING
+#     OVER (PARTITION BY account.username, date_trunc('DAY', created_at) ...)
+#   GROUP BY account.username, session_window(created_at, '30 minutes')
+# served by the chunked operators, so a (user, day) holding a third of all
+# posts is cut over many window tasks instead of sorted in one.
+
+def _user_days(spark, d):
+    return posts(spark, d).select("id", "created_at", F.col("account.username").alias("username"),
+                                  "favourites_count",
+                                  F.date_trunc("DAY", "created_at").alias("day"))
+
+
+@register("custom_sql_lag_frame", with_posts("""
+SELECT id, lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
+                                 ORDER BY created_at, id) AS previous_post,
+       CAST(sum(favourites_count) OVER (PARTITION BY username, date_trunc('day', created_at)
+                                        ORDER BY created_at, id
+                                        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS favourites_3
+FROM posts"""))
+def q_custom_sql_lag_frame(spark, d):
+    from ..operators.sequence import lag_frame
+    out = lag_frame(_user_days(spark, d), ["username", "day"], "created_at", "id",
+                    "favourites_count")
+    return out.select("id", "previous_post", F.col("favourites_count_3").alias("favourites_3"))
+
+
+@register("custom_sql_session_window", with_posts("""
+SELECT username, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
+       count(*) AS post_count
+FROM (SELECT *, sum(CASE WHEN prev IS NULL OR created_at >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY username, day ORDER BY created_at, id) AS sid
+      FROM (SELECT username, created_at, id, date_trunc('day', created_at) AS day,
+                   lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
+                                         ORDER BY created_at, id) AS prev
+            FROM posts WHERE username IS NOT NULL))
+GROUP BY username, day, sid"""))
+def q_custom_sql_session_window(spark, d):
+    from ..operators.sequence import sessions
+    p = _user_days(spark, d).filter(F.col("username").isNotNull())
+    return sessions(p, ["username", "day"], "created_at", "id", 30).drop("day")
+
+
 # -------------------------------------------------------------- streaming --
 # The same functions run as Structured Streaming jobs over the raw records
 # replayed from files in the shared folder; results are read back whole.
