@@ -480,25 +480,34 @@ WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1
 SELECT a.id AS first_id, b.id AS second_id, a.username AS username
 FROM posts a JOIN posts b ON a.username = b.username
 WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR"""),
+    # EXISTS / NOT EXISTS per user, folded into one per-user aggregate that
+    # combines on the map side; the semi join then meets at most one row per
+    # user, so a hot user is split by AQE on the probing side only (or the
+    # user side is broadcast when its measured runtime size is small).
     "custom_sql_semi_anti": ("""
 SELECT p.id, p.language FROM mastodon_posts p
-WHERE EXISTS (SELECT 1 FROM mastodon_posts q
-              WHERE q.account.username = p.account.username AND q.favourites_count > 485)
-  AND NOT EXISTS (SELECT 1 FROM mastodon_posts r
-                  WHERE r.account.username = p.account.username AND r.language = 'es'
-                    AND r.reblogs_count > 97 AND r.favourites_count > 200)""", """
+LEFT SEMI JOIN (
+  SELECT account.username AS username FROM mastodon_posts
+  WHERE account.username IS NOT NULL
+  GROUP BY account.username
+  HAVING max(favourites_count > 485)
+     AND NOT coalesce(max(language = 'es' AND reblogs_count > 97 AND favourites_count > 200), false)
+) u ON p.account.username = u.username""", """
 SELECT p.id, p.language FROM posts p
 WHERE EXISTS (SELECT 1 FROM posts q WHERE q.username = p.username AND q.favourites_count > 485)
   AND NOT EXISTS (SELECT 1 FROM posts r WHERE r.username = p.username AND r.language = 'es'
                   AND r.reblogs_count > 97 AND r.favourites_count > 200)"""),
+    # Each branch is DISTINCT first, so a hot user is one row per task before
+    # any set operation shuffles it.
     "custom_sql_union_intersect_except": ("""
-(SELECT account.username AS username FROM mastodon_posts WHERE language = 'en' AND reblogs_count > 95
+(SELECT DISTINCT account.username AS username FROM mastodon_posts
+ WHERE language = 'en' AND reblogs_count > 95
  INTERSECT
- SELECT account.username FROM mastodon_posts WHERE language = 'fr' AND reblogs_count > 90)
+ SELECT DISTINCT account.username FROM mastodon_posts WHERE language = 'fr' AND reblogs_count > 90)
 UNION
-(SELECT account.username FROM mastodon_posts WHERE language = 'de' AND favourites_count > 480
+(SELECT DISTINCT account.username FROM mastodon_posts WHERE language = 'de' AND favourites_count > 480
  EXCEPT
- SELECT account.username FROM mastodon_posts WHERE language = 'es')""", """
+ SELECT DISTINCT account.username FROM mastodon_posts WHERE language = 'es')""", """
 (SELECT username FROM posts WHERE language = 'en' AND reblogs_count > 95
  INTERSECT
  SELECT username FROM posts WHERE language = 'fr' AND reblogs_count > 90)
