@@ -24,11 +24,14 @@ from ..schemas import PARSED_POST_COLUMNS, POST_SCHEMA, RAW_STATUS_SCHEMA
 
 # A record must be one JSON object and nothing else. Its text
 # starts with "{" (after blanks); parsed inside "[" ... ",0]" it must give a
-# two-element array whose last element is 0. OBJECT_TEXT is the coarse shape
-# used to label quarantined records.
+# two-element array whose last element is the integer 0. A text that itself
+# holds a close of that wrapper (FORGED_CLOSE) is parsed a second time inside
+# "[" ... ",1]". OBJECT_TEXT is the coarse shape used to label quarantined
+# records.
 OBJECT_START = r"^\s*\{"
 OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
-WRAP_OPEN, WRAP_CLOSE = "[", ",0]"
+WRAP_OPEN, WRAP_CLOSE, WRAP_CLOSE_2 = "[", ",0]", ",1]"
+FORGED_CLOSE = r",\s*-?0\s*\]"
 
 
 def _v(path_root: Column, path: str) -> Column:
@@ -44,15 +47,29 @@ def record(value: Column) -> Column:
     breaks the array or changes its length or last element, which
     ``is_record`` checks. Texts that do not start with ``{`` are not parsed.
     """
+    first = F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE)))
+    # A text such as '{...},0]' closes the wrapper itself, and the rest is
+    # ignored. Only such texts can pass the first check falsely; they are
+    # parsed again with another closing element, and both parses give the
+    # expected last element only if the parser read the text to its end.
+    second = F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE_2)))
     return F.when(value.rlike(OBJECT_START),
-                  F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE))))
+                  F.when(value.rlike(FORGED_CLOSE) & ~_wrapped(second, 1), F.lit(None))
+                   .otherwise(first))
+
+
+def _wrapped(w: Column, last: int) -> Column:
+    """``w`` is ``[x, last]`` with ``last`` a JSON integer; never NULL."""
+    tail = F.try_variant_get(w, "$[1]", "variant")
+    return F.coalesce(w.isNotNull() & F.try_variant_get(w, "$[2]", "variant").isNull()
+                      & (F.schema_of_variant(tail) == "BIGINT")
+                      & (tail.try_cast("bigint") == last), F.lit(False))
 
 
 def is_record(w: Column) -> Column:
     """``w`` (from ``record``) holds exactly one JSON object; never NULL.
     Pass a column reference, so the parse is not repeated for each test."""
-    return F.coalesce(w.isNotNull() & F.try_variant_get(w, "$[2]", "variant").isNull()
-                      & (F.try_variant_get(w, "$[1]", "bigint") == 0), F.lit(False))
+    return _wrapped(w, 0)
 
 
 def field(w: Column, path: str, typ: str = "variant") -> Column:

@@ -131,3 +131,25 @@ def test_extra_data_after_the_object_drops_the_record(spark):
     q = {r.tag: r.reason for r in quarantine(df).collect()}
     assert set(q) == {t for t, _ in EXTRA_DATA} - kept
     assert q["two_objects"] == "malformed_json" and q["brace_garbage"] == "malformed_json"
+
+
+FORGED = [
+    ("f1", '{"id":"f1"},0]'),                    # closes the wrapper itself
+    ("f2", '{"id":"f2"},0] {"x":1}'),
+    ("f3", '{"id":"f3"} , -0 ]'),
+    ("f4", '{"id":"f4"},"0"]'),                  # a string is not the sentinel
+    ("f5", '{"id":"f5"},0.0]'),
+    ("f6", '{"id":"f6"},{},0]}'),
+    ("ok0", '{"id":"ok0","content":"x,0]y","tags":["a"]}'),
+    ("ok1", '{"id":"ok1","n":[1,0],"m":[0 ]}'),
+]
+
+
+def test_forged_wrapper_close_is_not_one_object(spark):
+    raw = spark.createDataFrame(FORGED, "tag string, value string")
+    kept = {r.tag for r in parse_posts(raw, keep=["tag"]).collect()}
+    assert kept == {"ok0", "ok1"}
+    assert {r.tag for r in source_table(raw, keep=["tag"]).collect()} == {"ok0", "ok1"}
+    bad = {r.tag: r.reason for r in quarantine(raw).collect()}
+    assert set(bad) == {"f1", "f2", "f3", "f4", "f5", "f6"}
+    assert bad["f1"] == "not_an_object" and bad["f6"] == "malformed_json"
