@@ -31,7 +31,7 @@ from ..schemas import PARSED_POST_COLUMNS, POST_SCHEMA, RAW_STATUS_SCHEMA
 OBJECT_START = r"^\s*\{"
 OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
 WRAP_OPEN, WRAP_CLOSE, WRAP_CLOSE_2 = "[", ",0]", ",1]"
-FORGED_CLOSE = r",\s*-?0\s*\]"
+FORGED_CLOSE = r",\s*-?[0-9][0-9.eE+-]*\s*\]"
 
 
 def _v(path_root: Column, path: str) -> Column:
@@ -49,27 +49,26 @@ def record(value: Column) -> Column:
     """
     first = F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE)))
     # A text such as '{...},0]' closes the wrapper itself, and the rest is
-    # ignored. Only such texts can pass the first check falsely; they are
-    # parsed again with another closing element, and both parses give the
-    # expected last element only if the parser read the text to its end.
+    # ignored. Only such texts can pass the first check falsely, and then
+    # the wrapper's second element is the text's own 0. They are parsed
+    # again with another closing element: the second element is 1 only if
+    # the parser read the text to its end. (One reference to the second
+    # parse, so its code is generated once.)
     second = F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE_2)))
+    read_whole = F.coalesce(F.try_variant_get(second, "$[1]", "bigint") == 1, F.lit(False))
     return F.when(value.rlike(OBJECT_START),
-                  F.when(value.rlike(FORGED_CLOSE) & ~_wrapped(second, 1), F.lit(None))
+                  F.when(value.rlike(FORGED_CLOSE) & ~read_whole, F.lit(None))
                    .otherwise(first))
 
 
-def _wrapped(w: Column, last: int) -> Column:
-    """``w`` is ``[x, last]`` with ``last`` a JSON integer; never NULL."""
-    tail = F.try_variant_get(w, "$[1]", "variant")
-    return F.coalesce(w.isNotNull() & F.try_variant_get(w, "$[2]", "variant").isNull()
-                      & (F.schema_of_variant(tail) == "BIGINT")
-                      & (tail.try_cast("bigint") == last), F.lit(False))
-
-
 def is_record(w: Column) -> Column:
-    """``w`` (from ``record``) holds exactly one JSON object; never NULL.
-    Pass a column reference, so the parse is not repeated for each test."""
-    return _wrapped(w, 0)
+    """``w`` (from ``record``) is ``[x, 0]`` with 0 the JSON integer (not
+    ``"0"`` or ``0.0``), i.e. holds exactly one JSON object; never NULL.
+    ``w`` is referenced twice only, since filters pushed through projections
+    inline it at every reference."""
+    return F.coalesce(F.try_variant_get(w, "$[2]", "variant").isNull()
+                      & (F.to_json(F.try_variant_get(w, "$[1]", "variant")) == F.lit("0")),
+                      F.lit(False))
 
 
 def field(w: Column, path: str, typ: str = "variant") -> Column:
