@@ -151,13 +151,15 @@ def sessions(df: DataFrame, keys: list[str], ts: str, tiebreak: str, gap_minutes
     # a chunk's rows before its own first start continue the previous chunk's
     w = Window.partitionBy(*keys, "_c").orderBy(ts, tiebreak).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("_sid", F.max("_s").over(w))
     if cut:
-        x = x.checkpoint()
+        # last start per chunk of a hot group (map-side combined), then the
+        # last start before each chunk; ``x`` reads from the lag checkpoint
         last = x.filter(F.col("_h")).groupBy(*keys, "_c").agg(F.max("_s").alias("_ls"))
         wc = Window.partitionBy(*keys).orderBy("_c").rowsBetween(Window.unboundedPreceding, -1)
         carry = (last.select(*keys, "_c", F.max("_ls").over(wc).alias("_carry"))
                      .filter(F.col("_c") > 0).checkpoint())
+    x = x.withColumn("_sid", F.max("_s").over(w))
+    if cut:
         x = (_join(x, carry, [*keys, "_c"], "left")
               .withColumn("_sid", F.coalesce("_sid", "_carry")))
     return (x.groupBy(*keys, "_sid")
