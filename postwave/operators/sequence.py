@@ -56,11 +56,12 @@ def chunk_groups(df: DataFrame, keys: list[str], ts: str,
     spark = df.sparkSession
     if chunk_rows is None:
         chunk_rows = int(spark.conf.get(CHUNK_CONF, str(DEFAULT_CHUNK_ROWS)))
-    hot = (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n") > chunk_rows).checkpoint())
-    top = hot.agg(F.max("_n").alias("m")).first()["m"]
-    if top is None:
+    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    # one job on the usual path: the largest group's size, a single number
+    top = counts.agg(F.max("_n").alias("m")).first()["m"]
+    if top is None or top <= chunk_rows:
         return df.withColumn("_c", F.lit(0)).withColumn("_h", F.lit(False)), False
+    hot = counts.filter(F.col("_n") > chunk_rows).checkpoint()
     m = math.ceil(top / chunk_rows)                    # chunks of the hottest group
     fractions = [j / m for j in range(1, m)]
     rows = _join(df.select(*keys, _micros(ts).alias("_t")), hot, keys)
