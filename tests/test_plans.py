@@ -78,3 +78,26 @@ def test_document_side_broadcast_only_on_measured_size(spark):
         assert "SortMergeJoin" in plan()
     finally:
         spark.conf.unset(joins.LIMIT_CONF) if old is None else spark.conf.set(joins.LIMIT_CONF, old)
+
+
+def _final(plan):
+    return plan.split("== Initial Plan ==")[0]
+
+
+def test_semi_anti_sample_meets_one_row_per_user(spark):
+    import re
+    plan = _final(_plan(spark, "custom_sql_semi_anti"))
+    # one semi join on the user and no anti join: NOT EXISTS is a per-user flag
+    assert len(re.findall(r"Join \[[^\n]*LeftSemi", plan)) == 1
+    assert "LeftAnti" not in plan
+    # the user side is combined on the map side before it shuffles
+    assert re.search(r"Exchange hashpartitioning[^\n]*\n[\s:|+\-]*(\*\(\d+\)\s*)?"
+                     r"HashAggregate\([^\n]*partial_max", plan)
+
+
+def test_set_operation_sample_dedupes_each_branch_before_shuffling(spark):
+    import re
+    plan = _final(_plan(spark, "custom_sql_union_intersect_except"))
+    pre = re.findall(r"Exchange hashpartitioning\(username[^\n]*\n[\s:|+\-]*(\*\(\d+\)\s*)?"
+                     r"HashAggregate\(keys=\[username", plan)
+    assert len(pre) >= 4            # every branch, before its first shuffle
