@@ -3,8 +3,9 @@ balanced when one group is hot.
 
 A window with ``PARTITION BY user, day`` sorts each group in one task, so a
 group holding a third of all rows makes one task a third of the job. Here a
-group with more than ``chunk_rows`` rows is cut into chunks at approximate
-quantiles of its time column; the window runs per (group, chunk), which
+group with more than ``chunk_rows`` rows is cut into chunks at sort tuples
+sampled from it (a random salt splits even exact copies); the window runs
+per (group, chunk), which
 spreads a hot group over many tasks, and what a chunk needs from the rows
 before it (the last ``k`` rows, or the last session start) comes from a
 seam table with a few rows per chunk of a hot group. That table holds at
@@ -18,15 +19,15 @@ the plan is one count pass plus the ordinary window.
 
 from __future__ import annotations
 
-import math
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import broadcast_limit, decoded_bytes
 
 CHUNK_CONF = "spark.postwave.sequenceChunkRows"
 DEFAULT_CHUNK_ROWS = 2_000_000
+OVERSAMPLE = 8                      # sampled rows per chunk when choosing cut points
+SALT_SEED, SAMPLE_SEED = 17, 29
 
 
 def _sized(df: DataFrame) -> DataFrame:
@@ -34,10 +35,6 @@ def _sized(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if decoded_bytes(df) <= broadcast_limit(spark) else df.hint("merge")
 
 
-def _micros(ts: str) -> Column:
-    return F.unix_micros(F.col(ts).cast("timestamp"))
-
-
 def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Join on ``keys`` treating NULL keys as equal (a NULL user is a group too)."""
     r = right.select(*[F.col(k).alias(f"_r_{k}") for k in keys],
@@ -46,13 +43,22 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
     return left.join(_sized(r), cond, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def chunk_groups(df: DataFrame, keys: list[str], ts: str,
+def _order(order: list[str], cut: bool) -> list[str]:
+    return [*order, "_salt"] if cut else order
+
+
+def chunk_groups(df: DataFrame, keys: list[str], order: list[str],
                  chunk_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``df`` with ``_c``, the chunk of the row within its group (0 for
     groups of at most ``chunk_rows`` rows), and ``_h``, whether the group was
-    cut. Chunks follow the order of ``ts``: every row of chunk ``c`` has
-    ``ts`` at or after every row of chunk ``c - 1``. Returns whether any
-    group was cut."""
+    cut. Returns whether any group was cut; then rows also carry ``_salt``
+    and chunks follow the order ``order + [_salt]``: every row of chunk ``c``
+    sorts after every row of chunk ``c - 1``.
+
+    Cut points are whole sort tuples taken from a per-group sample of about
+    ``OVERSAMPLE`` rows per chunk, so rows that share a timestamp are still
+    cut, and ``_salt`` (random) cuts even exact copies. It only orders rows
+    tied on ``order``, whose order the query leaves open."""
     spark = df.sparkSession
     if chunk_rows is None:
         chunk_rows = int(spark.conf.get(CHUNK_CONF, str(DEFAULT_CHUNK_ROWS)))
@@ -61,32 +67,33 @@ def chunk_groups(df: DataFrame, keys: list[str], ts: str,
     top = counts.agg(F.max("_n").alias("m")).first()["m"]
     if top is None or top <= chunk_rows:
         return df.withColumn("_c", F.lit(0)).withColumn("_h", F.lit(False)), False
-    hot = counts.filter(F.col("_n") > chunk_rows).checkpoint()
-    m = math.ceil(top / chunk_rows)                    # chunks of the hottest group
-    fractions = [j / m for j in range(1, m)]
-    rows = _join(df.select(*keys, _micros(ts).alias("_t")), hot, keys)
-    cuts = (rows.groupBy(*keys)
-                .agg(F.percentile_approx("_t", fractions, max(10_000, 4 * m)).alias("_q"),
-                     F.first("_n").alias("_n")))
-    # a group with n rows keeps ceil(n / chunk_rows) - 1 of the hottest group's cuts
-    need = F.ceil(F.col("_n") / F.lit(chunk_rows)).cast("int")
-    cuts = cuts.select(*keys, F.array_distinct(F.transform(
-        F.sequence(F.lit(1), need - 1),
-        lambda i: F.element_at("_q", F.round(i * F.lit(m) / need).cast("int")))).alias("_cuts")
-    ).checkpoint()
-    out = _join(df, cuts, keys, "left")
-    t = _micros(ts)
-    c = F.when(F.col("_cuts").isNull() | t.isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda x: x <= t)))
+    hot = (counts.filter(F.col("_n") > chunk_rows)
+                 .withColumn("_need", F.ceil(F.col("_n") / F.lit(chunk_rows)))
+                 .checkpoint())
+    tup = F.struct(*[F.col(c) for c in order], F.col("_salt"))
+    p = F.least(F.lit(1.0), F.lit(OVERSAMPLE) * F.col("_need") / F.col("_n"))
+    smp = (_join(df.select(*keys, *order).withColumn("_salt", F.rand(SALT_SEED)), hot, keys)
+             .filter(F.rand(SAMPLE_SEED) < p))
+    ws = Window.partitionBy(*keys).orderBy(*order, "_salt")
+    smp = (smp.withColumn("_i", F.row_number().over(ws))
+              .withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(*keys))))
+    # sample row i closes chunk j when i = ceil(j * k / need), j < need
+    step = lambda i: F.floor(i * F.col("_need") / F.col("_k"))
+    cuts = (smp.filter((step(F.col("_i")) > step(F.col("_i") - 1)) & (F.col("_i") < F.col("_k")))
+               .groupBy(*keys).agg(F.array_sort(F.collect_list(tup)).alias("_cuts"))
+               .checkpoint())
+    out = _join(df.withColumn("_salt", F.rand(SALT_SEED)), cuts, keys, "left")
+    c = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
+        F.size(F.filter("_cuts", lambda q: q <= tup)))
     return (out.withColumn("_c", c).withColumn("_h", F.col("_cuts").isNotNull())
                .drop("_cuts"), True)
 
 
-def group_lags(df: DataFrame, keys: list[str], order: list[str], ts: str,
+def group_lags(df: DataFrame, keys: list[str], order: list[str],
                lags: dict[str, tuple[str, int]],
                chunk_rows: int | None = None) -> DataFrame:
-    x, cut = chunk_groups(df, keys, ts, chunk_rows)
-    return _chunk_lags(x, cut, keys, order, lags).drop("_c", "_h")
+    x, cut = chunk_groups(df, keys, order, chunk_rows)
+    return _chunk_lags(x, cut, keys, order, lags).drop("_c", "_h", "_salt")
 
 
 def _chunk_lags(x: DataFrame, cut: bool, keys: list[str], order: list[str],
@@ -94,9 +101,10 @@ def _chunk_lags(x: DataFrame, cut: bool, keys: list[str], order: list[str],
     """Add, for each ``name: (col, k)``, the value of ``col`` ``k`` rows
     earlier in the row's group under ``order`` (NULL before the first),
     as ``lag(col, k) OVER (PARTITION BY keys ORDER BY order)`` would.
-    ``order`` must start with ``ts`` and be unique within a group."""
+    Rows tied on ``order`` take the salt's order on the cut path."""
     kmax = max(k for _, k in lags.values())
     cols = sorted({c for c, _ in lags.values()})
+    order = _order(order, cut)
     w = Window.partitionBy(*keys, "_c").orderBy(*order)
     x = x.withColumn("_rn", F.row_number().over(w))
     for name, (col, k) in lags.items():
@@ -127,7 +135,7 @@ def lag_frame(df: DataFrame, keys: list[str], ts: str, tiebreak: str, value: str
     """Per group ordered by (ts, tiebreak): the previous row's ``ts`` as
     ``previous_post`` and the sum of ``value`` over the row and the two
     before it (ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) as ``<value>_3``."""
-    x = group_lags(df, keys, [ts, tiebreak], ts,
+    x = group_lags(df, keys, [ts, tiebreak],
                    {"previous_post": (ts, 1), "_v1": (value, 1), "_v2": (value, 2)},
                    chunk_rows)
     vs = [F.col(value), F.col("_v1"), F.col("_v2")]
@@ -144,13 +152,13 @@ def sessions(df: DataFrame, keys: list[str], ts: str, tiebreak: str, gap_minutes
     time plus the gap) and ``post_count``. The final aggregate combines on
     the map side, so a long session is never gathered in one task."""
     gap = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(gap_minutes))
-    x, cut = chunk_groups(df.select(*keys, ts, tiebreak), keys, ts, chunk_rows)
+    x, cut = chunk_groups(df.select(*keys, ts, tiebreak), keys, [ts, tiebreak], chunk_rows)
     x = _chunk_lags(x, cut, keys, [ts, tiebreak], {"_prev": (ts, 1)})
     start = F.col("_prev").isNull() | (F.col(ts) >= F.col("_prev") + gap)
     x = x.withColumn("_s", F.when(start, F.col(ts)))
     # the session a row belongs to starts at the last start at or before it;
     # a chunk's rows before its own first start continue the previous chunk's
-    w = Window.partitionBy(*keys, "_c").orderBy(ts, tiebreak).rowsBetween(
+    w = Window.partitionBy(*keys, "_c").orderBy(*_order([ts, tiebreak], cut)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     if cut:
         # last start per chunk of a hot group (map-side combined), then the
