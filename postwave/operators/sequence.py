@@ -85,8 +85,11 @@ def chunk_groups(df: DataFrame, keys: list[str], order: list[str],
     out = _join(df.withColumn("_salt", F.rand(SALT_SEED)), cuts, keys, "left")
     c = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
         F.size(F.filter("_cuts", lambda q: q <= tup)))
+    # the salt is random and the window shuffles on the chunk it decides:
+    # written once, so a map task rerun after a lost executor reads the same
+    # salts and sends every row where the first attempt did
     return (out.withColumn("_c", c).withColumn("_h", F.col("_cuts").isNotNull())
-               .drop("_cuts"), True)
+               .drop("_cuts").checkpoint(), True)
 
 
 def group_lags(df: DataFrame, keys: list[str], order: list[str],
