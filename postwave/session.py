@@ -27,11 +27,6 @@ BASE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # commit only the state changes of each micro-batch, not full snapshots
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
-    # delete a DataFrame checkpoint from the shared folder once the driver no
-    # longer references it (the hot-group path checkpoints whole inputs);
-    # streaming checkpoint locations are not affected. Static: it applies
-    # when this module starts the SparkContext.
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
