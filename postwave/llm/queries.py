@@ -1,9 +1,11 @@
 """The registered queries of the operators and their DuckDB text."""
 from __future__ import annotations
 
-from postwave.llm import exact_dedup
+from postwave.llm import exact_dedup, mixing, quality_rules
 
 _MODULES = {
+    "op1_quality_rules": quality_rules,
+    "op2_source_mixing": mixing,
     "op9_exact_dedup": exact_dedup,
 }
 
