@@ -1,12 +1,14 @@
 """The registered queries of the operators and their DuckDB text."""
 from __future__ import annotations
 
-from postwave.llm import exact_dedup, mixing, quality_rules
+from postwave.llm import exact_dedup, mixing, ngram_join, quality_rules, rule_ensemble
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_source_mixing": mixing,
+    "op4_ngram_join": ngram_join,
     "op9_exact_dedup": exact_dedup,
+    "op10_rule_ensemble": rule_ensemble,
 }
 
 QUERIES = {name: m.query for name, m in _MODULES.items()}
