@@ -1,11 +1,12 @@
 """The registered queries of the operators and their DuckDB text."""
 from __future__ import annotations
 
-from postwave.llm import exact_dedup, mixing, ngram_join, quality_rules, rule_ensemble
+from postwave.llm import exact_dedup, mixing, ngram_join, packing, quality_rules, rule_ensemble
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_source_mixing": mixing,
+    "op3_packing": packing,
     "op4_ngram_join": ngram_join,
     "op9_exact_dedup": exact_dedup,
     "op10_rule_ensemble": rule_ensemble,
