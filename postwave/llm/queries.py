@@ -1,13 +1,14 @@
 """The registered queries of the operators and their DuckDB text."""
 from __future__ import annotations
 
-from postwave.llm import exact_dedup, html_extract, language_id, line_dedup, mixing, ngram_join, packing, quality_rules, rule_ensemble
+from postwave.llm import exact_dedup, html_extract, language_id, line_dedup, lm, mixing, ngram_join, packing, quality_rules, rule_ensemble
 
 _MODULES = {
     "op1_quality_rules": quality_rules,
     "op2_source_mixing": mixing,
     "op3_packing": packing,
     "op4_ngram_join": ngram_join,
+    "op5_kneser_ney": lm,
     "op6_language_id": language_id,
     "op7_html_extract": html_extract,
     "op8_line_dedup": line_dedup,
