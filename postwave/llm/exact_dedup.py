@@ -67,6 +67,8 @@ def fold(spark: SparkSession, path: str, state: str, digest=sha256,
         # a batch that is run again writes the same rows to the same place
         batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
+    # many small state stores: none of them claims megabytes of log in advance
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
     query = (seen.writeStream.outputMode("update").foreachBatch(keep)
              .option("checkpointLocation", f"{state}/checkpoint")
              .trigger(availableNow=True).start())
