@@ -301,8 +301,8 @@ def train(docs: DataFrame, shards: int | None = None) -> Model:
         parts_hot = np.column_stack([x[split].astype(np.int64) for x in sums]) if split.any() else np.zeros((0, 5), np.int64)
         return pd.DataFrame({
             "goal": np.array([g for g, _ in to] + [-1] + [-2] * len(parts_hot), np.int32),
-            "part": [x for _, x in to] + [None] * (1 + len(parts_hot)),
-            "numbers": [None] * len(to) + list(stats) + list(parts_hot)})
+            "part": pd.Series([x for _, x in to] + [None] * (1 + len(parts_hot)), dtype=object),
+            "numbers": pd.Series([None] * len(to) + list(stats) + list(parts_hot), dtype=object)})
 
     counted = written(docs.select("text").mapInArrow(pack, "shard int, part binary").groupBy("shard")
                       .applyInPandas(count, "goal int, part binary, numbers array<long>"), "lm-counted")
@@ -315,8 +315,8 @@ def train(docs: DataFrame, shards: int | None = None) -> Model:
             types.append(np.frombuffer(b, np.uint32, k, 8 * k).astype(np.int64))
         words, types = _sum_by(np.concatenate(words), np.concatenate(types))[:2]
         _save(folder, f"words-{int(pdf['goal'].iloc[0])}", words, types)
-        return pd.DataFrame({"numbers": [np.array(
-            [int(pdf["goal"].iloc[0]), *((types == k).sum() for k in (1, 2, 3, 4)), (types > 2).sum()], np.int64)]})
+        of = [int(pdf["goal"].iloc[0]), *((types == k).sum() for k in (1, 2, 3, 4)), (types > 2).sum()]
+        return pd.DataFrame({"numbers": pd.Series([np.array(of, np.int64)], dtype=object)})
 
     followed = written(counted.where("goal >= 0").select("goal", "part").groupBy("goal")
                        .applyInPandas(follow, "numbers array<long>"), "lm-followed")

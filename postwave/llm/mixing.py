@@ -62,24 +62,22 @@ def water_fill(sources: DataFrame, total: float, max_epochs: float) -> DataFrame
     return sources.withColumn("target", F.when(over, cap).otherwise(weight * F.lit(level)).cast("double"))
 
 
-def mix(docs: DataFrame, weights: DataFrame | None = None, total: float = TOTAL,
-        max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, times
-    (whole and fractional repetitions as a count) and taken.
+def _turn(seed: int) -> Column:
+    """32 bits of the seeded order."""
+    return F.conv(F.substring(F.md5(F.concat(
+        F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 8), 16, 10).cast("long")
 
-    ``total`` is a multiple of all words. ``weights`` (source, weight) may be
-    given; by default they repeat ``WEIGHTS``. Null source: a source of its
-    own. Null or empty text: size 0, nothing taken from it. Rows with the same
-    id are separate documents; those that tie in the seeded order are taken by
-    size. An empty table gives no rows. Columns besides doc_id, text and
-    source are not read.
-    """
-    order = F.conv(F.substring(F.md5(F.concat(
-        F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))), 1, 8), 16, 10)
-    sizes = written(docs.select(
-        "doc_id", "source", _source_key(F.col("source")).alias("key"),
-        word_count(F.col("text")).alias("size"), order.cast("long").alias("turn")), "mix-sizes")
-    sizes = sizes.withColumn("bucket", F.shiftright("turn", 32 - BUCKET_BITS))
+
+def _keyed(docs: DataFrame, seed: int, *keep: str) -> DataFrame:
+    return docs.select(
+        *keep, "doc_id", _source_key(F.col("source")).alias("key"), word_count(F.col("text")).alias("size"),
+        _turn(seed).alias("turn")).withColumn("bucket", F.shiftright("turn", 32 - BUCKET_BITS))
+
+
+def _plan(sizes: DataFrame, weights: DataFrame | None, total: float, max_epochs: float):
+    """Per source: source_size, target, whole repetitions, the words needed
+    beyond them, the bucket that holds the cut and the words before it. And
+    doc_id, size, key, turn, more (1 to take once more) in the cut buckets."""
     per_bucket = written(sizes.groupBy("source", "key", "bucket").agg(F.sum("size").alias("size")),
                          "mix-buckets")
     per_source = per_bucket.groupBy("source", "key").agg(F.sum("size").alias("size"))
@@ -97,22 +95,55 @@ def mix(docs: DataFrame, weights: DataFrame | None = None, total: float = TOTAL,
     cuts = (per_bucket.select("key", "bucket", "size", before).join(plan.select("key", "need"), "key")
             .where("before <= need").groupBy("key")
             .agg(F.max_by("before", "bucket").alias("before"), F.max("bucket").alias("cut")))
-    plan = written(plan.join(cuts, "key", "left"), "mix-plan")
-
-    rows = sizes.join(small_or_merge(plan), "key")
-    at_cut = F.col("bucket") == F.col("cut")
+    plan = small_or_merge(written(plan.join(cuts, "key", "left"), "mix-plan"))
     running = F.sum("size").over(Window.partitionBy("key").orderBy("turn", "doc_id", "size")
                                  .rowsBetween(Window.unboundedPreceding, 0)) - F.col("size")
-    near = (rows.where(at_cut).withColumn("mid", F.col("before") + running + F.col("size") / 2)
-            .withColumn("more", (F.col("mid") <= F.col("need")).cast("long")).drop("mid"))
-    rest = rows.where(~F.coalesce(at_cut, F.lit(False))).withColumn(
+    near = (sizes.join(plan, "key").where("bucket = cut")
+            .withColumn("mid", F.col("before") + running + F.col("size") / 2)
+            .withColumn("more", (F.col("mid") <= F.col("need")).cast("long")))
+    return plan, near
+
+
+def mix(docs: DataFrame, weights: DataFrame | None = None, total: float = TOTAL,
+        max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """One row per document: doc_id, source, size, source_size, target, times
+    (whole and fractional repetitions as a count) and taken.
+
+    ``total`` is a multiple of all words. ``weights`` (source, weight) may be
+    given; by default they repeat ``WEIGHTS``. Null source: a source of its
+    own. Null or empty text: size 0, nothing taken from it. Rows with the same
+    id are separate documents; those that tie in the seeded order are taken by
+    size. An empty table gives no rows. Columns besides doc_id, text and
+    source are not read.
+    """
+    sizes = written(_keyed(docs, seed, "source"), "mix-sizes")
+    plan, near = _plan(sizes, weights, total, max_epochs)
+    rest = sizes.join(plan, "key").where("cut is null or bucket != cut").withColumn(
         "more", F.coalesce(F.col("bucket") < F.col("cut"), F.lit(False)).cast("long"))
     times = F.col("whole") + F.col("more")
-    return near.unionByName(rest).select(
+    return near.drop("mid").unionByName(rest).select(
         "doc_id", "source", "size", "source_size", "target", times.alias("times"),
         (times * F.col("size")).alias("taken"))
 
 
+def mixed(docs: DataFrame, weights: DataFrame | None = None, total: float = TOTAL,
+          max_epochs: float = MAX_EPOCHS, seed: int = SEED) -> DataFrame:
+    """The rows of ``docs``, all columns, each as often as ``mix`` takes it.
+    Texts stay where they are: how often follows from the source's plan, and
+    for the few documents of the cut buckets from a small table."""
+    row = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "source", "text")
+    plan, near = _plan(written(_keyed(docs, seed, "source"), "mix-sizes"), weights, total, max_epochs)
+    near = small_or_merge(written(near.groupBy(
+        F.coalesce(F.col("doc_id").cast("string"), F.lit("")).alias("id"), "key", "size")
+        .agg(F.max("more").alias("more")), "mix-near"))
+    rows = _keyed(row, seed, "row").withColumn("id", F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    times = F.col("whole") + F.coalesce(F.when(F.col("bucket") == F.col("cut"), F.col("more")),
+                                        (F.col("bucket") < F.col("cut")).cast("long"), F.lit(0))
+    return (rows.join(plan, "key").join(near, ["id", "key", "size"], "left")
+            .select("row", F.explode(F.array_repeat(F.lit(1), times.cast("int"))).alias("_"))
+            .select("row.*"))
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")

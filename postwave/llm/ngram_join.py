@@ -162,7 +162,7 @@ def shared_entries(docs: DataFrame, blocks: int, width: int = WIDTH) -> DataFram
         h = hashing.mix(h | np.uint64(int(pdf["block"].iloc[0]) & 0xFFFF) << np.uint64(48)) & _LOW
         found = list(_parts("bucket", ids[owner, 0] % np.uint64(blocks), ids, sizes, h, owner, df))
         return pd.DataFrame({"bucket": pd.Series([b for b, _ in found], dtype="int32"),
-                             "part": [x for _, x in found]})
+                             "part": pd.Series([x for _, x in found], dtype=object)})
 
     def bound(pdf: pd.DataFrame) -> pd.DataFrame:
         """The sets of one bucket with all their shared shingles."""
@@ -175,8 +175,8 @@ def shared_entries(docs: DataFrame, blocks: int, width: int = WIDTH) -> DataFram
         # of the first n - ceil(0.8 n) + 1 shingles, those found in one set alone come first
         prefix = sizes - -(-NUM * sizes // DEN) + 1 - (sizes - shared)
         return pd.DataFrame({
-            "set_id": [ids[i].tobytes() for i in live], "n": sizes[live],
-            "shared": [h[at[i]:at[i] + shared[i]].astype(np.int64) for i in live],
+            "set_id": pd.Series([ids[i].tobytes() for i in live], dtype=object), "n": sizes[live],
+            "shared": pd.Series([h[at[i]:at[i] + shared[i]].astype(np.int64) for i in live], dtype=object),
             "prefix": np.minimum(prefix, shared)[live].astype(np.int64)})
 
     return (docs.select("text").mapInArrow(pack, "block int, part binary")
@@ -251,7 +251,8 @@ def ngram_join(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     no rows. Columns besides doc_id and text are not read.
     """
     spark = docs.sparkSession
-    blocks = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
+    # several blocks a partition even out what the partitions get
+    blocks = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ids = written(set_ids(docs, width), "join-ids")
     sets = written(shared_entries(docs, blocks, width), "join-sets")
     roots = linked_sets(sets)
@@ -268,11 +269,17 @@ def ngram_join(docs: DataFrame, width: int = WIDTH) -> DataFrame:
 
 def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     """The rows of ``docs``, all columns, of one document of each component:
-    the one with the smallest id, the first by content of rows that share it."""
+    the one with the smallest id. Of rows that share an id one stays; rows
+    without id all stay."""
     found = written(ngram_join(docs, width), "join-components")
-    dropped = found.where("doc_id != component_id").select("doc_id").distinct()
-    kept = docs.join(dropped.hint("merge"), "doc_id", "left_anti")
-    return kept.select(docs.columns)
+    dropped = small_or_merge(written(
+        found.where("doc_id != component_id").select("doc_id").distinct(), "join-dropped"))
+    again = small_or_merge(written(
+        found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"),
+        "join-again"))
+    kept = docs.join(dropped, "doc_id", "left_anti")
+    once = kept.join(again, "doc_id", "left_anti")
+    return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
