@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postwave.llm.hashing import text_chunks
-from postwave.llm.tables import read, remainder
+from postwave.llm.tables import read, remainder, small_batches
 
 SAMPLE_DOCS = 120
 DOC_CHARS = 600
@@ -195,7 +195,7 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rest = remainder(F.col("doc_id"), 5)
-    samples = learn(docs.where(rest != 0))
+    samples = learn(small_batches(docs).where(rest != 0))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = Languages.of(samples)

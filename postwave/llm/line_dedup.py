@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwave.llm.hashing import text_chunks
-from postwave.llm.tables import SPACES, read, small_or_merge, written
+from postwave.llm.tables import SPACES, read, small_batches, small_or_merge, written
 
 MIN_WORDS = 50
 DOC = ["doc_id", "content"]
@@ -136,7 +136,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     deleted becomes empty; null stays null; an empty table gives no rows.
     Columns named n_lines or n_deleted are replaced.
     """
-    lines = written(lines_of(docs, min_words), "lines")
+    lines = written(lines_of(small_batches(docs), min_words), "lines")
     cuts = (repeated(lines).groupBy(*DOC)
             .agg(F.collect_set(F.struct("at", "size")).alias("_cuts"))
             .select(F.struct(*DOC).alias("_doc"), "_cuts"))

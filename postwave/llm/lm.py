@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwave.llm import hashing
-from postwave.llm.tables import read, remainder, written
+from postwave.llm.tables import read, remainder, small_batches, written
 from postwave.session import shared_path
 
 CHUNK = 4 << 20
@@ -366,7 +366,7 @@ def evaluate(docs: DataFrame) -> DataFrame:
     no rows. Columns besides doc_id and text are not read.
     """
     rest = remainder(F.col("doc_id"), 5)
-    model = train(docs.where(rest != 1))
+    model = train(small_batches(docs).where(rest != 1))
     rows = docs.select("doc_id", (rest == 1).alias("held_out"), "text")
     return score(rows, model, "doc_id", "held_out").select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"),

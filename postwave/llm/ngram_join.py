@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from postwave.llm import hashing
 from postwave.llm.components import connected
-from postwave.llm.tables import read, small_or_merge, written
+from postwave.llm.tables import read, small_batches, small_or_merge, written
 
 WIDTH = 5
 # Links are at least NUM / DEN of the union.
@@ -250,7 +250,7 @@ def ngram_join(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     smallest id of its component, null if there is none. An empty table gives
     no rows. Columns besides doc_id and text are not read.
     """
-    spark = docs.sparkSession
+    spark = small_batches(docs).sparkSession
     # several blocks a partition even out what the partitions get
     blocks = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
     ids = written(set_ids(docs, width), "join-ids")

@@ -49,3 +49,10 @@ def small_or_merge(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     small = decoded_bytes(df) <= broadcast_limit(spark)
     return F.broadcast(df) if small else df.hint("merge")
+
+
+def small_batches(df: DataFrame, rows: int = 1000) -> DataFrame:
+    """``df``, with Arrow batches of so many rows in its session: long texts
+    then take little memory in a Python worker."""
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    return df
