@@ -6,9 +6,9 @@ Two decoders, matching the two ways the reference reads posts:
   JSON ``null`` stays NULL, non-objects and broken JSON are dropped. Missing
   and null are told apart with the Variant type (``try_variant_get(..,
   'variant')`` is SQL NULL only when the key is absent).
-* ``source_table`` (declared-table semantics): ``from_json`` with the
-  declared schema; missing and null both become NULL; rows that are not JSON
-  objects are skipped.
+* ``source_table`` (declared-table semantics): the declared columns read
+  from the same Variant parse; missing and null both become NULL; rows that
+  are not JSON objects are skipped.
 
 No Python UDF is involved; everything stays inside whole-stage codegen.
 """
@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from pyspark.sql.types import DataType, LongType, StructType
 
-from ..schemas import PARSED_POST_COLUMNS, POST_SCHEMA, RAW_STATUS_SCHEMA
+from ..schemas import PARSED_POST_COLUMNS, POST_SCHEMA
 
 # A record must be one JSON object and nothing else. Its text
 # starts with "{" (after blanks); parsed inside "[" ... ",0]" it must give a
@@ -77,15 +77,9 @@ def field(w: Column, path: str, typ: str = "variant") -> Column:
     return F.try_variant_get(w, "$[0]" + path[1:], typ)
 
 
-def _typed(v: Column, path: str, typ: str, default, *, integral: bool = False) -> Column:
-    """missing -> default; JSON null -> NULL; value -> typed (NULL if it does
-    not have the type; integers must be JSON integers)."""
-    x = _v(v, path)
-    return _typed_x(x, typ, default, integral=integral)
-
-
 def _typed_x(x: Column, typ: str, default, *, integral: bool = False) -> Column:
-    """Same as ``_typed`` on an already extracted sub-value ``x``."""
+    """Sub-value ``x``: missing -> default; JSON null -> NULL; value -> typed
+    (NULL if it does not have the type; integers must be JSON integers)."""
     value = x.try_cast(typ)
     if integral:
         value = F.when(F.schema_of_variant(x) == "BIGINT", value)
@@ -211,6 +205,7 @@ def source_table(df: DataFrame, value_col: str = "value", keep: list[str] | None
     return out
 
 
+# Fixed value: the name of the post table in analysts' queries.
 def register_source_table(df: DataFrame, name: str = "mastodon_posts", **kw) -> DataFrame:
     t = source_table(df, **kw)
     t.createOrReplaceTempView(name)
@@ -225,10 +220,9 @@ def quarantine(df: DataFrame, value_col: str = "value") -> DataFrame:
     staged = df.withColumn("_w", record(txt))
     reason = (F.when(txt.isNull(), F.lit("null"))
                .when(~txt.rlike(OBJECT_TEXT), F.lit("not_an_object"))
-               .when(~is_record(F.col("_w")), F.lit("malformed_json"))
-               .otherwise(F.lit(None)))
-    return (staged.withColumn("reason", reason).drop("_w")
-            .filter(F.col("reason").isNotNull()))
+               .otherwise(F.lit("malformed_json")))
+    # a generator, as in _keep_if: a filter would parse each record again
+    return _keep_if(staged, df.columns, txt.isNull() | ~is_record(F.col("_w")), [reason.alias("reason")])
 
 
 def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str] | None = None) -> DataFrame:
@@ -286,5 +280,3 @@ def normalise_created_at(col: Column) -> Column:
     """Mixed ISO-8601 / ``str(datetime)`` text -> timestamp (NULL if unparseable)."""
     return F.try_to_timestamp(col)
 
-
-RAW_STATUS = RAW_STATUS_SCHEMA  # re-export for callers that decode with from_json

@@ -17,9 +17,9 @@ At or under the limit the side is marked ``broadcast``; above it, ``merge``
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, StringType
+from pyspark.sql.types import ArrayType, BinaryType, DataType, MapType, StringType, StructType
 
 LIMIT_CONF = "spark.postwave.broadcastLimitBytes"
 DEFAULT_LIMIT = 64 << 20
@@ -46,14 +46,31 @@ def files_on_disk(spark: SparkSession, paths: list[str]) -> tuple[int, int]:
     return size, files
 
 
+def _beyond_word(c: Column, t: DataType) -> Column:
+    """Bytes of a value besides the 8-byte word of its field: the bytes of
+    strings and binaries, and all that arrays, structs and maps hold."""
+    none = F.lit(0).cast("bigint")
+    if isinstance(t, (StringType, BinaryType)):
+        return F.coalesce(F.octet_length(c).cast("bigint"), none)
+    if isinstance(t, ArrayType):
+        return F.coalesce(F.aggregate(c, none, lambda s, x: s + 8 + _beyond_word(x, t.elementType)), none)
+    if isinstance(t, MapType):
+        return (_beyond_word(F.map_keys(c), ArrayType(t.keyType))
+                + _beyond_word(F.map_values(c), ArrayType(t.valueType)))
+    if isinstance(t, StructType):
+        total = F.lit(8 * len(t.fields)).cast("bigint")
+        for f in t.fields:
+            total = total + _beyond_word(c.getField(f.name), f.dataType)
+        return total
+    return none
+
+
 def decoded_bytes(df: DataFrame) -> int:
     """Bytes of ``df`` as Spark rows: an 8-byte word per field plus a null
-    word per row, plus the bytes of every string or binary value."""
-    var = [F.coalesce(F.octet_length(F.col(f.name)), F.lit(0))
-           for f in df.schema.fields if isinstance(f.dataType, (StringType, BinaryType))]
+    word per row, plus what strings, binaries, arrays, structs and maps hold."""
     per_row = F.lit(8 * (len(df.columns) + 1)).cast("bigint")
-    for v in var:
-        per_row = per_row + v
+    for f in df.schema.fields:
+        per_row = per_row + _beyond_word(F.col(f"`{f.name}`"), f.dataType)
     got = df.agg(F.sum(per_row).alias("b")).first()["b"]
     return int(got or 0)
 

@@ -44,22 +44,43 @@ def _join(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
 
 
 def _order(order: list[str], cut: bool) -> list[str]:
-    return [*order, "_salt"] if cut else order
+    """Rows tied on ``order`` follow a hash of their own values, whatever the
+    group's size; only exact copies are left to the salt."""
+    return [*order, "_tie", "_salt"] if cut else [*order, "_tie"]
+
+
+def _with_tie(df: DataFrame) -> DataFrame:
+    return df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+
+
+def _cuts_at_or_before(cuts: str, tup, steps: int):
+    """How many of the sorted ``cuts`` are at or before ``tup``, by binary
+    search, so that a group with very many chunks costs a row few comparisons."""
+    def halve(s, _):
+        mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+        before = F.get(cuts, mid) <= tup
+        return F.when(s["lo"] < s["hi"], F.struct(
+            F.when(before, mid + 1).otherwise(s["lo"]).cast("int").alias("lo"),
+            F.when(before, s["hi"]).otherwise(mid).cast("int").alias("hi"))).otherwise(s)
+    start = F.struct(F.lit(0).alias("lo"), F.size(cuts).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(steps)), start, halve)["lo"]
 
 
 def chunk_groups(df: DataFrame, keys: list[str], order: list[str],
                  chunk_rows: int | None = None) -> tuple[DataFrame, bool]:
     """``df`` with ``_c``, the chunk of the row within its group (0 for
     groups of at most ``chunk_rows`` rows), and ``_h``, whether the group was
-    cut. Returns whether any group was cut; then rows also carry ``_salt``
-    and chunks follow the order ``order + [_salt]``: every row of chunk ``c``
-    sorts after every row of chunk ``c - 1``.
+    cut, and ``_tie``, a hash of the row. Returns whether any group was cut;
+    then rows also carry ``_salt`` and chunks follow the order ``order +
+    [_tie, _salt]``: every row of chunk ``c`` sorts after every row of chunk
+    ``c - 1``.
 
     Cut points are whole sort tuples taken from a per-group sample of about
     ``OVERSAMPLE`` rows per chunk, so rows that share a timestamp are still
-    cut, and ``_salt`` (random) cuts even exact copies. It only orders rows
-    tied on ``order``, whose order the query leaves open."""
+    cut, and ``_salt`` (random) cuts even exact copies, the only rows it
+    orders."""
     spark = df.sparkSession
+    df = _with_tie(df)
     if chunk_rows is None:
         chunk_rows = int(spark.conf.get(CHUNK_CONF, str(DEFAULT_CHUNK_ROWS)))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
@@ -70,6 +91,7 @@ def chunk_groups(df: DataFrame, keys: list[str], order: list[str],
     hot = (counts.filter(F.col("_n") > chunk_rows)
                  .withColumn("_need", F.ceil(F.col("_n") / F.lit(chunk_rows)))
                  .checkpoint())
+    order = [*order, "_tie"]
     tup = F.struct(*[F.col(c) for c in order], F.col("_salt"))
     p = F.least(F.lit(1.0), F.lit(OVERSAMPLE) * F.col("_need") / F.col("_n"))
     smp = (_join(df.select(*keys, *order).withColumn("_salt", F.rand(SALT_SEED)), hot, keys)
@@ -83,8 +105,9 @@ def chunk_groups(df: DataFrame, keys: list[str], order: list[str],
                .groupBy(*keys).agg(F.array_sort(F.collect_list(tup)).alias("_cuts"))
                .checkpoint())
     out = _join(df.withColumn("_salt", F.rand(SALT_SEED)), cuts, keys, "left")
+    most = hot.agg(F.max("_need").alias("m")).first()["m"]
     c = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(
-        F.size(F.filter("_cuts", lambda q: q <= tup)))
+        _cuts_at_or_before("_cuts", tup, int(most).bit_length() + 1))
     # the salt is random and the window shuffles on the chunk it decides:
     # written once, so a map task rerun after a lost executor reads the same
     # salts and sends every row where the first attempt did
@@ -96,7 +119,7 @@ def group_lags(df: DataFrame, keys: list[str], order: list[str],
                lags: dict[str, tuple[str, int]],
                chunk_rows: int | None = None) -> DataFrame:
     x, cut = chunk_groups(df, keys, order, chunk_rows)
-    return _chunk_lags(x, cut, keys, order, lags).drop("_c", "_h", "_salt")
+    return _chunk_lags(x, cut, keys, order, lags).drop("_c", "_h", "_salt", "_tie")
 
 
 def _chunk_lags(x: DataFrame, cut: bool, keys: list[str], order: list[str],
@@ -104,7 +127,7 @@ def _chunk_lags(x: DataFrame, cut: bool, keys: list[str], order: list[str],
     """Add, for each ``name: (col, k)``, the value of ``col`` ``k`` rows
     earlier in the row's group under ``order`` (NULL before the first),
     as ``lag(col, k) OVER (PARTITION BY keys ORDER BY order)`` would.
-    Rows tied on ``order`` take the salt's order on the cut path."""
+    Rows tied on ``order`` follow a hash of their values."""
     kmax = max(k for _, k in lags.values())
     cols = sorted({c for c, _ in lags.values()})
     order = _order(order, cut)

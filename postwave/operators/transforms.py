@@ -58,12 +58,14 @@ def extract_hashtags(parsed: DataFrame, keep: list[str] | None = None) -> DataFr
 def extract_hashtags_raw(df: DataFrame, value_col: str = "value",
                          keep: list[str] | None = None) -> DataFrame:
     """Hashtag records straight from post JSON (no parse step in between,
-    so ``account`` is never looked at)."""
+    so ``account`` is never looked at). A record whose ``tags`` are there but
+    no list is dropped."""
     keep = keep or []
     s1 = _decode_stage(df, value_col, keep)
     v = F.col("_v")
     tags_x = field(v, "$.tags")
-    s2 = _keep_if(s1, keep, is_record(v) & ~(tags_x.isNotNull() & F.is_variant_null(tags_x)),
+    a_list = tags_x.isNull() | F.schema_of_variant(tags_x).startswith("ARRAY<")
+    s2 = _keep_if(s1, keep, is_record(v) & a_list,
                   [field(v, "$.id").alias("_id"), tags_x.alias("_tags"),
                    field(v, "$.language").alias("_lang")])
     tags = _typed_x(F.col("_tags"), "array<string>", F.array().cast("array<string>"))

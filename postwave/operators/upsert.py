@@ -37,14 +37,6 @@ def upsert_latest(df: DataFrame, key: str, order: list[str]) -> DataFrame:
             .select("_r.*"))
 
 
-def merge_into(current: DataFrame | None, updates: DataFrame, key: str,
-               order: list[str]) -> DataFrame:
-    """Upsert a batch of updates into a keyed table snapshot."""
-    if current is None:
-        return upsert_latest(updates, key, order)
-    return upsert_latest(current.unionByName(updates, allowMissingColumns=True), key, order)
-
-
 def conform(df: DataFrame, schema: StructType, stamp_col: str | None = "indexed_at") -> DataFrame:
     """Cast every column of ``schema`` (``try_cast``; dates via
     ``try_to_timestamp``), stamp ``indexed_at`` and flag rows where a

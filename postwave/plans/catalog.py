@@ -17,7 +17,7 @@ from ..functions import parse as P
 from ..operators import aggregates as A
 from ..operators import transforms as T
 from ..operators import windows as W
-from ..sources.posts import posts, raw_posts
+from ..sources.posts import EVENT_COLUMNS, NO_CONTENT, posts, raw_posts
 from .oracle_sql import LOG_CTE, PARSED_CTE, wend, with_posts, wstart
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -47,7 +47,7 @@ SELECT {wstart('created_at', 300)} AS window_start, {wend('created_at', 300)} AS
 FROM (SELECT *, language AS raw_language FROM posts) p
 GROUP BY 1, 2, raw_language"""))
 def q_language_distribution(spark, d):
-    return W.language_distribution(posts(spark, d), "created_at", 5)
+    return W.language_distribution(posts(spark, d, NO_CONTENT), "created_at", 5)
 
 
 def _top_users_sql(minutes: int) -> str:
@@ -62,12 +62,12 @@ GROUP BY 1, 2, username HAVING count(*) > 1""")
 
 @register("top_users", _top_users_sql(10))
 def q_top_users(spark, d):
-    return W.top_users(posts(spark, d), "created_at", 10)
+    return W.top_users(posts(spark, d, EVENT_COLUMNS), "created_at", 10)
 
 
 @register("top_users_60", _top_users_sql(60))
 def q_top_users_60(spark, d):
-    return W.top_users(posts(spark, d), "created_at", 60)
+    return W.top_users(posts(spark, d, EVENT_COLUMNS), "created_at", 60)
 
 
 @register("engagement_metrics", with_posts(f"""
@@ -78,7 +78,7 @@ SELECT {wstart('created_at', 300)} AS window_start, {wend('created_at', 300)} AS
        max(favourites_count + reblogs_count * 2) AS max_engagement
 FROM posts GROUP BY 1, 2"""))
 def q_engagement_metrics(spark, d):
-    return W.engagement_metrics(posts(spark, d), "created_at", 5)
+    return W.engagement_metrics(posts(spark, d, EVENT_COLUMNS), "created_at", 5)
 
 
 @register("dashboard_volume", with_posts(f"""
@@ -87,14 +87,14 @@ SELECT {wstart('created_at', 60)} AS window_start, {wend('created_at', 60)} AS w
        CAST(count(*) AS DOUBLE) AS metric_value
 FROM posts GROUP BY 1, 2"""))
 def q_dashboard_volume(spark, d):
-    return W.dashboard_volume(posts(spark, d), "created_at")
+    return W.dashboard_volume(posts(spark, d, EVENT_COLUMNS), "created_at")
 
 
 @register("simple_count", with_posts(f"""
 SELECT strftime(w_end, '%H:%M:%S') AS window_end, count(*) AS post_count
 FROM (SELECT {wend('created_at', 10)} AS w_end FROM posts) GROUP BY w_end"""))
 def q_simple_count(spark, d):
-    return W.simple_count(posts(spark, d), "created_at")
+    return W.simple_count(posts(spark, d, EVENT_COLUMNS), "created_at")
 
 
 @register("trending_hashtags", with_posts(f"""
@@ -105,7 +105,7 @@ SELECT window_start, window_end, tag, tag_count, rank FROM (
         FROM (SELECT created_at, unnest(tags) AS tag FROM posts) GROUP BY 1, 2, 3))
 WHERE rank <= 3"""))
 def q_trending_hashtags(spark, d):
-    return W.trending_hashtags(posts(spark, d), "created_at", 60, 3).withColumn(
+    return W.trending_hashtags(posts(spark, d, EVENT_COLUMNS), "created_at", 60, 3).withColumn(
         "rank", F.col("rank").cast("bigint"))
 
 
@@ -114,7 +114,7 @@ def q_trending_hashtags(spark, d):
 @register("hashtag_frequency", with_posts("""
 SELECT tag, count(*) AS tag_count FROM (SELECT unnest(tags) AS tag FROM posts) GROUP BY tag"""))
 def q_hashtag_frequency(spark, d):
-    return A.hashtag_frequency(posts(spark, d))
+    return A.hashtag_frequency(posts(spark, d, EVENT_COLUMNS))
 
 
 # ---------------------------------------------------------------- parsing --
@@ -142,13 +142,13 @@ def _scored(spark, d):
 @register("engagement_score", with_posts("""
 SELECT id, favourites_count + reblogs_count * 2 AS engagement_score FROM posts"""))
 def q_engagement_score(spark, d):
-    return T.engagement_score(posts(spark, d)).select("id", "engagement_score")
+    return T.engagement_score(posts(spark, d, EVENT_COLUMNS)).select("id", "engagement_score")
 
 
 @register("engagement_score_with_replies", with_posts("""
 SELECT id, favourites_count + reblogs_count * 2 + replies_count AS engagement_score FROM posts"""))
 def q_engagement_score_with_replies(spark, d):
-    return T.engagement_score(posts(spark, d), include_replies=True).select("id", "engagement_score")
+    return T.engagement_score(posts(spark, d, EVENT_COLUMNS), include_replies=True).select("id", "engagement_score")
 
 
 @register("pipeline_engagement", with_posts("""
@@ -208,7 +208,7 @@ def q_content_preview(spark, d):
 SELECT id, array_to_string(list_slice(tags, 1, 5), ',') AS first_tags,
        CAST(len(tags) AS INTEGER) AS tag_count FROM posts"""))
 def q_tag_slice(spark, d):
-    return posts(spark, d).select("id", F.array_join(T.tag_slice("tags"), ",").alias("first_tags"),
+    return posts(spark, d, EVENT_COLUMNS).select("id", F.array_join(T.tag_slice("tags"), ",").alias("first_tags"),
                                   F.size("tags").alias("tag_count"))
 
 
@@ -222,7 +222,7 @@ def q_normalise_created_at(spark, d):
 @register("filter_by_hashtag", with_posts("""
 SELECT id FROM posts WHERE list_contains(tags, 'click')"""))
 def q_filter_by_hashtag(spark, d):
-    return T.filter_by_hashtag(posts(spark, d), "CLICK").select("id")
+    return T.filter_by_hashtag(posts(spark, d, EVENT_COLUMNS), "CLICK").select("id")
 
 
 @register("significant_posts", with_posts("""
@@ -271,7 +271,7 @@ FROM (SELECT * FROM posts WHERE list_contains(tags, 'view') AND CAST(id AS DECIM
       ORDER BY CAST(id AS DECIMAL(38,0)) DESC LIMIT 40)"""))
 def q_incremental_since(spark, d):
     from ..sources.incremental import incremental_since
-    return incremental_since(posts(spark, d), last_id=5000, tag="view").select(
+    return incremental_since(posts(spark, d, EVENT_COLUMNS), last_id=5000, tag="view").select(
         "id", "created_at", "poll_rank")
 
 
@@ -281,7 +281,7 @@ FROM (SELECT * FROM posts WHERE list_contains(tags, 'view')
       ORDER BY CAST(id AS DECIMAL(38,0)) DESC LIMIT 20)"""))
 def q_incremental_since_first(spark, d):
     from ..sources.incremental import incremental_since
-    return incremental_since(posts(spark, d), last_id=None, tag="view").select(
+    return incremental_since(posts(spark, d, EVENT_COLUMNS), last_id=None, tag="view").select(
         "id", "created_at", "poll_rank")
 
 
@@ -321,15 +321,23 @@ def q_kafka_keyed_frame(spark, d):
                         F.get_json_object("value", "$.url").alias("url"))
 
 
+def _result_topics(spark, d):
+    """Records of the engagement and hashtag topics, both from one parse."""
+    from ..schemas import PARSED_POST_COLUMNS, TOPIC_ENGAGEMENT, TOPIC_HASHTAGS
+    from ..sinks.writers import JSON_OPTS
+    scored = T.engagement_score(P.parse_posts(raw_posts(spark, d)))
+    message = lambda topic, *cols: F.struct(
+        F.to_json(F.struct(*cols), JSON_OPTS).alias("value"), F.lit(topic).alias("topic"))
+    eng = message(TOPIC_ENGAGEMENT, *PARSED_POST_COLUMNS, "engagement_score")
+    tags = message(TOPIC_HASHTAGS, F.col("id").alias("post_id"), F.col("tags").alias("hashtags"),
+                   F.size("tags").alias("hashtag_count"), "language")
+    return scored.select(F.inline(F.when(F.col("tags").isNull(), F.array(eng)).otherwise(F.array(eng, tags))))
+
+
 def _topic_frame(spark, d):
-    from ..schemas import TOPIC_ENGAGEMENT, TOPIC_HASHTAGS, TOPIC_POSTS
-    from ..sinks.writers import kafka_value_frame
-    raw = raw_posts(spark, d)
-    parsed = P.parse_posts(raw)
-    eng = kafka_value_frame(T.scored_view(T.engagement_score(parsed)), TOPIC_ENGAGEMENT)
-    tags = kafka_value_frame(T.extract_hashtags(parsed), TOPIC_HASHTAGS)
-    posts_topic = raw.select("value", F.lit(TOPIC_POSTS).alias("topic"))
-    return eng.unionByName(tags).unionByName(posts_topic)
+    from ..schemas import TOPIC_POSTS
+    posts_topic = raw_posts(spark, d).select("value", F.lit(TOPIC_POSTS).alias("topic"))
+    return _result_topics(spark, d).unionByName(posts_topic)
 
 
 @register("route_by_topic", with_posts("""
@@ -338,12 +346,13 @@ UNION ALL SELECT 'mastodon-hashtags' AS topic, id AS doc_key FROM parsed""", PAR
 def q_route_by_topic(spark, d):
     from ..sources.kafka import route_by_topic
     from ..schemas import TOPIC_ENGAGEMENT, TOPIC_HASHTAGS
-    routes = route_by_topic(_topic_frame(spark, d), [TOPIC_ENGAGEMENT, TOPIC_HASHTAGS])
-    eng = routes[TOPIC_ENGAGEMENT].select(
-        F.col("topic"), F.get_json_object("value", "$.id").alias("doc_key"))
-    tags = routes[TOPIC_HASHTAGS].select(
-        F.col("topic"), F.get_json_object("value", "$.post_id").alias("doc_key"))
-    return eng.unionByName(tags)
+    both = _result_topics(spark, d)
+    routes = route_by_topic(both, [TOPIC_ENGAGEMENT, TOPIC_HASHTAGS])
+    assert set(routes) == {TOPIC_ENGAGEMENT, TOPIC_HASHTAGS}
+    # the two routes side by side in one pass: each record has the key of its topic
+    key = F.when(F.col("topic") == TOPIC_ENGAGEMENT, F.get_json_object("value", "$.id")).otherwise(
+        F.get_json_object("value", "$.post_id"))
+    return both.filter(F.col("topic").isin(TOPIC_ENGAGEMENT, TOPIC_HASHTAGS)).select("topic", key.alias("doc_key"))
 
 
 @register("ingest_summary", with_posts("""
@@ -357,20 +366,21 @@ def q_ingest_summary(spark, d):
 
 # ------------------------------------------------------------ keyed tables --
 
-def _log_scored(spark, d):
+def _log_scored(spark, d, columns=EVENT_COLUMNS):
+    """The post log with scores, without what the caller does not use."""
     from ..sources.posts import post_log
-    return T.engagement_score(post_log(spark, d)).select(
-        "id", "seq", "favourites_count", "engagement_score", "language", "tags")
+    return T.engagement_score(post_log(spark, d, columns))
 
 
 def upserted_engagement(spark, d):
     from ..operators.upsert import upsert_latest
-    return upsert_latest(_log_scored(spark, d), "id", ["seq"])
+    return upsert_latest(_log_scored(spark, d).select("id", "seq", "favourites_count", "engagement_score"),
+                         "id", ["seq"])
 
 
 def upserted_hashtags(spark, d):
     from ..operators.upsert import upsert_latest
-    h = T.extract_hashtags(_log_scored(spark, d), keep=["seq"])
+    h = T.extract_hashtags(_log_scored(spark, d, NO_CONTENT), keep=["seq"])
     return upsert_latest(h, "post_id", ["seq"])
 
 
@@ -452,6 +462,26 @@ def q_view_engagement(spark, d):
 # Analyst queries through the guarded entry point (J7) over the posts table
 # registered as ``mastodon_posts``. Spark text first, DuckDB oracle second.
 
+LAG_FRAME_SQL = """
+SELECT id, lag(created_at) OVER (PARTITION BY username ORDER BY created_at, id) AS previous_post,
+       CAST(sum(favourites_count) OVER (PARTITION BY username ORDER BY created_at, id
+                                        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS favourites_3
+FROM posts"""
+SESSIONS_SQL = """
+SELECT username, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
+       count(*) AS post_count
+FROM (SELECT *, sum(CASE WHEN prev IS NULL OR created_at >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
+                  OVER (PARTITION BY username ORDER BY created_at, id) AS sid
+      FROM (SELECT username, created_at, id,
+                   lag(created_at) OVER (PARTITION BY username ORDER BY created_at, id) AS prev
+            FROM posts WHERE username IS NOT NULL))
+GROUP BY username, sid"""
+EXISTS_SQL = """
+SELECT p.id, p.language FROM posts p
+WHERE EXISTS (SELECT 1 FROM posts q WHERE q.username = p.username AND q.favourites_count > 485)
+  AND NOT EXISTS (SELECT 1 FROM posts r WHERE r.username = p.username AND r.language = 'es'
+                  AND r.reblogs_count > 97 AND r.favourites_count > 200)"""
+
 CUSTOM_SQL: dict[str, tuple[str, str]] = {
     "custom_sql_projection": ("""
 SELECT id, account.username AS username, language,
@@ -465,8 +495,9 @@ FROM mastodon_posts WHERE account.username IS NOT NULL
 GROUP BY account.username HAVING count(*) > 60""", """
 SELECT username, count(*) AS posts, CAST(sum(favourites_count) AS BIGINT) AS favourites
 FROM posts WHERE username IS NOT NULL GROUP BY username HAVING count(*) > 60"""),
-    # Same-user posts less than an hour apart. The hour bucket is an equi-key
-    # next to the user, so a prolific user is split across many join tasks.
+    # Same-user posts less than an hour apart, counted per post: the result has
+    # one row per post. The hour bucket is an equi-key next to the user, so a
+    # prolific user is split across many join tasks.
     "custom_sql_self_join": ("""
 WITH p AS (SELECT id, account.username AS username, created_at,
                   date_trunc('HOUR', created_at) AS hb
@@ -474,12 +505,14 @@ WITH p AS (SELECT id, account.username AS username, created_at,
      b AS (SELECT id, username, created_at, hb AS k FROM p
            UNION ALL
            SELECT id, username, created_at, hb - INTERVAL 1 HOUR AS k FROM p)
-SELECT a.id AS first_id, b.id AS second_id, a.username AS username
+SELECT a.id AS id, a.username AS username, count(*) AS later_posts, min(b.created_at) AS next_post
 FROM p a JOIN b ON a.username = b.username AND a.hb = b.k
-WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR""", """
-SELECT a.id AS first_id, b.id AS second_id, a.username AS username
+WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR
+GROUP BY a.id, a.username""", """
+SELECT a.id AS id, a.username AS username, count(*) AS later_posts, min(b.created_at) AS next_post
 FROM posts a JOIN posts b ON a.username = b.username
-WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR"""),
+WHERE b.created_at > a.created_at AND b.created_at <= a.created_at + INTERVAL 1 HOUR
+GROUP BY a.id, a.username"""),
     # EXISTS / NOT EXISTS per user, folded into one per-user aggregate that
     # combines on the map side; the semi join then meets at most one row per
     # user, so a hot user is split by AQE on the probing side only (or the
@@ -522,6 +555,23 @@ FROM mastodon_posts GROUP BY ROLLUP(language, replies_count)""", """
 SELECT language, replies_count, CAST(grouping(language) AS INTEGER) AS g_language,
        CAST(grouping(replies_count) AS INTEGER) AS g_replies, count(*) AS post_count
 FROM posts GROUP BY ROLLUP(language, replies_count)"""),
+    "custom_sql_lag_frame": ("""
+SELECT id, lag(created_at) OVER (PARTITION BY account.username ORDER BY created_at, id) AS previous_post,
+       sum(favourites_count) OVER (PARTITION BY account.username ORDER BY created_at, id
+                                   ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS favourites_3
+FROM mastodon_posts""", LAG_FRAME_SQL),
+    "custom_sql_session_window": ("""
+SELECT account.username AS username, session_window.start AS session_start,
+       session_window.end AS session_end, count(*) AS post_count
+FROM mastodon_posts WHERE account.username IS NOT NULL
+GROUP BY account.username, session_window(created_at, '30 minutes')""", SESSIONS_SQL),
+    "custom_sql_exists": ("""
+SELECT p.id, p.language FROM mastodon_posts p
+WHERE EXISTS (SELECT 1 FROM mastodon_posts q
+              WHERE q.account.username = p.account.username AND q.favourites_count > 485)
+  AND NOT EXISTS (SELECT 1 FROM mastodon_posts r
+                  WHERE r.account.username = p.account.username AND r.language = 'es'
+                    AND r.reblogs_count > 97 AND r.favourites_count > 200)""", EXISTS_SQL),
     "custom_sql_rank_topk": ("""
 SELECT language, id, engagement, CAST(rn AS BIGINT) AS rn FROM (
   SELECT language, id, favourites_count + reblogs_count * 2 AS engagement,
@@ -546,7 +596,9 @@ FROM (SELECT unnest([make_timestamp((epoch_us(created_at) // 300000000) * 300000
 def _custom(name: str, text: str):
     def run(spark, d):
         from .sql import custom_sql
-        return custom_sql(spark, text, posts(spark, d))
+        # the view has the columns the text names
+        columns = NO_CONTENT if "language" in text else EVENT_COLUMNS
+        return custom_sql(spark, text, posts(spark, d, columns))
     run.__name__ = f"q_{name}"
     return run
 
@@ -555,47 +607,31 @@ for _name, (_spark_sql, _duck_sql) in CUSTOM_SQL.items():
     register(_name, with_posts(_duck_sql))(_custom(_name, _spark_sql))
 
 
-# Sequence samples: what an analyst writes as
+# Sequence operators: what an analyst writes as
 #   lag(created_at) / sum(favourites_count) ROWS 2 PRECEDING
-#     OVER (PARTITION BY account.username, date_trunc('DAY', created_at) ...)
+#     OVER (PARTITION BY account.username ORDER BY created_at, id)
 #   GROUP BY account.username, session_window(created_at, '30 minutes')
-# served by the chunked operators, so a (user, day) holding a third of all
-# posts is cut over many window tasks instead of sorted in one.
+# in chunks, so a user holding a third of all posts is cut over many window
+# tasks instead of sorted in one. The custom_sql_* keys above run the same as
+# analyst SQL.
 
-def _user_days(spark, d):
-    return posts(spark, d).select("id", "created_at", F.col("account.username").alias("username"),
-                                  "favourites_count",
-                                  F.date_trunc("DAY", "created_at").alias("day"))
+def _by_user(spark, d):
+    return posts(spark, d, EVENT_COLUMNS).select(
+        "id", "created_at", F.col("account.username").alias("username"), "favourites_count")
 
 
-@register("custom_sql_lag_frame", with_posts("""
-SELECT id, lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
-                                 ORDER BY created_at, id) AS previous_post,
-       CAST(sum(favourites_count) OVER (PARTITION BY username, date_trunc('day', created_at)
-                                        ORDER BY created_at, id
-                                        ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS BIGINT) AS favourites_3
-FROM posts"""))
-def q_custom_sql_lag_frame(spark, d):
+@register("sequence_lag_frame", with_posts(LAG_FRAME_SQL))
+def q_sequence_lag_frame(spark, d):
     from ..operators.sequence import lag_frame
-    out = lag_frame(_user_days(spark, d), ["username", "day"], "created_at", "id",
-                    "favourites_count")
+    out = lag_frame(_by_user(spark, d), ["username"], "created_at", "id", "favourites_count")
     return out.select("id", "previous_post", F.col("favourites_count_3").alias("favourites_3"))
 
 
-@register("custom_sql_session_window", with_posts("""
-SELECT username, min(created_at) AS session_start, max(created_at) + INTERVAL 30 MINUTE AS session_end,
-       count(*) AS post_count
-FROM (SELECT *, sum(CASE WHEN prev IS NULL OR created_at >= prev + INTERVAL 30 MINUTE THEN 1 ELSE 0 END)
-                  OVER (PARTITION BY username, day ORDER BY created_at, id) AS sid
-      FROM (SELECT username, created_at, id, date_trunc('day', created_at) AS day,
-                   lag(created_at) OVER (PARTITION BY username, date_trunc('day', created_at)
-                                         ORDER BY created_at, id) AS prev
-            FROM posts WHERE username IS NOT NULL))
-GROUP BY username, day, sid"""))
-def q_custom_sql_session_window(spark, d):
+@register("sequence_sessions", with_posts(SESSIONS_SQL))
+def q_sequence_sessions(spark, d):
     from ..operators.sequence import sessions
-    p = _user_days(spark, d).filter(F.col("username").isNotNull())
-    return sessions(p, ["username", "day"], "created_at", "id", 30).drop("day")
+    p = _by_user(spark, d).filter(F.col("username").isNotNull())
+    return sessions(p, ["username"], "created_at", "id", 30)
 
 
 # -------------------------------------------------------------- streaming --
@@ -790,7 +826,7 @@ def q_stream_upsert(spark, d):
     from ..streaming import keyed
     from ..streaming.replay import drain
     base = shared_path(spark, "stream-upsert")
-    log = _log_scored(spark, d)
+    log = _log_scored(spark, d).select("id", "seq", "favourites_count", "engagement_score")
     # the version order travels with each record, as Kafka offsets would
     frame = log.select("seq", F.struct("id", "favourites_count", "engagement_score").alias("r")) \
         .select("seq", F.to_json("r", {"ignoreNullFields": "false"}).alias("value"),

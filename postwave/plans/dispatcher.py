@@ -25,16 +25,16 @@ import argparse
 from pyspark.sql import DataFrame, SparkSession
 
 from ..functions.parse import register_source_table
-from ..schemas import (ENGAGEMENT_RECORD_SCHEMA, HASHTAG_RECORD_SCHEMA, TOPIC_ENGAGEMENT,
-                       TOPIC_HASHTAGS, TOPIC_POSTS)
+from ..schemas import (ENGAGEMENT_TABLE, HASHTAG_TABLE, TOPIC_ENGAGEMENT, TOPIC_HASHTAGS,
+                       TOPIC_POSTS)
 from . import pipelines
 from .sql import custom_sql
 
 STREAM_ANALYSES = ("engagement", "filter", "hashtags", "full")
-# index topics: short name -> (topic, record schema, table name, document key)
+# index topics: short name -> (topic, table schema, table name, document key)
 INDEX_TOPICS = {
-    "engagement": (TOPIC_ENGAGEMENT, ENGAGEMENT_RECORD_SCHEMA, "engagement", "id"),
-    "hashtags": (TOPIC_HASHTAGS, HASHTAG_RECORD_SCHEMA, "hashtags", "post_id"),
+    "engagement": (TOPIC_ENGAGEMENT, ENGAGEMENT_TABLE, "engagement", "id"),
+    "hashtags": (TOPIC_HASHTAGS, HASHTAG_TABLE, "hashtags", "post_id"),
 }
 SQL_ANALYSES = ("language", "users", "engagement", "dashboard", "count", "custom")
 
@@ -42,7 +42,7 @@ SQL_ANALYSES = ("language", "users", "engagement", "dashboard", "count", "custom
 def run_analysis(spark: SparkSession, raw: DataFrame, mode: str, analysis: str, *,
                  window: int = 5, languages: list[str] | None = None,
                  query: str | None = None, time: str = "processing",
-                 delay: str = "0 seconds") -> DataFrame | tuple[DataFrame, DataFrame]:
+                 delay: str = "0 seconds", heartbeat: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
     """Return the result frame(s) of one analysis over ``raw`` (``value``)."""
     if mode == "stream":
         if analysis not in STREAM_ANALYSES:
@@ -64,7 +64,10 @@ def run_analysis(spark: SparkSession, raw: DataFrame, mode: str, analysis: str,
             return custom_sql(spark, query)
         from ..streaming.jobs import window_stream
         if raw.isStreaming:
-            return window_stream(raw, analysis, time=time, window_minutes=window, delay=delay)
+            from ..streaming.heartbeat import heartbeat as beat
+            clock = beat(spark, "proc_time") if heartbeat and time == "processing" else None
+            return window_stream(raw, analysis, time=time, window_minutes=window, delay=delay,
+                                 heartbeat=clock)
         from ..streaming.jobs import WINDOW_ANALYSES
         from ..functions.parse import source_table
         posts = source_table(raw, with_proc_time=(time == "processing"))
@@ -94,7 +97,15 @@ def _parser() -> argparse.ArgumentParser:
     p.add_argument("--query", default=None)
     p.add_argument("--time", choices=["processing", "event"], default="processing")
     p.add_argument("--delay", default="0 seconds")
-    p.add_argument("--sink", choices=["kafka", "json", "parquet", "console"], default="console")
+    p.add_argument("--max-offsets-per-trigger", type=int, default=5_000_000,
+                   help="records taken from Kafka per micro-batch")
+    p.add_argument("--max-files-per-trigger", type=int, default=1000,
+                   help="files taken per micro-batch (files source)")
+    p.add_argument("--no-heartbeat", action="store_true",
+                   help="let processing-time windows wait for the next post to close")
+    p.add_argument("--sink", choices=["kafka", "json", "parquet", "console"], default="parquet")
+    p.add_argument("--console-rows", type=int, default=None,
+                   help="rows shown of each batch; required for the console sink")
     p.add_argument("--output", help="topic (kafka) or folder (json/parquet)")
     p.add_argument("--checkpoint", required=True)
     p.add_argument("--available-now", action="store_true",
@@ -116,29 +127,46 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         raise ValueError(f"--mode {args.mode} needs --analysis")
     if args.source == "kafka":
         start = args.starting_offsets or ("earliest" if args.mode == "stream" else "latest")
-        raw = read_topic(spark, args.input_topic, args.bootstrap_servers, start)
+        raw = read_topic(spark, args.input_topic, args.bootstrap_servers, start,
+                         max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
-        raw = read_replay(spark, args.input)
+        raw = read_replay(spark, args.input, max_files_per_trigger=args.max_files_per_trigger)
+    if args.sink == "console" and not args.console_rows:
+        raise ValueError("--sink console needs --console-rows")
+    if args.mode == "stream" and args.analysis == "full":
+        full_pipeline_job(raw, args.checkpoint, *_full_sinks(args), trigger=trigger).awaitTermination()
+        return
+    if args.sink != "console" and not args.output:
+        raise ValueError(f"--sink {args.sink} needs --output")
     out = run_analysis(spark, raw, args.mode, args.analysis, window=args.window,
                        languages=args.languages, query=args.query, time=args.time,
-                       delay=args.delay)
+                       delay=args.delay,
+                       heartbeat=not (args.no_heartbeat or args.available_now))
     sink = {"bootstrap": args.bootstrap_servers, "trigger": trigger}
     if args.sink == "kafka":
         sink["topic"] = args.output
     elif args.sink in ("json", "parquet"):
         sink["path"] = args.output
-    if isinstance(out, tuple):
-        fmt = "parquet" if args.sink == "console" else args.sink
-        q = full_pipeline_job(raw, args.checkpoint,
-                              {"fmt": fmt, "path": f"{args.output}/engagement"},
-                              {"fmt": fmt, "path": f"{args.output}/hashtags"}, trigger=trigger)
     else:
-        mode = "append"
-        if args.analysis == "custom":
-            from .sql import default_output_mode
-            mode = default_output_mode(out)
-        q = write_stream(out, args.sink, args.checkpoint, output_mode=mode, **sink)
-    q.awaitTermination()
+        sink["rows"] = args.console_rows
+    mode = "append"
+    if args.analysis == "custom":
+        from .sql import default_output_mode
+        mode = default_output_mode(out)
+    write_stream(out, args.sink, args.checkpoint, output_mode=mode, **sink).awaitTermination()
+
+
+def _full_sinks(args) -> tuple[dict, dict]:
+    """The two outputs of the full pipeline: its topics, two folders under
+    ``--output``, or the console."""
+    if args.sink == "kafka":
+        return tuple({"fmt": "kafka", "topic": t, "bootstrap": args.bootstrap_servers}
+                     for t in (TOPIC_ENGAGEMENT, TOPIC_HASHTAGS))
+    if args.sink == "console":
+        return ({"fmt": "console", "rows": args.console_rows},) * 2
+    if not args.output:
+        raise ValueError(f"--sink {args.sink} needs --output")
+    return tuple({"fmt": args.sink, "path": f"{args.output}/{n}"} for n in ("engagement", "hashtags"))
 
 
 def _consumer(spark: SparkSession, args, trigger: dict | None):
@@ -151,14 +179,18 @@ def _consumer(spark: SparkSession, args, trigger: dict | None):
         raise ValueError(f"--mode {args.mode} needs --output")
     start = args.starting_offsets or "latest"
     if args.mode == "archive":
-        raw = (read_topic(spark, args.input_topic, args.bootstrap_servers, start)
-               if args.source == "kafka" else read_replay(spark, args.input))
+        raw = (read_topic(spark, args.input_topic, args.bootstrap_servers, start,
+                          max_offsets_per_trigger=args.max_offsets_per_trigger)
+               if args.source == "kafka" else
+               read_replay(spark, args.input, max_files_per_trigger=args.max_files_per_trigger))
         return archive_job(raw, args.output, args.checkpoint, trigger=trigger)
     chosen = [INDEX_TOPICS[t] for t in args.topics]
     if args.source == "kafka":
-        raw = read_topic(spark, [t[0] for t in chosen], args.bootstrap_servers, start)
+        raw = read_topic(spark, [t[0] for t in chosen], args.bootstrap_servers, start,
+                         max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
-        raw = spark.readStream.schema("topic string, value string, seq bigint").json(args.input)
+        raw = (spark.readStream.schema("topic string, value string, seq bigint")
+               .option("maxFilesPerTrigger", str(args.max_files_per_trigger)).json(args.input))
     return upsert_job(raw, args.output, args.checkpoint,
                       {topic: (schema, name, key) for topic, schema, name, key in chosen},
                       trigger=trigger, compact_every=args.compact_every)

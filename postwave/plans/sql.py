@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+# Fixed value: the name of the post table in analysts' queries.
 POSTS_VIEW = "mastodon_posts"
 
 
@@ -35,8 +36,11 @@ def custom_sql(spark: SparkSession, query: str, posts: DataFrame | None = None,
 
 
 def default_output_mode(df: DataFrame) -> str:
-    """Output mode for a streaming custom query: ``append`` without
-    aggregation, ``update`` with one (plans that aggregate carry an
-    Aggregate node)."""
-    plan = df._jdf.queryExecution().analyzed().toString()
-    return "update" if "Aggregate" in plan else "append"
+    """Output mode for a streaming custom query: ``update`` if a node of its
+    plan aggregates (``GROUP BY``, ``DISTINCT``), else ``append``."""
+    def aggregates(node) -> bool:
+        if node.nodeName() in ("Aggregate", "Distinct", "Deduplicate"):
+            return True
+        below = node.children()
+        return any(aggregates(below.apply(i)) for i in range(below.size()))
+    return "update" if aggregates(df._jdf.queryExecution().analyzed()) else "append"

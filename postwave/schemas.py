@@ -93,7 +93,6 @@ HASHTAG_TABLE = StructType([
 
 # Topic names and defaults used by the pipelines.
 TOPIC_POSTS = "mastodon-posts"
-TOPIC_ANALYZED = "mastodon-analyzed"
 TOPIC_ENGAGEMENT = "mastodon-engagement"
 TOPIC_HASHTAGS = "mastodon-hashtags"
 TOPIC_FILTERED = "mastodon-filtered"

@@ -74,6 +74,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only if unset."""
     d = checkpoint_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="postwave-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(d)

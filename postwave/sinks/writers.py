@@ -71,5 +71,7 @@ def path_exists(spark: SparkSession, path: str) -> bool:
         return False
 
 
-def console(df: DataFrame, n: int = 20) -> None:
-    df.show(n, truncate=False)
+def console(df: DataFrame, rows: int) -> None:
+    """Show ``rows`` rows in full; the number must be named, as the rest is
+    not shown."""
+    df.show(rows, truncate=False)

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 def read_topic(spark: SparkSession, topics: str | list[str], bootstrap: str,
                starting_offsets: str = "earliest", streaming: bool = True,
-               group_id: str | None = None, **options) -> DataFrame:
+               group_id: str | None = None, max_offsets_per_trigger: int | None = 5_000_000,
+               **options) -> DataFrame:
     """Kafka topic(s) as ``key, value`` strings plus metadata columns.
 
     ``starting_offsets`` is honoured on first start only; afterwards offsets
@@ -21,7 +22,11 @@ def read_topic(spark: SparkSession, topics: str | list[str], bootstrap: str,
     r = (r.format("kafka").option("kafka.bootstrap.servers", bootstrap)
          .option("subscribe", names).option("startingOffsets", starting_offsets))
     if group_id:
-        r = r.option("kafka.group.id", group_id)
+        # a prefix: queries that share one group id may each read part of the data
+        r = r.option("groupIdPrefix", group_id)
+    if streaming and max_offsets_per_trigger:
+        # a backlog is taken in batches of bounded size
+        r = r.option("maxOffsetsPerTrigger", str(max_offsets_per_trigger))
     for k, v in options.items():
         r = r.option(k, v)
     return r.load().select(F.col("key").cast("string").alias("key"),

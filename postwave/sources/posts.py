@@ -58,14 +58,28 @@ def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
     return df
 
 
-def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Canonical posts table; ``created_at`` is the event timestamp."""
+# Post columns that come from ``documents``, and the column each needs.
+FROM_DOCUMENTS = {"content": "text", "language": "lang"}
+COLUMNS = ("id", "created_at", "content", "account", "language", "favourites_count",
+           "reblogs_count", "replies_count", "url", "tags")
+EVENT_COLUMNS = tuple(c for c in COLUMNS if c not in FROM_DOCUMENTS)
+NO_CONTENT = tuple(c for c in COLUMNS if c != "content")
+
+
+def posts(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """Canonical posts table; ``created_at`` is the event timestamp. Only
+    ``columns`` are made: without content and language ``documents`` is
+    neither read nor joined, and its size is measured on what is carried."""
     ev = _spread(spark, read_table(spark, sf_dir, "events"), "event_id")
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    n_docs = docs.select(F.count(F.lit(1))).scalar()
-    e = ev.withColumn("_doc", F.col("event_id") % n_docs)
-    docs = sized_side(spark, docs, [table_path(sf_dir, "documents")])
-    j = e.join(docs, e["_doc"] == docs["doc_id"], "left")
+    carried = [c for p, c in FROM_DOCUMENTS.items() if p in columns]
+    if carried:
+        docs = read_table(spark, sf_dir, "documents").select("doc_id", *carried)
+        n_docs = docs.select(F.count(F.lit(1))).scalar()
+        e = ev.withColumn("_doc", F.col("event_id") % n_docs)
+        docs = sized_side(spark, docs, [table_path(sf_dir, "documents")])
+        j = e.join(docs, e["_doc"] == docs["doc_id"], "left")
+    else:
+        j = ev
     eid = F.col("event_id")
     uid = F.col("user_id").cast("string")
     k = _k(F.col("props"))
@@ -80,19 +94,20 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
                  .otherwise(F.col("lang")))
     tags = (F.when(eid % EMPTY_TAGS_MOD == 0, F.array().cast("array<string>"))
              .otherwise(F.array(F.col("event_type"), F.concat(F.lit("k"), k))))
-    return j.select(
-        eid.cast("string").alias("id"),
-        F.col("ts").alias("created_at"),
-        F.col("text").alias("content"),
-        account.alias("account"),
-        language.alias("language"),
-        F.when(eid % NULL_FAVOURITES_MOD == 0, F.lit(None).cast("bigint"))
-         .otherwise(F.floor(F.col("value")).cast("bigint")).alias("favourites_count"),
-        F.expr("try_cast(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)").alias("reblogs_count"),
-        (eid % REPLIES_MOD).cast("bigint").alias("replies_count"),
-        F.concat(F.lit(URL_PREFIX), uid, F.lit("/"), eid.cast("string")).alias("url"),
-        tags.alias("tags"),
-    )
+    made = {
+        "id": eid.cast("string"),
+        "created_at": F.col("ts"),
+        "content": F.col("text"),
+        "account": account,
+        "language": language,
+        "favourites_count": F.when(eid % NULL_FAVOURITES_MOD == 0, F.lit(None).cast("bigint"))
+                             .otherwise(F.floor(F.col("value")).cast("bigint")),
+        "reblogs_count": F.expr("try_cast(regexp_extract(props, '([0-9]+)', 1) AS BIGINT)"),
+        "replies_count": (eid % REPLIES_MOD).cast("bigint"),
+        "url": F.concat(F.lit(URL_PREFIX), uid, F.lit("/"), eid.cast("string")),
+        "tags": tags,
+    }
+    return j.select(*[made[c].alias(c) for c in COLUMNS if c in columns])
 
 
 def iso_created_at(ts: Column) -> Column:
@@ -140,14 +155,18 @@ def raw_statuses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return p.select(F.col("id").cast("bigint").alias("seq"), F.to_json(st, opts).alias("value"))
 
 
-def post_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+def post_log(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
     """Append log of posts with re-emissions: ``seq`` orders versions and the
-    latest version of a post id must win on upsert."""
-    p = posts(spark, sf_dir).withColumn("seq", F.col("id").cast("bigint"))
-    again = (p.filter(F.array_contains("tags", REEMIT_TAG))
-              .withColumn("favourites_count", F.col("favourites_count") + 5)
-              .withColumn("seq", F.col("seq") + REEMIT_SEQ_OFFSET))
-    return p.unionByName(again)
+    latest version of a post id must win on upsert. One read: a generator
+    gives each post its one or two versions."""
+    p = posts(spark, sf_dir, columns)
+    seq = F.col("id").cast("bigint")
+    version = lambda n, fav: F.struct(n.alias("seq"), fav.alias("_favourites"))
+    first = version(seq, F.col("favourites_count"))
+    again = version(seq + REEMIT_SEQ_OFFSET, F.col("favourites_count") + 5)
+    versions = F.when(F.array_contains("tags", REEMIT_TAG), F.array(first, again)).otherwise(F.array(first))
+    return (p.select("*", F.inline(versions)).withColumn("favourites_count", F.col("_favourites"))
+             .drop("_favourites"))
 
 
 def canonical_json_rows(p: DataFrame) -> DataFrame:

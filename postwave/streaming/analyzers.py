@@ -9,9 +9,11 @@ functions, so every method has a batch twin that the oracle checks.
 Sources: Kafka (``source="kafka"``, needs the connector package) or a folder
 of JSON-lines files (``source="files"``). Sinks: Kafka topics named as in the
 original jobs, folders under ``output_root`` named after those topics
-(``"json"`` / ``"parquet"``), or the console. Checkpoints go under
-``checkpoint_root``, by default a fresh folder in the shared
-``spark.checkpoint.dir``.
+(``"json"`` / ``"parquet"``), or the console (``console_rows`` rows of each
+batch). Checkpoints go under ``checkpoint_root``, by default a folder below
+``output_root``, else one in the shared ``spark.checkpoint.dir`` named after
+the input: the same on every start, so a job that is started again goes on
+where it stopped.
 """
 
 from __future__ import annotations
@@ -19,13 +21,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import register_source_table
+from ..functions.parse import source_table
 from ..plans.sql import custom_sql, default_output_mode
 from ..schemas import (TOPIC_COUNTS, TOPIC_DASHBOARD, TOPIC_ENGAGEMENT, TOPIC_FILTERED,
                        TOPIC_HASHTAGS, TOPIC_POSTS)
-from ..session import shared_path
+from ..session import ensure_checkpoint_dir
 from ..sources.kafka import read_replay, read_topic
 from .heartbeat import heartbeat
+from .keyed import checkpoint_name
 from .jobs import (engagement_job, filter_job, full_pipeline_job, hashtag_job, window_stream,
                    write_stream)
 
@@ -38,7 +41,8 @@ class _Analyzer:
                  source: str = "kafka", input_path: str | None = None,
                  starting_offsets: str | None = None, max_files_per_trigger: int | None = None,
                  sink: str | None = None, output_root: str | None = None,
-                 checkpoint_root: str | None = None, trigger: dict | None = None):
+                 checkpoint_root: str | None = None, trigger: dict | None = None,
+                 console_rows: int | None = None, max_offsets_per_trigger: int = 5_000_000):
         if source not in ("kafka", "files"):
             raise ValueError(f"source must be 'kafka' or 'files', not {source!r}")
         if source == "files" and not input_path:
@@ -55,13 +59,23 @@ class _Analyzer:
         self.max_files_per_trigger = max_files_per_trigger
         self.sink = sink
         self.output_root = output_root
-        self.checkpoint_root = checkpoint_root or shared_path(spark, "analyzer")
+        self.checkpoint_root = checkpoint_root or self._fixed_checkpoint()
         self.trigger = trigger
+        self.console_rows = console_rows
+        self.max_offsets_per_trigger = max_offsets_per_trigger
+
+    def _fixed_checkpoint(self) -> str:
+        if self.output_root:
+            return f"{self.output_root.rstrip('/')}/_checkpoints"
+        read = self.input_path if self.source == "files" else f"{self.bootstrap_servers}/{self.input_topic}"
+        base = ensure_checkpoint_dir(self.spark).rstrip("/")
+        return f"{base}/postwave/{type(self).__name__}-{checkpoint_name(read)}"
 
     def _raw(self) -> DataFrame:
         if self.source == "kafka":
             return read_topic(self.spark, self.input_topic, self.bootstrap_servers,
-                              self.starting_offsets, group_id=self.group_id)
+                              self.starting_offsets, group_id=self.group_id,
+                              max_offsets_per_trigger=self.max_offsets_per_trigger)
         return read_replay(self.spark, self.input_path,
                            max_files_per_trigger=self.max_files_per_trigger)
 
@@ -72,8 +86,10 @@ class _Analyzer:
         if fmt == "kafka":
             return {"topic": name, "bootstrap": self.bootstrap_servers}
         if fmt in ("json", "parquet"):
+            if not self.output_root:
+                raise ValueError(f"the {fmt} output {name} needs output_root")
             return {"path": f"{self.output_root.rstrip('/')}/{name}"}
-        return {}
+        return {"rows": self.console_rows}
 
     def _start(self, df: DataFrame, original_fmt: str, name: str,
                output_mode: str = "append") -> StreamingQuery:
@@ -116,20 +132,23 @@ class SQLAnalyzer(_Analyzer):
     ``time="processing"`` windows on the arrival clock (with ``heartbeat``,
     windows also close while the source is silent); ``time="event"`` windows
     on ``created_at`` behind a watermark of ``delay``. By default the three
-    statistics print to the console and the dashboard and count outputs go
-    to their Kafka topics, as in the original jobs.
+    statistics and custom queries go to Parquet folders under ``output_root``
+    (the original jobs print them; a printed table holds only the rows it is
+    asked for), and the dashboard and count outputs to their Kafka topics. The
+    heartbeat is on unless a trigger ends the job by itself.
     """
 
     default_offsets = "latest"
 
     def __init__(self, spark: SparkSession, *, time: str = "processing",
-                 delay: str = "0 seconds", heartbeat: bool = False, **kw):
+                 delay: str = "0 seconds", heartbeat: bool | None = None, **kw):
         super().__init__(spark, **kw)
         if time not in ("processing", "event"):
             raise ValueError(f"time must be 'processing' or 'event', not {time!r}")
         self.time = time
         self.delay = delay
-        self.heartbeat = heartbeat
+        ends = {"availableNow", "once"} & set(self.trigger or ())
+        self.heartbeat = not ends if heartbeat is None else heartbeat
 
     def _window(self, analysis: str, window_minutes: int | None, original_fmt: str,
                 name: str) -> StreamingQuery:
@@ -141,13 +160,13 @@ class SQLAnalyzer(_Analyzer):
         return self._start(out, original_fmt, name)
 
     def analyze_language_distribution(self, window_minutes: int = 5) -> StreamingQuery:
-        return self._window("language", window_minutes, "console", "language_stats")
+        return self._window("language", window_minutes, "parquet", "language_stats")
 
     def analyze_top_users(self, window_minutes: int = 10) -> StreamingQuery:
-        return self._window("users", window_minutes, "console", "top_users")
+        return self._window("users", window_minutes, "parquet", "top_users")
 
     def analyze_engagement_metrics(self, window_minutes: int = 5) -> StreamingQuery:
-        return self._window("engagement", window_minutes, "console", "engagement_metrics")
+        return self._window("engagement", window_minutes, "parquet", "engagement_metrics")
 
     def real_time_dashboard_query(self) -> StreamingQuery:
         return self._window("dashboard", None, "kafka", TOPIC_DASHBOARD)
@@ -156,8 +175,14 @@ class SQLAnalyzer(_Analyzer):
         return self._window("count", None, "kafka", TOPIC_COUNTS)
 
     def custom_sql_query(self, query: str) -> StreamingQuery:
-        """Any SELECT over ``mastodon_posts``; aggregating queries stream in
-        update mode, others in append mode."""
-        register_source_table(self._raw(), with_proc_time=(self.time == "processing"))
-        out = custom_sql(self.spark, query)
-        return self._start(out, "console", "custom", output_mode=default_output_mode(out))
+        """Any SELECT over ``mastodon_posts``. Aggregating queries stream in
+        update mode to topics and the console. Files only take final rows, so
+        there the table has a watermark of ``delay`` on its time column, and
+        aggregates by window or session are written once they are final."""
+        posts = source_table(self._raw(), with_proc_time=(self.time == "processing"))
+        aggregates = default_output_mode(custom_sql(self.spark, query, posts)) == "update"
+        if aggregates and self._fmt("parquet") in ("json", "parquet"):
+            posts = posts.withWatermark("proc_time" if self.time == "processing" else "event_time", self.delay)
+            return self._start(custom_sql(self.spark, query, posts), "parquet", "custom")
+        out = custom_sql(self.spark, query, posts)
+        return self._start(out, "parquet", "custom", output_mode=default_output_mode(out))

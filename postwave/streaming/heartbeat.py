@@ -3,8 +3,8 @@
 In append mode a window is emitted once the watermark passes its end, and
 the watermark only moves when rows arrive. A ``rate`` stream unioned in
 before ``withWatermark`` supplies a steady clock; its rows carry
-``is_post = false`` and are filtered out right after the watermark node, so
-they never reach an aggregate.
+``is_post = false``. They reach the aggregate, so that they move the watermark,
+but are not counted there, and groups of heartbeats alone are dropped after it.
 """
 
 from __future__ import annotations

@@ -9,7 +9,7 @@ stopped and executor loss only re-runs tasks).
 * J4: parse once per micro-batch inside ``foreachBatch``, persist the parsed
   batch and write both branches (two ``writeStream``s would read and parse
   the source twice).
-* J5: raw archive with the exactly-once JSON file sink.
+* J5: raw archive of the records' own text with the exactly-once file sink.
 * J6: multi-topic index job: route by topic, append each batch to a keyed
   log (``streaming.keyed``) whose read view keeps the latest version.
 * Windowed SQL analyses (A1-A5) on processing time or event time with a
@@ -20,15 +20,16 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import parse_posts, source_table
+from ..functions.parse import is_record, parse_posts, record, source_table
 from ..operators import windows as W
 from ..operators.transforms import engagement_score, extract_hashtags, scored_view
 from ..plans.pipelines import engagement_pipeline, filtered_pipeline, hashtag_pipeline
 from ..sinks.writers import JSON_OPTS, kafka_value_frame
+from .keyed import checkpoint_name, part_name
 
 WINDOW_ANALYSES: dict[str, Callable[..., DataFrame]] = {
     "language": W.language_distribution,
@@ -42,8 +43,12 @@ WINDOW_ANALYSES: dict[str, Callable[..., DataFrame]] = {
 def write_stream(df: DataFrame, fmt: str, checkpoint: str, *, path: str | None = None,
                  topic: str | None = None, bootstrap: str | None = None,
                  output_mode: str = "append", trigger: dict | None = None,
-                 query_name: str | None = None) -> StreamingQuery:
-    """Attach a sink. ``fmt``: kafka | json | parquet | memory | console."""
+                 query_name: str | None = None, rows: int | None = None) -> StreamingQuery:
+    """Attach a sink. ``fmt``: kafka | json | parquet | text | memory | console.
+    The console shows ``rows`` rows of each batch, which must be named: it is
+    the one sink that does not hold every row."""
+    if fmt == "console" and not rows:
+        raise ValueError("the console sink needs rows, the number of rows it shows of each batch")
     out = df
     if fmt == "kafka":
         out = kafka_value_frame(df)
@@ -55,11 +60,15 @@ def write_stream(df: DataFrame, fmt: str, checkpoint: str, *, path: str | None =
     if fmt == "kafka":
         w = w.format("kafka").option("kafka.bootstrap.servers", bootstrap).option("topic", topic)
         return w.start()
-    if fmt in ("json", "parquet"):
+    if fmt in ("json", "parquet", "text"):
+        if not path:
+            raise ValueError(f"the {fmt} sink needs a path")
         w = w.format(fmt)
         if fmt == "json":
             w = w.option("ignoreNullFields", "false")
         return w.start(path)
+    if fmt == "console":
+        w = w.option("numRows", str(rows)).option("truncate", "false")
     return w.format(fmt).start()
 
 
@@ -78,28 +87,57 @@ def hashtag_job(raw: DataFrame, fmt: str, checkpoint: str, **sink) -> StreamingQ
     return write_stream(hashtag_pipeline(raw), fmt, checkpoint, **sink)
 
 
-def _write_batch(df: DataFrame, fmt: str, batch_id: int, path: str | None = None,
-                 topic: str | None = None, bootstrap: str | None = None) -> None:
-    """Idempotent per-batch write: a retried batch overwrites its own folder."""
+def _write_batch(df: DataFrame, fmt: str, part: str, path: str | None = None,
+                 topic: str | None = None, bootstrap: str | None = None, rows: int | None = None) -> None:
+    """Idempotent per-batch write: a retried batch overwrites its own folder.
+    Topics and the console get a retried batch again."""
     if fmt == "kafka":
         (kafka_value_frame(df).write.format("kafka")
          .option("kafka.bootstrap.servers", bootstrap).option("topic", topic).save())
     elif fmt == "json":
-        df.write.mode("overwrite").options(**JSON_OPTS).json(f"{path}/batch_id={batch_id}")
+        df.write.mode("overwrite").options(**JSON_OPTS).json(f"{path}/part={part}")
     elif fmt == "console":
-        df.show(20, truncate=False)
+        df.show(rows, truncate=False)
     else:
-        df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+        df.write.mode("overwrite").parquet(f"{path}/part={part}")
+
+
+def claim(spark: SparkSession, path: str, checkpoint: str) -> None:
+    """Mark ``path`` as written under ``checkpoint``. A job that appends would
+    repeat records there under another one, so that is refused."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    mine = f"_written_under-{checkpoint_name(checkpoint)}"
+    if fs.exists(p):
+        for st in fs.listStatus(p):
+            name = st.getPath().getName()
+            if name.startswith("_written_under-") and name != mine:
+                raise ValueError(f"{path} was written under another checkpoint than {checkpoint}; "
+                                 "go on with that one or choose another folder")
+    fs.mkdirs(spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{path}/{mine}"))
 
 
 def full_pipeline_job(raw: DataFrame, checkpoint: str, engagement_sink: dict,
                       hashtag_sink: dict, trigger: dict | None = None) -> StreamingQuery:
-    """J4: one parse per micro-batch, two outputs."""
+    """J4: one parse per micro-batch, two outputs. A restart with the same
+    checkpoint goes on where the job stopped; folders written under another
+    checkpoint are refused."""
+    for sink in (engagement_sink, hashtag_sink):
+        if sink["fmt"] == "console" and not sink.get("rows"):
+            raise ValueError("the console sink needs rows, the number of rows it shows of each batch")
+        if sink["fmt"] == "kafka" and not (sink.get("topic") and sink.get("bootstrap")):
+            raise ValueError("the kafka sink needs a topic and bootstrap servers")
+        if sink["fmt"] in ("json", "parquet"):
+            if not sink.get("path"):
+                raise ValueError(f"the {sink['fmt']} sink needs a path")
+            claim(raw.sparkSession, sink["path"], checkpoint)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        part = part_name(checkpoint, batch_id)
         parsed = parse_posts(batch).persist()
         try:
-            _write_batch(scored_view(engagement_score(parsed)), batch_id=batch_id, **engagement_sink)
-            _write_batch(extract_hashtags(parsed), batch_id=batch_id, **hashtag_sink)
+            _write_batch(scored_view(engagement_score(parsed)), part=part, **engagement_sink)
+            _write_batch(extract_hashtags(parsed), part=part, **hashtag_sink)
         finally:
             parsed.unpersist()
     w = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
@@ -110,11 +148,14 @@ def full_pipeline_job(raw: DataFrame, checkpoint: str, engagement_sink: dict,
 
 def archive_job(raw: DataFrame, path: str, checkpoint: str,
                 trigger: dict | None = None) -> StreamingQuery:
-    """J5: append every raw record that decodes to an object to a JSON-lines
-    archive (exactly-once file sink; the archive re-reads with
+    """J5: append every raw record that is one JSON object to a JSON-lines
+    archive, as it came: unknown and ill-typed fields, missing and null keys
+    stay what they were. Line breaks between its tokens become blanks, so that
+    a record is one line (exactly-once file sink; the archive re-reads with
     ``sinks.writers.read_jsonl``)."""
-    recs = source_table(raw, with_proc_time=False).drop("event_time")
-    return write_stream(recs, "json", checkpoint, path=path, trigger=trigger)
+    recs = raw.where(is_record(record(F.col("value")))).select(
+        F.regexp_replace("value", "[\\r\\n]+", " ").alias("value"))
+    return write_stream(recs, "text", checkpoint, path=path, trigger=trigger)
 
 
 def run_with_callback(raw: DataFrame, callback: Callable[[DataFrame, int], None],
@@ -165,7 +206,6 @@ def observe_ingest(raw: DataFrame, name: str = "ingest", value_col: str = "value
     they arrive in ``StreamingQueryProgress.observedMetrics`` — read them
     with ``IngestListener`` or ``query.lastProgress``.
     """
-    from ..functions.parse import is_record, record
     staged = raw.withColumn("_w", record(F.col(value_col)))
     ok = F.coalesce(is_record(F.col("_w")), F.lit(False))
     return staged.observe(name, F.count(F.lit(1)).alias("records"),

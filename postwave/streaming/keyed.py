@@ -1,62 +1,100 @@
 """Keyed tables fed by a stream: append log + latest-wins read view.
 
-Each micro-batch appends its decoded records to ``<root>/log/batch_id=N``
-(overwriting that one folder, so a retried batch is idempotent). The table
-is read as ``upsert_latest`` over the log (partial aggregation per key), and
-``compact`` folds the log into a snapshot at ``<root>/snapshot/v=N`` that
-later reads start from; nothing is ever rewritten in place.
+Each micro-batch appends its typed records to ``<root>/log/part=<part>``,
+where ``<part>`` names the query's checkpoint and the batch. A retried batch
+overwrites its own folder only, and a job that starts again with another
+checkpoint never touches what an earlier one wrote. Records that do not
+decode or do not fit the table's types go to ``<root>/rejects`` with a reason.
+
+The table is read as ``upsert_latest`` over the log (partial aggregation per
+key). ``compact`` folds the log into a snapshot at ``<root>/snapshot/v=N``
+together with the names of the parts it covers; later reads start from it, and
+nothing is ever rewritten in place.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import hashlib
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DataType, StructType, TimestampType
 
+from ..functions.parse import OBJECT_TEXT, field, is_record, record
 from ..operators.upsert import upsert_latest
 from ..sinks.writers import path_exists
 from ..sources.kafka import route_by_topic
 
+META = ("timestamp", "partition", "offset", "seq")
+
+
+def checkpoint_name(checkpoint: str) -> str:
+    """A short name of a checkpoint location, the same on every start."""
+    return hashlib.sha256(checkpoint.rstrip("/").encode()).hexdigest()[:16]
+
+
+def part_name(checkpoint: str, batch_id: int) -> str:
+    return f"{checkpoint_name(checkpoint)}-{batch_id:012d}"
 
-def _versions(spark: SparkSession, path: str, prefix: str) -> list[int]:
+
+def _names(spark: SparkSession, path: str, prefix: str, done: str = "") -> list[str]:
+    """Names below ``path`` that follow ``prefix`` and hold a finished write."""
     if not path_exists(spark, path):
         return []
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    out = []
-    for st in fs.listStatus(p):
-        name = st.getPath().getName()
-        if name.startswith(prefix) and path_exists(spark, f"{path}/{name}/_SUCCESS"):
-            out.append(int(name[len(prefix):]))
-    return sorted(out)
+    names = [st.getPath().getName() for st in fs.listStatus(p)]
+    return sorted(n[len(prefix):] for n in names
+                  if n.startswith(prefix) and path_exists(spark, f"{path}/{n}{done}/_SUCCESS"))
+
 
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    return sorted(int(n) for n in _names(spark, f"{root}/snapshot", "v=", "/covered"))
 
-def append_batch(df: DataFrame, root: str, batch_id: int) -> None:
-    df.write.mode("overwrite").parquet(f"{root}/log/batch_id={batch_id}")
+
+def _open_parts(spark: SparkSession, root: str) -> tuple[int | None, list[str]]:
+    """The newest snapshot and the log parts it does not cover."""
+    snaps = _versions(spark, root)
+    parts = _names(spark, f"{root}/log", "part=")
+    if not snaps:
+        return None, parts
+    covered = {r.value for r in spark.read.text(f"{root}/snapshot/v={snaps[-1]}/covered").collect()}
+    return snaps[-1], [p for p in parts if p not in covered]
 
 
 def read_table(spark: SparkSession, root: str, key: str, order: list[str],
                schema: StructType) -> DataFrame:
     """Latest version per key: snapshot (if any) plus the log after it."""
-    snaps = _versions(spark, f"{root}/snapshot", "v=")
-    parts = []
-    after = -1
-    if snaps:
-        after = snaps[-1]
-        parts.append(spark.read.parquet(f"{root}/snapshot/v={after}"))
-    if path_exists(spark, f"{root}/log"):
-        log = spark.read.parquet(f"{root}/log").filter(F.col("batch_id") > after).drop("batch_id")
-        parts.append(log)
-    if not parts:
+    snap, parts = _open_parts(spark, root)
+    found = [] if snap is None else [spark.read.parquet(f"{root}/snapshot/v={snap}/table")]
+    if parts:
+        found.append(spark.read.parquet(*[f"{root}/log/part={p}" for p in parts]))
+    if not found:
         return spark.createDataFrame([], schema)
-    df = parts[0]
-    for p in parts[1:]:
+    df = found[0]
+    for p in found[1:]:
         df = df.unionByName(p, allowMissingColumns=True)
     return upsert_latest(df, key, order)
 
 
+def read_rejects(spark: SparkSession, root: str) -> DataFrame:
+    """``value``, ``reason`` and the record's place, of every refused record."""
+    parts = _names(spark, f"{root}/rejects", "part=")
+    if not parts:
+        return spark.createDataFrame([], "value string, reason string")
+    return spark.read.parquet(*[f"{root}/rejects/part={p}" for p in parts])
+
+
+def read_counts(spark: SparkSession, root: str) -> DataFrame:
+    """Records per topic and outcome (``indexed`` / ``error``) so far."""
+    parts = _names(spark, f"{root}/counts", "part=")
+    if not parts:
+        return spark.createDataFrame([], "topic string, outcome string, records bigint")
+    return (spark.read.parquet(*[f"{root}/counts/part={p}" for p in parts])
+            .groupBy("topic", "outcome").agg(F.sum("records").alias("records")))
+
+
 def index_stats_at(spark: SparkSession, root: str,
                    tables: dict[str, tuple[str, list[str], StructType]]) -> DataFrame:
     """Documents per keyed table under ``root`` (``name -> (key, order,
@@ -72,47 +110,94 @@ def compact(spark: SparkSession, root: str, key: str, order: list[str],
             schema: StructType) -> int | None:
     """Write the current view as a new snapshot version; returns it.
 
-    Idempotent: when the newest snapshot already covers the newest log batch
-    (a retried compaction), nothing is read or written, so a snapshot is
-    never overwritten by a job that reads it."""
-    batches = _versions(spark, f"{root}/log", "batch_id=")
-    if not batches:
-        return None
-    v = batches[-1]
-    snaps = _versions(spark, f"{root}/snapshot", "v=")
-    if snaps and snaps[-1] >= v:
-        return snaps[-1]
-    view = read_table(spark, root, key, order, schema)
-    view.write.mode("overwrite").parquet(f"{root}/snapshot/v={v}")
+    Idempotent: when the newest snapshot covers every log part (a retried
+    compaction), nothing is read or written, so a snapshot is never overwritten
+    by a job that reads it. The names of the covered parts are written last; a
+    snapshot without them does not count."""
+    snap, parts = _open_parts(spark, root)
+    if not parts:
+        return snap
+    v = 0 if snap is None else snap + 1
+    covered = _names(spark, f"{root}/log", "part=")
+    read_table(spark, root, key, order, schema).write.mode("overwrite").parquet(f"{root}/snapshot/v={v}/table")
+    (spark.createDataFrame([(p,) for p in covered], "value string").coalesce(1)
+     .write.mode("overwrite").text(f"{root}/snapshot/v={v}/covered"))
     return v
 
 
+def _typed(x: Column, dtype: DataType) -> Column:
+    if isinstance(dtype, TimestampType):
+        return F.try_to_timestamp(x.try_cast("string"))
+    return x.try_cast(dtype)
+
+
+def decode(df: DataFrame, schema: StructType, stamp_col: str = "indexed_at") -> DataFrame:
+    """``r`` (the record with the table's types) and ``reason`` (null if it
+    fits) next to the columns of ``df``. Missing and JSON null are NULL; a
+    value that its type cannot hold refuses the record, named in the reason."""
+    fields = [f for f in schema.fields if f.name != stamp_col]
+    staged = df.withColumn("_w", record(F.col("value")))
+    w = F.col("_w")
+    staged = staged.select(*df.columns, is_record(w).alias("_is"),
+                           F.struct(*[field(w, "$." + f.name).alias(f.name) for f in fields]).alias("_x"))
+    x = lambda f: F.col("_x").getField(f.name)
+    typed = F.struct(*[_typed(x(f), f.dataType).alias(f.name) for f in fields])
+    staged = staged.withColumn("r", typed)
+    ill = F.array_compact(F.array(*[
+        F.when(x(f).isNotNull() & ~F.is_variant_null(x(f)) & F.col("r").getField(f.name).isNull(),
+               F.lit(f.name)) for f in fields]))
+    value = F.col("value")
+    reason = (F.when(value.isNull(), F.lit("null"))
+               .when(~value.rlike(OBJECT_TEXT), F.lit("not_an_object"))
+               .when(~F.col("_is"), F.lit("malformed_json"))
+               .when(F.size(ill) > 0, F.concat(F.lit("ill_typed:"), F.array_join(ill, ","))))
+    return staged.withColumn("reason", reason).select(*df.columns, "r", "reason")
+
+
 def upsert_job(raw: DataFrame, root: str, checkpoint: str,
                topics: dict[str, tuple[StructType, str]],
                trigger: dict | None = None, key: str = "id",
                compact_every: int | None = None) -> StreamingQuery:
     """J6: multi-topic stream -> one keyed log per topic.
 
-    ``topics`` maps topic -> (record schema, table name[, key]). Records keep the
+    ``topics`` maps topic -> (table schema, table name[, key]). Records keep the
     Kafka ``(timestamp, partition, offset)`` (or the replay ``seq``) as the
-    version order. With ``compact_every=N`` each table is compacted after
-    every N-th batch, so reads never scan more than N log batches past the
-    newest snapshot; ``key`` is the document key used by compaction.
+    version order. A record that is not one JSON object, or does not fit the
+    table's types, is written to the table's rejects; ``read_counts(root)``
+    gives the records indexed and refused per topic. With ``compact_every=N``
+    each table is compacted after every N-th batch, so reads never scan more
+    than N log batches past the newest snapshot; ``key`` is the document key
+    used by compaction.
     """
     def per_batch(batch: DataFrame, batch_id: int) -> None:
+        spark, part = batch.sparkSession, part_name(checkpoint, batch_id)
+        meta = [c for c in META if c in batch.columns]
         batch = batch.persist()
+        counts = None
         try:
-            for topic, part in route_by_topic(batch, list(topics)).items():
+            for topic, rows in route_by_topic(batch, list(topics)).items():
                 schema, name = topics[topic][:2]
                 tkey = topics[topic][2] if len(topics[topic]) > 2 else key
-                meta = [c for c in ("timestamp", "partition", "offset", "seq") if c in batch.columns]
-                rec = part.select(*meta, F.from_json("value", schema).alias("r")).select(
-                    "r.*", *meta)
-                rec = rec.withColumn("indexed_at", F.current_timestamp())
-                append_batch(rec, f"{root}/{name}", batch_id)
+                at = f"{root}/{name}"
+                staged = decode(rows.select(*meta, "value"), schema).persist()
+                try:
+                    (staged.where("reason is null")
+                     .select("r.*", *meta, F.current_timestamp().alias("indexed_at"))
+                     .write.mode("overwrite").parquet(f"{at}/log/part={part}"))
+                    (staged.where("reason is not null").select("value", "reason", *meta)
+                     .write.mode("overwrite").parquet(f"{at}/rejects/part={part}"))
+                    outcome = F.when(F.col("reason").isNull(), "indexed").otherwise("error")
+                    told = spark.createDataFrame(
+                        [(topic, r.outcome, r.records) for r in staged.groupBy(outcome.alias("outcome"))
+                         .agg(F.count("*").alias("records")).collect()],
+                        "topic string, outcome string, records bigint")
+                finally:
+                    staged.unpersist()
+                counts = told if counts is None else counts.unionByName(told)
                 if compact_every and (batch_id + 1) % compact_every == 0:
-                    order = [c for c in ("timestamp", "partition", "offset", "seq") if c in meta]
-                    compact(batch.sparkSession, f"{root}/{name}", tkey, order, schema)
+                    compact(spark, at, tkey, meta, schema)
+            if counts is not None:
+                counts.coalesce(1).write.mode("overwrite").parquet(f"{root}/counts/part={part}")
         finally:
             batch.unpersist()
     w = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)

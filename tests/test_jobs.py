@@ -1,0 +1,192 @@
+"""The consumer jobs under broken records, restarts and new checkpoints."""
+import json
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StringType, StructField, StructType, TimestampType
+
+from postwave.functions.parse import register_source_table
+from postwave.operators import joins
+from postwave.operators.transforms import extract_hashtags_raw
+from postwave.plans.dispatcher import main
+from postwave.plans.sql import custom_sql, default_output_mode
+from postwave.session import shared_path
+from postwave.sources.kafka import read_replay
+from postwave.streaming import keyed
+from postwave.streaming.jobs import archive_job, full_pipeline_job, run_with_callback, write_stream
+from postwave.streaming.replay import drain
+
+TABLE = StructType([StructField("id", StringType()), StructField("v", IntegerType()),
+                    StructField("at", TimestampType()), StructField("indexed_at", TimestampType())])
+SOURCE = "seq long, value string, topic string"
+
+
+def put(spark, path, rows):
+    spark.createDataFrame(rows, SOURCE).coalesce(1).write.mode("append").json(path)
+
+
+def index(spark, base, ckpt="ckpt", **more):
+    stream = spark.readStream.schema(SOURCE).option("maxFilesPerTrigger", "1").json(f"{base}/in")
+    drain(keyed.upsert_job(stream, f"{base}/out", f"{base}/{ckpt}", {"t": (TABLE, "tbl")}, **more))
+    return sorted((r.id, r.v) for r in
+                  keyed.read_table(spark, f"{base}/out/tbl", "id", ["seq"], TABLE).collect())
+
+
+def test_index_job_refuses_broken_records(spark):
+    base = shared_path(spark, "t-mixed")
+    put(spark, f"{base}/in", [(1, '{"id":"a","v":1,"at":"2031-01-01T00:00:00Z"}', "t"), (2, "{bad}", "t"),
+                              (3, "junk", "t"), (4, "[1]", "t"), (5, None, "t")])
+    put(spark, f"{base}/in", [(6, '{"id":"9","v":1} trailing', "t"), (7, '{"id":"b","v":"many"}', "t"),
+                              (8, '{"id":"c","v":3,"at":"noon"}', "t"), (9, '{"id":"a","v":null}', "t")])
+    assert index(spark, base) == [("a", None)]
+    put(spark, f"{base}/in", [(10, '{"id":"d","v":4}', "t"), (11, '{"id":"e","v":5}', "other")])
+    # the job is stopped and started again
+    assert index(spark, base) == [("a", None), ("d", 4)]
+    rejects = {r.seq: r.reason for r in keyed.read_rejects(spark, f"{base}/out/tbl").collect()}
+    assert rejects == {2: "malformed_json", 3: "not_an_object", 4: "not_an_object", 5: "null",
+                       6: "not_an_object", 7: "ill_typed:v", 8: "ill_typed:at"}
+    counts = {(r.topic, r.outcome): r.records for r in keyed.read_counts(spark, f"{base}/out").collect()}
+    assert counts == {("t", "indexed"): 3, ("t", "error"): 7}
+
+
+@pytest.mark.parametrize("every", [None, 1])
+def test_index_job_with_a_new_checkpoint_keeps_old_rows(spark, every):
+    base = shared_path(spark, "t-new-ckpt")
+    put(spark, f"{base}/in", [(1, '{"id":"a","v":1}', "t")])
+    put(spark, f"{base}/in", [(2, '{"id":"b","v":2}', "t")])
+    assert index(spark, base, compact_every=every) == [("a", 1), ("b", 2)]
+    put(spark, f"{base}/in", [(3, '{"id":"c","v":3}', "t"), (4, '{"id":"a","v":4}', "t")])
+    assert index(spark, base, "other", compact_every=every) == [("a", 4), ("b", 2), ("c", 3)]
+
+
+def lines(spark, path, texts):
+    spark.createDataFrame([(t,) for t in texts], "value string").coalesce(1).write.mode("append").text(path)
+
+
+def test_archive_keeps_the_text(spark):
+    base = shared_path(spark, "t-raw")
+    kept = ['{"id":"1","favourites_count":2.5,"extra":{"a":1},"reblogs_count":"10"}', '{"id":"2","language":null}',
+            '{ "id" : "3" , "content":"caf\\u00e9 \u00e9" }']
+    lines(spark, f"{base}/in", [*kept, "{bad", "[1]"])
+    drain(archive_job(read_replay(spark, f"{base}/in"), f"{base}/out", f"{base}/ckpt"))
+    assert sorted(r.value for r in spark.read.text(f"{base}/out").collect()) == sorted(kept)
+
+
+def test_archive_puts_a_record_on_one_line(spark):
+    base = shared_path(spark, "t-raw-lines")
+    spark.createDataFrame([('{"id":"1",\n "v": 2}',)], "value string").write.parquet(f"{base}/in")
+    raw = spark.readStream.schema("value string").parquet(f"{base}/in")
+    drain(archive_job(raw, f"{base}/out", f"{base}/ckpt"))
+    assert [json.loads(r.value) for r in spark.read.text(f"{base}/out").collect()] == [{"id": "1", "v": 2}]
+
+
+def test_full_pipeline_restart(spark):
+    base = shared_path(spark, "t-restart")
+    sinks = [{"fmt": "parquet", "path": f"{base}/{n}"} for n in ("eng", "tags")]
+    run = lambda ckpt: drain(full_pipeline_job(read_replay(spark, f"{base}/in"), f"{base}/{ckpt}", *sinks))
+    lines(spark, f"{base}/in", ['{"id":"a"}', '{"id":"b","tags":["x"]}'])
+    run("ckpt")
+    run("ckpt")
+    lines(spark, f"{base}/in", ['{"id":"c"}'])
+    run("ckpt")
+    for name, key in (("eng", "id"), ("tags", "post_id")):
+        assert sorted(r[key] for r in spark.read.parquet(f"{base}/{name}").collect()) == ["a", "b", "c"]
+    with pytest.raises(ValueError, match="another checkpoint"):
+        run("new")
+
+
+def test_analyzers_start_again_at_the_same_checkpoint(spark):
+    from postwave.streaming.analyzers import SQLAnalyzer, StreamAnalyzer
+    base = shared_path(spark, "t-again")
+    lines(spark, f"{base}/in", ['{"id":"a"}'])
+    job = lambda: StreamAnalyzer(spark, source="files", input_path=f"{base}/in", sink="parquet",
+                                 output_root=f"{base}/out", trigger={"availableNow": True})
+    job().run_full_pipeline().awaitTermination()
+    job().run_full_pipeline().awaitTermination()
+    assert spark.read.parquet(f"{base}/out/mastodon-engagement").count() == 1
+    assert StreamAnalyzer(spark).checkpoint_root == StreamAnalyzer(spark).checkpoint_root
+    sql = SQLAnalyzer(spark, source="files", input_path=f"{base}/in")
+    assert sql.heartbeat
+    with pytest.raises(ValueError, match="output_root"):
+        sql.analyze_top_users()
+
+
+def test_cli_names_its_outputs(spark):
+    base = shared_path(spark, "t-cli-out")
+    lines(spark, f"{base}/in", ['{"id":"a","tags":["x"]}'])
+    common = ["--mode", "stream", "--source", "files", "--input", f"{base}/in", "--checkpoint", f"{base}/ckpt",
+              "--available-now", "--analysis"]
+    for args in (["full"], ["engagement"], ["full", "--sink", "json"], ["engagement", "--sink", "console"]):
+        with pytest.raises(ValueError):
+            main([*common, *args], spark=spark)
+    main([*common, "full", "--output", f"{base}/out"], spark=spark)
+    assert spark.read.parquet(f"{base}/out/engagement").count() == 1
+    assert spark.read.parquet(f"{base}/out/hashtags").count() == 1
+
+
+def test_console_shows_the_rows_it_is_asked_for(spark, capsys):
+    base = shared_path(spark, "t-console")
+    lines(spark, f"{base}/in", [f'{{"id":"post{i:02d}"}}' for i in range(30)])
+    raw = read_replay(spark, f"{base}/in")
+    with pytest.raises(ValueError, match="rows"):
+        write_stream(raw, "console", f"{base}/none")
+    sinks = [{"fmt": "console", "rows": 30}] * 2
+    drain(full_pipeline_job(raw, f"{base}/ckpt", *sinks))
+    out = capsys.readouterr().out
+    assert all(f"post{i:02d}" in out for i in range(30))
+
+
+def test_streaming_distinct(spark):
+    base = shared_path(spark, "t-distinct")
+    lines(spark, f"{base}/in", ['{"id":"1","language":"en"}', '{"id":"2","language":"en"}'])
+    register_source_table(read_replay(spark, f"{base}/in"))
+    df = custom_sql(spark, "SELECT DISTINCT language FROM mastodon_posts")
+    assert default_output_mode(df) == "update"
+    assert default_output_mode(custom_sql(spark, "SELECT 'Aggregate' AS a, id FROM mastodon_posts")) == "append"
+    drain(write_stream(df, "memory", f"{base}/ckpt", output_mode="update", query_name="langs"))
+    assert [r.language for r in spark.sql("SELECT * FROM langs").collect()] == ["en"]
+
+
+def test_callback_gets_decoded_batches(spark):
+    base, seen = shared_path(spark, "t-callback"), []
+    lines(spark, f"{base}/in", ['{"id":"1"}', "{bad"])
+    drain(run_with_callback(read_replay(spark, f"{base}/in"),
+                            lambda df, i: seen.extend(r.id for r in df.collect()), f"{base}/ckpt"))
+    assert seen == ["1"]
+
+
+def test_tags_that_are_no_list_drop_the_record(spark):
+    texts = ['{"id":"1","tags":5}', '{"id":"2","tags":null}', '{"id":"3"}', '{"id":"4","tags":["a"]}', '{"id":"5","tags":"a"}']
+    df = spark.createDataFrame([(t,) for t in texts], "value string")
+    assert {r.post_id: r.hashtag_count for r in extract_hashtags_raw(df).collect()} == {"3": 0, "4": 1}
+
+
+def test_decoded_bytes_of_nested_columns(spark):
+    df = spark.range(1).select(F.sequence(F.lit(1), F.lit(1_000_000)).alias("a"))
+    assert joins.decoded_bytes(df) >= 8_000_000
+    df = spark.range(2).select(F.struct(F.lit("abc").alias("x"), F.array(F.lit("de"), F.lit(None)).alias("y")).alias("s"),
+                               F.create_map(F.lit("k"), F.lit(1)).alias("m"))
+    # words: 2 fields and nulls; x and y; 2 elements; a key and a value; and 3 + 2 + 1 bytes
+    assert joins.decoded_bytes(df) == 2 * (24 + 16 + 16 + 16 + 6)
+
+
+@pytest.mark.parametrize("key", ["simple_count", "top_users", "engagement_metrics", "dashboard_volume",
+                                 "hashtag_frequency", "trending_hashtags", "engagement_score", "tag_slice",
+                                 "filter_by_hashtag", "incremental_since", "custom_sql_group_having",
+                                 "custom_sql_self_join", "custom_sql_hop_window", "sequence_lag_frame",
+                                 "sequence_sessions", "upsert_engagement"])
+def test_posts_without_text_do_not_read_documents(spark, key):
+    from postwave.plans import catalog
+    from .conftest import SF_SMALL
+    plan = catalog.QUERIES[key](spark, SF_SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "doc_id" not in plan
+
+
+def test_ties_have_one_order_whatever_the_chunk_size(spark):
+    from postwave.operators import sequence as S
+    rows = [("u", "2031-01-01 00:00:00", "p", i % 50) for i in range(200)]
+    df = spark.createDataFrame(rows, "username string, t string, id string, favourites_count long").withColumn(
+        "created_at", F.col("t").cast("timestamp_ntz")).drop("t").repartition(4)
+    one, many = (S.lag_frame(df, ["username"], "created_at", "id", "favourites_count", chunk_rows=n)
+                 .groupBy("favourites_count_3").count() for n in (10 ** 6, 30))
+    assert sorted(map(tuple, one.collect())) == sorted(map(tuple, many.collect()))

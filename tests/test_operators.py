@@ -85,6 +85,6 @@ def test_print_sink_shows_rows(spark, capsys):
     from postwave.sinks.writers import console
     long_text = "x" * 80
     df = spark.createDataFrame([("1", long_text), ("2", "short")], "id string, content string")
-    console(df)
+    console(df, 2)
     out = capsys.readouterr().out
     assert long_text in out and "short" in out and "content" in out

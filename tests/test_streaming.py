@@ -81,7 +81,7 @@ def test_keyed_log_compacts_every_n_batches(spark):
     drain(keyed.upsert_job(stream, f"{base}/tables", f"{base}/ckpt",
                            {"t": (st, "tags", "post_id")}, compact_every=2))
     root = f"{base}/tables/tags"
-    assert keyed._versions(spark, f"{root}/snapshot", "v=") == [1]   # after batches 0 and 1
+    assert keyed._versions(spark, root) == [0]   # after batches 0 and 1
     view = sorted((r.post_id, r.v) for r in
                   keyed.read_table(spark, root, "post_id", ["seq"], st).collect())
     assert view == [("a", 3), ("b", 4), ("c", 5)]
@@ -250,7 +250,7 @@ def test_dispatcher_consumer_modes(spark):
     assert [(r.id, r.engagement_score) for r in e.collect()] == [("1", 9)]
     h = keyed.read_table(spark, f"{base}/index/hashtags", "post_id", ["seq"], HASHTAG_RECORD_SCHEMA)
     assert [(r.post_id, r.hashtag_count) for r in h.collect()] == [("1", 2)]
-    assert keyed._versions(spark, f"{base}/index/engagement/snapshot", "v=") == [0]
+    assert keyed._versions(spark, f"{base}/index/engagement") == [0]
     spec = {"engagement": ("id", ["seq"], ENGAGEMENT_RECORD_SCHEMA),
             "hashtags": ("post_id", ["seq"], HASHTAG_RECORD_SCHEMA),
             "not_created": ("id", ["seq"], ENGAGEMENT_RECORD_SCHEMA)}
