@@ -88,6 +88,8 @@ def text_chunks(batches: Iterator[pa.RecordBatch], text: str = "text",
                 limit: int = 4 << 20) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
     """Slices of the batches with about ``limit`` bytes of text (one longer
     text is a slice of its own), and their texts as UTF-8, null as empty."""
+    # give memory back when a batch is done, as workers live on beside the JVM
+    pa.set_memory_pool(pa.system_memory_pool())
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         if pa.types.is_string(column.type) or pa.types.is_large_string(column.type):

@@ -22,7 +22,6 @@ is the only one that may need padding.
 """
 from __future__ import annotations
 
-import bisect
 import zlib
 from collections.abc import Iterator
 
@@ -31,7 +30,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from postwave.llm.tables import read, written
+from postwave.llm.hashing import text_chunks
+from postwave.llm.tables import read, small_batches, small_or_merge, written
 from postwave.llm.tokens import WordTokens
 
 WINDOW = 4096
@@ -40,8 +40,11 @@ SEED = 29
 # The tokenizer file and the id that ends a document.
 VOCABULARY = "word_bpe_49k.json"
 END = 2
-# Documents of a queue that are put in order in one task, about.
+# Documents of a source that are put in order together, about, and the most
+# slices of a source as a power of two.
 BUCKET_ROWS = 4_000
+BITS = 20
+CHUNK = 3 << 20
 
 
 def public_vocabulary() -> str:
@@ -49,13 +52,9 @@ def public_vocabulary() -> str:
     return public_tokenizers.path(VOCABULARY)
 
 
-def _queued(docs: DataFrame, seed: int) -> DataFrame:
-    """doc_id, text, source as a text that is never null, and the place in the
-    seeded order as 62 bits."""
-    return docs.select(
-        "doc_id", "text",
-        F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source").cast("string")))
-        .alias("source"), F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 2).alias("turn"))
+def _source_key():
+    return F.when(F.col("source").isNull(), F.lit("n")).otherwise(
+        F.concat(F.lit("s"), F.col("source").cast("string"))).alias("source")
 
 
 def _queues(sizes: list[tuple[str, int]], window: int) -> list[list[str]]:
@@ -64,103 +63,122 @@ def _queues(sizes: list[tuple[str, int]], window: int) -> list[list[str]]:
     ranked = sorted(sizes, key=lambda x: (-x[1], x[0]))
     big = [s for s, n in ranked if n * window >= LEAST * total]
     small = [s for s, _ in ranked[len(big):]]
-    if small and big and sum(n for s, n in sizes if s in set(small)) * window < LEAST * total:
+    if small and big and sum(n for _, n in ranked[len(big):]) * window < LEAST * total:
         # what is left is too little for a queue even together
         small.append(big.pop())
     return [[s] for s in big] + ([small] if small else [])
 
 
+def encoded(docs: DataFrame, vocabulary: str, seed: int) -> DataFrame:
+    """doc_id, source (never null), slice of the seeded order, ids (2 or 4
+    bytes each, with the end id), n and ``at``, the ids before the document in
+    its source's slice. Texts are encoded once; only ids are shuffled."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    queued = docs.select("doc_id", _source_key(), F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 1)
+                         .alias("turn"), "text")
+
+    def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens = WordTokens.of(vocabulary)
+        for part, texts in text_chunks(batches, limit=CHUNK):
+            ids, n = tokens.encode(texts)
+            stop = np.cumsum(n)
+            end = np.array([END], ids.dtype).tobytes()
+            blobs = [ids[e - k:e].tobytes() + end for e, k in zip(stop, n)]
+            yield pa.RecordBatch.from_arrays(
+                [*part.columns[:3], pa.array(blobs, pa.binary()), pa.array(n + 1),
+                 pa.array(np.full(len(n), ids.itemsize, np.int32))],
+                names=["doc_id", "source", "turn", "ids", "n", "wide"])
+
+    rows = written(docs.groupBy(_source_key()).count(), "pack-rows")
+    # a power of two of slices per source, of about BUCKET_ROWS rows each
+    bits = F.least(F.lit(BITS), F.ceil(F.log2(F.greatest(F.col("count") / BUCKET_ROWS, F.lit(1.0))))).cast("int")
+    rows = small_or_merge(rows.select("source", bits.alias("bits")))
+    slices = (queued.mapInArrow(encode, f"doc_id {kind}, source string, turn long, ids binary, n long, wide int")
+              .join(rows, "source")
+              .withColumn("slice", F.expr(f"shiftleft(shiftright(turn, 63 - bits), {BITS} - bits)").cast("long"))
+              .drop("bits"))
+    spark = docs.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = ["source", "slice", "turn", "doc_id", "ids"]
+    ready = slices.repartition(parts, "source", "slice").sortWithinPartitions(*order).select(
+        "doc_id", "source", "slice", "ids", "n", "wide")
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, before = None, 0
+        for batch in batches:
+            at = []
+            for key, n in zip(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()),
+                              batch.column(4).to_pylist()):
+                if key != last:
+                    last, before = key, 0
+                at.append(before)
+                before += n
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64())],
+                                             names=[*batch.schema.names, "at"])
+
+    return ready.mapInArrow(place, f"doc_id {kind}, source string, slice long, ids binary, n long, wide int, at long")
+
+
 def pieces(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW,
-           seed: int = SEED, max_queues_listed: int = 100_000) -> DataFrame:
+           seed: int = SEED, most_sources: int = 100_000) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (array), doc_tokens,
     sequence_id, offset.
 
     A document is its token ids and the end id; a null or empty text is the
     end id alone. Documents are cut wherever a window is full; every id lies in
     exactly one piece. Null source: a queue of its own. Rows with the same id
-    are separate documents, in the order of their texts. An empty table gives
-    no rows. Columns besides doc_id, text and source are not read.
+    are separate documents, in the order of their ids' bytes. An empty table
+    gives no rows. Columns besides doc_id, text and source are not read.
 
     The list of sources and their totals is read by the driver; it is one row
-    per source, and more than ``max_queues_listed`` are refused.
+    per source, and more than ``most_sources`` are refused.
     """
-    vocabulary = vocabulary or public_vocabulary()
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    queued = _queued(docs, seed)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens.of(vocabulary)
-        for batch in batches:
-            n = [len(x) + 1 for x in tokens.encode(batch.column(2).to_pylist())]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(n, pa.int64())], names=["source", "turn", "n"])
-
-    # tokens per source and slice of the order; the slices are fine enough for any bucket size
-    bits = 14
-    counted = written(
-        queued.select("source", "turn", "text").mapInArrow(count, "source string, turn long, n long")
-        .groupBy("source", F.shiftright("turn", 62 - bits).alias("slice"))
-        .agg(F.sum("n").alias("n"), F.count("*").alias("rows")), "pack-slices")
-    per_source = counted.groupBy("source").agg(F.sum("n").alias("n"), F.sum("rows").alias("rows"))
-    listed = per_source.limit(max_queues_listed + 1).collect()
-    if len(listed) > max_queues_listed:
-        raise ValueError(f"more than {max_queues_listed} sources; give them coarser names first")
-    queues = _queues([(r["source"], r["n"]) for r in listed], window)
-    rows = {r["source"]: r["rows"] for r in listed}
-    size = {r["source"]: r["n"] for r in listed}
+    spark = small_batches(docs).sparkSession
+    rows = written(encoded(docs, vocabulary or public_vocabulary(), seed), "pack-ids")
+    per_slice = written(rows.groupBy("source", "slice").agg(F.sum("n").alias("n")), "pack-slices")
+    sizes = [(r["source"], r["n"]) for r in per_slice.groupBy("source").agg(F.sum("n").alias("n"))
+             .limit(most_sources + 1).collect()]
+    if len(sizes) > most_sources:
+        raise ValueError(f"more than {most_sources} sources; give them coarser names first")
+    queues = _queues(sizes, window)
+    size = dict(sizes)
     upto = [0]
     for q in queues:
         upto.append(upto[-1] + sum(size[s] for s in q))
-    # slices are joined to buckets of about BUCKET_ROWS rows, a power of two per queue
-    spark = docs.sparkSession
-    place = [(s, i, _bits(sum(rows[x] for x in q), bits)) for i, q in enumerate(queues) for s in q]
-    place = spark.createDataFrame(place, "source string, queue int, bits int")
-    place = F.broadcast(place) if len(listed) <= 10_000 else place.hint("merge")
-    starts = (counted.join(place, "source")
-              .groupBy("queue", "bits", F.expr(f"shiftright(slice, {bits} - bits)").alias("bucket"))
-              .agg(F.sum("n").alias("n")))
-    before = (F.sum("n").over(Window.partitionBy("queue").orderBy("bucket")) - F.col("n")).alias("before")
-    starts = written(starts.select("queue", "bucket", before), "pack-starts")
-    dealt = (queued.join(place, "source")
-             .withColumn("bucket", F.expr("shiftright(turn, 62 - bits)"))
-             .select("queue", "bucket", "turn", "doc_id", "text", F.lit(None).cast("long").alias("before")))
-    heads = starts.select("queue", "bucket", F.lit(-1).cast("long").alias("turn"),
-                          F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("string").alias("text"), "before")
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a bucket's first row tells where in its queue it begins
-    order = ["queue", "bucket", "turn", "doc_id", "text"]
-    ready = (dealt.unionByName(heads).repartition(parts, "queue", "bucket").sortWithinPartitions(*order))
-
+    numbers = spark.createDataFrame([(s, i) for i, q in enumerate(queues) for s in q], "source string, queue int")
+    # the sources of a joint queue take turns slice by slice
+    before = F.sum("n").over(Window.partitionBy("queue").orderBy("slice", "source")) - F.col("n")
+    starts = written(per_slice.join(numbers, "source").select("source", "slice", "queue", before.alias("begin")),
+                     "pack-starts")
+    return rows.join(small_or_merge(starts), ["source", "slice"]).select(
+        "doc_id", "queue", (F.col("begin") + F.col("at")).alias("at"), "ids", "wide").mapInArrow(
+        _cutter(upto, window),
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start long, length long, ids array<int>, "
+        "doc_tokens long, sequence_id long, offset long")
+
+
+def _cutter(upto: list[int], window: int):
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = WordTokens.of(vocabulary)
-        at = 0
         for batch in batches:
-            queue, first = batch.column(0).to_pylist(), batch.column(5).to_pylist()
-            out: list[list] = [[] for _ in range(7)]
-            for i, ids in enumerate(tokens.encode(batch.column(4).to_pylist())):
-                if first[i] is not None:
-                    at = first[i]
-                    continue
-                ids = np.append(ids, np.uint32(END)).astype(np.uint32)
-                for start, length, sequence, offset in _cuts(upto, queue[i], at, len(ids), window):
-                    for c, v in zip(out, (i, start, length, ids[start:start + length], len(ids), sequence, offset)):
+            queue, at, blobs, wide = (c.to_pylist() for c in batch.columns[1:])
+            out: list[list] = [[] for _ in range(6)]
+            flat = []
+            for i, blob in enumerate(blobs):
+                ids = np.frombuffer(blob, np.uint16 if wide[i] == 2 else np.uint32)
+                flat.append(ids.astype(np.int32))
+                for piece in _cuts(upto, queue[i], at[i], len(ids), window):
+                    for c, v in zip(out, (i, piece[0], piece[1], len(ids), piece[2], piece[3])):
                         c.append(v)
-                at += len(ids)
-            lengths = np.cumsum([0, *out[2]])
-            flat = np.concatenate(out[3]) if out[3] else np.zeros(0, np.uint32)
+            cuts = np.concatenate(([0], np.cumsum(out[2]))).astype(np.int32)
             yield pa.RecordBatch.from_arrays(
-                [batch.column(3).take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int64()),
+                [batch.column(0).take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int64()),
                  pa.array(out[2], pa.int64()),
-                 pa.ListArray.from_arrays(pa.array(lengths, pa.int32()), pa.array(flat.astype(np.int32))),
-                 *(pa.array(c, pa.int64()) for c in out[4:])],
+                 # the pieces of a document come one after the other, so the ids need not move
+                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(flat or [cuts[:0]]))),
+                 *(pa.array(c, pa.int64()) for c in out[3:])],
                 names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
 
-    return ready.mapInArrow(cut, f"doc_id {kind}, start long, length long, ids array<int>, "
-                                 "doc_tokens long, sequence_id long, offset long")
-
-
-def _bits(rows: int, most: int) -> int:
-    return min(most, max(0, (rows // BUCKET_ROWS).bit_length()))
+    return cut
 
 
 def _cuts(upto: list[int], s: int, at: int, n: int, window: int) -> list[tuple[int, int, int, int]]:

@@ -2,17 +2,47 @@
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 
 # Words remembered by one worker; the memory starts anew beyond that.
-REMEMBERED = 400_000
+REMEMBERED = 500_000
+# Punctuation that the tokenizer splits from letters before it.
+PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Latin letters up to here have one lower-case letter each, but for U+0130.
+LATIN_END, DOTTED = "\u0180", "\u0130"
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte: itself if it can be seen, else the
+    next free one from 256 on."""
+    seen = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    return {b: chr(b) for b in seen} | {b: chr(256 + i) for i, b in enumerate(
+        b for b in range(256) if b not in set(seen))}
+
+
+class _Numbers(dict):
+    """Numbers words in the order they are first asked for."""
+
+    def __init__(self):
+        super().__init__()
+        self.new: list[bytes] = []
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = n = len(self)
+        self.new.append(word)
+        return n
 
 
 class WordTokens:
     """A tokenizer whose pieces never cross ASCII white space and that drops
     it, so a text's ids are the ids of its words one after the other. Each
-    distinct word is encoded once; the ids of a text are then gathered."""
+    distinct word is encoded once; the ids of a text are then gathered.
+
+    Most words are Latin letters with punctuation behind. Their two parts are
+    put to the vocabulary's merges straight away; any other word goes through
+    the whole tokenizer."""
 
     _kept: dict[str, "WordTokens"] = {}
 
@@ -20,7 +50,10 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
+        # special tokens spelled in a text are plain characters
         self.tokenizer.encode_special_tokens = True
+        self.merges = self.tokenizer.model
+        self.letters = _byte_letters()
         self._clear()
 
     @classmethod
@@ -30,37 +63,62 @@ class WordTokens:
         return cls._kept[vocabulary]
 
     def _clear(self) -> None:
-        self.number: dict[bytes, int] = {}
-        self.ids: np.ndarray = np.zeros(1 << 16, np.uint32)
+        self.number = _Numbers()
+        self.tails: dict[str, list[int]] = {}
+        self.ids: np.ndarray = np.zeros(1 << 16, np.uint16)
         self.first = np.zeros(1, np.int64)
 
-    def _learn(self, words: list[bytes]) -> None:
-        new = [e.ids for e in self.tokenizer.encode_batch(
-            [w.decode("utf-8", "replace") for w in words], add_special_tokens=False)]
-        flat = np.fromiter((i for x in new for i in x), np.uint32)
+    def _part(self, part: str) -> list[int]:
+        letters = part if part.isascii() else "".join(map(self.letters.__getitem__, part.encode()))
+        return [t.id for t in self.merges.tokenize(letters)] if part else []
+
+    def _tail(self, tail: str) -> list[int]:
+        ids = self.tails.get(tail)
+        if ids is None:
+            ids = self._part(tail)
+            if len(self.tails) < 10_000:
+                self.tails[tail] = ids
+        return ids
+
+    def _word(self, word: bytes) -> list[int]:
+        text = word.decode("utf-8", "replace")
+        head = text.rstrip(PUNCTUATION)
+        if head.isascii() and head.isalpha() or not head or (
+                head.isalpha() and max(head) < LATIN_END and DOTTED not in head):
+            return self._part(head.lower()) + self._tail(text[len(head):])
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+    def _learn(self) -> None:
+        """Adds the ids of the words numbered since the last time."""
+        each = list(map(self._word, self.number.new))
+        self.number.new = []
+        length = np.fromiter(map(len, each), np.int64, len(each))
+        flat = np.fromiter(chain.from_iterable(each), np.uint32, int(length.sum()))
+        if len(flat) and flat.max() >= 1 << 16:
+            self.ids = self.ids.astype(np.uint32)
         used = int(self.first[-1])
-        while used + len(flat) > len(self.ids):
-            self.ids = np.concatenate((self.ids, np.zeros_like(self.ids)))
+        if used + len(flat) > len(self.ids):
+            self.ids = np.concatenate((self.ids, np.zeros(used + len(flat), self.ids.dtype)))
         self.ids[used:used + len(flat)] = flat
-        for w in words:
-            self.number[w] = len(self.number)
-        self.first = np.concatenate((self.first, used + np.cumsum([len(x) for x in new], dtype=np.int64)))
-
-    def _one(self, text: str | bytes | None) -> np.ndarray:
-        words = (text.encode() if isinstance(text, str) else text or b"").split()
-        unseen = list({w for w in words if w not in self.number})
-        if unseen:
-            if len(self.number) + len(unseen) > REMEMBERED:
-                self._clear()
-                unseen = list(set(words))
-            self._learn(unseen)
+        self.first = np.concatenate((self.first, used + np.cumsum(length)))
+
+    def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all texts one after the other, and ids per text."""
+        if len(self.number) > REMEMBERED:
+            self._clear()
+        words: list[bytes] = []
+        many = np.zeros(len(texts), np.int64)
+        for i, t in enumerate(texts):
+            w = t.split()
+            words += w
+            many[i] = len(w)
         n = np.fromiter(map(self.number.__getitem__, words), np.int64, len(words))
-        start, length = self.first[n], self.first[n + 1] - self.first[n]
-        total = int(length.sum())
-        at = np.arange(total) - np.repeat(np.cumsum(length) - length, length) + np.repeat(start, length)
-        return self.ids[at]
-
-    def encode(self, texts: list):
-        """The ids of each text, one text at a time; null is empty."""
-        for t in texts:
-            yield self._one(t)
+        if self.number.new:
+            self._learn()
+        start = self.first[n]
+        length = self.first[n + 1] - start
+        stop = np.cumsum(length)
+        total = int(stop[-1]) if len(stop) else 0
+        at = np.arange(total) + np.repeat(start - stop + length, length)
+        upto = np.concatenate(([0], stop))
+        return self.ids[at], np.diff(upto[np.concatenate(([0], np.cumsum(many)))])
