@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwave.llm.hashing import text_chunks
-from postwave.llm.tables import SPACES, read, small_batches, small_or_merge, written
+from postwave.llm.tables import SPACES, read, small_batches, written
 
 MIN_WORDS = 50
 DOC = ["doc_id", "content"]
@@ -83,7 +83,7 @@ def _place():
 def _first(rows: DataFrame, *key: str) -> DataFrame:
     """``rows`` whose key occurs more than once, with ``rank``: the first place of it."""
     seen = rows.groupBy(*key).agg(F.min(_place()).alias("rank"), F.count("*").alias("times"))
-    seen = small_or_merge(written(seen.where("times > 1").drop("times"), "line-ranks"))
+    seen = written(seen.where("times > 1").drop("times"), "line-ranks").hint("merge")
     return rows.join(seen, list(key))
 
 
@@ -140,7 +140,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     cuts = (repeated(lines).groupBy(*DOC)
             .agg(F.collect_set(F.struct("at", "size")).alias("_cuts"))
             .select(F.struct(*DOC).alias("_doc"), "_cuts"))
-    cuts = small_or_merge(written(cuts, "line-cuts"))
+    cuts = written(cuts, "line-cuts").hint("merge")
     keep = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
     rows = docs.select(F.struct(F.col("doc_id"), _content()).alias("_doc"), *keep)
     # one mark per line: rows without cuts keep their text as it is

@@ -11,6 +11,8 @@ from postwave.session import shared_path
 # The characters between words (space and \t \n \x0b \x0c \r).
 SPACES = " \t\n\x0b\x0c\r"
 SPACE_RUN = r"[\x20\x09-\x0D]+"
+# An operator may hold a dozen of these at a time, next to Python workers.
+MOST_BROADCAST = 8 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -44,10 +46,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def small_or_merge(df: DataFrame) -> DataFrame:
     """``df`` marked for broadcast when its decoded size is measured within
-    the session's limit, for a shuffled join otherwise. ``df`` should be a
-    written table or cheap to compute, as measuring reads it once."""
+    MOST_BROADCAST and the session's limit, for a shuffled join otherwise.
+    ``df`` should be a written table or cheap to compute, as measuring reads
+    it once."""
     spark = df.sparkSession
-    small = decoded_bytes(df) <= broadcast_limit(spark)
+    small = decoded_bytes(df) <= min(MOST_BROADCAST, broadcast_limit(spark))
     return F.broadcast(df) if small else df.hint("merge")
 
 
