@@ -6,6 +6,13 @@ automaton knows; the fewer phrases a language needs, each told by its place in
 the sample, the fewer bits a letter costs. The language with the fewest bits
 per letter wins.
 
+A phrase costs log2 of the letters of the language's own sample. Told by a small
+sample alone that would be cheap, so a language pays once, for every text, what
+its sample lacks to the largest one. A letter that begins no phrase costs the
+same in every language: a phrase of the largest sample, and log2 of the alphabet.
+Languages whose sample has fewer than ``LEAST_LETTERS`` letters, none included,
+are left out: nothing is predicted as them.
+
 A fit reads at most ``SAMPLE_DOCS`` documents and ``SAMPLE_CHARS`` letters of
 each language (a documented bound of the fit alone); every whole text is
 predicted. The sample, not the automata, is sent to the tasks, which build the
@@ -31,6 +38,7 @@ SAMPLE_DOCS = 120
 DOC_CHARS = 600
 SAMPLE_CHARS = 40_000
 MOST_LANGUAGES = 200
+LEAST_LETTERS = 200
 BLOCK = 256
 SEED = 11
 CHUNK = 3 << 20
@@ -101,6 +109,9 @@ class Languages:
         self.start = np.cumsum([0, *(len(t) for t in tables)])[:-1].astype(np.int64)
         self.table = np.concatenate([np.where(t > 0, t + s, 0) for t, s in zip(tables, self.start)]) if tables else None
         self.bits = np.array(bits)
+        most = max(bits, default=1.0)
+        self.smaller = most - self.bits
+        self.letter = most + math.log2(len(letters) + 2)
 
     @classmethod
     def of(cls, samples: tuple[tuple[str, str], ...]) -> "Languages":
@@ -119,6 +130,12 @@ class Languages:
 
     def phrases(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(phrases of each text in each language, letters of each text)."""
+        found, single, letters = self.parse(texts)
+        return found + single, letters
+
+    def parse(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(phrases the sample has, letters that begin none, both of each text
+        in each language; letters of each text)."""
         each = [self._codes(t) for t in texts]
         letters = np.array([int((c != GAP).sum()) for c in each], np.int64)
         sizes = np.array([len(c) for c in each], np.int64)
@@ -132,10 +149,10 @@ class Languages:
         order = np.argsort(-count, kind="stable")
         owner, begin, count = owner[order], begin[order], count[order]
         running = np.searchsorted(-count, -np.arange(BLOCK), "left")
-        out = np.zeros((len(self.names), len(each)), np.int64)
+        out = np.zeros((2, len(self.names), len(each)), np.int64)
         for k, root in enumerate(self.start):
             state = np.full(len(owner), root, np.int64)
-            found = np.zeros(len(owner), np.int64)
+            found, single = np.zeros((2, len(owner)), np.int64)
             for step in range(int(count.max(initial=0))):
                 n = running[step]
                 c = flat[begin[:n] + step]
@@ -146,19 +163,20 @@ class Languages:
                 found[:n] += ends & (s != root)
                 again = self.table[root, c]
                 alone = ends & (again == 0)
-                found[:n] += alone
+                single[:n] += alone
                 state[:n] = np.where(ends, np.where(alone, root, again), to)
             found += state != root
-            out[k] = np.bincount(owner, weights=found, minlength=len(each)).astype(np.int64)
-        return out, letters
+            for kind, of in enumerate((found, single)):
+                out[kind, k] = np.bincount(owner, weights=of, minlength=len(each)).astype(np.int64)
+        return out[0], out[1], letters
 
     def predict(self, texts: list[bytes]) -> tuple[list[str], np.ndarray]:
         """The language of each text, and the second best's share of the bits
         of the best two; ``und`` and 0 without letters or languages."""
         if not self.names:
             return ["und"] * len(texts), np.zeros(len(texts))
-        count, letters = self.phrases(texts)
-        bits = count * self.bits[:, None]
+        found, single, letters = self.parse(texts)
+        bits = found * self.bits[:, None] + single * self.letter + self.smaller[:, None]
         best = bits.argmin(axis=0)
         low = np.sort(bits, axis=0)
         score = np.ones(len(texts)) if len(self.names) == 1 else low[1] / np.maximum(low[0] + low[1], 1e-9)
@@ -180,14 +198,16 @@ def learn(docs: DataFrame) -> tuple[tuple[str, str], ...]:
         found.setdefault(r["lang"], []).append(r["text"])
     if len(rows) > MOST_LANGUAGES * SAMPLE_DOCS:
         raise ValueError(f"more labelled samples than {MOST_LANGUAGES} languages give")
-    return tuple((k, "\n".join(v)[:SAMPLE_CHARS]) for k, v in sorted(found.items()))
+    samples = ((k, "\n".join(v)[:SAMPLE_CHARS]) for k, v in sorted(found.items()))
+    return tuple((k, t) for k, t in samples if sum(c.isalpha() for c in t) >= LEAST_LETTERS)
 
 
 def identify(docs: DataFrame) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score.
 
     Learns from rows whose crc32(doc_id) modulo 5 is not 0 and whose lang is
-    not null; predicts from the text alone. ``und`` with score 0 for a null
+    not null, for languages whose sample has LEAST_LETTERS letters or more;
+    predicts from the text alone. ``und`` with score 0 for a null
     text, one without letters, and all texts if no language was learned. Of
     languages with equal bits the first by name wins. Rows with the same id are
     predicted one by one. An empty table gives no rows. Columns besides doc_id,

@@ -201,6 +201,27 @@ def test_languages(spark, odd, odd_rows, none):
     assert {r.lang_pred for r in language_id.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
 
 
+def test_small_samples_are_not_cheap(spark):
+    """A label of digits only is never predicted; a rare language is, for its
+    own texts alone."""
+    r = random.Random(9)
+    stems = {k: ["".join(r.choice(a) for _ in range(r.randrange(2, 8))) for _ in range(150)]
+             for k, a in (("x", "abcdefgh"), ("y", "efghijkl"), ("rare", "bdfhjlmn"))}
+    lang = lambda i: "x" if i < 60 else "y" if i < 120 else "rare"
+    rows = [(i, " ".join(r.choice(stems[lang(i)]) for _ in range(80)), lang(i) if i < 122 else None) for i in range(150)]
+    rows += [(200 + i, "12 345 6789", "und") for i in range(5)]
+    # two labelled texts that are learned from, whatever their id
+    rows = [(i + 1000 if t in (120, 121) and remainder(i, 5) == 0 else i, x, t2) for t, (i, x, t2) in enumerate(rows)]
+    got = language_id.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()
+    for g in got:
+        i = g.doc_id % 1000
+        assert g.lang_pred == ("und" if i >= 200 else lang(i)), g
+    few = language_id.identify(spark.createDataFrame(
+        [(i, "abc", "few") if i == 1 else (i, rows[i][1], "x") for i in range(40)],
+        "doc_id long, text string, lang string"))
+    assert {g.lang_pred for g in few.collect()} == {"x"}
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href=/a>Home</a></li></ul></nav><!-- no --><div class="ad">Buy</div><div class="cookie-notice">OK?</div>
 <article><header>By me</header><h1>A &amp; B</h1><p><b>one\n  two<br>three<p>f&uuml;r &lt;b&gt; &#x41;&nbsp;z</p>
