@@ -13,9 +13,10 @@ same in every language: a phrase of the largest sample, and log2 of the alphabet
 Languages whose sample has fewer than ``LEAST_LETTERS`` letters, none included,
 are left out: nothing is predicted as them.
 
-A fit reads at most ``SAMPLE_DOCS`` documents and ``SAMPLE_CHARS`` letters of
-each language (a documented bound of the fit alone); every whole text is
-predicted. The sample, not the automata, is sent to the tasks, which build the
+A fit reads at most ``SAMPLE_DOCS`` documents, ``DOC_CHARS`` characters of each
+from a seeded place on, and ``SAMPLE_CHARS`` characters of each language (a
+documented bound of the fit alone); every whole text is predicted. Every letter
+of a sample has a code, whatever the script. The sample, not the automata, is sent to the tasks, which build the
 automata once each.
 
 Texts are parsed in blocks of ``BLOCK`` letters, all blocks of a batch of texts
@@ -46,9 +47,9 @@ CHUNK = 3 << 20
 UNKNOWN, GAP = 0, 1
 
 
-def automaton(codes: list[int], letters: int) -> np.ndarray:
-    """Transitions (state, letter) of the suffix automaton of a sequence; 0 is
-    the start and, as a target, "none"."""
+def automaton(codes: list[int], letters: int) -> tuple[np.ndarray, np.ndarray]:
+    """The edges of the suffix automaton of a sequence: state * letters +
+    letter in order, and their targets. 0 is the start and no target."""
     follow: list[dict[int, int]] = [{}]
     link, length, last = [-1], [0], 0
     for c in codes:
@@ -74,11 +75,16 @@ def automaton(codes: list[int], letters: int) -> np.ndarray:
                     p = link[p]
                 link[q] = link[new] = clone
         last = new
-    table = np.zeros((len(follow), letters), np.int32)
-    for s, row in enumerate(follow):
-        for c, t in row.items():
-            table[s, c] = t
-    return table
+    keys = np.array([s * letters + c for s, row in enumerate(follow) for c in row], np.int64)
+    to = np.array([t for row in follow for t in row.values()], np.int64)
+    order = np.argsort(keys)
+    # one past the last, so that every search ends at an edge
+    return np.append(keys[order], np.iinfo(np.int64).max), np.append(to[order], 0)
+
+
+def _fold(c: str) -> str:
+    """The letter in lower case, itself where that is more than one character."""
+    return low if len(low := c.lower()) == 1 else c
 
 
 class Languages:
@@ -89,25 +95,24 @@ class Languages:
 
     def __init__(self, samples: dict[str, str]):
         self.names = sorted(samples)
-        letters = sorted({c for t in samples.values() for c in t.lower() if c.isalpha() and len(c) == 1})
-        # at most 250 letters have codes; the most frequent of all samples
-        if len(letters) > 250:
-            joined = "".join(samples.values()).lower()
-            letters = sorted(sorted(letters, key=lambda c: (-joined.count(c), c))[:250])
+        letters = sorted({_fold(c) for t in samples.values() for c in t if c.isalpha()})
         code = {c: i + 2 for i, c in enumerate(letters)}
-        self.code = np.full(0x110000, GAP, np.uint8)
+        self.code = np.full(0x110000, GAP, np.uint32)
         for i in range(0x110000):
             c = chr(i)
             if c.isalpha():
-                self.code[i] = code.get(c.lower(), UNKNOWN)
-        tables, bits = [], []
+                self.code[i] = code.get(_fold(c), UNKNOWN)
+        self.letters = len(letters) + 2
+        self.edges, self.first, bits = [], [], []
         for name in self.names:
-            seq = [x for x in self._codes(samples[name].encode()).tolist() if x != UNKNOWN]
-            tables.append(automaton(seq, len(letters) + 2))
+            seq = self._codes(samples[name].encode()).tolist()
+            keys, to = automaton(seq, self.letters)
+            n = np.searchsorted(keys, self.letters)
+            first = np.zeros(self.letters, np.int64)
+            first[keys[:n]] = to[:n]
+            self.edges.append((keys, to))
+            self.first.append(first)
             bits.append(math.log2(max(len(seq), 2)))
-        # one table: each language's states follow those before
-        self.start = np.cumsum([0, *(len(t) for t in tables)])[:-1].astype(np.int64)
-        self.table = np.concatenate([np.where(t > 0, t + s, 0) for t, s in zip(tables, self.start)]) if tables else None
         self.bits = np.array(bits)
         most = max(bits, default=1.0)
         self.smaller = most - self.bits
@@ -141,7 +146,7 @@ class Languages:
         sizes = np.array([len(c) for c in each], np.int64)
         lanes = -(-sizes // BLOCK)
         owner = np.repeat(np.arange(len(each)), lanes)
-        flat = np.concatenate([*each, np.zeros(BLOCK, np.uint8)])
+        flat = np.concatenate([*each, np.zeros(BLOCK, np.uint32)]).astype(np.int64)
         index = np.arange(len(owner)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
         begin = (np.cumsum(sizes) - sizes)[owner] + index * BLOCK
         count = np.minimum(sizes[owner] - index * BLOCK, BLOCK)
@@ -150,22 +155,22 @@ class Languages:
         owner, begin, count = owner[order], begin[order], count[order]
         running = np.searchsorted(-count, -np.arange(BLOCK), "left")
         out = np.zeros((2, len(self.names), len(each)), np.int64)
-        for k, root in enumerate(self.start):
-            state = np.full(len(owner), root, np.int64)
+        for k, ((keys, target), first) in enumerate(zip(self.edges, self.first)):
+            state = np.zeros(len(owner), np.int64)
             found, single = np.zeros((2, len(owner)), np.int64)
             for step in range(int(count.max(initial=0))):
                 n = running[step]
                 c = flat[begin[:n] + step]
                 s = state[:n]
-                to = self.table[s, c].astype(np.int64)
-                ends = to == 0
+                edge = s * self.letters + c
+                at = np.searchsorted(keys, edge)
+                ends = keys[at] != edge
                 # a phrase ends before this letter, which begins the next one
-                found[:n] += ends & (s != root)
-                again = self.table[root, c]
-                alone = ends & (again == 0)
-                single[:n] += alone
-                state[:n] = np.where(ends, np.where(alone, root, again), to)
-            found += state != root
+                found[:n] += ends & (s != 0)
+                again = first[c]
+                single[:n] += ends & (again == 0)
+                state[:n] = np.where(ends, again, target[at])
+            found += state != 0
             for kind, of in enumerate((found, single)):
                 out[kind, k] = np.bincount(owner, weights=of, minlength=len(each)).astype(np.int64)
         return out[0], out[1], letters
@@ -186,9 +191,12 @@ class Languages:
 
 def learn(docs: DataFrame) -> tuple[tuple[str, str], ...]:
     """(language, sample) pairs from ``docs`` (doc_id, text, lang): the
-    documents with the smallest seeded hash of their id, DOC_CHARS of each."""
-    known = docs.where("lang is not null and text is not null").select(
-        "lang", F.substring("text", 1, DOC_CHARS).alias("text"),
+    documents with the smallest seeded hash of their id that have letters,
+    DOC_CHARS of each from a seeded place on, so that any part of a text is
+    learned from."""
+    place = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.greatest(F.length("text") - DOC_CHARS, F.lit(0)) + 1) + 1
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
+        "lang", F.substring(F.col("text"), place.cast("int"), F.lit(DOC_CHARS)).alias("text"),
         F.xxhash64(F.lit(SEED), "doc_id").alias("turn"))
     turn = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "text"))
     rows = known.withColumn("i", turn).where(F.col("i") <= SAMPLE_DOCS)

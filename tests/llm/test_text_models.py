@@ -222,6 +222,27 @@ def test_small_samples_are_not_cheap(spark):
     assert {g.lang_pred for g in few.collect()} == {"x"}
 
 
+def test_large_alphabets():
+    """No letter of a sample is left out, however many there are."""
+    r = random.Random(4)
+    samples = {k: "".join(chr(0x4E00 + r.randrange(a, a + 900)) for _ in range(2000)) for k, a in (("x", 0), ("y", 600))}
+    known = language_id.Languages(samples)
+    texts = ["".join(chr(0x4E00 + r.randrange(1600)) for _ in range(50)) for _ in range(20)] + [samples["y"][300:400]]
+    found, _ = known.phrases([t.encode() for t in texts])
+    for k, name in enumerate(known.names):
+        assert found[k].tolist() == [phrases(t, samples[name]) for t in texts]
+    single = known.parse([t.encode() for t in texts])[1]
+    for k, name in enumerate(known.names):
+        assert single[k].tolist() == [sum(c not in samples[name] for c in t) for t in texts]
+
+
+def test_samples_come_from_whole_texts(spark):
+    """A header that all texts have is not all that is learned."""
+    rows = [(i, "header " * 200 + sentence(i, 300).replace("w", "body"), "x") for i in range(50)]
+    (_, sample), = language_id.learn(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    assert "body" in sample and "header" in sample
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{}</style><script>var a="</p>";</script></head><body>
 <nav><ul><li><a href=/a>Home</a></li></ul></nav><!-- no --><div class="ad">Buy</div><div class="cookie-notice">OK?</div>
 <article><header>By me</header><h1>A &amp; B</h1><p><b>one\n  two<br>three<p>f&uuml;r &lt;b&gt; &#x41;&nbsp;z</p>
