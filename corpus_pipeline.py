@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from postwave.llm.line_dedup import left_over
 from postwave.llm.mixing import mixed
-from postwave.llm.ngram_join import one_of_each
+from postwave.llm.ngram_join import one_row_of_each
 from postwave.llm.packing import pieces
 from postwave.llm.rule_ensemble import accept
 from postwave.llm.tables import read, written
@@ -27,8 +27,9 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of texts that share 80 % of their shingles."""
-    return one_of_each(docs)
+    """One row of each group of texts that share 80 % of their shingles, also
+    where ids are missing or told for several texts."""
+    return one_row_of_each(docs)
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -282,6 +282,27 @@ def one_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     return once.unionByName(kept.join(again, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
 
 
+def one_row_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+    """The rows of ``docs``, all columns, of one document of each component: the
+    one with the smallest id (null last), then the smallest hash of its text.
+
+    A document is what shares id and text (null as empty); of its rows one
+    stays. Rows that share an id but not the text, and rows without id, are
+    documents of their own.
+    """
+    name = F.struct(F.col("doc_id").isNull().alias("no_id"), F.col("doc_id"),
+                    F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"))
+    found = written(ngram_join(docs.select(name.alias("doc_id"), "text"), width), "join-components")
+    dropped = small_or_merge(written(
+        found.where("doc_id != component_id").select(F.col("doc_id").alias("_row")).distinct(), "join-dropped"))
+    again = small_or_merge(written(
+        found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_row")).count().where("count > 1")
+        .select("_row"), "join-again"))
+    kept = docs.withColumn("_row", name).join(dropped, "_row", "left_anti")
+    once = kept.join(again, "_row", "left_anti")
+    return once.unionByName(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(docs.columns)
+
+
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join(read(spark, sf_dir, "documents"))
 

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from postwave.llm import exact_dedup, line_dedup, ngram_join
 from postwave.llm.components import connected
 from tests.llm.conftest import SCHEMA, row, sentence
@@ -115,6 +116,28 @@ def test_one_of_each_odd(odd, odd_rows):
     assert kept.count(None) == 2
 
 
+def test_one_row_of_each(spark, odd):
+    """Ids told for several texts, rows without id, and rows told again."""
+    a, b, c = (sentence(70 + k, 60) for k in range(3))
+    rows = [row(1, a), row(2, a + " end"), row(2, b), row(2, b), row(None, c), row(None, c + " end"), row(None, c),
+            row(None, b + " end"), row(3, None), row(None, None), row(3, "own text")]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    kept = ngram_join.one_row_of_each(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r.doc_id, r.text) for r in kept.collect())
+    without = [t for i, t in got if i is None and t]
+    assert len(without) == 1 and without[0] in (c, c + " end")
+    assert got == Counter([(1, a), (2, b), (None, without[0]), (3, None), (None, None), (3, "own text")])
+    assert [r.text for r in ngram_join.one_row_of_each(odd).where("doc_id = 12").orderBy("text").collect()] == [
+        "a\n\nb\n\na\n", sentence(4, 60)]
+
+
+def test_pipeline_keeps_a_row_of_each(spark):
+    rows = [row(1, sentence(80, 60)), row(1, sentence(81, 60)), row(None, sentence(82, 60)), row(None, sentence(82, 60))]
+    kept = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA), "")
+    assert Counter((r.doc_id, r.text) for r in kept.collect()) == Counter(set(r[:2] for r in rows))
+
+
 def test_components_of_a_chain(spark):
     links = spark.range(1, 200).select((F.col("id") * 37 % 211).alias("a"), ((F.col("id") + 1) * 37 % 211).alias("b"))
     roots = connected(links.repartition(3))
