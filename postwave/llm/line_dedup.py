@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwave.llm.hashing import text_chunks
-from postwave.llm.tables import SPACES, read, small_batches, written
+from postwave.llm.tables import SPACES, read, small_batches, small_or_merge, written
 
 MIN_WORDS = 50
 DOC = ["doc_id", "content"]
@@ -124,6 +124,17 @@ def repeated(lines: DataFrame) -> DataFrame:
     return lines.select(*PLACE, F.col("ahead").alias("size")).limit(0) if found is None else found
 
 
+def _documents(docs: DataFrame) -> DataFrame:
+    """doc_id and text of ``docs``, once for rows that share both. Only rows
+    told again are shuffled with their text."""
+    rows = docs.select("doc_id", "text", F.struct(F.col("doc_id"), _content()).alias("_doc"))
+    again = small_or_merge(written(
+        rows.groupBy("_doc").count().where("count > 1").select("_doc"), "line-again"))
+    told = rows["_doc"].eqNullSafe(again["_doc"])
+    more = rows.join(again, told, "left_semi").dropDuplicates(["_doc"])
+    return rows.join(again, told, "left_anti").unionByName(more).select("doc_id", "text")
+
+
 def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The rows of ``docs`` with all columns, ``text`` without later copies,
     and n_lines and n_deleted after them.
@@ -136,7 +147,7 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     deleted becomes empty; null stays null; an empty table gives no rows.
     Columns named n_lines or n_deleted are replaced.
     """
-    lines = written(lines_of(small_batches(docs), min_words), "lines")
+    lines = written(lines_of(_documents(small_batches(docs)), min_words), "lines")
     cuts = (repeated(lines).groupBy(*DOC)
             .agg(F.collect_set(F.struct("at", "size")).alias("_cuts"))
             .select(F.struct(*DOC).alias("_doc"), "_cuts"))

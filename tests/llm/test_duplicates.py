@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 import corpus_pipeline
 from postwave.llm import exact_dedup, line_dedup, ngram_join
 from postwave.llm.components import connected
+from postwave.llm.tables import written
 from tests.llm.conftest import SCHEMA, row, sentence
 
 
@@ -202,3 +203,13 @@ def test_runs_of_lines(spark):
     assert left.columns == SCHEMA.replace(" long", "").replace(" string", "").replace(" boolean", "").replace(
         " int", "").split(", ")
     assert all(r.n_chars == len(r.text) for r in left.collect())
+
+
+def test_lines_of_a_row_told_again(spark):
+    """Copies of a row are one document at every level."""
+    lines = [f"w{i}" for i in range(64)]
+    rows = [row(1, "\n".join(lines))] * 3 + [row(2, "\n".join(["x", *lines[:55], "y"]))] * 2 + [row(3, "\n".join(lines))]
+    rows += [row(4, None)] * 2
+    docs = spark.createDataFrame(rows, SCHEMA).withColumn("text_before", F.col("text"))
+    check_lines(docs, rows, 50)
+    assert line_dedup.repeated(written(line_dedup.lines_of(line_dedup._documents(docs), 50), "lines")).count() < 100
