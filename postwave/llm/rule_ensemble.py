@@ -7,9 +7,9 @@ rules leaves few of them with a weight. Those are compiled back into one
 Spark column, so scoring is a projection without a model object.
 
 Trees and weights are fitted by Spark's own distributed learners on at most
-``TRAIN_ROWS`` labelled rows (a documented bound of the fit alone: the rows
-with the smallest seeded hash of their id, as many of each label as there
-are); every document is scored.
+``TRAIN_ROWS`` labelled rows (a documented bound of the fit alone: of each label
+the rows with the smallest seeded hash of their id, half of the bound and what
+the other label leaves of its half); every document is scored.
 """
 from __future__ import annotations
 
@@ -120,9 +120,14 @@ class RuleModel:
 
 def fit(rows: DataFrame, trees: int = TREES, depth: int = DEPTH, penalty: float = PENALTY,
         train_rows: int = TRAIN_ROWS, seed: int = 7) -> RuleModel:
-    """The model for ``rows``: FEATURES and ``label`` (0 or 1). Without rows
-    every score is 0.5; with one label only it is that label's smoothed share."""
-    rows = written(rows.orderBy(F.xxhash64(F.lit(seed), *FEATURES)).limit(train_rows), "rules-train")
+    """The model for ``rows``: doc_id, FEATURES and ``label`` (0 or 1). Without
+    rows every score is 0.5; with one label only it is that label's smoothed
+    share."""
+    rows = written(rows.select(F.xxhash64(F.lit(seed), "doc_id").alias("turn"), *FEATURES, "label"), "rules-known")
+    by = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    most = {k: max(train_rows // 2, train_rows - by.get(1 - k, 0)) for k in (0, 1)}
+    first = [rows.where(F.col("label") == k).orderBy("turn", *FEATURES).limit(n) for k, n in most.items()]
+    rows = written(first[0].unionByName(first[1]).drop("turn"), "rules-train")
     by = {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if len(by) < 2:
         ones, zeros = by.get(1, 0) + 1.0, by.get(0, 0) + 1.0
@@ -148,7 +153,7 @@ def training_rows(docs: DataFrame, labels: DataFrame, *where: Column) -> DataFra
     for w in where:
         known = known.where(w)
     known = known.groupBy("doc_id").agg((F.min("quality") > 0).cast("int").alias("label"))
-    return docs.join(known, "doc_id").select(*FEATURES, "label")
+    return docs.join(known, "doc_id").select("doc_id", *FEATURES, "label")
 
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -320,6 +320,18 @@ def test_accept_keeps_what_classify_predicts(spark):
     assert {r.doc_id for r in kept.collect()} == want
 
 
+def test_a_hot_text_does_not_fill_the_sample(spark):
+    """Copies of one text are drawn by their ids, and each label has its rows."""
+    for hot in range(4):
+        rows = [(i, 0.1 * (hot + 1) if i % 4 else 1.0 + i, int(i % 4 > 0)) for i in range(800)]
+        docs = spark.createDataFrame(rows, "doc_id long, x double, label int").select(
+            "doc_id", *(F.col("x").alias(f) for f in rule_ensemble.FEATURES), "label")
+        model = rule_ensemble.fit(docs, trees=3, train_rows=100)
+        assert model.weights
+    rare = docs.withColumn("label", (F.col("doc_id") >= 5).cast("int"))
+    assert rule_ensemble.fit(rare, trees=3, train_rows=100).weights
+
+
 def test_paths_of_trees():
     debug = """Model
   Tree 0 (weight 1.0):
