@@ -39,11 +39,11 @@ from postwave.llm.vectors import floors, longest, packed, unpacked, whole
 SCALE, TOP, EVERY = 64, 20, 20
 PIVOTS = 32
 # Rows of the sample that pivots and first floors come from.
-SAMPLE = 2048
+SAMPLE = 4096
 # Rows of a block of candidates and of a block of queries, about.
 CANDIDATES, QUERIES = 32_768, 8_192
 # Bounds held at a time: queries times candidates.
-AT_A_TIME = 1 << 22
+AT_A_TIME = 1 << 17
 # 32-bit distances are off by less than this part of themselves.
 ROUNDING = 2.0 ** -22
 
@@ -188,44 +188,73 @@ def routed(queries: DataFrame, sample: np.ndarray, sample_rows: np.ndarray, span
         task, f"cell int, block int, part int, row long, vec_id {kind}, v binary, norm double, d binary, floor double")
 
 
+def _bounds(q: dict, x: dict, far: np.ndarray) -> np.ndarray:
+    """Upper bounds of all scores of the queries ``q`` with the candidates ``x``
+    (``far``: their distances, pivot by pivot); -inf for a query's own row."""
+    gap = np.zeros((len(q["row"]), len(x["row"])), np.float32)
+    one = np.empty_like(gap)
+    for p, d in enumerate(far):
+        np.subtract(q["d"][:, p, None], d[None], out=one)
+        np.maximum(gap, np.abs(one, out=one), out=gap)
+    reach = np.maximum(q["d"].max(axis=1, initial=0)[:, None], far.max(axis=0, initial=0)[None])
+    bound = _bound(q["norm"][:, None] + x["norm"][None], gap.astype(np.float64), reach)
+    bound[q["row"][:, None] == x["row"][None]] = -np.inf
+    return bound
+
+
+def _largest(m: np.ndarray, k: int) -> np.ndarray:
+    """The k-th largest of each row, -inf if a row is shorter."""
+    n = m.shape[1]
+    return np.partition(m, n - k, axis=1)[:, n - k] if n >= k else np.full(len(m), -np.inf)
+
+
 def best_of_block(q: dict, x: dict, top: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(query, candidate, score) of each query's ``top`` scores of the block,
     ties to the smaller id, as places in ``q`` and ``x``. ``x`` is ordered by
-    id, so of equal scores the first places win."""
+    id, so of equal scores the first places win.
+
+    Each query scores the candidates with its highest bounds first, then those
+    that follow in growing steps, until no bound left reaches the k-th score it
+    has found or knows of."""
     found: list[tuple] = []
-    ids = np.arange(len(x["row"]))
-    together = max(1, AT_A_TIME // max(len(ids), 1))
+    n = len(x["row"])
+    # small enough to stay in the processor's cache over all pivots
+    together = max(1, AT_A_TIME // max(n, 1))
+    far = np.ascontiguousarray(x["d"].T)
     for start in range(0, len(q["row"]), together):
-        rows = slice(start, start + together)
-        gap = np.zeros((len(q["row"][rows]), len(ids)), np.float32)
-        for p in range(x["d"].shape[1]):
-            np.maximum(gap, np.abs(q["d"][rows, p, None] - x["d"][None, :, p]), out=gap)
-        reach = np.maximum(q["d"][rows].max(axis=1, initial=0)[:, None], x["d"].max(axis=1, initial=0)[None])
-        bound = _bound(q["norm"][rows, None] + x["norm"][None], gap.astype(np.float64), reach)
-        bound[q["row"][rows, None] == x["row"][None]] = -np.inf  # its own row
-        for i in range(len(bound)):
-            at = start + i
-            b, floor = bound[i], q["floor"][at]
-            live = np.flatnonzero((b >= floor) & (b > -np.inf))
-            live = live[np.argsort(-b[live], kind="stable")]
-            places, scores = np.empty(0, np.int64), np.empty(0)
-            done, step = 0, 4 * top
-            while done < len(live) and b[live[done]] >= floor:
-                now = live[done:done + step]
-                places = np.concatenate((places, now))
-                scores = np.concatenate((scores, x["v"][now] @ q["v"][at]))
-                keep = np.lexsort((places, -scores))[:top]
-                places, scores = places[keep], scores[keep]
-                if len(scores) == top:
-                    floor = max(floor, scores[-1])
-                done, step = done + step, step * 2
-            found.append((np.full(len(places), at), places, scores))
+        some = {k: v[start:start + together] for k, v in q.items()}
+        bound, floor = _bounds(some, x, far), some["floor"]
+        score = np.full(bound.shape, -np.inf)
+        live, step = (bound >= floor[:, None]) & (bound > -np.inf), 8 * top
+        while live.any():
+            now = live & (bound >= _largest(np.where(live, bound, -np.inf), step)[:, None])
+            if now.sum() * 16 > now.size:
+                # most of a block: one product of matrices
+                np.copyto(score, some["v"] @ x["v"].T, where=now)
+            else:
+                i, j = np.nonzero(now)
+                score[i, j] = np.einsum("ij,ij->i", some["v"][i], x["v"][j])
+            floor = np.maximum(floor, _largest(score, top))
+            live &= ~now & (bound >= floor[:, None])
+            step *= 64
+        i, j = np.nonzero((score >= floor[:, None]) & (score > -np.inf))
+        order = np.lexsort((j, -score[i, j], i))
+        i, j = i[order], j[order]
+        rank = np.arange(len(i)) - np.searchsorted(i, i)
+        i, j = i[rank < top], j[rank < top]
+        found.append((i + start, j, score[i, j]))
     if not found:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
     who, places, scores = (np.concatenate(c) for c in zip(*found))
     return who, places, scores.astype(np.int64)
 
 
+def exact_kind(most: int, dim: int):
+    """The narrowest float type whose products and sums of such components are
+    exact."""
+    return np.float32 if dim * most * most < 1 << 24 else np.float64
+
+
 def search(vectors: DataFrame, is_query, top: int = TOP, scale: int = SCALE,
            candidates: int = CANDIDATES, queries: int = QUERIES, pivots: int = PIVOTS,
            sample_rows: int = SAMPLE) -> DataFrame:
@@ -267,8 +296,10 @@ def search(vectors: DataFrame, is_query, top: int = TOP, scale: int = SCALE,
     def meet(a: pa.Table, b: pa.Table) -> pa.Table:
         b = b.sort_by([("vec_id", "ascending"), ("row", "ascending")])  # null ids last
         q, x = ({"row": t["row"].to_numpy(), "norm": t["norm"].to_numpy(),
-                 "v": unpacked(t["v"].to_pylist(), "<i4", dim).astype(np.float64),
-                 "d": unpacked(t["d"].to_pylist(), "<f4", n_pivots)} for t in (a, b))
+                 "v": unpacked(t["v"].to_pylist(), "<i4", dim), "d": unpacked(t["d"].to_pylist(), "<f4", n_pivots)}
+                for t in (a, b))
+        kind = exact_kind(max(int(np.abs(t["v"]).max(initial=0)) for t in (q, x)), dim)
+        q["v"], x["v"] = q["v"].astype(kind), x["v"].astype(kind)
         q["floor"] = a["floor"].to_numpy()
         who, place, score = best_of_block(q, x, top)
         return pa.table([pa.array(q["row"][who]), a["vec_id"].take(pa.array(who)), b["vec_id"].take(pa.array(place)),
