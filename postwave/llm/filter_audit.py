@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from postwave.llm import hashing
-from postwave.llm.tables import read, written
+from postwave.llm.tables import read, small_batches, written
 
 # The filters, and what a byte can be.
 FILTERS = "ABCDE"
@@ -37,6 +37,8 @@ POINT, UPPER, MARK, START, STOP = 1, 2, 4, 8, 16
 LEAST_WORDS = 200
 # Words longer than this many 8-byte steps are compared as a whole.
 STEPS = 32
+# Bytes of text that a task reads at a time.
+CHUNK = 1 << 20
 
 
 def _kinds() -> np.ndarray:
@@ -168,14 +170,14 @@ def counted(docs: DataFrame) -> DataFrame:
     kinds = ", ".join(f"{c} {docs.schema[c].dataType.simpleString()}" for c in ("doc_id", "source"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in hashing.text_chunks(batches):
+        for part, texts in hashing.text_chunks(batches, limit=CHUNK):
             n = text_counts(texts)
             yield pa.RecordBatch.from_arrays(
                 [part.column(0), part.column(1), part.column(2), *(pa.array(n[c]) for c in COUNTS)],
                 names=["doc_id", "source", "digest", *COUNTS])
 
     text = F.coalesce("text", F.lit(""))
-    return (docs.select("doc_id", "source", F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), "text")
+    return (small_batches(docs).select("doc_id", "source", F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest"), "text")
             .mapInArrow(task, f"{kinds}, digest binary, " + ", ".join(f"{c} long" for c in COUNTS)))
 
 
