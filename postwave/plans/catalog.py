@@ -841,6 +841,76 @@ def q_stream_upsert(spark, d):
     return t.select("id", "seq", "favourites_count", "engagement_score")
 
 
+ENGAGEMENT_RECORDS = StructType([StructField("id", StringType()), StructField("favourites_count", LongType()),
+                                 StructField("engagement_score", LongType())])
+
+
+def _index_in_batches(spark, d, name: str, value, **job) -> str:
+    """The engagement records of the post log through the index job: four
+    micro-batches of a file each, with a restart after two. The log is split
+    by a hash of its order, so that versions of a post come in any batch."""
+    from ..schemas import TOPIC_ENGAGEMENT
+    from ..session import shared_path
+    from ..streaming import keyed
+    from ..streaming.replay import drain
+    base = shared_path(spark, name)
+    log = _log_scored(spark, d).select("id", "seq", "favourites_count", "engagement_score")
+    frame = log.select("seq", F.to_json(F.struct("id", "favourites_count", "engagement_score"),
+                                        {"ignoreNullFields": "false"}).alias("value"))
+    frame = frame.select("seq", value(F.col("seq"), F.col("value")).alias("value"),
+                         F.lit(TOPIC_ENGAGEMENT).alias("topic"))
+    for half in (0, 1):
+        (frame.where(F.pmod(F.xxhash64("seq"), F.lit(2)) == half).repartition(2, "seq")
+         .write.mode("append").json(f"{base}/in"))
+        stream = (spark.readStream.schema("seq bigint, value string, topic string")
+                  .option("maxFilesPerTrigger", "1").json(f"{base}/in"))
+        drain(keyed.upsert_job(stream, f"{base}/tables", f"{base}/ckpt",
+                               {TOPIC_ENGAGEMENT: (ENGAGEMENT_RECORDS, "engagement")}, **job))
+    return f"{base}/tables"
+
+
+@register("stream_upsert_mixed", with_posts("""
+SELECT 'document' AS kind, id AS name, seq, favourites_count + reblogs_count * 2 AS value
+FROM post_log WHERE seq % 97 <> 0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1
+UNION ALL SELECT 'indexed', 'mastodon-engagement', NULL, count(*) FROM post_log WHERE seq % 97 <> 0
+UNION ALL SELECT 'error', 'mastodon-engagement', NULL, count(*) FROM post_log WHERE seq % 97 = 0
+UNION ALL SELECT 'rejected: malformed_json', 'mastodon-engagement', NULL, count(*) FROM post_log WHERE seq % 97 = 0""",
+                                           LOG_CTE))
+def q_stream_upsert_mixed(spark, d):
+    """J6 over four batches with broken and re-emitted records, a restart and
+    compaction after every second batch."""
+    from ..schemas import TOPIC_ENGAGEMENT
+    from ..streaming import keyed
+    broken = lambda seq, value: F.when(seq % 97 == 0, F.lit("{bad}")).otherwise(value)
+    base = _index_in_batches(spark, d, "stream-upsert-mixed", broken, compact_every=2)
+    at = f"{base}/engagement"
+    none = F.lit(None).cast("bigint")
+    rows = keyed.read_table(spark, at, "id", ["seq"], ENGAGEMENT_RECORDS).select(
+        F.lit("document").alias("kind"), F.col("id").alias("name"), "seq", F.col("engagement_score").alias("value"))
+    counts = keyed.read_counts(spark, base).select(
+        F.col("outcome").alias("kind"), F.col("topic").alias("name"), none.alias("seq"), F.col("records").alias("value"))
+    refused = keyed.read_rejects(spark, at).groupBy("reason").count().select(
+        F.concat(F.lit("rejected: "), "reason").alias("kind"), F.lit(TOPIC_ENGAGEMENT).alias("name"),
+        none.alias("seq"), F.col("count").alias("value"))
+    return rows.unionByName(counts).unionByName(refused)
+
+
+@register("keyed_lookup", with_posts("""
+SELECT id, seq, favourites_count, favourites_count + reblogs_count * 2 AS engagement_score FROM post_log
+WHERE id IN (SELECT CAST(max(event_id) AS VARCHAR) FROM events GROUP BY event_type)
+QUALIFY row_number() OVER (PARTITION BY id ORDER BY seq DESC) = 1""", LOG_CTE))
+def q_keyed_lookup(spark, d):
+    """The last post of each kind by its key, from the table that the index job
+    made of all posts."""
+    from ..sources.tables import read_table
+    from ..streaming import keyed
+    base = _index_in_batches(spark, d, "keyed-lookup", lambda seq, value: value, compact_every=2)
+    keys = [r.id for r in read_table(spark, d, "events").groupBy("event_type")
+            .agg(F.max("event_id").cast("string").alias("id")).collect()]
+    rows = keyed.lookup(spark, f"{base}/engagement", "id", ["seq"], ENGAGEMENT_RECORDS, keys)
+    return rows.select("id", "seq", "favourites_count", "engagement_score")
+
+
 def _stream_single(spark, d, name: str, job, select: list[str], **kw):
     from ..session import shared_path
     from ..sources.kafka import read_replay

@@ -61,14 +61,10 @@ def read_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFra
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """Existence probe through the Hadoop filesystem (False on error)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        p = jvm.org.apache.hadoop.fs.Path(path)
-        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return bool(fs.exists(p))
-    except Exception:
-        return False
+    """Existence probe through the Hadoop filesystem. An error of the file
+    system is raised: it does not say that nothing is there."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return bool(p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p))
 
 
 def console(df: DataFrame, rows: int) -> None:
