@@ -4,11 +4,15 @@
 The overlap counts are a sparse matrix product, documents by shingles times
 its transpose, done in blocks of the shingle axis and never written out:
 
-1. Documents with the same set are one row of the matrix (a *set*, named by
-   128 bits of its content), so copies cost nothing further.
+1. Documents with the same set are one row of the matrix (a *set*, named by 64
+   bits of its content, which are checked to be unique), so copies cost nothing
+   further.
 2. A task packs the (shingle, set) entries of its texts by block of the
-   shingle's hash. Each block drops every shingle that occurs in one set
-   alone; these add nothing to any overlap.
+   shingle's hash; the number of blocks follows from the number of entries.
+   Each block drops every shingle that occurs in one set alone; these add
+   nothing to any overlap. What is left goes on as one row per entry, to its
+   set. Shingles that a large share of all sets have are found beforehand and
+   go straight to their sets, as they need no count to be known as shared.
 3. Per set, what is left bounds every overlap it can have. Sets with less
    than 80 % of their shingles left are discarded by size, which leaves few.
 4. Candidates come from the rarest shingles of a set only: of ``n`` shingles
@@ -22,7 +26,9 @@ its transpose, done in blocks of the shingle axis and never written out:
    about one pair a member instead of the square, and no link between
    components is missed.
 
-All decisions are exact; no list, candidate or partner is capped.
+No list, candidate or partner is capped. A shingle stands for its words by 48
+bits of its hash within its block: two different shingles of a pair of texts
+are taken for one with a chance of 2**-48 for each two of them.
 """
 from __future__ import annotations
 
@@ -44,144 +50,176 @@ NUM, DEN = 4, 5
 PAIR_LIST = 32
 # Bytes of text that are packed at a time.
 CHUNK = 6 << 20
+# Entries of a block, about.
+BLOCK = 1 << 20
+# Shingles that this share of all sets have, and so many sets, need no block.
+HOT_SHARE, HOT_LEAST = 1 / 128, BLOCK // 4
 _LOW = np.uint64((1 << 48) - 1)
 
 
-def _sets(texts: list[bytes], width: int):
-    """Distinct (hash, text) entries, entries per text and 128 bits naming
-    each text's set."""
+def _sets(texts: list[bytes], width: int, salt: int = 0):
+    """Distinct (hash, text) entries, entries per text, and 128 bits of each
+    text's set, of which the first 64 name it."""
     h, owner = hashing.distinct(*hashing.shingles(*hashing.word_hashes(texts), width))
     n = np.bincount(owner, minlength=len(texts)).astype(np.int64)
     at = np.cumsum(n) - n
     ids = np.zeros((len(texts), 2), np.uint64)
-    for j, salt in enumerate((0xA0761D6478BD642F, 0xE7037ED1A0B428DB)):
+    for j, key in enumerate((0xA0761D6478BD642F + salt, 0xE7037ED1A0B428DB)):
         sums = np.zeros(len(h) + 1, np.uint64)
-        np.cumsum(hashing.mix(h ^ np.uint64(salt)), out=sums[1:])
+        np.cumsum(hashing.mix(h ^ np.uint64(key)), out=sums[1:])
         ids[:, j] = hashing.mix(sums[at + n] - sums[at] + n.astype(np.uint64))
     return h, owner, n, ids
 
 
-def set_ids(docs: DataFrame, width: int = WIDTH) -> DataFrame:
-    """doc_id, n_shingles and set_id (null for a text without words) per row."""
+def _once(h, owner, ids):
+    """The entries of each different set's first text."""
+    _, first = np.unique(ids, axis=0, return_index=True)
+    once = np.zeros(len(ids), bool)
+    once[first] = True
+    return h[once[owner]], owner[once[owner]], first
+
+
+def _frequent(h: np.ndarray, sets: int, share: float) -> list[dict]:
+    """Shingles in at least ``share`` of the sets of a chunk, and in eight."""
+    found, n = np.unique(h, return_counts=True)
+    often = n >= max(8, share * sets)
+    return [{"h": int(x), "sets": int(c)} for x, c in zip(found[often].astype(np.int64), n[often])]
+
+
+def set_ids(docs: DataFrame, width: int = WIDTH, salt: int = 0, hot_share: float = HOT_SHARE) -> DataFrame:
+    """doc_id, n_shingles, set (null for a text without words) and 64 more bits
+    of its content per row; ``often`` of the first row of a chunk has the
+    shingles that are frequent in the chunk."""
     kind = docs.schema["doc_id"].dataType
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in hashing.text_chunks(batches, limit=CHUNK):
-            _, _, n, ids = _sets(texts, width)
-            names = [ids[i].tobytes() if n[i] else None for i in range(len(n))]
+            h, owner, n, ids = _sets(texts, width, salt)
+            h, _, first = _once(h, owner, ids)
+            often = [_frequent(h, len(first), hot_share / 2)] + [None] * (len(n) - 1)
+            none = n == 0
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(n), pa.array(names, pa.binary())],
-                names=["doc_id", "n_shingles", "set_id"])
+                [part.column(0), pa.array(n), *(pa.array(ids[:, j].astype(np.int64), mask=none) for j in (0, 1)),
+                 pa.array(often, pa.list_(pa.struct([("h", pa.int64()), ("sets", pa.int64())])))],
+                names=["doc_id", "n_shingles", "set", "content", "often"])
 
     return docs.select("doc_id", "text").mapInArrow(
-        task, f"doc_id {kind.simpleString()}, n_shingles long, set_id binary")
-
-
-# A packed part: the sets it names (id, size), then its entries (hash, set[, weight]).
-def _pack(ids: np.ndarray, sizes: np.ndarray, h: np.ndarray, owner: np.ndarray, weight=None) -> bytes:
-    head = np.array([len(ids), len(h)], np.int64).tobytes()
-    parts = [head, ids.tobytes(), sizes.astype(np.int64).tobytes(),
-             (h & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes(),
-             (h >> np.uint64(32)).astype(np.uint16).tobytes(), owner.astype(np.uint32).tobytes()]
-    return b"".join(parts if weight is None else [*parts, weight.astype(np.uint32).tobytes()])
-
-
-def _unpack(blobs: list[bytes], weighted: bool = False):
-    """All parts as one: set ids (distinct), sizes, hashes, set of each entry
-    and weights."""
-    ids, sizes, hs, owners, weights, base = [], [], [], [], [], 0
-    for b in blobs:
-        ns, ne = np.frombuffer(b, np.int64, 2)
-        at = 16
-        ids.append(np.frombuffer(b, np.uint64, 2 * ns, at).reshape(-1, 2))
-        at += 16 * ns
-        sizes.append(np.frombuffer(b, np.int64, ns, at))
-        at += 8 * ns
-        low = np.frombuffer(b, np.uint32, ne, at).astype(np.uint64)
-        at += 4 * ne
-        hs.append(low | np.frombuffer(b, np.uint16, ne, at).astype(np.uint64) << np.uint64(32))
-        at += 2 * ne
-        owners.append(np.frombuffer(b, np.uint32, ne, at).astype(np.int64) + base)
-        at += 4 * ne
-        if weighted:
-            weights.append(np.frombuffer(b, np.uint32, ne, at))
-        base += int(ns)
-    ids, sizes = np.concatenate(ids), np.concatenate(sizes)
-    order = np.lexsort((ids[:, 1], ids[:, 0]))
-    new = np.ones(len(ids), bool)
-    new[1:] = (ids[order][1:] != ids[order][:-1]).any(axis=1)
-    number = np.empty(len(ids), np.int64)
-    number[order] = np.cumsum(new) - 1
-    return (ids[order][new], sizes[order][new], np.concatenate(hs), number[np.concatenate(owners)],
-            np.concatenate(weights) if weighted else None)
-
-
-def _parts(key: str, number: np.ndarray, ids, sizes, h, owner, weight=None) -> Iterator[tuple[int, bytes]]:
-    """The entries packed by ``number``, each with the sets it needs."""
-    order = np.argsort(number, kind="stable")
+        task, f"doc_id {kind.simpleString()}, n_shingles long, set long, content long, "
+              "often array<struct<h:long,sets:long>>")
+
+
+def hot_shingles(ids: DataFrame, hot_share: float = HOT_SHARE, least: int = HOT_LEAST) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles (sorted) that at least ``hot_share / 2`` of all sets have, and
+    ``least`` of them, with the number of sets as far as it was counted. One
+    that ``hot_share`` of them have is always found: half of its sets are in
+    chunks where it is frequent. There are at most 2 / hot_share times the mean
+    number of shingles."""
+    sets = ids.where("set is not null").count()
+    found = (ids.where("often is not null").select(F.inline("often")).groupBy("h").agg(F.sum("sets").alias("sets"))
+             .where(F.col("sets") >= max(least, hot_share / 2 * sets)).collect())
+    h = np.array([r.h for r in found], np.int64).astype(np.uint64)
+    order = np.argsort(h)
+    return h[order], np.array([r.sets for r in found], np.int64)[order]
+
+
+# A packed part: its sets (name, size, entries), then the entries' 48 bits, by set.
+_SET = np.dtype([("set", "<u8"), ("n", "<u4"), ("entries", "<u4")])
+
+
+def _parts(number: np.ndarray, ids: np.ndarray, n: np.ndarray, h: np.ndarray, owner: np.ndarray) -> Iterator[tuple[int, bytes]]:
+    """The entries packed by ``number``."""
+    order = np.lexsort((owner, number))
     number, h, owner = number[order], h[order], owner[order]
-    weight = None if weight is None else weight[order]
     cut = np.flatnonzero(np.diff(number)) + 1
     for lo, hi in zip(np.concatenate(([0], cut)), np.concatenate((cut, [len(number)]))):
         if hi > lo:
-            used, local = np.unique(owner[lo:hi], return_inverse=True)
-            yield int(number[lo]), _pack(ids[used], sizes[used], h[lo:hi], local,
-                                         None if weight is None else weight[lo:hi])
-
+            first = np.flatnonzero(np.concatenate(([True], owner[lo + 1:hi] != owner[lo:hi - 1])))
+            sets = np.empty(len(first), _SET)
+            sets["set"], sets["n"] = ids[owner[lo:hi][first]], n[owner[lo:hi][first]]
+            sets["entries"] = np.diff(np.append(first, hi - lo))
+            low = h[lo:hi]
+            yield int(number[lo]), b"".join((
+                np.int64(len(sets)).tobytes(), sets.tobytes(), (low & np.uint64(0xFFFFFFFF)).astype("<u4").tobytes(),
+                (low >> np.uint64(32)).astype("<u2").tobytes()))
+
+
+def _unpack(parts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash, set, size) of all entries of the parts."""
+    hs, sets = [], []
+    for b in parts:
+        many = int(np.frombuffer(b, "<i8", 1)[0])
+        s = np.frombuffer(b, _SET, many, 8)
+        e, at = int(s["entries"].sum()), 8 + many * _SET.itemsize
+        hs.append(np.frombuffer(b, "<u4", e, at).astype(np.uint64)
+                  | np.frombuffer(b, "<u2", e, at + 4 * e).astype(np.uint64) << np.uint64(32))
+        sets.append(s)
+    sets = np.concatenate(sets)
+    return np.concatenate(hs), np.repeat(sets["set"], sets["entries"]), np.repeat(sets["n"], sets["entries"])
+
+
+def shared_entries(docs: DataFrame, entries: int, hot: tuple[np.ndarray, np.ndarray], width: int = WIDTH,
+                   salt: int = 0) -> DataFrame:
+    """set, n, shared (hashes of the set's shingles that other sets have too,
+    rarest first) and prefix (how many of them give candidates), for the sets
+    that size lets link at all. ``entries`` is the number of entries of all
+    texts."""
+    blocks = max(-(-entries // BLOCK), min(32, -(-entries // 50_000)), 1)
+    hot_h, hot_sets = hot
+    hot_low = (hot_h & _LOW) if len(hot_h) else hot_h
+    by_low = np.argsort(hot_low)
 
-def shared_entries(docs: DataFrame, blocks: int, width: int = WIDTH) -> DataFrame:
-    """set_id, n, shared (hashes of the set's shingles that other sets have
-    too, rarest first) and prefix (how many of them give candidates), for the
-    sets that size lets link at all."""
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, texts in hashing.text_chunks(batches, limit=CHUNK):
-            h, owner, n, ids = _sets(texts, width)
-            # copies within the chunk are one set
-            _, first = np.unique(ids, axis=0, return_index=True)
-            once = np.zeros(len(n), bool)
-            once[first] = True
-            h, owner = h[once[owner]], owner[once[owner]]
-            found = list(_parts("block", (h >> np.uint64(48)) % np.uint64(blocks), ids, n,
-                                h & _LOW, owner))
+            h, owner, n, ids = _sets(texts, width, salt)
+            h, owner, _ = _once(h, owner, ids)  # copies within the chunk are one set
+            number = (h >> np.uint64(48)) % np.uint64(blocks)
+            if len(hot_h):
+                known = hot_h[np.minimum(np.searchsorted(hot_h, h), len(hot_h) - 1)] == h
+                number[known] = np.uint64(blocks) + ids[owner[known], 0] % np.uint64(blocks)
+            found = list(_parts(number.astype(np.int64), ids[:, 0], n, h & _LOW, owner))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([b for b, _ in found], pa.int32()), pa.array([x for _, x in found], pa.binary())],
                 names=["block", "part"])
 
     def count(pdf: pd.DataFrame) -> pd.DataFrame:
-        """One block of the shingle axis: its shingles with the number of sets."""
-        ids, sizes, h, owner, _ = _unpack(list(pdf["part"]))
-        order = np.lexsort((owner, h))
-        h, owner = h[order], owner[order]
+        """One block of the shingle axis: its entries with the number of sets
+        that have their shingle, if there are several."""
+        block = int(pdf["block"].iloc[0])
+        h, s, n = _unpack(list(pdf["part"]))
+        order = np.lexsort((s, h))
+        h, s, n = h[order], s[order], n[order]
         new = np.ones(len(h), bool)
-        new[1:] = (h[1:] != h[:-1]) | (owner[1:] != owner[:-1])
-        h, owner = h[new], owner[new]
-        start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
-        df = np.repeat(np.diff(np.append(start, len(h))), np.diff(np.append(start, len(h))))
-        h, owner, df = h[df > 1], owner[df > 1], df[df > 1]
+        new[1:] = (h[1:] != h[:-1]) | (s[1:] != s[:-1])
+        h, s, n = h[new], s[new], n[new]
+        if block < blocks:
+            start = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            many = np.diff(np.append(start, len(h)))
+            df = np.repeat(many, many)
+            h, s, n, df = h[df > 1], s[df > 1], n[df > 1], df[df > 1]
+        else:
+            df, block = hot_sets[by_low][np.searchsorted(hot_low[by_low], h)], 0xFFFF
         # a hash of the block's number too: the block holds 48 bits of its own
-        h = hashing.mix(h | np.uint64(int(pdf["block"].iloc[0]) & 0xFFFF) << np.uint64(48)) & _LOW
-        found = list(_parts("bucket", ids[owner, 0] % np.uint64(blocks), ids, sizes, h, owner, df))
-        return pd.DataFrame({"bucket": pd.Series([b for b, _ in found], dtype="int32"),
-                             "part": pd.Series([x for _, x in found], dtype=object)})
+        h = hashing.mix(h | np.uint64(block & 0xFFFF) << np.uint64(48)) & _LOW
+        return pd.DataFrame({"bucket": (s % np.uint64(blocks)).astype(np.int32), "set": s.astype(np.int64),
+                             "n": n.astype(np.int32), "df": df.astype(np.int32), "h": h.astype(np.int64)})
 
     def bound(pdf: pd.DataFrame) -> pd.DataFrame:
         """The sets of one bucket with all their shared shingles."""
-        ids, sizes, h, owner, df = _unpack(list(pdf["part"]), weighted=True)
-        order = np.lexsort((h, df, owner))
-        h, owner = h[order], owner[order]
-        shared = np.bincount(owner, minlength=len(ids))
-        at = np.cumsum(shared) - shared
-        live = np.flatnonzero(DEN * shared >= NUM * sizes)
+        h, df, s, n = (pdf[c].to_numpy() for c in ("h", "df", "set", "n"))
+        order = np.lexsort((h, df, s))
+        h, s, n = h[order], s[order], n[order].astype(np.int64)
+        at = np.flatnonzero(np.concatenate(([True], s[1:] != s[:-1])))
+        shared, n = np.diff(np.append(at, len(s))), n[at]
         # of the first n - ceil(0.8 n) + 1 shingles, those found in one set alone come first
-        prefix = sizes - -(-NUM * sizes // DEN) + 1 - (sizes - shared)
+        prefix = np.minimum(n - -(-NUM * n // DEN) + 1 - (n - shared), shared)
+        live = np.flatnonzero(DEN * shared >= NUM * n)
         return pd.DataFrame({
-            "set_id": pd.Series([ids[i].tobytes() for i in live], dtype=object), "n": sizes[live],
-            "shared": pd.Series([h[at[i]:at[i] + shared[i]].astype(np.int64) for i in live], dtype=object),
-            "prefix": np.minimum(prefix, shared)[live].astype(np.int64)})
+            "set": s[at[live]], "n": n[live],
+            "shared": pd.Series([h[at[i]:at[i] + shared[i]] for i in live], dtype=object), "prefix": prefix[live]})
 
     return (docs.select("text").mapInArrow(pack, "block int, part binary")
-            .groupBy("block").applyInPandas(count, "bucket int, part binary")
-            .groupBy("bucket").applyInPandas(bound, "set_id binary, n long, shared array<long>, prefix long"))
+            .groupBy("block").applyInPandas(count, "bucket int, set long, n int, df int, h long")
+            .groupBy("bucket").applyInPandas(bound, "set long, n long, shared array<long>, prefix long"))
 
 
 def _possible(a: str, b: str):
@@ -195,8 +233,8 @@ def _possible(a: str, b: str):
 
 def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs (a, b) whose exact overlap is NUM / DEN of the union or more."""
-    a = sets.select(F.col("set_id").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
-    b = sets.select(F.col("set_id").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
+    a = sets.select(F.col("set").alias("a"), F.col("n").alias("na"), F.col("shared").alias("sa"))
+    b = sets.select(F.col("set").alias("b"), F.col("n").alias("nb"), F.col("shared").alias("sb"))
     pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     overlap = F.size(F.array_intersect("sa", "sb"))
     return (pairs.join(a, "a").join(b, "b")
@@ -204,30 +242,30 @@ def _links(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked_sets(sets: DataFrame) -> DataFrame:
-    """set_id, root of the sets that link with another one. ``sets`` is a
+    """set, root of the sets that link with another one. ``sets`` is a
     written table as ``shared_entries`` returns it."""
     place = F.posexplode(F.slice("shared", F.lit(1), F.col("prefix").cast("int")))
-    entries = (sets.select("set_id", "n", F.size("shared").alias("m"), place.alias("at", "h"))
-               .select("h", "set_id", "n", (F.col("n") - F.col("m") + F.col("at")).alias("place"),
+    entries = (sets.select("set", "n", F.size("shared").alias("m"), place.alias("at", "h"))
+               .select("h", "set", "n", (F.col("n") - F.col("m") + F.col("at")).alias("place"),
                        (F.col("m") / F.col("n")).alias("common")))
     # per shingle: the number of sets and the leader, in one aggregate
     lists = entries.groupBy("h").agg(
-        F.count("*").alias("sets"), F.max(F.struct("common", "set_id", "n", "place")).alias("lead"))
+        F.count("*").alias("sets"), F.max(F.struct("common", "set", "n", "place")).alias("lead"))
     lists = lists.where("sets > 1")
     entries = written(entries.join(lists, "h"), "join-entries")
     short, long = entries.where(F.col("sets") <= PAIR_LIST), entries.where(F.col("sets") > PAIR_LIST)
-    pair = [F.col("x.set_id").alias("a"), F.col("y.set_id").alias("b")]
+    pair = [F.col("x.set").alias("a"), F.col("y.set").alias("b")]
     near = (short.alias("x").join(short.alias("y"), (F.col("x.h") == F.col("y.h"))
-                                  & (F.col("x.set_id") < F.col("y.set_id")) & _possible("x", "y"))
+                                  & (F.col("x.set") < F.col("y.set")) & _possible("x", "y"))
             .select(*pair))
-    led = (long.select(F.struct("set_id", "n", "place").alias("x"), F.col("lead").alias("y"))
-           .where((F.col("x.set_id") != F.col("y.set_id")) & _possible("x", "y")).select(*pair))
+    led = (long.select(F.struct("set", "n", "place").alias("x"), F.col("lead").alias("y"))
+           .where((F.col("x.set") != F.col("y.set")) & _possible("x", "y")).select(*pair))
     links = written(_links(near.unionByName(led), sets), "join-links")
     roots = connected(links)
 
     # long lists: what the leader left in other components than the largest one
-    found = long.join(roots.withColumnRenamed("id", "set_id"), "set_id", "left").select(
-        "h", "set_id", "n", "place", F.coalesce("root", "set_id").alias("root"))
+    found = long.join(roots.withColumnRenamed("id", "set"), "set", "left").select(
+        "h", "set", "n", "place", F.coalesce("root", "set").alias("root"))
     found = written(found, "join-long")
     by_root = found.groupBy("h", "root").agg(F.count("*").alias("members"))
     largest = by_root.groupBy("h").agg(F.max(F.struct("members", "root")).alias("top"),
@@ -238,10 +276,10 @@ def linked_sets(sets: DataFrame) -> DataFrame:
             .join(open_.alias("y"), (F.col("x.h") == F.col("y.h")) & (F.col("x.root") != F.col("y.root"))
                   & _possible("x", "y")).select(*pair))
     more = written(_links(rest, sets), "join-more")
-    return connected(links.unionByName(more)).withColumnRenamed("id", "set_id")
+    return connected(links.unionByName(more)).withColumnRenamed("id", "set")
 
 
-def ngram_join(docs: DataFrame, width: int = WIDTH) -> DataFrame:
+def ngram_join(docs: DataFrame, width: int = WIDTH, hot_share: float = HOT_SHARE, hot_least: int = HOT_LEAST) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id.
 
     A text with fewer than ``width`` words is one shingle; one without words,
@@ -250,20 +288,24 @@ def ngram_join(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     smallest id of its component, null if there is none. An empty table gives
     no rows. Columns besides doc_id and text are not read.
     """
-    spark = small_batches(docs).sparkSession
-    # several blocks a partition even out what the partitions get
-    blocks = 4 * max(int(spark.conf.get("spark.sql.shuffle.partitions")), 1)
-    ids = written(set_ids(docs, width), "join-ids")
-    sets = written(shared_entries(docs, blocks, width), "join-sets")
+    docs, salt = small_batches(docs), 0
+    while True:
+        ids = written(set_ids(docs, width, salt, hot_share), "join-ids")
+        classes = written(ids.where("set is not null").groupBy("set").agg(
+            F.min("doc_id").alias("first"), F.count("*").alias("rows"), F.min("content").alias("low"),
+            F.max("content").alias("high")), "join-classes")
+        if classes.where("low != high").isEmpty():
+            break
+        salt += 1  # two different sets had one name
+    entries = ids.agg(F.sum("n_shingles")).first()[0] or 0
+    sets = written(shared_entries(docs, entries, hot_shingles(ids, hot_share, hot_least), width, salt), "join-sets")
     roots = linked_sets(sets)
     # only sets of several documents or with links need an id of their own
-    classes = ids.where("set_id is not null").groupBy("set_id").agg(
-        F.min("doc_id").alias("first"), F.count("*").alias("rows"))
-    classes = written(classes.join(roots, "set_id", "left").where("rows > 1 or root is not null")
-                      .withColumn("root", F.coalesce("root", "set_id")), "join-classes")
+    classes = written(classes.join(roots, "set", "left").where("rows > 1 or root is not null")
+                      .select("set", "first", F.coalesce("root", "set").alias("root")), "join-classes")
     firsts = written(classes.groupBy("root").agg(F.min("first").alias("component_id")), "join-firsts")
-    named = written(classes.join(firsts, "root").select("set_id", "component_id"), "join-named")
-    return ids.join(small_or_merge(named), "set_id", "left").select(
+    named = written(classes.join(firsts, "root").select("set", "component_id"), "join-named")
+    return ids.join(small_or_merge(named), "set", "left").select(
         "doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 
@@ -294,13 +336,15 @@ def one_row_of_each(docs: DataFrame, width: int = WIDTH) -> DataFrame:
                     F.xxhash64(F.coalesce("text", F.lit(""))).alias("content"))
     found = written(ngram_join(docs.select(name.alias("doc_id"), "text"), width), "join-components")
     dropped = small_or_merge(written(
-        found.where("doc_id != component_id").select(F.col("doc_id").alias("_row")).distinct(), "join-dropped"))
+        found.where("doc_id != component_id").select(F.col("doc_id").alias("name")).distinct(), "join-dropped"))
     again = small_or_merge(written(
-        found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("_row")).count().where("count > 1")
-        .select("_row"), "join-again"))
-    kept = docs.withColumn("_row", name).join(dropped, "_row", "left_anti")
-    once = kept.join(again, "_row", "left_anti")
-    return once.unionByName(kept.join(again, "_row", "left_semi").dropDuplicates(["_row"])).select(docs.columns)
+        found.where("doc_id = component_id").groupBy(F.col("doc_id").alias("name")).count().where("count > 1")
+        .select("name"), "join-again"))
+    # the row as one column, so that no column of it meets one of ours
+    rows = docs.select(name.alias("name"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    kept = rows.join(dropped, "name", "left_anti")
+    once = kept.join(again, "name", "left_anti")
+    return once.unionByName(kept.join(again, "name", "left_semi").dropDuplicates(["name"])).select("row.*")
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:

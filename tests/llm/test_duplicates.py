@@ -110,6 +110,46 @@ def test_join_of_many_near_copies(spark, monkeypatch):
     assert kept.columns == spark.createDataFrame(rows, SCHEMA).columns
 
 
+def test_join_with_a_shingle_in_a_third_of_all_sets(spark, monkeypatch):
+    """A hot passage in a third of all unlike texts, and near copies among
+    them; the hot shingles skip the blocks, in chunks of a few texts too."""
+    passage, rows = sentence(60, 9), []
+    for i in range(240):
+        own = sentence(500 + i, 25)
+        rows.append(row(i, f"{passage} {own}" if i % 3 == 0 else own))
+        if i % 10 == 0:
+            rows.append(row(5000 + i, rows[-1][1] + " end"))
+    want, docs = want_join(rows), spark.createDataFrame(rows, SCHEMA).repartition(3)
+    for chunk, share in ((1 << 20, 1 / 4), (4000, 1 / 8), (4000, 1e-9)):
+        monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+        hot = ngram_join.hot_shingles(ngram_join.set_ids(docs, hot_share=share), share, 2)[0]
+        assert len(hot) >= 5 and (share < 1e-6 or len(hot) <= 2 / share * 30)
+        assert Counter(map(tuple, ngram_join.ngram_join(docs, hot_share=share, hot_least=2).collect())) == want
+
+
+def test_sets_that_share_a_name_get_new_ones(spark, monkeypatch):
+    sets = ngram_join._sets
+
+    def clash(texts, width, salt=0):
+        h, owner, n, ids = sets(texts, width, salt)
+        if salt < 2:
+            ids[:, 0] %= 3
+        return h, owner, n, ids
+
+    monkeypatch.setattr(ngram_join, "_sets", clash)
+    rows = [row(i, sentence(700 + i // 2, 30) + (" x" if i % 2 else "")) for i in range(20)]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, SCHEMA)).collect()
+    assert Counter(map(tuple, got)) == want_join(rows)
+
+
+def test_rows_of_each_keep_any_column(spark):
+    rows = [(1, sentence(1, 60), "r", 2, "n", (1,)), (2, sentence(1, 60), "s", 3, "m", (2,)), (2, "b", None, 4, "l", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row string, `a.b` int, name string, row struct<x:int>")
+    kept = ngram_join.one_row_of_each(docs)
+    assert kept.schema == docs.schema
+    assert sorted((r.doc_id, r._row, r["a.b"], r.name) for r in kept.collect()) == [(1, "r", 2, "n"), (2, None, 4, "l")]
+
+
 def test_one_of_each_odd(odd, odd_rows):
     kept = [r.doc_id for r in ngram_join.one_of_each(odd).collect()]
     assert Counter(i for i in kept if i is not None) == Counter(
