@@ -911,6 +911,189 @@ def q_keyed_lookup(spark, d):
     return rows.select("id", "seq", "favourites_count", "engagement_score")
 
 
+# Streams of four micro-batches: in runs of seven records, or in the order of
+# time with every thirteenth record a batch late.
+BATCHES = 4
+RUNS = f"(seq DIV 7) % {BATCHES}"
+BATCHES_CTE = f"b AS (SELECT unnest(range({BATCHES})) AS batch)"
+
+
+def _in_batches(base: str, frame, batch, jobs) -> None:
+    """Puts the records of ``frame`` (seq, value) into a topic folder in
+    BATCHES goes, ``batch`` telling which. After each go every job of ``jobs``
+    (a function of the stream) begins anew at its checkpoint and takes what
+    is there."""
+    from ..streaming.replay import drain
+    frame = frame.select("seq", "value").persist()
+    spark = frame.sparkSession
+    try:
+        for b in range(BATCHES):
+            frame.where(batch == b).write.mode("append").json(f"{base}/in")
+            for job in jobs:
+                drain(job(spark.readStream.schema("seq bigint, value string").json(f"{base}/in")))
+    finally:
+        frame.unpersist()
+
+
+CHANGELOG_SQL = {
+    "having": """
+SELECT account.username AS username, count(*) AS posts, sum(reblogs_count) AS reblogs
+FROM mastodon_posts GROUP BY account.username HAVING count(*) % 3 <> 0""",
+    "all": """
+SELECT language, count(*) AS posts, sum(favourites_count) AS favourites FROM mastodon_posts GROUP BY language"""}
+
+
+@register("stream_changelog", with_posts(f"""
+SELECT 'having' AS query, batch, username AS name, count(*) AS posts, CAST(sum(reblogs_count) AS BIGINT) AS total
+FROM srctable JOIN b ON (seq // 7) % {BATCHES} <= batch GROUP BY batch, username HAVING count(*) % 3 <> 0
+UNION ALL
+SELECT 'all', batch, language, count(*), CAST(sum(favourites_count) AS BIGINT)
+FROM srctable JOIN b ON (seq // 7) % {BATCHES} <= batch GROUP BY batch, language""", SOURCE_TABLE_CTE, BATCHES_CTE))
+def q_stream_changelog(spark, d):
+    """J7 with changes: two custom queries as streams of four batches, each
+    batch by a job started anew; the changes up to each batch, folded, are the
+    answer at that time."""
+    from ..session import shared_path
+    from ..streaming.changelog import changelog_job, folded, read_changes
+    from .sql import custom_sql
+    base = shared_path(spark, "stream-changelog")
+
+    def job(name):
+        return lambda stream: changelog_job(
+            custom_sql(spark, CHANGELOG_SQL[name], P.source_table(stream, with_proc_time=False)),
+            f"{base}/{name}", f"{base}/ckpt-{name}", compact_every=2)
+
+    _in_batches(base, raw_posts(spark, d, NO_CONTENT), F.expr(RUNS), [job(n) for n in CHANGELOG_SQL])
+    out = None
+    for name in CHANGELOG_SQL:
+        changes = read_changes(spark, f"{base}/{name}")
+        for b in range(BATCHES):
+            then = folded(changes.where(F.col("batch") <= b).drop("batch"))
+            then = then.toDF("name", "posts", "total").select(
+                F.lit(name).alias("query"), F.lit(b).cast("bigint").alias("batch"), "name", "posts", "total")
+            out = then if out is None else out.unionByName(then)
+    return out
+
+
+VIEWED_CTE = f"""v AS (
+  SELECT batch, l.*, favourites_count + reblogs_count * 2 AS score
+  FROM post_log l JOIN b ON (seq // 7) % {BATCHES} <= batch
+  QUALIFY row_number() OVER (PARTITION BY batch, id ORDER BY seq DESC) = 1)"""
+
+
+@register("stream_views", with_posts("""
+SELECT batch, 'language' AS view, language AS name, CAST(count(*) AS DOUBLE) AS value FROM v GROUP BY batch, language
+UNION ALL SELECT batch, 'hour', strftime(date_trunc('hour', created_at), '%Y-%m-%d %H:%M:%S'), count(*)
+  FROM v GROUP BY ALL
+UNION ALL SELECT batch, 'tag', tag, count(*) AS n FROM (SELECT batch, unnest(tags) AS tag FROM v) GROUP BY batch, tag
+  QUALIFY row_number() OVER (PARTITION BY batch ORDER BY n DESC, tag) <= 10
+UNION ALL SELECT batch, 'engagement', 'posts', count(*) FROM v GROUP BY batch
+UNION ALL SELECT batch, 'engagement', 'scored_posts', count(score) FROM v GROUP BY batch
+UNION ALL SELECT batch, 'engagement', 'avg_engagement', avg(CAST(score AS DOUBLE)) FROM v GROUP BY batch
+UNION ALL SELECT batch, 'engagement', 'max_engagement', max(score) FROM v GROUP BY batch
+UNION ALL SELECT batch, 'engagement', 'total_engagement', sum(score) FROM v GROUP BY batch""", LOG_CTE, BATCHES_CTE, VIEWED_CTE))
+def q_stream_views(spark, d):
+    """A8 kept up to date over four batches in which posts are replaced, older
+    versions coming after newer ones too; the views after each batch."""
+    from ..session import shared_path
+    from ..sources.posts import raw_log
+    from ..streaming.changelog import read_views, views_job
+    from ..streaming.replay import drain
+    base = shared_path(spark, "stream-views")
+    frame, seen = raw_log(spark, d, NO_CONTENT), []
+
+    def after(b):
+        v = read_views(spark, f"{base}/views")
+        e = v["engagement"]
+        rows = [v["language_share"].select(F.lit("language").alias("view"), F.col("language").alias("name"),
+                                           F.col("post_count").cast("double").alias("value")),
+                v["volume_over_time"].select(F.lit("hour").alias("view"), F.col("bucket").cast("string").alias("name"),
+                                             F.col("post_count").cast("double").alias("value")),
+                v["top_hashtags"].select(F.lit("tag").alias("view"), F.col("tag").alias("name"),
+                                         F.col("tag_count").cast("double").alias("value")),
+                e.select(F.lit("engagement").alias("view"),
+                         F.stack(F.lit(len(e.columns)), *[x for c in e.columns for x in (F.lit(c), F.col(c).cast("double"))])
+                         .alias("name", "value"))]
+        for r in rows:
+            seen.append(r.select(F.lit(b).cast("bigint").alias("batch"), "view", "name", "value"))
+
+    frame = frame.persist()
+    try:
+        for b in range(BATCHES):
+            frame.where(F.expr(RUNS) == b).write.mode("append").json(f"{base}/in")
+            stream = spark.readStream.schema("seq bigint, value string").json(f"{base}/in")
+            drain(views_job(stream, f"{base}/views", f"{base}/ckpt", compact_every=2))
+            after(b)
+    finally:
+        frame.unpersist()
+    out = seen[0]
+    for r in seen[1:]:
+        out = out.unionByName(r)
+    return out
+
+
+# A1-A5 with every row accounted for: window size, then per window the DuckDB
+# text of name, a and b, its condition, and the Spark columns.
+ACCOUNTED = {
+    "language": (300, "coalesce(language, 'unknown')", "count(*)", "sum(favourites_count + reblogs_count * 2)",
+                 "GROUP BY w_end, language", ("language", "post_count", "total_engagement")),
+    "users": (3600, "username", "count(*)", "sum(followers_count) // count(followers_count)",
+              "AND username IS NOT NULL GROUP BY w_end, username HAVING count(*) > 1",
+              ("username", "post_count", "avg_followers")),
+    "engagement": (300, "NULL", "avg(CAST(favourites_count AS DOUBLE))", "max(favourites_count + reblogs_count * 2)",
+                   "GROUP BY w_end", (None, "avg_favourites", "max_engagement")),
+    "dashboard": (60, "'posts_per_minute'", "count(*)", "NULL", "GROUP BY w_end", ("metric_name", "metric_value", None)),
+    "count": (10, "strftime(w_end, '%H:%M:%S')", "count(*)", "NULL", "GROUP BY w_end", ("window_end", "post_count", None)),
+}
+
+
+def _accounted_sql(seconds: int, name: str, a: str, b: str, rest: str) -> str:
+    split = f"""r AS (
+  SELECT *, least({BATCHES - 1}, seq * {BATCHES} // (SELECT max(seq) + 1 FROM posts) + (seq % 13 = 0)::INT) AS batch,
+         {wend('created_at', seconds)} AS w_end FROM srctable),
+m AS (SELECT batch, max(created_at) AS newest FROM r GROUP BY batch),
+k AS (SELECT r.*, coalesce(w_end <= c.closed, false) AS late FROM r LEFT JOIN (
+        SELECT x.batch, max(m.newest) - INTERVAL 10 MINUTE AS closed
+        FROM (SELECT DISTINCT batch FROM r) x JOIN m ON m.batch < x.batch GROUP BY x.batch) c USING (batch))"""
+    return with_posts(f"""
+SELECT 'window' AS kind, w_end AS window_end, {name} AS name, CAST({a} AS DOUBLE) AS a, CAST({b} AS DOUBLE) AS b
+FROM k WHERE NOT late {rest}
+UNION ALL SELECT 'behind_watermark', w_end, id, NULL, NULL FROM k WHERE late""", SOURCE_TABLE_CTE, split)
+
+
+def _accounted(analysis: str):
+    *_, columns = ACCOUNTED[analysis]
+
+    @register(f"stream_late_{analysis}", _accounted_sql(*ACCOUNTED[analysis][:-1]))
+    def run(spark, d):
+        """The analysis over four batches, each by a job started anew, with
+        rows that come a batch late: its windows, and the rows told as late."""
+        from ..session import shared_path
+        from ..sources.tables import read_table
+        from ..streaming.late import accounted_windows_job, finish, read_late, read_windows
+        base = shared_path(spark, f"stream-late-{analysis}")
+        minutes = ACCOUNTED[analysis][0] // 60 if analysis in ("language", "users", "engagement") else None
+        n = read_table(spark, d, "events").agg(F.max("event_id") + 1).first()[0] or 1
+        batch = F.expr(f"least({BATCHES - 1}, seq * {BATCHES} DIV {n} + CAST(seq % 13 = 0 AS INT))")
+        _in_batches(base, raw_posts(spark, d, NO_CONTENT), batch, [lambda stream: accounted_windows_job(
+            stream, analysis, f"{base}/out", f"{base}/ckpt", window_minutes=minutes, delay_seconds=600)])
+        finish(spark, f"{base}/out", analysis, minutes)
+        found, late = read_windows(spark, f"{base}/out"), read_late(spark, f"{base}/out")
+        end = "window_end_at" if analysis == "count" else "window_end"
+        value = lambda c, t: (F.lit(None) if c is None else F.col(c)).cast(t)
+        return found.select(
+            F.lit("window").alias("kind"), F.col(end).cast("timestamp_ntz").alias("window_end"),
+            value(columns[0], "string").alias("name"), value(columns[1], "double").alias("a"),
+            value(columns[2], "double").alias("b")).unionByName(late.select(
+                F.col("reason").alias("kind"), F.col("window_end").cast("timestamp_ntz").alias("window_end"),
+                F.col("id").alias("name"), value(None, "double").alias("a"), value(None, "double").alias("b")))
+    return run
+
+
+for _name in ACCOUNTED:
+    _accounted(_name)
+
+
 def _stream_single(spark, d, name: str, job, select: list[str], **kw):
     from ..session import shared_path
     from ..sources.kafka import read_replay

@@ -116,22 +116,20 @@ def iso_created_at(ts: Column) -> Column:
 
 
 def _post_struct(p: DataFrame, with_language: bool) -> Column:
-    fields = [F.col("id"), iso_created_at(F.col("created_at")).alias("created_at"),
-              F.col("content"), F.col("account")]
-    if with_language:
-        fields.append(F.col("language"))
-    fields += [F.col(c) for c in ("favourites_count", "reblogs_count", "replies_count",
-                                  "url", "tags")]
-    return F.struct(*fields)
+    """The record of a post, of the columns that ``p`` has."""
+    made = {"created_at": iso_created_at(F.col("created_at"))}
+    return F.struct(*[made.get(c, F.col(c)).alias(c) for c in COLUMNS
+                      if c in p.columns and (with_language or c != "language")])
 
 
-def raw_posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+def raw_posts(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
     """Kafka-shaped JSON values of the canonical posts: ``seq, key, value``.
 
     Nulls are written (``ignoreNullFields=false``); some records leave the
-    ``language`` key out (missing, not null) and some are broken JSON.
+    ``language`` key out (missing, not null) and some are broken JSON. Other
+    columns than ``columns`` are left out of the records.
     """
-    p = posts(spark, sf_dir)
+    p = posts(spark, sf_dir, columns)
     opts = {"ignoreNullFields": "false"}
     eid = F.col("id").cast("bigint")
     value = (F.when(eid % BAD_JSON_MOD == 0, F.lit("{bad"))
@@ -169,6 +167,12 @@ def post_log(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = COLUMN
              .drop("_favourites"))
 
 
+def raw_log(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = COLUMNS) -> DataFrame:
+    """The post log as JSON records: ``seq, value``."""
+    p = post_log(spark, sf_dir, columns)
+    return p.select("seq", F.to_json(_post_struct(p, True), {"ignoreNullFields": "false"}).alias("value"))
+
+
 def canonical_json_rows(p: DataFrame) -> DataFrame:
     """Posts in canonical record shape (``created_at`` as ISO text), ready
     for a JSON-lines archive or a topic."""

@@ -317,25 +317,56 @@ def decode(df: DataFrame, schema: StructType, stamp_col: str = "indexed_at") ->
     return staged.withColumn("reason", reason).select(*df.columns, "r", "reason")
 
 
+def write_part(spark: SparkSession, base: str, name: str, part: str, rows: DataFrame, key: str | None,
+               before: dict | None, buckets: int = BUCKETS) -> dict:
+    """Writes ``rows`` as a waiting part of the table; what the manifest has to
+    say of it. ``before`` is the table's state so far, if there is one."""
+    at = f"{name}/part-{part}"
+    rows.write.mode("overwrite").parquet(f"{base}/{at}")
+    files = [f for f in _described(spark, base, at, key, level=0, bucket=None) if f["rows"]]
+    before = before or {}
+    return {"add": files, "buckets": before.get("buckets") or buckets,
+            "schema": _merged(before.get("schema"), rows.schema)}
+
+
 def write_batch(spark: SparkSession, base: str, part: str, name: str, staged: DataFrame, key: str,
                 meta: list[str], before: dict | None, buckets: int) -> tuple[dict, dict]:
     """Writes the accepted and refused records of ``staged`` as a part of the
     table each; what the manifest has to say of them, and their counts."""
     good = staged.where("reason is null").select("r.*", *meta, F.current_timestamp().alias("indexed_at"))
     bad = staged.where("reason is not null").select("value", "reason", *meta)
-    at, rejects = f"{name}/part-{part}", f"{name}/rejects-{part}"
-    good.write.mode("overwrite").parquet(f"{base}/{at}")
-    bad.write.mode("overwrite").parquet(f"{base}/{rejects}")
-    files = _described(spark, base, at, key, level=0, bucket=None)
-    refused = _described(spark, base, rejects, None)
-    before = before or {}
-    told = {"add": files, "rejects": refused, "buckets": before.get("buckets") or buckets,
-            "schema": _merged(before.get("schema"), good.schema),
-            "rejects_schema": _merged(before.get("rejects_schema"), bad.schema)}
-    counts = {"indexed": sum(f["rows"] for f in files), "error": sum(f["rows"] for f in refused)}
+    told = write_part(spark, base, name, part, good, key, before, buckets)
+    at = f"{name}/rejects-{part}"
+    bad.write.mode("overwrite").parquet(f"{base}/{at}")
+    told["rejects"] = [f for f in _described(spark, base, at, None) if f["rows"]]
+    told["rejects_schema"] = _merged((before or {}).get("rejects_schema"), bad.schema)
+    counts = {"indexed": sum(f["rows"] for f in told["add"]), "error": sum(f["rows"] for f in told["rejects"])}
     return told, {k: n for k, n in counts.items() if n}
 
 
+def each_batch_once(raw: DataFrame, base: str, checkpoint: str, job, trigger: dict | None = None,
+                    output_mode: str = "append") -> StreamingQuery:
+    """Runs ``job(batch, state, part)`` per micro-batch and commits the change
+    it returns, with the batch, to the manifest of ``base``. A batch that was
+    committed before is not run again. ``job`` may have a second function,
+    ``job.after(log, batch_id)``, for what follows a commit."""
+    mine = checkpoint_name(checkpoint)
+
+    def per_batch(batch: DataFrame, batch_id: int) -> None:
+        log = ManifestLog(batch.sparkSession, base)
+        state = log.state()
+        if state["batches"].get(mine, -1) < batch_id:
+            change = job(batch, state, part_name(checkpoint, batch_id))
+            log.commit(lambda s: {**change, "batch": {mine: batch_id}})
+            if after := getattr(job, "after", None):
+                after(log, batch_id)
+
+    w = raw.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint).foreachBatch(per_batch)
+    if trigger:
+        w = w.trigger(**trigger)
+    return w.start()
+
+
 def upsert_job(raw: DataFrame, root: str, checkpoint: str,
                topics: dict[str, tuple[StructType, str]],
                trigger: dict | None = None, key: str = "id",
@@ -352,14 +383,10 @@ def upsert_job(raw: DataFrame, root: str, checkpoint: str,
     is compacted after every N-th batch; ``key`` is the document key used by
     compaction and ``buckets`` the hash buckets of a new table.
     """
-    def per_batch(batch: DataFrame, batch_id: int) -> None:
-        spark, part, mine = batch.sparkSession, part_name(checkpoint, batch_id), checkpoint_name(checkpoint)
-        log = ManifestLog(spark, root)
-        if log.state()["batches"].get(mine, -1) >= batch_id:
-            return
+    def job(batch: DataFrame, state: dict, part: str) -> dict:
+        spark, tables, counts = batch.sparkSession, {}, {}
         meta = [c for c in META if c in batch.columns]
         batch = batch.persist()
-        tables, counts = {}, {}
         try:
             for topic, rows in route_by_topic(batch, list(topics)).items():
                 schema, name = topics[topic][:2]
@@ -367,17 +394,18 @@ def upsert_job(raw: DataFrame, root: str, checkpoint: str,
                 staged = decode(rows.select(*meta, "value"), schema).persist()
                 try:
                     tables[name], counts[topic] = write_batch(
-                        spark, root, part, name, staged, tkey, meta, log.state()["tables"].get(name), buckets)
+                        spark, root, part, name, staged, tkey, meta, state["tables"].get(name), buckets)
                 finally:
                     staged.unpersist()
-            log.commit(lambda s: {"tables": tables, "counts": counts, "batch": {mine: batch_id}})
-            if compact_every and (batch_id + 1) % compact_every == 0:
-                for topic, spec in topics.items():
-                    compact(spark, f"{root}/{spec[1]}", spec[2] if len(spec) > 2 else key, meta, spec[0],
-                            grace_seconds=grace_seconds, log=log)
         finally:
             batch.unpersist()
-    w = raw.writeStream.option("checkpointLocation", checkpoint).foreachBatch(per_batch)
-    if trigger:
-        w = w.trigger(**trigger)
-    return w.start()
+        return {"tables": tables, "counts": counts}
+
+    def after(log: ManifestLog, batch_id: int) -> None:
+        if compact_every and (batch_id + 1) % compact_every == 0:
+            for spec in topics.values():
+                compact(raw.sparkSession, f"{root}/{spec[1]}", spec[2] if len(spec) > 2 else key,
+                        [c for c in META if c in raw.columns], spec[0], grace_seconds=grace_seconds, log=log)
+
+    job.after = after
+    return each_batch_once(raw, root, checkpoint, job, trigger)
