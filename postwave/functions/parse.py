@@ -134,12 +134,30 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None
     Three projections: parse once, pull each field's sub-value once, then
     type it; the object checks filter between the first two.
     """
+    return _decoded(df, value_col, keep, posts_decoder())
+
+
+class Decoder:
+    """How a record becomes a row: ``checks`` are (reason, whether the record in
+    ``_v`` passes), ``fields`` the sub-values pulled from it once, ``row`` the
+    typed columns made of them."""
+
+    def __init__(self, checks: list[tuple[Column, Column]], fields: list[Column], row: list[Column]):
+        self.checks, self.fields, self.row = checks, fields, row
+
+
+def _decoded(df: DataFrame, value_col: str, keep: list[str] | None, d: Decoder) -> DataFrame:
+    """The rows of the records that pass."""
     keep = keep or []
-    s1 = _decode_stage(df, value_col, keep)
+    passes = is_record(F.col("_v"))
+    for _, ok in d.checks:
+        passes = passes & ok
+    return _keep_if(_decode_stage(df, value_col, keep), keep, passes, d.fields).select(*keep, *d.row)
+
+
+def posts_decoder() -> Decoder:
     v = F.col("_v")
     acc = field(v, "$.account")
-    s2 = _keep_if(s1, keep, is_record(v) & (acc.isNull() | _is_object(acc)),
-                  [field(v, path).alias("_x_" + name) for name, path, _, _, _ in PARSED_FIELDS])
     outs = []
     for name, _, typ, dflt, integral in PARSED_FIELDS:
         x = F.col("_x_" + name)
@@ -147,7 +165,8 @@ def parse_posts(df: DataFrame, value_col: str = "value", keep: list[str] | None
             outs.append(x.try_cast(typ).alias(name))
         else:
             outs.append(_typed_x(x, typ, _default(typ, dflt), integral=integral).alias(name))
-    return s2.select(*keep, *outs)
+    return Decoder([(F.lit("account_not_an_object"), acc.isNull() | _is_object(acc))],
+                   [field(v, path).alias("_x_" + name) for name, path, _, _, _ in PARSED_FIELDS], outs)
 
 
 def _keep_if(df: DataFrame, keep: list[str], cond: Column, fields: list[Column]) -> DataFrame:
@@ -194,17 +213,18 @@ def source_table(df: DataFrame, value_col: str = "value", keep: list[str] | None
 
     The record is parsed once (the same Variant parse as ``parse_posts``)
     and every declared field is read from it with the declared type."""
-    keep = keep or []
-    staged = _decode_stage(df, value_col, keep)
-    v = F.col("_v")
-    fields = [_declared_field(v, f.name, f.dataType).alias(f.name) for f in schema.fields]
-    out = _keep_if(staged, keep, is_record(v), fields)
+    out = _decoded(df, value_col, keep, declared_decoder(schema))
     out = out.withColumn("event_time", F.try_to_timestamp(F.col("created_at")))
     if with_proc_time:
         out = out.withColumn("proc_time", F.current_timestamp())
     return out
 
 
+def declared_decoder(schema: StructType = POST_SCHEMA) -> Decoder:
+    return Decoder([], [_declared_field(F.col("_v"), f.name, f.dataType).alias(f.name) for f in schema.fields],
+                   [F.col(f.name) for f in schema.fields])
+
+
 # Fixed value: the name of the post table in analysts' queries.
 def register_source_table(df: DataFrame, name: str = "mastodon_posts", **kw) -> DataFrame:
     t = source_table(df, **kw)
@@ -234,32 +254,34 @@ def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str]
     to NULL; tag objects become their names. A ``null`` tag list or a tag
     without ``name`` drops the record.
     """
-    keep = keep or []
-    s1 = _decode_stage(df, value_col, keep)
+    return _decoded(df, value_col, keep, status_decoder())
+
+
+def status_decoder() -> Decoder:
     v = F.col("_v")
     required = ["$.id", "$.created_at", "$.content", "$.account.username",
                 "$.account.display_name", "$.account.followers_count"]
-    present = is_record(v)
-    for p in required:
-        present = present & field(v, p).isNotNull()
+    missing = F.array_compact(F.array(*[F.when(field(v, p).isNull(), F.lit(p[2:])) for p in required]))
     tags_x = field(v, "$.tags")
     tag_items = field(v, "$.tags", "array<variant>")
     tags_ok = tags_x.isNull() | (
         tag_items.isNotNull()
         & F.forall(tag_items, lambda t: F.try_variant_get(t, "$.name", "variant").isNotNull()))
+    present = F.lit(True)
+    for p in required:
+        present = present & field(v, p).isNotNull()
     fields = [("id", "$.id"), ("created_at", "$.created_at"), ("content", "$.content"),
               ("username", "$.account.username"), ("display_name", "$.account.display_name"),
               ("followers_count", "$.account.followers_count"), ("language", "$.language"),
               ("favourites_count", "$.favourites_count"), ("reblogs_count", "$.reblogs_count"),
               ("replies_count", "$.replies_count"), ("url", "$.url")]
-    s2 = _keep_if(s1, keep, present & tags_ok,
-                  [field(v, path).alias("_x_" + n) for n, path in fields]
-                  + [F.transform(tag_items, lambda t: F.try_variant_get(t, "$.name", "string"))
-                     .alias("_names"), tags_x.isNull().alias("_no_tags")])
+    pulled = ([field(v, path).alias("_x_" + n) for n, path in fields]
+              + [F.transform(tag_items, lambda t: F.try_variant_get(t, "$.name", "string"))
+                 .alias("_names"), tags_x.isNull().alias("_no_tags")])
     x = lambda n: F.col("_x_" + n)
     zero = F.lit(0).cast("bigint")
-    return s2.select(
-        *keep,
+    return Decoder([(F.concat(F.lit("missing:"), F.array_join(missing, ",")), present),
+                    (F.lit("tags_without_names"), tags_ok)], pulled, [
         x("id").try_cast("string").alias("id"),
         x("created_at").try_cast("string").alias("created_at"),
         x("content").try_cast("string").alias("content"),
@@ -273,10 +295,41 @@ def project_raw_status(df: DataFrame, value_col: str = "value", keep: list[str]
         x("url").try_cast("string").alias("url"),
         F.when(F.col("_no_tags"), F.array().cast("array<string>"))
          .otherwise(F.col("_names")).alias("tags"),
-    )
+    ])
 
 
 def normalise_created_at(col: Column) -> Column:
     """Mixed ISO-8601 / ``str(datetime)`` text -> timestamp (NULL if unparseable)."""
     return F.try_to_timestamp(col)
 
+
+# ---- one pass for accepted and refused records ------------------------------
+
+def base_reason(value: Column, w: Column) -> Column:
+    """Why a text is not one JSON object; null if it is."""
+    return (F.when(value.isNull(), F.lit("null"))
+             .when(~value.rlike(OBJECT_TEXT), F.lit("not_an_object"))
+             .when(~is_record(w), F.lit("malformed_json")))
+
+
+def split_records(df: DataFrame, decoder: Decoder, value_col: str = "value",
+                  keep: list[str] | None = None) -> DataFrame:
+    """Every record once: the columns of ``keep``, the text, ``reason`` (null if
+    the record is accepted) and ``row`` (the decoded columns; null if it is
+    refused). The record is parsed once, as in the decoders themselves; written
+    or persisted, the result gives both sides without a second pass."""
+    keep = [c for c in keep or [] if c != value_col]
+    staged = _decode_stage(df, value_col, [*keep, value_col])
+    reason = base_reason(F.col(value_col), F.col("_v"))
+    for told, ok in decoder.checks:
+        reason = reason.when(~ok, told)
+    pulled = _keep_if(staged, [*keep, value_col], F.lit(True), [reason.alias("reason"), *decoder.fields])
+    return pulled.select(*keep, value_col, "reason", F.when(F.col("reason").isNull(), F.struct(*decoder.row)).alias("row"))
+
+
+def accepted(split: DataFrame, keep: list[str] | None = None) -> DataFrame:
+    return split.where("reason is null").select(*(keep or []), "row.*")
+
+
+def refused(split: DataFrame) -> DataFrame:
+    return split.where("reason is not null").drop("row")

@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.parse import _decode_stage, _keep_if, _typed_x, field, is_record
+from ..functions.parse import Decoder, _decoded, _typed_x, field
 from ..schemas import DEFAULT_LANGUAGES, PARSED_POST_COLUMNS
 
 
@@ -60,18 +60,19 @@ def extract_hashtags_raw(df: DataFrame, value_col: str = "value",
     """Hashtag records straight from post JSON (no parse step in between,
     so ``account`` is never looked at). A record whose ``tags`` are there but
     no list is dropped."""
-    keep = keep or []
-    s1 = _decode_stage(df, value_col, keep)
+    return _decoded(df, value_col, keep, hashtag_decoder())
+
+
+def hashtag_decoder() -> Decoder:
     v = F.col("_v")
     tags_x = field(v, "$.tags")
     a_list = tags_x.isNull() | F.schema_of_variant(tags_x).startswith("ARRAY<")
-    s2 = _keep_if(s1, keep, is_record(v) & a_list,
-                  [field(v, "$.id").alias("_id"), tags_x.alias("_tags"),
-                   field(v, "$.language").alias("_lang")])
     tags = _typed_x(F.col("_tags"), "array<string>", F.array().cast("array<string>"))
-    return s2.select(*keep, F.col("_id").try_cast("string").alias("post_id"),
-                     tags.alias("hashtags"), F.size(tags).cast("int").alias("hashtag_count"),
-                     _typed_x(F.col("_lang"), "string", F.lit("unknown")).alias("language"))
+    return Decoder([(F.lit("tags_not_a_list"), a_list)],
+                   [field(v, "$.id").alias("_id"), tags_x.alias("_tags"), field(v, "$.language").alias("_lang")],
+                   [F.col("_id").try_cast("string").alias("post_id"), tags.alias("hashtags"),
+                    F.size(tags).cast("int").alias("hashtag_count"),
+                    _typed_x(F.col("_lang"), "string", F.lit("unknown")).alias("language")])
 
 
 def content_preview(col: str = "content", n: int = 50) -> Column:

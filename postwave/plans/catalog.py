@@ -919,22 +919,32 @@ BATCHES_CTE = f"b AS (SELECT unnest(range({BATCHES})) AS batch)"
 
 
 def _in_batches(base: str, frame, batch, jobs) -> None:
-    """Puts the records of ``frame`` (seq, value) into a topic folder in
-    BATCHES goes, ``batch`` telling which. After each go every job of ``jobs``
+    """Puts the records of ``frame`` into a topic folder in BATCHES goes, ``batch`` telling which. After each go every job of ``jobs``
     (a function of the stream) begins anew at its checkpoint and takes what
     is there."""
     from ..streaming.replay import drain
-    frame = frame.select("seq", "value").persist()
+    frame = frame.persist()
     spark = frame.sparkSession
     try:
         for b in range(BATCHES):
             frame.where(batch == b).write.mode("append").json(f"{base}/in")
             for job in jobs:
-                drain(job(spark.readStream.schema("seq bigint, value string").json(f"{base}/in")))
+                drain(job(spark.readStream.schema(frame.schema).json(f"{base}/in")))
     finally:
         frame.unpersist()
 
 
+def _by_time(spark, d, behind: str = "0"):
+    """The batch of a record by its place in time, ``behind`` batches later."""
+    from ..sources.tables import read_table
+    n = read_table(spark, d, "events").agg(F.max("event_id") + 1).first()[0] or 1
+    return F.expr(f"least({BATCHES - 1}, seq * {BATCHES} DIV {n} + {behind})")
+
+
+TIMED_CTE = f"""t AS (
+  SELECT *, seq * {BATCHES} // (SELECT max(seq) + 1 FROM posts) AS batch FROM posts)"""
+
+
 CHANGELOG_SQL = {
     "having": """
 SELECT account.username AS username, count(*) AS posts, sum(reblogs_count) AS reblogs
@@ -963,7 +973,7 @@ def q_stream_changelog(spark, d):
             custom_sql(spark, CHANGELOG_SQL[name], P.source_table(stream, with_proc_time=False)),
             f"{base}/{name}", f"{base}/ckpt-{name}", compact_every=2)
 
-    _in_batches(base, raw_posts(spark, d, NO_CONTENT), F.expr(RUNS), [job(n) for n in CHANGELOG_SQL])
+    _in_batches(base, raw_posts(spark, d, NO_CONTENT).select("seq", "value"), F.expr(RUNS), [job(n) for n in CHANGELOG_SQL])
     out = None
     for name in CHANGELOG_SQL:
         changes = read_changes(spark, f"{base}/{name}")
@@ -1069,13 +1079,11 @@ def _accounted(analysis: str):
         """The analysis over four batches, each by a job started anew, with
         rows that come a batch late: its windows, and the rows told as late."""
         from ..session import shared_path
-        from ..sources.tables import read_table
         from ..streaming.late import accounted_windows_job, finish, read_late, read_windows
         base = shared_path(spark, f"stream-late-{analysis}")
         minutes = ACCOUNTED[analysis][0] // 60 if analysis in ("language", "users", "engagement") else None
-        n = read_table(spark, d, "events").agg(F.max("event_id") + 1).first()[0] or 1
-        batch = F.expr(f"least({BATCHES - 1}, seq * {BATCHES} DIV {n} + CAST(seq % 13 = 0 AS INT))")
-        _in_batches(base, raw_posts(spark, d, NO_CONTENT), batch, [lambda stream: accounted_windows_job(
+        batch = _by_time(spark, d, "CAST(seq % 13 = 0 AS INT)")
+        _in_batches(base, raw_posts(spark, d, NO_CONTENT).select("seq", "value"), batch, [lambda stream: accounted_windows_job(
             stream, analysis, f"{base}/out", f"{base}/ckpt", window_minutes=minutes, delay_seconds=600)])
         finish(spark, f"{base}/out", analysis, minutes)
         found, late = read_windows(spark, f"{base}/out"), read_late(spark, f"{base}/out")
@@ -1094,6 +1102,107 @@ for _name in ACCOUNTED:
     _accounted(_name)
 
 
+@register("stream_trending_hashtags", with_posts(f"""
+SELECT window_start, window_end, tag, tag_count, rank FROM (
+  SELECT *, row_number() OVER (PARTITION BY window_start ORDER BY tag_count DESC, tag) AS rank
+  FROM (SELECT {wstart('created_at', 3600)} AS window_start, {wend('created_at', 3600)} AS window_end,
+               tag, count(*) AS tag_count
+        FROM (SELECT created_at, unnest(tags) AS tag FROM srctable) GROUP BY 1, 2, 3))
+WHERE rank <= 3""", SOURCE_TABLE_CTE))
+def q_stream_trending_hashtags(spark, d):
+    """A9 as a stream of four batches and restarts: final counts of a window,
+    then its three most used tags."""
+    from ..session import shared_path
+    from ..streaming.polling import read_trending, trending_job
+    from ..streaming.replay import FLUSH_RECORD, drain
+    base = shared_path(spark, "stream-trending")
+    job = lambda s: trending_job(s, f"{base}/out", f"{base}/ckpt", delay="10 minutes")
+    _in_batches(base, raw_posts(spark, d, NO_CONTENT).select("seq", "value"), _by_time(spark, d), [job])
+    spark.createDataFrame([(-1, FLUSH_RECORD)], "seq bigint, value string").write.mode("append").json(f"{base}/in")
+    drain(job(spark.readStream.schema("seq bigint, value string").json(f"{base}/in")))
+    return read_trending(spark, f"{base}/out").select(
+        F.col("window_start").cast("timestamp_ntz").alias("window_start"),
+        F.col("window_end").cast("timestamp_ntz").alias("window_end"), "tag", "tag_count",
+        F.col("rank").cast("bigint").alias("rank"))
+
+
+@register("stream_dedup", with_posts(f"""
+SELECT id, min(batch) AS poll FROM t WHERE seq % 97 <> 0 GROUP BY id
+UNION ALL SELECT NULL, batch + i FROM t, (SELECT unnest([0, 1]) AS i)
+WHERE seq % 97 = 0 AND (i = 0 OR seq % 3 = 0 AND batch < {BATCHES - 1})""", TIMED_CTE))
+def q_stream_dedup(spark, d):
+    """Overlapping polls: every third post is brought again by the next poll,
+    after a restart. Each post stays once, as first polled; records that are no
+    posts have no id and stay."""
+    from ..session import shared_path
+    from ..streaming.jobs import write_stream
+    from ..streaming.polling import each_post_once
+    base = shared_path(spark, "stream-dedup")
+    poll = _by_time(spark, d)
+    again = F.when((F.col("seq") % 3 == 0) & (F.col("poll") < BATCHES - 1), F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))
+    frame = raw_posts(spark, d, EVENT_COLUMNS).select("seq", "value").withColumn("poll", poll)
+    frame = frame.select("seq", "value", "poll", F.explode(again).alias("i")).select(
+        "seq", "value", (F.col("poll") + F.col("i")).cast("bigint").alias("poll"))
+    frame = frame.withColumn("polled_at", F.timestamp_seconds(F.col("poll") * 3600 + 1_700_000_000))
+    _in_batches(base, frame, F.col("poll"), [lambda s: write_stream(
+        each_post_once(s, 86_400), "parquet", f"{base}/ckpt", path=f"{base}/out")])
+    out = spark.read.schema(frame.schema).parquet(f"{base}/out")
+    return out.select(F.when(F.col("value").startswith('{"id"'), F.get_json_object("value", "$.id")).alias("id"), "poll")
+
+
+@register("poll_pages", with_posts(f"""
+SELECT page, id, row_number() OVER (PARTITION BY page ORDER BY seq) AS poll_rank
+FROM (SELECT batch AS page, id, seq FROM t WHERE list_contains(tags, 'click')
+      QUALIFY row_number() OVER (PARTITION BY batch ORDER BY seq DESC) <= CASE WHEN batch = 0 THEN 20 ELSE 40 END)""",
+                                 TIMED_CTE))
+def q_poll_pages(spark, d):
+    """S5 as a poller over a status table that grows by four goes: each page
+    has the newest posts since the last one (the page size is the feature)."""
+    from ..session import shared_path
+    from ..streaming.polling import poll, read_pages
+    base = shared_path(spark, "poll-pages")
+    p = posts(spark, d, EVENT_COLUMNS).withColumn("seq", F.col("id").cast("bigint"))
+    p = p.withColumn("go", _by_time(spark, d)).persist()
+    try:
+        for b in range(BATCHES):
+            poll(spark, p.where(F.col("go") <= b).drop("go", "seq"), f"{base}/out", "click")
+            poll(spark, p.where(F.col("go") <= b).drop("go", "seq"), f"{base}/out", "click")  # nothing is new
+    finally:
+        p.unpersist()
+    return read_pages(spark, f"{base}/out").select("page", "id", F.col("poll_rank").cast("bigint").alias("poll_rank"))
+
+
+# Every record through each decoder, accepted or with the reason it is refused.
+SPLITS = {
+    "posts": ("CASE WHEN seq % 97 = 0 THEN 'not_an_object' END", "favourites_count"),
+    "declared": ("CASE WHEN seq % 97 = 0 THEN 'not_an_object' END", "favourites_count"),
+    "hashtags": ("CASE WHEN seq % 97 = 0 THEN 'not_an_object' END", "len(tags)"),
+    "status": ("CASE WHEN seq % 43 = 0 THEN 'tags_without_names' END", "favourites_count"),
+}
+
+
+def _split_key(name: str):
+    reason, value = SPLITS[name]
+
+    @register(f"split_{name}", with_posts(f"""
+SELECT seq, {reason} AS reason, CASE WHEN {reason} IS NULL THEN id END AS id,
+       CASE WHEN {reason} IS NULL THEN CAST({value} AS BIGINT) END AS value FROM posts"""))
+    def run(spark, d):
+        from ..sources.posts import raw_statuses
+        decoder = {"posts": P.posts_decoder, "declared": P.declared_decoder, "status": P.status_decoder,
+                   "hashtags": T.hashtag_decoder}[name]()
+        raw = raw_statuses(spark, d) if name == "status" else raw_posts(spark, d)
+        rows = P.split_records(raw, decoder, keep=["seq"])
+        key, number = ("post_id", "hashtag_count") if name == "hashtags" else ("id", "favourites_count")
+        return rows.select("seq", "reason", F.col("row")[key].alias("id"),
+                           F.col("row")[number].cast("bigint").alias("value"))
+    return run
+
+
+for _name in SPLITS:
+    _split_key(_name)
+
+
 def _stream_single(spark, d, name: str, job, select: list[str], **kw):
     from ..session import shared_path
     from ..sources.kafka import read_replay

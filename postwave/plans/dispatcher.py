@@ -30,7 +30,8 @@ from ..schemas import (ENGAGEMENT_TABLE, HASHTAG_TABLE, TOPIC_ENGAGEMENT, TOPIC_
 from . import pipelines
 from .sql import custom_sql
 
-STREAM_ANALYSES = ("engagement", "filter", "hashtags", "full")
+# ``language`` is another name of ``filter``
+STREAM_ANALYSES = ("engagement", "filter", "language", "hashtags", "full")
 # index topics: short name -> (topic, table schema, table name, document key)
 INDEX_TOPICS = {
     "engagement": (TOPIC_ENGAGEMENT, ENGAGEMENT_TABLE, "engagement", "id"),
@@ -42,14 +43,17 @@ SQL_ANALYSES = ("language", "users", "engagement", "dashboard", "count", "custom
 def run_analysis(spark: SparkSession, raw: DataFrame, mode: str, analysis: str, *,
                  window: int = 5, languages: list[str] | None = None,
                  query: str | None = None, time: str = "processing",
-                 delay: str = "0 seconds", heartbeat: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
-    """Return the result frame(s) of one analysis over ``raw`` (``value``)."""
+                 delay: str = "0 seconds", heartbeat: bool = False,
+                 timers: bool = False) -> DataFrame | tuple[DataFrame, DataFrame]:
+    """Return the result frame(s) of one analysis over ``raw`` (``value``).
+    On a stream over processing time, windows close by ``timers`` or, with
+    ``heartbeat``, by a clock of its own rows."""
     if mode == "stream":
         if analysis not in STREAM_ANALYSES:
             raise ValueError(f"analysis {analysis!r} is not a stream analysis {STREAM_ANALYSES}")
         if analysis == "engagement":
             return pipelines.engagement_pipeline(raw)
-        if analysis == "filter":
+        if analysis in ("filter", "language"):
             return pipelines.filtered_pipeline(raw, languages)
         if analysis == "hashtags":
             return pipelines.hashtag_pipeline(raw)
@@ -63,6 +67,9 @@ def run_analysis(spark: SparkSession, raw: DataFrame, mode: str, analysis: str,
             register_source_table(raw)
             return custom_sql(spark, query)
         from ..streaming.jobs import window_stream
+        if raw.isStreaming and timers and time == "processing":
+            from ..streaming.timers import timed_windows
+            return timed_windows(raw, analysis, window)
         if raw.isStreaming:
             from ..streaming.heartbeat import heartbeat as beat
             clock = beat(spark, "proc_time") if heartbeat and time == "processing" else None
@@ -103,6 +110,12 @@ def _parser() -> argparse.ArgumentParser:
                    help="files taken per micro-batch (files source)")
     p.add_argument("--no-heartbeat", action="store_true",
                    help="let processing-time windows wait for the next post to close")
+    p.add_argument("--timers", action="store_true",
+                   help="close processing-time windows by timers instead of heartbeat rows")
+    p.add_argument("--changes", action="store_true",
+                   help="--analysis custom: write the changes of the answer (+I, -U, +U, -D) under --output")
+    p.add_argument("--account-late", action="store_true",
+                   help="windowed analyses over event time: write windows and late rows with a reason under --output")
     p.add_argument("--sink", choices=["kafka", "json", "parquet", "console"], default="parquet")
     p.add_argument("--console-rows", type=int, default=None,
                    help="rows shown of each batch; required for the console sink")
@@ -136,12 +149,21 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     if args.mode == "stream" and args.analysis == "full":
         full_pipeline_job(raw, args.checkpoint, *_full_sinks(args), trigger=trigger).awaitTermination()
         return
-    if args.sink != "console" and not args.output:
+    if (args.sink != "console" or args.changes or args.account_late) and not args.output:
         raise ValueError(f"--sink {args.sink} needs --output")
+    if args.account_late:
+        _accounted(spark, raw, args, trigger).awaitTermination()
+        return
     out = run_analysis(spark, raw, args.mode, args.analysis, window=args.window,
                        languages=args.languages, query=args.query, time=args.time,
                        delay=args.delay,
-                       heartbeat=not (args.no_heartbeat or args.available_now))
+                       heartbeat=not (args.no_heartbeat or args.available_now), timers=args.timers)
+    if args.changes:
+        if args.analysis != "custom":
+            raise ValueError("--changes needs --analysis custom")
+        from ..streaming.changelog import changelog_job
+        changelog_job(out, args.output, args.checkpoint, trigger=trigger).awaitTermination()
+        return
     sink = {"bootstrap": args.bootstrap_servers, "trigger": trigger}
     if args.sink == "kafka":
         sink["topic"] = args.output
@@ -156,6 +178,16 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     write_stream(out, args.sink, args.checkpoint, output_mode=mode, **sink).awaitTermination()
 
 
+def _accounted(spark: SparkSession, raw: DataFrame, args, trigger: dict | None):
+    """A windowed analysis that sets late rows aside (``streaming.late``)."""
+    from ..streaming.late import accounted_windows_job
+    if args.mode != "sql" or args.analysis == "custom" or args.time != "event":
+        raise ValueError("--account-late needs --mode sql, a windowed analysis and --time event")
+    seconds = spark.sql(f"SELECT unix_millis(timestamp_seconds(0) + INTERVAL {args.delay}) / 1000").first()[0]
+    return accounted_windows_job(raw, args.analysis, args.output, args.checkpoint, window_minutes=args.window,
+                                 delay_seconds=float(seconds), trigger=trigger)
+
+
 def _full_sinks(args) -> tuple[dict, dict]:
     """The two outputs of the full pipeline: its topics, two folders under
     ``--output``, or the console."""

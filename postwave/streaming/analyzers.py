@@ -27,10 +27,12 @@ from ..schemas import (TOPIC_COUNTS, TOPIC_DASHBOARD, TOPIC_ENGAGEMENT, TOPIC_FI
                        TOPIC_HASHTAGS, TOPIC_POSTS)
 from ..session import ensure_checkpoint_dir
 from ..sources.kafka import read_replay, read_topic
+from .changelog import changelog_job
 from .heartbeat import heartbeat
 from .keyed import checkpoint_name
 from .jobs import (engagement_job, filter_job, full_pipeline_job, hashtag_job, window_stream,
                    write_stream)
+from .timers import timed_windows
 
 
 class _Analyzer:
@@ -39,7 +41,7 @@ class _Analyzer:
     def __init__(self, spark: SparkSession, *, bootstrap_servers: str = "localhost:9092",
                  input_topic: str = TOPIC_POSTS, group_id: str | None = None,
                  source: str = "kafka", input_path: str | None = None,
-                 starting_offsets: str | None = None, max_files_per_trigger: int | None = None,
+                 starting_offsets: str | None = None, max_files_per_trigger: int | None = 1000,
                  sink: str | None = None, output_root: str | None = None,
                  checkpoint_root: str | None = None, trigger: dict | None = None,
                  console_rows: int | None = None, max_offsets_per_trigger: int = 5_000_000):
@@ -130,7 +132,7 @@ class SQLAnalyzer(_Analyzer):
     """Windowed analyses over the declared post table.
 
     ``time="processing"`` windows on the arrival clock (with ``heartbeat``,
-    windows also close while the source is silent); ``time="event"`` windows
+    or by ``timers``, windows also close while the source is silent); ``time="event"`` windows
     on ``created_at`` behind a watermark of ``delay``. By default the three
     statistics and custom queries go to Parquet folders under ``output_root``
     (the original jobs print them; a printed table holds only the rows it is
@@ -141,7 +143,7 @@ class SQLAnalyzer(_Analyzer):
     default_offsets = "latest"
 
     def __init__(self, spark: SparkSession, *, time: str = "processing",
-                 delay: str = "0 seconds", heartbeat: bool | None = None, **kw):
+                 delay: str = "0 seconds", heartbeat: bool | None = None, timers: bool = False, **kw):
         super().__init__(spark, **kw)
         if time not in ("processing", "event"):
             raise ValueError(f"time must be 'processing' or 'event', not {time!r}")
@@ -149,9 +151,12 @@ class SQLAnalyzer(_Analyzer):
         self.delay = delay
         ends = {"availableNow", "once"} & set(self.trigger or ())
         self.heartbeat = not ends if heartbeat is None else heartbeat
+        self.timers = timers
 
     def _window(self, analysis: str, window_minutes: int | None, original_fmt: str,
                 name: str) -> StreamingQuery:
+        if self.timers and self.time == "processing":
+            return self._start(timed_windows(self._raw(), analysis, window_minutes), original_fmt, name)
         hb = None
         if self.heartbeat and self.time == "processing":
             hb = heartbeat(self.spark, "proc_time")
@@ -174,6 +179,15 @@ class SQLAnalyzer(_Analyzer):
     def simple_count_analysis(self) -> StreamingQuery:
         return self._window("count", None, "kafka", TOPIC_COUNTS)
 
+    def custom_sql_changes(self, query: str, key: list[str] | None = None) -> StreamingQuery:
+        """The changes of any SELECT's answer, with their kind, under
+        ``output_root``; ``changelog.read_changes`` reads them."""
+        if not self.output_root:
+            raise ValueError("the changes of a query need output_root")
+        posts = source_table(self._raw(), with_proc_time=(self.time == "processing"))
+        return changelog_job(custom_sql(self.spark, query, posts), f"{self.output_root.rstrip('/')}/custom_changes",
+                             f"{self.checkpoint_root}/custom_changes", key=key, trigger=self.trigger)
+
     def custom_sql_query(self, query: str) -> StreamingQuery:
         """Any SELECT over ``mastodon_posts``. Aggregating queries stream in
         update mode to topics and the console. Files only take final rows, so

@@ -23,7 +23,7 @@ from pyspark.sql.types import StructType
 from ..functions.parse import normalise_created_at, parse_posts
 from ..operators.transforms import engagement_score
 from ..operators.upsert import upsert_latest
-from .keyed import META, _read, compact, each_batch_once, read_table, retire, write_part
+from .keyed import META, _read, compact, each_batch_once, read_rows, read_table, retire, write_part
 from .manifest import ManifestLog
 
 # The kinds of change.
@@ -135,9 +135,7 @@ def last_values(spark: SparkSession, root: str, schema: StructType) -> DataFrame
 
 def read_changes(spark: SparkSession, root: str) -> DataFrame:
     """batch, kind and the answer's columns, of all changes so far."""
-    t = ManifestLog(spark, root).state()["tables"]["changes"]
-    return (_read(spark, root, t["files"], t["schema"]) if t["files"]
-            else spark.createDataFrame([], StructType.fromJson(t["schema"])))
+    return read_rows(spark, root, "changes")
 
 
 def folded(changes: DataFrame) -> DataFrame:

@@ -24,12 +24,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.parse import is_record, parse_posts, record, source_table
+from ..functions.parse import Decoder, accepted, is_record, parse_posts, record, refused, source_table, split_records
 from ..operators import windows as W
 from ..operators.transforms import engagement_score, extract_hashtags, scored_view
 from ..plans.pipelines import engagement_pipeline, filtered_pipeline, hashtag_pipeline
 from ..sinks.writers import JSON_OPTS, kafka_value_frame
-from .keyed import checkpoint_name, part_name
+from .keyed import META, checkpoint_name, each_batch_once, part_name, write_split
 
 WINDOW_ANALYSES: dict[str, Callable[..., DataFrame]] = {
     "language": W.language_distribution,
@@ -146,6 +146,23 @@ def full_pipeline_job(raw: DataFrame, checkpoint: str, engagement_sink: dict,
     return w.start()
 
 
+def decode_job(raw: DataFrame, decoder: Decoder, root: str, checkpoint: str,
+               trigger: dict | None = None, value_col: str = "value") -> StreamingQuery:
+    """Decodes every record once and writes both sides of it: decoded rows as
+    the table ``decoded`` (``keyed.read_rows``) and refused records with their
+    reason as its rejects (``keyed.read_rejects``), each batch as one change."""
+    def job(batch: DataFrame, state: dict, part: str) -> dict:
+        spark, before = batch.sparkSession, state["tables"].get("decoded")
+        meta = [c for c in META if c in batch.columns]
+        split = split_records(batch, decoder, value_col, keep=meta).persist()
+        try:
+            return {"tables": {"decoded": write_split(spark, root, part, "decoded", accepted(split, meta), refused(split),
+                                                      None, before)}}
+        finally:
+            split.unpersist()
+    return each_batch_once(raw, root, checkpoint, job, trigger)
+
+
 def archive_job(raw: DataFrame, path: str, checkpoint: str,
                 trigger: dict | None = None) -> StreamingQuery:
     """J5: append every raw record that is one JSON object to a JSON-lines

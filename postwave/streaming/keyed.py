@@ -92,6 +92,13 @@ def read_table(spark: SparkSession, root: str, key: str, order: list[str],
     return upsert_latest(_read(spark, _split(root)[0], t["files"], t["schema"]), key, order)
 
 
+def read_rows(spark: SparkSession, base: str, name: str) -> DataFrame:
+    """Every row of the table's parts, as written. The table must be there."""
+    t = ManifestLog(spark, base).state()["tables"][name]
+    return (_read(spark, base, t["files"], t["schema"]) if t["files"]
+            else spark.createDataFrame([], StructType.fromJson(t["schema"])))
+
+
 def read_rejects(spark: SparkSession, root: str) -> DataFrame:
     """``value``, ``reason`` and the record's place, of every refused record."""
     t = _table(spark, root)
@@ -329,17 +336,24 @@ def write_part(spark: SparkSession, base: str, name: str, part: str, rows: DataF
             "schema": _merged(before.get("schema"), rows.schema)}
 
 
+def write_split(spark: SparkSession, base: str, part: str, name: str, good: DataFrame, bad: DataFrame,
+                key: str | None, before: dict | None, buckets: int = BUCKETS) -> dict:
+    """``write_part`` with the records that were refused."""
+    told = write_part(spark, base, name, part, good, key, before, buckets)
+    at = f"{name}/rejects-{part}"
+    bad.write.mode("overwrite").parquet(f"{base}/{at}")
+    told["rejects"] = [f for f in _described(spark, base, at, None) if f["rows"]]
+    told["rejects_schema"] = _merged((before or {}).get("rejects_schema"), bad.schema)
+    return told
+
+
 def write_batch(spark: SparkSession, base: str, part: str, name: str, staged: DataFrame, key: str,
                 meta: list[str], before: dict | None, buckets: int) -> tuple[dict, dict]:
     """Writes the accepted and refused records of ``staged`` as a part of the
     table each; what the manifest has to say of them, and their counts."""
     good = staged.where("reason is null").select("r.*", *meta, F.current_timestamp().alias("indexed_at"))
     bad = staged.where("reason is not null").select("value", "reason", *meta)
-    told = write_part(spark, base, name, part, good, key, before, buckets)
-    at = f"{name}/rejects-{part}"
-    bad.write.mode("overwrite").parquet(f"{base}/{at}")
-    told["rejects"] = [f for f in _described(spark, base, at, None) if f["rows"]]
-    told["rejects_schema"] = _merged((before or {}).get("rejects_schema"), bad.schema)
+    told = write_split(spark, base, part, name, good, bad, key, before, buckets)
     counts = {"indexed": sum(f["rows"] for f in told["add"]), "error": sum(f["rows"] for f in told["rejects"])}
     return told, {k: n for k, n in counts.items() if n}
 

@@ -21,11 +21,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
 
 from ..functions.parse import source_table
 from ..operators import windows as W
-from .keyed import _read, each_batch_once, retire, write_part
+from .keyed import _read, each_batch_once, read_rows, retire, write_part
 from .manifest import ManifestLog
 
 # Reasons, and window sizes of the analyses that have one of their own.
@@ -129,18 +128,12 @@ def finish(spark: SparkSession, root: str, analysis: str, window_minutes: int |
         log.commit(lambda s: change)
 
 
-def _whole(spark: SparkSession, root: str, name: str) -> DataFrame:
-    t = ManifestLog(spark, root).state()["tables"][name]
-    return (_read(spark, root, t["files"], t["schema"]) if t["files"]
-            else spark.createDataFrame([], StructType.fromJson(t["schema"])))
-
-
 def read_windows(spark: SparkSession, root: str) -> DataFrame:
     """The analysis of every closed window."""
-    return _whole(spark, root, "windows")
+    return read_rows(spark, root, "windows")
 
 
 def read_late(spark: SparkSession, root: str) -> DataFrame:
     """id, event_time, window_start, window_end and reason of every row that no
     window counts."""
-    return _whole(spark, root, "late")
+    return read_rows(spark, root, "late")
