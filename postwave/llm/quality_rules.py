@@ -33,8 +33,9 @@ DELTA = 0.05
 # The characters that count as symbols.
 SYMBOLS = "#*$%&|<>"
 CAPITALS = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-# Statistics in thousandths; their cutoffs are the multiples of STEP up to TOP steps.
-STEP, TOP = 50, 240
+# Statistics in thousandths; their cutoffs are the multiples of STEP up to EVEN
+# steps, and beyond that FINE steps for each doubling, without an end.
+STEP, EVEN, FINE = 50, 256, 32
 RULES = ("symbols", "capitals", "repeats", "dup_lines", "word_length")
 
 
@@ -75,13 +76,23 @@ def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
 
+def graded(v: Column) -> Column:
+    """Whole steps up to EVEN; of larger ones the leading bits: EVEN is a power of
+    two, and each doubling from there has FINE steps. Order is kept, so a
+    cutoff of grades is a cutoff of steps, however large they are."""
+    bits = F.length(F.bin(v))
+    low, fine = EVEN.bit_length(), FINE.bit_length()
+    leading = F.call_function("shiftright", v, (bits - fine).cast("int"))
+    return F.when(v < EVEN, v).otherwise(EVEN + FINE * (bits - low) + leading - FINE).cast("int")
+
+
 def rule_steps() -> dict[str, Column]:
-    """Each rule's statistic in whole steps; 0 where its divisor is 0."""
+    """Each rule's statistic in graded steps; 0 where its divisor is 0."""
     per = lambda a, b: F.when(F.col(b) > 0, F.floor(1000 * F.col(a) / (F.col(b) * STEP))).otherwise(0)
     found = {"symbols": per("n_symbols", "n_words"), "capitals": per("n_capitals", "word_chars"),
              "repeats": per("n_repeat_words", "n_words"), "dup_lines": per("n_dup_lines", "n_lines"),
              "word_length": per("word_chars", "n_words")}
-    return {k: F.least(v, F.lit(TOP)).cast("int") for k, v in found.items()}
+    return {k: graded(v.cast("long")) for k, v in found.items()}
 
 
 def log_gamma(x: Column) -> Column:
@@ -187,13 +198,15 @@ s AS (
   FROM d LEFT JOIN r USING (row)),
 b AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM s),
 x AS (
-  SELECT *, unnest([
-    {'rule': 1, 'step': CASE WHEN n_words > 0 THEN least(240, floor(1000 * n_symbols / (n_words * 50))) ELSE 0 END},
-    {'rule': 2, 'step': CASE WHEN word_chars > 0 THEN least(240, floor(1000 * n_capitals / (word_chars * 50))) ELSE 0 END},
-    {'rule': 3, 'step': CASE WHEN n_words > 0 THEN least(240, floor(1000 * n_repeat_words / (n_words * 50))) ELSE 0 END},
-    {'rule': 4, 'step': CASE WHEN n_lines > 0 THEN least(240, floor(1000 * n_dup_lines / (n_lines * 50))) ELSE 0 END},
-    {'rule': 5, 'step': CASE WHEN n_words > 0 THEN least(240, floor(1000 * word_chars / (n_words * 50))) ELSE 0 END}],
-    recursive := true) FROM b),
+  SELECT *, CASE WHEN steps < 256 THEN steps
+                 ELSE 256 + 32 * (length(bin(steps)) - 9) + (steps >> (length(bin(steps)) - 6)) - 32 END AS step
+  FROM (SELECT *, unnest([
+    {'rule': 1, 'steps': CASE WHEN n_words > 0 THEN CAST(floor(1000 * n_symbols / (n_words * 50)) AS BIGINT) ELSE 0 END},
+    {'rule': 2, 'steps': CASE WHEN word_chars > 0 THEN CAST(floor(1000 * n_capitals / (word_chars * 50)) AS BIGINT) ELSE 0 END},
+    {'rule': 3, 'steps': CASE WHEN n_words > 0 THEN CAST(floor(1000 * n_repeat_words / (n_words * 50)) AS BIGINT) ELSE 0 END},
+    {'rule': 4, 'steps': CASE WHEN n_lines > 0 THEN CAST(floor(1000 * n_dup_lines / (n_lines * 50)) AS BIGINT) ELSE 0 END},
+    {'rule': 5, 'steps': CASE WHEN n_words > 0 THEN CAST(floor(1000 * word_chars / (n_words * 50)) AS BIGINT) ELSE 0 END}],
+    recursive := true) FROM b)),
 l AS (SELECT doc_id, min(quality) > 0 AS good FROM labels WHERE quality IS NOT NULL GROUP BY doc_id),
 c AS (
   SELECT stratum, rule, step, count(*) FILTER (good) AS good, count(*) FILTER (NOT good) AS bad
