@@ -8,16 +8,19 @@ per letter wins.
 
 A phrase costs log2 of the letters of the language's own sample. Told by a small
 sample alone that would be cheap, so a language pays once, for every text, what
-its sample lacks to the largest one. A letter that begins no phrase costs the
-same in every language: a phrase of the largest sample, and log2 of the alphabet.
-Languages whose sample has fewer than ``LEAST_LETTERS`` letters, none included,
-are left out: nothing is predicted as them.
-
-A fit reads at most ``SAMPLE_DOCS`` documents, ``DOC_CHARS`` characters of each
-from a seeded place on, and ``SAMPLE_CHARS`` characters of each language (a
-documented bound of the fit alone); every whole text is predicted. Every letter
-of a sample has a code, whatever the script. The sample, not the automata, is sent to the tasks, which build the
-automata once each.
+its sample lacks to the largest one, and a sample of fewer than ``FEW`` letters
+counts as that many in the cost of a phrase. A letter that begins no phrase costs
+the same in every language: a phrase of the largest sample, and log2 of the
+alphabet. Every language with a letter in its labelled texts is learned.
+
+The one bound of the fit is ``sample_letters``: so many letters of labelled rows are
+learned from, shared evenly by the languages and never more than ``LANGUAGE_LETTERS``
+(of ``LANGUAGE_ROWS`` rows) each. Rows are taken whole, by the seeded hash of their id, until a language's
+share is used up. Of a language whose rows are all longer than a part of its
+share, slices of that length from seeded places are taken instead. Every whole
+text is predicted. Every letter of a sample has a code, whatever the script. The
+sample, not the automata, is sent to the tasks, which build the automata once
+each.
 
 Texts are parsed in blocks of ``BLOCK`` letters, all blocks of a batch of texts
 side by side in numpy; a phrase ends with its block, in each language alike.
@@ -35,11 +38,12 @@ from pyspark.sql import functions as F
 from postwave.llm.hashing import text_chunks
 from postwave.llm.tables import read, remainder, small_batches
 
-SAMPLE_DOCS = 120
-DOC_CHARS = 600
-SAMPLE_CHARS = 40_000
-MOST_LANGUAGES = 200
-LEAST_LETTERS = 200
+# Letters of labelled rows that are learned from, in all and of one language; a
+# row may be up to one of ROW_PART parts of its language's share.
+SAMPLE_LETTERS = 8_000_000
+LANGUAGE_LETTERS, LANGUAGE_ROWS = 40_000, 1_000
+ROW_PART = 8
+FEW = 200
 BLOCK = 256
 SEED = 11
 CHUNK = 3 << 20
@@ -112,7 +116,7 @@ class Languages:
             first[keys[:n]] = to[:n]
             self.edges.append((keys, to))
             self.first.append(first)
-            bits.append(math.log2(max(len(seq), 2)))
+            bits.append(math.log2(max(len(seq), FEW)))
         self.bits = np.array(bits)
         most = max(bits, default=1.0)
         self.smaller = most - self.bits
@@ -189,33 +193,33 @@ class Languages:
         return names, np.where(letters > 0, score, 0.0)
 
 
-def learn(docs: DataFrame) -> tuple[tuple[str, str], ...]:
-    """(language, sample) pairs from ``docs`` (doc_id, text, lang): the
-    documents with the smallest seeded hash of their id that have letters,
-    DOC_CHARS of each from a seeded place on, so that any part of a text is
-    learned from."""
-    place = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.greatest(F.length("text") - DOC_CHARS, F.lit(0)) + 1) + 1
-    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}")).select(
-        "lang", F.substring(F.col("text"), place.cast("int"), F.lit(DOC_CHARS)).alias("text"),
-        F.xxhash64(F.lit(SEED), "doc_id").alias("turn"))
-    turn = F.row_number().over(Window.partitionBy("lang").orderBy("turn", "text"))
-    rows = known.withColumn("i", turn).where(F.col("i") <= SAMPLE_DOCS)
-    rows = rows.limit(MOST_LANGUAGES * SAMPLE_DOCS + 1).collect()
+def learn(docs: DataFrame, sample_letters: int = SAMPLE_LETTERS) -> tuple[tuple[str, str], ...]:
+    """(language, sample) pairs from the labelled rows of ``docs`` (doc_id,
+    text, lang) that have letters: whole texts by the seeded hash of their id,
+    those up to a ROW_PART of the language's share first. A longer text gives
+    a slice of that length from a seeded place."""
+    known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    languages = known.select("lang").distinct().count()
+    share = max(min(LANGUAGE_LETTERS, sample_letters // max(languages, 1)), FEW)
+    most = max(share // ROW_PART, 1)
+    place = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.greatest(F.length("text") - most, F.lit(0)) + 1) + 1
+    rows = known.select("lang", (F.length("text") > most).alias("long"), F.xxhash64(F.lit(SEED), "doc_id").alias("turn"),
+                        F.substring(F.col("text"), place.cast("int"), F.lit(most)).alias("text"))
+    order = Window.partitionBy("lang").orderBy("long", "turn", "text")
+    rows = rows.withColumn("i", F.row_number().over(order)).where(F.col("i") <= LANGUAGE_ROWS)
+    rows = rows.withColumn("upto", F.sum(F.length("text")).over(order)).where((F.col("upto") <= share) | (F.col("i") == 1))
     found: dict[str, list[str]] = {}
-    for r in sorted(rows, key=lambda r: (r["lang"], r["i"])):
+    for r in sorted(rows.collect(), key=lambda r: (r["lang"], r["i"])):
         found.setdefault(r["lang"], []).append(r["text"])
-    if len(rows) > MOST_LANGUAGES * SAMPLE_DOCS:
-        raise ValueError(f"more labelled samples than {MOST_LANGUAGES} languages give")
-    samples = ((k, "\n".join(v)[:SAMPLE_CHARS]) for k, v in sorted(found.items()))
-    return tuple((k, t) for k, t in samples if sum(c.isalpha() for c in t) >= LEAST_LETTERS)
+    return tuple((k, "\n".join(v)) for k, v in sorted(found.items()))
 
 
-def identify(docs: DataFrame) -> DataFrame:
+def identify(docs: DataFrame, sample_letters: int = SAMPLE_LETTERS) -> DataFrame:
     """One row per document: doc_id, held_out, lang_pred, score.
 
     Learns from rows whose crc32(doc_id) modulo 5 is not 0 and whose lang is
-    not null, for languages whose sample has LEAST_LETTERS letters or more;
-    predicts from the text alone. ``und`` with score 0 for a null
+    not null, up to ``sample_letters`` letters of them; a language without a
+    letter in such rows is not learned. Predicts from the text alone. ``und`` with score 0 for a null
     text, one without letters, and all texts if no language was learned. Of
     languages with equal bits the first by name wins. Rows with the same id are
     predicted one by one. An empty table gives no rows. Columns besides doc_id,
@@ -223,7 +227,7 @@ def identify(docs: DataFrame) -> DataFrame:
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
     rest = remainder(F.col("doc_id"), 5)
-    samples = learn(small_batches(docs).where(rest != 0))
+    samples = learn(small_batches(docs).where(rest != 0), sample_letters)
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         languages = Languages.of(samples)
