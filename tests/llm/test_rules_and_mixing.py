@@ -33,6 +33,20 @@ def test_no_rows_and_no_labels(odd, none, labels):
     assert quality_rules.judge(odd, labels.limit(0)).where("kept = base_failed").count() == 0
 
 
+def test_steps_have_no_ceiling(spark):
+    """Scripts of long words: 15 against 40 characters a word."""
+    values = sorted({0, 1, 255, 256, 257, 263, 264, 511, 512, 10 ** 6, 2 ** 40} | {random.Random(i).randrange(1 << (i % 40 + 1)) for i in range(300)})
+    got = [r.g for r in spark.createDataFrame([(v,) for v in values], "v long").select(
+        quality_rules.graded(F.col("v")).alias("g"), "v").orderBy("v").collect()]
+    assert got == sorted(got) and got[:2] == [0, 1] and all(g == v for g, v in zip(got, values) if v < 256)
+    assert all(b > a for (a, v), (b, w) in zip(zip(got, values), zip(got[1:], values[1:])) if w >= v * 33 / 32 + 1)
+    rows = [row(i, " ".join(("x" * (15 if i % 2 else 40)) + str(i * 60 + k) for k in range(60))) for i in range(4000)]
+    docs = spark.createDataFrame([r[:4] for r in rows], "doc_id long, text string, lang string, source string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(4000)], "doc_id long, quality int")
+    got = quality_rules.judge(docs, labels)
+    assert got.where("kept != (doc_id % 2 = 1)").count() == 0
+
+
 def exact_tail(k, n, p):
     return sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(k + 1))
 
