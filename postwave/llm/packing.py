@@ -16,18 +16,28 @@ queue is ever off its share by more than a token. So the place of any token
 follows from its place in its queue, and each task packs its documents alone,
 exactly as one sequential run over all windows would.
 
-Queues with less than ``LEAST`` tokens a window are joined into one, in seeded
-order, so that pieces do not get shorter than that on average. The last window
-is the only one that may need padding.
+Target proportions other than the sources' own make queues run out one after the
+other. The windows then fall into phases: within one, every queue that is left
+sends its share of the rest, and the first to run out ends it. Phases are worked
+out from the queues' totals, and the closed form holds within each.
+
+Sources with less than ``LEAST`` tokens a window, told by the bytes of their texts,
+are joined into one queue, in one seeded order over all their documents, so that
+pieces do not get shorter than that on average. There are at most WINDOW / LEAST
+other queues, however many sources there are; only those and their totals come to
+the driver. The last window is the only one that may need padding.
 """
 from __future__ import annotations
 
+import math
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postwave.llm.hashing import text_chunks
@@ -40,8 +50,8 @@ SEED = 29
 # The tokenizer file and the id that ends a document.
 VOCABULARY = "word_bpe_49k.json"
 END = 2
-# Documents of a source that are put in order together, about, and the most
-# slices of a source as a power of two.
+# Documents of a queue that are put in order together, about, and the most
+# slices of a queue as a power of two.
 BUCKET_ROWS = 4_000
 BITS = 20
 CHUNK = 3 << 20
@@ -69,13 +79,50 @@ def _queues(sizes: list[tuple[str, int]], window: int) -> list[list[str]]:
     return [[s] for s in big] + ([small] if small else [])
 
 
-def encoded(docs: DataFrame, vocabulary: str, seed: int) -> DataFrame:
-    """doc_id, source (never null), slice of the seeded order, ids (2 or 4
-    bytes each, with the end id), n and ``at``, the ids before the document in
-    its source's slice. Texts are encoded once; only ids are shuffled."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    queued = docs.select("doc_id", _source_key(), F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 1)
-                         .alias("turn"), "text")
+# In lists of sources: all that are not named.
+OTHERS = ""
+
+
+def queues_of(docs: DataFrame, window: int) -> tuple[list[list[str]], list[int]]:
+    """The queues, as lists of sources (OTHERS for all that are in no list), and
+    their documents."""
+    sizes = written(docs.groupBy(_source_key()).agg(
+        F.count("*").alias("rows"), F.sum(F.octet_length(F.coalesce("text", F.lit(""))) + 1).alias("bytes")), "pack-sources")
+    total = sizes.agg(F.sum("bytes"), F.sum("rows")).first()
+    if not total[0]:
+        return [], []
+    # no more than window / LEAST of them can have that much
+    big = {r["source"]: r for r in sizes.where(F.col("bytes") * window >= LEAST * total[0]).collect()}
+    rest = total[0] - sum(r["bytes"] for r in big.values())
+    queues = _queues([(s, r["bytes"]) for s, r in big.items()] + ([(OTHERS, rest)] if rest else []), window)
+    other = total[1] - sum(r["rows"] for r in big.values())
+    return queues, [sum(big[s]["rows"] if s in big else other for s in q) for q in queues]
+
+
+def _numbered(values: list, of) -> Column:
+    """A value by the place in a short list."""
+    if not values:
+        return F.lit(None).cast("int")
+    return F.element_at(F.array(*[F.lit(v) for v in values]), of + 1)
+
+
+def encoded(docs: DataFrame, vocabulary: str, seed: int, queues: list[list[str]], rows: list[int]) -> DataFrame:
+    """doc_id, queue, slice of its seeded order, ids (2 or 4 bytes each, with
+    the end id), n, wide and ``at``, the ids before the document in its slice.
+    Texts are encoded once; only ids are shuffled."""
+    number = {s: i for i, q in enumerate(queues) for s in q}
+    known = [x for s, i in number.items() if s != OTHERS for x in (F.lit(s), F.lit(i))]
+    queue = F.lit(number.get(OTHERS, 0))
+    if known:
+        queue = F.coalesce(F.element_at(F.create_map(*known), F.col("source")), queue)
+    # a power of two of slices per queue, of about BUCKET_ROWS rows each
+    bits = [min(BITS, math.ceil(math.log2(max(n / BUCKET_ROWS, 1)))) for n in rows]
+    turn = F.shiftrightunsigned(F.xxhash64(F.lit(seed), "doc_id"), 1)
+    queued = docs.select("doc_id", _source_key(), turn.alias("turn"), "text").select(
+        "doc_id", "source", "turn", queue.cast("int").alias("queue"), "text").withColumn(
+        "bits", _numbered(bits, F.col("queue"))).select(
+        "doc_id", "source", "turn", "queue",
+        F.expr(f"shiftleft(shiftright(turn, 63 - bits), {BITS} - bits)").cast("long").alias("slice"), "text")
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = WordTokens.of(vocabulary)
@@ -85,42 +132,71 @@ def encoded(docs: DataFrame, vocabulary: str, seed: int) -> DataFrame:
             end = np.array([END], ids.dtype).tobytes()
             blobs = [ids[e - k:e].tobytes() + end for e, k in zip(stop, n)]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns[:3], pa.array(blobs, pa.binary()), pa.array(n + 1),
+                [*part.columns[:5], pa.array(blobs, pa.binary()), pa.array(n + 1),
                  pa.array(np.full(len(n), ids.itemsize, np.int32))],
-                names=["doc_id", "source", "turn", "ids", "n", "wide"])
-
-    rows = written(docs.groupBy(_source_key()).count(), "pack-rows")
-    # a power of two of slices per source, of about BUCKET_ROWS rows each
-    bits = F.least(F.lit(BITS), F.ceil(F.log2(F.greatest(F.col("count") / BUCKET_ROWS, F.lit(1.0))))).cast("int")
-    rows = small_or_merge(rows.select("source", bits.alias("bits")))
-    slices = (queued.mapInArrow(encode, f"doc_id {kind}, source string, turn long, ids binary, n long, wide int")
-              .join(rows, "source")
-              .withColumn("slice", F.expr(f"shiftleft(shiftright(turn, 63 - bits), {BITS} - bits)").cast("long"))
-              .drop("bits"))
-    spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    order = ["source", "slice", "turn", "doc_id", "ids"]
-    ready = slices.repartition(parts, "source", "slice").sortWithinPartitions(*order).select(
-        "doc_id", "source", "slice", "ids", "n", "wide")
-
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, before = None, 0
-        for batch in batches:
-            at = []
-            for key, n in zip(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()),
-                              batch.column(4).to_pylist()):
-                if key != last:
-                    last, before = key, 0
-                at.append(before)
-                before += n
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(at, pa.int64())],
-                                             names=[*batch.schema.names, "at"])
+                names=["doc_id", "source", "turn", "queue", "slice", "ids", "n", "wide"])
+
+    order = Window.partitionBy("queue", "slice").orderBy("turn", "source", "doc_id", "ids")
+    before = F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    return (queued.mapInArrow(encode, f"doc_id {_kind(docs)}, source string, turn long, queue int, slice long, "
+                                      "ids binary, n long, wide int")
+            .select("doc_id", "queue", "slice", "ids", "n", "wide", F.coalesce(before, F.lit(0)).alias("at")))
+
+
+def phases_of(totals: list[int], shares: list[float] | None, window: int) -> list[tuple[int, list[int]]]:
+    """(first window, tokens of each queue) of every phase. Without ``shares``
+    (the queues' own proportions) there is one phase."""
+    if shares is None:
+        return [(0, list(totals))]
+    left, found, w = list(totals), [], 0
+    while any(left):
+        live = [i for i, n in enumerate(left) if n]
+        asked = [i for i in live if shares[i] > 0]
+        if len(live) == 1 or not asked:
+            # the last queue, or those without a share in their own proportions
+            found.append((w, left))
+            break
+        part = {i: shares[i] / sum(shares[j] for j in asked) for i in live}
+        n = min(int(left[i] / (part[i] * window)) for i in asked)
+        size = max(n, 1) * window
+        take = {i: min(left[i], int(part[i] * size)) for i in live}
+        for i in sorted(live, key=lambda i: (-part[i], i)):
+            more = min(left[i] - take[i], size - sum(take.values()))
+            take[i] += more
+        found.append((w, [take.get(i, 0) for i in range(len(left))]))
+        left = [x - take.get(i, 0) for i, x in enumerate(left)]
+        w += max(n, 1)
+    return found
 
-    return ready.mapInArrow(place, f"doc_id {kind}, source string, slice long, ids binary, n long, wide int, at long")
+
+def _packed(docs: DataFrame, vocabulary: str | None, window: int, seed: int, targets: dict | None):
+    """The encoded documents with their place in their queue, and the phases."""
+    queues, many = queues_of(docs, window)
+    rows = written(encoded(docs, vocabulary or public_vocabulary(), seed, queues, many), "pack-ids")
+    per_slice = written(rows.groupBy("queue", "slice").agg(F.sum("n").alias("n")), "pack-slices")
+    totals = {r["queue"]: r["n"] for r in per_slice.groupBy("queue").agg(F.sum("n").alias("n")).collect()}
+    totals = [totals.get(i, 0) for i in range(len(queues))]
+    shares = None
+    if targets is not None:
+        # of a joint queue: its named sources' targets, and what is left for the rest
+        key = {("n" if k is None else f"s{k}"): float(v) for k, v in targets.items()}
+        shares = [sum(key.get(s, 0.0) for s in q) for q in queues]
+        apart = [i for i, q in enumerate(queues) if OTHERS in q]
+        for i in apart:
+            named = {s for q in queues for s in q}
+            shares[i] += sum(v for s, v in key.items() if s not in named)
+    before = F.sum("n").over(Window.partitionBy("queue").orderBy("slice")) - F.col("n")
+    starts = written(per_slice.select("queue", "slice", before.alias("begin")), "pack-starts")
+    placed = rows.join(small_or_merge(starts), ["queue", "slice"]).select(
+        "doc_id", "queue", (F.col("begin") + F.col("at")).alias("at"), "ids", "wide")
+    return placed, phases_of(totals, shares, window)
+
+
+PIECE = "start long, length long, {ids}, doc_tokens long, sequence_id long, offset long"
 
 
 def pieces(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW,
-           seed: int = SEED, most_sources: int = 100_000) -> DataFrame:
+           seed: int = SEED, targets: dict | None = None) -> DataFrame:
     """One row per piece: doc_id, start, length, ids (array), doc_tokens,
     sequence_id, offset.
 
@@ -130,57 +206,70 @@ def pieces(docs: DataFrame, vocabulary: str | None = None, window: int = WINDOW,
     are separate documents, in the order of their ids' bytes. An empty table
     gives no rows. Columns besides doc_id, text and source are not read.
 
-    The list of sources and their totals is read by the driver; it is one row
-    per source, and more than ``most_sources`` are refused.
+    Windows hold the sources in their own proportions, or in those of
+    ``targets`` (weights by source) as long as each lasts; sources with no
+    weight, or none left over, fill the windows at the end.
     """
-    spark = small_batches(docs).sparkSession
-    rows = written(encoded(docs, vocabulary or public_vocabulary(), seed), "pack-ids")
-    per_slice = written(rows.groupBy("source", "slice").agg(F.sum("n").alias("n")), "pack-slices")
-    sizes = [(r["source"], r["n"]) for r in per_slice.groupBy("source").agg(F.sum("n").alias("n"))
-             .limit(most_sources + 1).collect()]
-    if len(sizes) > most_sources:
-        raise ValueError(f"more than {most_sources} sources; give them coarser names first")
-    queues = _queues(sizes, window)
-    size = dict(sizes)
-    upto = [0]
-    for q in queues:
-        upto.append(upto[-1] + sum(size[s] for s in q))
-    numbers = spark.createDataFrame([(s, i) for i, q in enumerate(queues) for s in q], "source string, queue int")
-    # the sources of a joint queue take turns slice by slice
-    before = F.sum("n").over(Window.partitionBy("queue").orderBy("slice", "source")) - F.col("n")
-    starts = written(per_slice.join(numbers, "source").select("source", "slice", "queue", before.alias("begin")),
-                     "pack-starts")
-    return rows.join(small_or_merge(starts), ["source", "slice"]).select(
-        "doc_id", "queue", (F.col("begin") + F.col("at")).alias("at"), "ids", "wide").mapInArrow(
-        _cutter(upto, window),
-        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, start long, length long, ids array<int>, "
-        "doc_tokens long, sequence_id long, offset long")
-
-
-def _cutter(upto: list[int], window: int):
+    placed, phases = _packed(small_batches(docs), vocabulary, window, seed, targets)
+    return placed.mapInArrow(_cutter(phases, window, False), f"doc_id {_kind(docs)}, " + PIECE.format(ids="ids array<int>"))
+
+
+def _kind(docs: DataFrame) -> str:
+    return docs.schema["doc_id"].dataType.simpleString()
+
+
+def _cutter(phases: list[tuple[int, list[int]]], window: int, digest: bool):
+    """Cuts documents into pieces, with their ids or, as a ``digest``, the crc32
+    of them."""
+    bounds = [(w, [0, *accumulate(sizes)]) for w, sizes in phases]
+    # of each queue: the tokens before every phase
+    before = [list(accumulate((sizes[q] for _, sizes in phases), initial=0)) for q in range(len(phases[0][1]) if phases else 0)]
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             queue, at, blobs, wide = (c.to_pylist() for c in batch.columns[1:])
             out: list[list] = [[] for _ in range(6)]
-            flat = []
+            flat, sums = [], []
             for i, blob in enumerate(blobs):
                 ids = np.frombuffer(blob, np.uint16 if wide[i] == 2 else np.uint32)
-                flat.append(ids.astype(np.int32))
-                for piece in _cuts(upto, queue[i], at[i], len(ids), window):
+                if digest:
+                    ids = ids.astype("<u4")
+                else:
+                    flat.append(ids.astype(np.int32))
+                for piece in _phased_cuts(bounds, before[queue[i]], queue[i], at[i], len(ids), window):
+                    if digest:
+                        sums.append(zlib.crc32(ids[piece[0]:piece[0] + piece[1]]))
                     for c, v in zip(out, (i, piece[0], piece[1], len(ids), piece[2], piece[3])):
                         c.append(v)
             cuts = np.concatenate(([0], np.cumsum(out[2]))).astype(np.int32)
+            # the pieces of a document come one after the other, so the ids need not move
+            told = (pa.array(sums, pa.int64()) if digest else
+                    pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(flat or [cuts[:0]]))))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(out[0], pa.int64())), pa.array(out[1], pa.int64()),
-                 pa.array(out[2], pa.int64()),
-                 # the pieces of a document come one after the other, so the ids need not move
-                 pa.ListArray.from_arrays(pa.array(cuts), pa.array(np.concatenate(flat or [cuts[:0]]))),
-                 *(pa.array(c, pa.int64()) for c in out[3:])],
-                names=["doc_id", "start", "length", "ids", "doc_tokens", "sequence_id", "offset"])
+                 pa.array(out[2], pa.int64()), told, *(pa.array(c, pa.int64()) for c in out[3:])],
+                names=["doc_id", "start", "length", "ids_crc32" if digest else "ids", "doc_tokens", "sequence_id", "offset"])
 
     return cut
 
 
+def _phased_cuts(bounds, before: list[int], s: int, at: int, n: int, window: int) -> list[tuple[int, int, int, int]]:
+    """``_cuts`` over all phases that the document's tokens fall into."""
+    found, done = [], 0
+    k = bisect_right(before, at) - 1
+    while done < n:
+        # empty phases of the queue have the same place before and after
+        while before[k + 1] <= at + done:
+            k += 1
+        first, upto = bounds[k]
+        take = min(n - done, before[k + 1] - at - done)
+        for start, length, w, offset in _cuts(upto, s, at + done - before[k], take, window):
+            found.append((done + start, length, first + w, offset))
+        done += take
+        k += 1
+    return found
+
+
 def _cuts(upto: list[int], s: int, at: int, n: int, window: int) -> list[tuple[int, int, int, int]]:
     """The pieces (start, length, window, offset) of a document of ``n``
     tokens at place ``at`` of queue ``s``."""
@@ -211,16 +300,5 @@ def query(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def digest(docs: DataFrame, vocabulary: str | None = None) -> DataFrame:
     """``pieces`` with crc32 over each piece's ids in place of the ids."""
-    def crc(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(3)
-            flat = lists.flatten().to_numpy().astype("<u4")
-            cut = np.concatenate(([0], np.cumsum(lists.value_lengths().to_numpy())))
-            sums = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(cut[:-1], cut[1:])]
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:3], pa.array(sums, pa.int64()), *batch.columns[4:]],
-                names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"])
-
-    found = pieces(docs, vocabulary)
-    return found.mapInArrow(crc, f"doc_id {found.schema['doc_id'].dataType.simpleString()}, start long, length long, "
-                                 "ids_crc32 long, doc_tokens long, sequence_id long, offset long")
+    placed, phases = _packed(small_batches(docs), vocabulary, WINDOW, SEED, None)
+    return placed.mapInArrow(_cutter(phases, WINDOW, True), f"doc_id {_kind(docs)}, " + PIECE.format(ids="ids_crc32 long"))

@@ -1,6 +1,7 @@
 """Token ids of whole texts, word by word with a memory of words."""
 from __future__ import annotations
 
+import json
 import os
 from itertools import chain
 
@@ -10,6 +11,8 @@ import numpy as np
 REMEMBERED = 500_000
 # Punctuation that the tokenizer splits from letters before it.
 PUNCTUATION = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+# Fixed value: the pieces that words are split into.
+SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 # Latin letters up to here have one lower-case letter each, but for U+0130.
 LATIN_END, DOTTED = "\u0180", "\u0130"
 
@@ -35,14 +38,31 @@ class _Numbers(dict):
         return n
 
 
+def by_words(file: dict) -> bool:
+    """Whether a tokenizer file is of the kind that WordTokens takes apart: NFC,
+    white space as one blank, lower case; pieces of letters, single digits or
+    other signs, none with white space in it; and special tokens without it."""
+    kinds = lambda part, key: [x["type"] for x in (file.get(part) or {}).get(key, [])]
+    split = (file.get("pre_tokenizer") or {}).get("pretokenizers", [{}])[0]
+    return (kinds("normalizer", "normalizers") == ["NFC", "Replace", "Lowercase"]
+            and kinds("pre_tokenizer", "pretokenizers") == ["Split", "ByteLevel"]
+            and split.get("behavior") == "Removed" and split.get("invert") is True
+            and split.get("pattern", {}).get("Regex") == SPLIT
+            and file["model"].get("type") == "BPE" and not file["model"].get("continuing_subword_prefix")
+            and not any(t["lstrip"] or t["rstrip"] or t["single_word"] or t["normalized"] or t["content"].split() != [t["content"]]
+                        for t in file.get("added_tokens", [])))
+
+
 class WordTokens:
-    """A tokenizer whose pieces never cross ASCII white space and that drops
-    it, so a text's ids are the ids of its words one after the other. Each
-    distinct word is encoded once; the ids of a text are then gathered.
+    """The ids of texts by a tokenizer file, special tokens spelled in a text
+    included, as ``Tokenizer.encode(text, add_special_tokens=False)`` gives them.
 
-    Most words are Latin letters with punctuation behind. Their two parts are
-    put to the vocabulary's merges straight away; any other word goes through
-    the whole tokenizer."""
+    Where its pieces never cross ASCII white space and that is dropped (see
+    ``by_words``), a text's ids are the ids of its words one after the other. Each
+    distinct word is then encoded once, and the ids of a text are gathered. Most
+    words are Latin letters with punctuation behind. Their two parts are put to
+    the vocabulary's merges straight away; any other word goes through the whole
+    tokenizer. With any other file whole texts are encoded."""
 
     _kept: dict[str, "WordTokens"] = {}
 
@@ -50,8 +70,9 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(vocabulary)
-        # special tokens spelled in a text are plain characters
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.no_padding()
+        self.tokenizer.no_truncation()
+        self.by_words = by_words(json.loads(self.tokenizer.to_str()))
         self.merges = self.tokenizer.model
         self.letters = _byte_letters()
         self._clear()
@@ -104,6 +125,12 @@ class WordTokens:
 
     def encode(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all texts one after the other, and ids per text."""
+        if not self.by_words:
+            each = [e.ids for e in self.tokenizer.encode_batch([t.decode("utf-8", "replace") for t in texts],
+                                                               add_special_tokens=False)]
+            n = np.fromiter(map(len, each), np.int64, len(each))
+            ids = np.fromiter(chain.from_iterable(each), np.uint32, int(n.sum()))
+            return (ids if len(ids) and ids.max() >= 1 << 16 else ids.astype(np.uint16)), n
         if len(self.number) > REMEMBERED:
             self._clear()
         words: list[bytes] = []
