@@ -149,36 +149,44 @@ def dedup_lines(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """
     lines = written(lines_of(_documents(small_batches(docs)), min_words), "lines")
     cuts = (repeated(lines).groupBy(*DOC)
-            .agg(F.collect_set(F.struct("at", "size")).alias("_cuts"))
-            .select(F.struct(*DOC).alias("_doc"), "_cuts"))
+            .agg(F.collect_set(F.struct("at", "size")).alias("cuts"))
+            .select(F.struct(*DOC).alias("cut_doc"), "cuts"))
     cuts = written(cuts, "line-cuts").hint("merge")
-    keep = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
-    rows = docs.select(F.struct(F.col("doc_id"), _content()).alias("_doc"), *keep)
+    # the row as one column, so that no column of it meets one of ours
+    rows = docs.select(F.struct(F.col("doc_id"), _content()).alias("doc"), _whole_row(docs).alias("row"))
     # one mark per line: rows without cuts keep their text as it is
-    rows = rows.join(cuts, rows["_doc"].eqNullSafe(cuts["_doc"]), "left").select(
-        *keep, "_cuts", F.split("text", "\n").alias("_lines"))
+    rows = rows.join(cuts, rows["doc"].eqNullSafe(cuts["cut_doc"]), "left").select(
+        "row", "cuts", F.split(F.col("row")["text"], "\n").alias("lines"))
     gone = F.array_distinct(F.flatten(F.transform(
-        "_cuts", lambda c: F.sequence(c["at"], c["at"] + c["size"] - 1))))
-    rows = rows.select(*keep, "_lines", gone.alias("_gone"))
+        "cuts", lambda c: F.sequence(c["at"], c["at"] + c["size"] - 1))))
+    rows = rows.select("row", "lines", gone.alias("gone"))
     left = F.array_join(F.transform(
-        F.array_except(F.sequence(F.lit(0), F.size("_lines") - 1), "_gone"),
-        lambda i: F.get("_lines", i)), "\n")
-    text = F.when(F.size("_gone") > 0, left).otherwise(F.col("text"))
-    return rows.select(*(text.alias("text") if c == "text" else F.col(c) for c in keep),
-                       F.coalesce(F.size("_lines"), F.lit(0)).cast("long").alias("n_lines"),
-                       F.greatest(F.coalesce(F.size("_gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_deleted"))
+        F.array_except(F.sequence(F.lit(0), F.size("lines") - 1), "gone"),
+        lambda i: F.get("lines", i)), "\n")
+    text = F.when(F.size("gone") > 0, left).otherwise(F.col("row")["text"])
+    kept = [c for c in docs.columns if c not in ("n_lines", "n_deleted")]
+    return rows.select(*((text if c == "text" else F.col("row")[c]).alias(c) for c in kept),
+                       F.coalesce(F.size("lines"), F.lit(0)).cast("long").alias("n_lines"),
+                       F.greatest(F.coalesce(F.size("gone"), F.lit(0)), F.lit(0)).cast("long").alias("n_deleted"))
+
+
+def _whole_row(docs: DataFrame):
+    return F.struct(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def left_over(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     """The columns of ``docs`` after ``dedup_lines``, n_chars told anew, without
     the rows that lost all their words."""
-    rows = dedup_lines(docs, min_words)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    row = F.struct(*[F.col(f"`{c}`") for c in others]) if others else F.lit(None)
+    rows = dedup_lines(docs.select("doc_id", "text", row.alias("row")), min_words)
     words = F.btrim(F.coalesce("text", F.lit("")), F.lit(SPACES)) != ""
     rows = rows.where((F.col("n_deleted") == 0) | words)
-    if "n_chars" in docs.columns:
-        rows = rows.withColumn("n_chars", F.when(F.col("n_deleted") > 0, F.length("text"))
-                               .otherwise(F.col("n_chars")).cast(docs.schema["n_chars"].dataType))
-    return rows.select(docs.columns)
+    made = {"doc_id": F.col("doc_id"), "text": F.col("text")} | {c: F.col("row")[c] for c in others}
+    if "n_chars" in made:
+        made["n_chars"] = F.when(F.col("n_deleted") > 0, F.length("text")).otherwise(
+            made["n_chars"]).cast(docs.schema["n_chars"].dataType)
+    return rows.select(*(made[c].alias(c) for c in docs.columns))
 
 
 def query(spark: SparkSession, sf_dir: str) -> DataFrame:
