@@ -72,9 +72,22 @@ def _sum_by(key: np.ndarray, *values: np.ndarray):
     return key[start], *(np.add.reduceat(v[order], start) if len(key) else v for v in values), order[start]
 
 
+def _store(folder: str):
+    """The file system of a folder as Python workers reach it, and the path in
+    it. Hadoop's names for S3 are those of one store."""
+    scheme, mark, rest = folder.partition("://")
+    if mark and scheme in ("s3a", "s3n"):
+        folder = f"s3://{rest}"
+    try:
+        return fs.FileSystem.from_uri(folder)
+    except (pa.ArrowInvalid, OSError) as e:
+        raise ValueError(f"Python workers cannot reach {folder}: name a mounted path, hdfs://, s3a:// or gs:// in "
+                         "spark.checkpoint.dir") from e
+
+
 # One array file: the number of keys, bytes per value, the sorted keys, then columns.
 def _save(folder: str, name: str, keys: np.ndarray, *columns: np.ndarray) -> None:
-    store, base = fs.FileSystem.from_uri(folder)
+    store, base = _store(folder)
     store.create_dir(base, recursive=True)
     wide = max((int(c.max(initial=0)) for c in columns)) >> 32
     part = f"{base}/.{name}.{np.random.default_rng().integers(1 << 62)}"
@@ -91,7 +104,7 @@ class _Arrays:
     """A sorted hash array in memory-mapped form."""
 
     def __init__(self, folder: str, name: str, columns: int):
-        store, base = fs.FileSystem.from_uri(folder)
+        store, base = _store(folder)
         if isinstance(store, fs.LocalFileSystem):
             data = np.memmap(f"{base}/{name}", np.uint8, "r")
         else:
