@@ -253,3 +253,17 @@ def test_lines_of_a_row_told_again(spark):
     docs = spark.createDataFrame(rows, SCHEMA).withColumn("text_before", F.col("text"))
     check_lines(docs, rows, 50)
     assert line_dedup.repeated(written(line_dedup.lines_of(line_dedup._documents(docs), 50), "lines")).count() < 100
+
+
+def test_line_dedup_keeps_any_column(spark):
+    """Columns with the names of its own are carried, n_lines too by the stage."""
+    run = "\n".join(sentence(k, 20) for k in range(900, 903))
+    rows = [(1, run, "a", [1], "d", 7, (1,), 3), (2, f"own {sentence(904, 9)}\n{run}", "b", [2], "e", 8, (2,), 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, cuts string, lines array<int>, gone string, `a.b` int, "
+                                       "row struct<x:int>, n_lines int").withColumnRenamed("gone", "_doc")
+    got = sorted(line_dedup.dedup_lines(docs).collect(), key=lambda r: r.doc_id)
+    assert [(r.cuts, r.lines, r["_doc"], r["a.b"], r.row.x, r.n_lines, r.n_deleted) for r in got] == [
+        ("a", [1], "d", 7, 1, 3, 0), ("b", [2], "e", 8, 2, 4, 3)]
+    left = line_dedup.left_over(docs)
+    assert left.schema.names == docs.schema.names
+    assert sorted((r.doc_id, r.n_lines, r["_doc"], r.text.count("\n")) for r in left.collect()) == [(1, 3, "d", 2), (2, 4, "e", 0)]

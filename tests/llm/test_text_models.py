@@ -18,7 +18,6 @@ public = pytest.importorskip("public_tokenizers")
 def plain_ids(texts):
     from tokenizers import Tokenizer
     t = Tokenizer.from_file(packing.public_vocabulary())
-    t.encode_special_tokens = True
     return [t.encode(x or "", add_special_tokens=False).ids for x in texts]
 
 
@@ -26,7 +25,8 @@ def test_words_give_the_ids_of_the_whole_text(monkeypatch):
     r = random.Random(1)
     letters = "abzAZéÉßñçœŒÿşİıĳŉſǅΣσς漢字あ한   \t\n.,'’!?%&|<>_-019²½#$*\U0001F600ﬁİK\xa0"
     texts = ["".join(r.choice(letters) for _ in range(r.randrange(1, 30))) for _ in range(3000)]
-    texts += ["it's they're we've I'll he'd O'S", "<|endoftext|> a<|startoftext|>b", "", "\n"]
+    texts += ["it's they're we've I'll he'd O'S", "<|endoftext|> a<|startoftext|>b", "", "\n", "a<|endoftext|>b",
+              "<|endoftext|><|endoftext|>,", "x<|startoftext|>", "<|ENDOFTEXT|>", "<|endoftext|"]
     words = WordTokens(packing.public_vocabulary())
     ids, n = words.encode([t.encode() for t in texts])
     assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == plain_ids(texts)
@@ -37,6 +37,25 @@ def test_words_give_the_ids_of_the_whole_text(monkeypatch):
     assert (again == ids).all()
 
 
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    """A file that is not split at white space is not taken apart."""
+    import json
+    from tokenizers import Tokenizer
+    with open(packing.public_vocabulary()) as f:
+        file = json.load(f)
+    assert WordTokens(packing.public_vocabulary()).by_words
+    file["normalizer"] = None
+    file["added_tokens"][1]["lstrip"] = True
+    path = str(tmp_path / "other.json")
+    with open(path, "w") as f:
+        json.dump(file, f)
+    words, t = WordTokens(path), Tokenizer.from_file(path)
+    texts = ["Hello  World <|endoftext|>x", "", "é A\nb", sentence(1, 300)]
+    ids, n = words.encode([x.encode() for x in texts])
+    assert not words.by_words
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == [t.encode(x, add_special_tokens=False).ids for x in texts]
+
+
 def check_windows(pieces, size=4096):
     windows = defaultdict(list)
     for r in pieces:
@@ -93,6 +112,57 @@ def test_windows_hold_the_mixture(spark, monkeypatch):
     assert packing._queues([], 512) == []
 
 
+def test_small_sources_take_turns(spark, monkeypatch):
+    """A thousand sources of a few documents: the joint queue mixes them."""
+    monkeypatch.setattr(packing, "BUCKET_ROWS", 50)
+    rows = [(i, sentence(i, 40), "hot" if i % 2 else f"s{i % 1000:03d}") for i in range(4000)]
+    found = packing.pieces(spark.createDataFrame(rows, "doc_id long, text string, source string"), window=512).collect()
+    assert check_windows(found, 512) == 1
+    source = {i: s for i, _, s in rows}
+    first = [source[r.doc_id] for r in found if r.sequence_id < 40 and source[r.doc_id] != "hot"]
+    # sources by name would give eight documents of each in turn
+    assert len(set(first)) > 0.8 * len({r.doc_id for r in found if r.sequence_id < 40 and source[r.doc_id] != "hot"})
+    assert set(first) - {f"s{k:03d}" for k in range(0, 100)}
+
+
+def test_windows_hold_the_targets(spark):
+    rows = [(i, sentence(i, 30), ("a", "b", None)[i % 3]) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    source, targets = {i: s for i, _, s in rows}, {"a": 6, "b": 3, None: 1}
+    found = packing.pieces(docs, window=512, targets=targets).collect()
+    assert check_windows(found, 512) == 1
+    whole, total = packing.pieces(docs, window=512).collect(), Counter()
+    for r in whole:
+        total[source[r.doc_id]] += r.length
+    by, share = defaultdict(list), defaultdict(Counter)
+    for r in found:
+        by[r.doc_id].append((r.start, tuple(r.ids)))
+        share[r.sequence_id][source[r.doc_id]] += r.length
+    joined = lambda rows: {i: [x for _, ids in sorted(v) for x in ids] for i, v in rows.items()}
+    plain = defaultdict(list)
+    for r in whole:
+        plain[r.doc_id].append((r.start, tuple(r.ids)))
+    assert joined(by) == joined(plain)
+    full = int(total["a"] / (0.6 * 512))
+    for w in range(full):
+        assert all(abs(share[w][s] - 51.2 * t) < 2 for s, t in targets.items())
+    # then the others in their proportions, without the one that ran out
+    for w in range(full + 1, full + 1 + int((total["b"] - 0.3 * 512 * (full + 1)) / (0.75 * 512)) - 1):
+        assert abs(share[w]["b"] - 0.75 * 512) < 2 and share[w]["a"] == 0
+
+
+def test_phases_use_up_every_queue():
+    r = random.Random(6)
+    for _ in range(200):
+        totals = [r.randrange(0, 50_000) for _ in range(r.randrange(1, 9))]
+        shares = [r.choice((0, r.random(), r.random())) for _ in totals]
+        phases = packing.phases_of(totals, shares, 512)
+        assert [sum(p[1][i] for p in phases) for i in range(len(totals))] == totals
+        for (w, sizes), (after, _) in zip(phases, phases[1:]):
+            assert sum(sizes) == 512 * (after - w)
+        assert len(phases) <= 3 * len(totals) + 3
+
+
 def test_places_of_very_large_queues():
     upto = [0, 3 * 10 ** 14 + 1, 10 ** 15 + 7]
     for s, at, n in ((0, 10 ** 14, 9000), (1, upto[2] - upto[1] - 5000, 5000), (0, 0, 1)):
@@ -450,3 +520,43 @@ def test_paths_of_trees():
         ((a, "<=", 1.5),), tuple(sorted([(a, "<=", 1.5), (c, "<=", 0.25)])),
         tuple(sorted([(a, "<=", 1.5), (c, ">", 0.25)])), ((a, ">", 1.5),),
         ((a, "<=", 3.0), (a, ">", 1.5)), ((a, ">", 3.0),)}
+
+
+def plain_features(text):
+    """The statistics of a text, one by one."""
+    t = text or ""
+    w = re.findall(r"[^\x20\x09-\x0D]+", t)
+    n, chars, lines = max(len(w), 1), len(re.sub(r"[\x20\x09-\x0D]", "", t)), t.split("\n")
+    of = lambda cs: sum(t.count(c) for c in cs)
+    filled = [x for x in lines if re.search(r"[^\x20\x09-\x0D]", x)]
+    split = w or [""]
+    return {"log_words": math.log1p(len(w)), "word_length": chars / n, "symbols": of(rule_ensemble.SYMBOLS) / n,
+            "marks": of("!?") / n, "stops": of(".,;:") / n, "digits": of("0123456789") / n,
+            "capitals": of("ABCDEFGHIJKLMNOPQRSTUVWXYZ") / max(chars, 1), "dup_lines": (len(filled) - len(set(filled))) / len(lines),
+            "variety": math.log(len(set(split))) / math.log(n + 1),
+            "next_same": sum(a == b for a, b in zip(split, split[1:])) / n,
+            "short_lines": sum(len(x) < 20 for x in lines) / len(lines)}
+
+
+def test_features_and_score_by_brute_force(spark, odd, odd_rows):
+    r = random.Random(21)
+    texts = [t for _, t, *_ in odd_rows] + ["".join(r.choice("aB1 .!#\n\t\x0bé漢") for _ in range(r.randrange(80))) for _ in range(150)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rules = []
+    for _ in range(25):
+        rule = [(r.choice(rule_ensemble.FEATURES), r.choice(("<=", ">")), r.choice((0.0, 0.1, 0.5, 1.0, 3.0))) for _ in range(r.randrange(1, 4))]
+        rules.append((rule_ensemble._tidy(tuple(rule)), r.uniform(-2, 2)))
+    model = rule_ensemble.RuleModel(rules, -0.3)
+    got = rule_ensemble.with_statistics(docs, "doc_id").withColumn("score", model.score()).collect()
+    assert len(got) == len(texts)
+    for g in got:
+        want = plain_features(texts[g.doc_id])
+        for f in rule_ensemble.FEATURES:
+            assert abs(g[f] - want[f]) < 1e-12, (f, texts[g.doc_id])
+        total = -0.3 + sum(w for rule, w in rules if all(g[n] <= v if s == "<=" else g[n] > v for n, s, v in rule))
+        assert abs(g.score - 1 / (1 + math.exp(-total))) < 1e-12
+
+
+def test_folders_that_workers_cannot_reach():
+    with pytest.raises(ValueError, match="viewfs"):
+        lm._store("viewfs://store/x")
