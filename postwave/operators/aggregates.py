@@ -8,7 +8,7 @@ over the raw table in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -70,6 +70,20 @@ def index_stats(tables: dict[str, DataFrame | None], spark=None) -> DataFrame:
     return out
 
 
+def index_counts(log: DataFrame, key: str, order: list[str], tables: dict[str, Column]) -> DataFrame:
+    """``index_stats`` of tables that one log of versions feeds, in one pass:
+    ``tables`` maps a name to the condition under which a version goes to it.
+    A table has a document per key that ever met its condition, and one per
+    record without a key (told apart by ``order``)."""
+    k = F.col(key)
+    names = list(tables)
+    per_key = (log.groupBy(k.alias("k"), F.when(k.isNull(), F.struct(*order)).alias("n"))
+               .agg(*[F.max(F.coalesce(c, F.lit(False))).alias(f"t{i}") for i, c in enumerate(tables.values())]))
+    totals = per_key.agg(*[F.count_if(F.col(f"t{i}")).alias(f"t{i}") for i in range(len(names))])
+    return totals.select(F.inline(F.array(*[
+        F.struct(F.lit(n).alias("index_name"), F.col(f"t{i}").alias("doc_count")) for i, n in enumerate(names)])))
+
+
 def ingest_summary(topic_frame: DataFrame, value_col: str = "value") -> DataFrame:
     """Per topic: records indexed (decodable JSON object) and errors."""
     from ..functions.parse import _decode_stage, is_record

@@ -335,9 +335,24 @@ def _result_topics(spark, d):
 
 
 def _topic_frame(spark, d):
-    from ..schemas import TOPIC_POSTS
-    posts_topic = raw_posts(spark, d).select("value", F.lit(TOPIC_POSTS).alias("topic"))
-    return _result_topics(spark, d).unionByName(posts_topic)
+    """The records of all three topics from one read and one parse of the posts:
+    each gives its own text, and if it is a post its engagement and, with a
+    tag list, its hashtag record."""
+    from ..schemas import PARSED_POST_COLUMNS, TOPIC_ENGAGEMENT, TOPIC_HASHTAGS, TOPIC_POSTS
+    from ..sinks.writers import JSON_OPTS
+    post = P.split_records(raw_posts(spark, d), P.posts_decoder())
+    r = F.col("row")
+    message = lambda topic, value: F.struct(value.alias("value"), F.lit(topic).alias("topic"))
+    record = lambda *cols: F.to_json(F.struct(*cols), JSON_OPTS)
+    eng = record(*[r[c].alias(c) for c in PARSED_POST_COLUMNS],
+                 (r["favourites_count"] + r["reblogs_count"] * 2).alias("engagement_score"))
+    tags = record(r["id"].alias("post_id"), r["tags"].alias("hashtags"), F.size(r["tags"]).alias("hashtag_count"),
+                  r["language"].alias("language"))
+    raw = message(TOPIC_POSTS, F.col("value"))
+    return post.select(F.inline(
+        F.when(r.isNull(), F.array(raw))
+        .when(r["tags"].isNull(), F.array(raw, message(TOPIC_ENGAGEMENT, eng)))
+        .otherwise(F.array(raw, message(TOPIC_ENGAGEMENT, eng), message(TOPIC_HASHTAGS, tags)))))
 
 
 @register("route_by_topic", with_posts("""
@@ -403,8 +418,9 @@ SELECT 'mastodon-engagement' AS index_name, count(DISTINCT id) AS doc_count FROM
 UNION ALL SELECT 'mastodon-hashtags', count(DISTINCT id) FROM post_log""", LOG_CTE))
 def q_index_stats(spark, d):
     from ..schemas import TOPIC_ENGAGEMENT, TOPIC_HASHTAGS
-    return A.index_stats({TOPIC_ENGAGEMENT: upserted_engagement(spark, d),
-                          TOPIC_HASHTAGS: upserted_hashtags(spark, d)})
+    from ..sources.posts import post_log
+    return A.index_counts(post_log(spark, d, EVENT_COLUMNS), "id", ["seq"],
+                          {TOPIC_ENGAGEMENT: F.lit(True), TOPIC_HASHTAGS: F.col("tags").isNotNull()})
 
 
 @register("conform_engagement", with_posts("""
@@ -421,6 +437,27 @@ def q_conform_engagement(spark, d):
                     F.col("created_at").cast("timestamp_ntz").alias("created_at"), "conform_ok")
 
 
+@register("conform_mixed", with_posts("""
+SELECT id, CASE WHEN seq % 13 = 0 THEN NULL ELSE CAST(favourites_count AS INTEGER) END AS favourites_count,
+       CASE WHEN seq % 17 = 0 THEN NULL ELSE CAST(followers_count AS INTEGER) END AS followers_count,
+       CASE WHEN seq % 19 <> 0 THEN created_at END AS created_at,
+       NOT (seq % 13 = 0 OR seq % 17 = 0 AND followers_count IS NOT NULL OR seq % 19 = 0) AS conform_ok
+FROM posts"""))
+def q_conform_mixed(spark, d):
+    """K10 over records of which some do not fit: words for numbers, numbers
+    beyond the column's type and times that are none."""
+    from ..operators.upsert import conform
+    from ..schemas import ENGAGEMENT_TABLE
+    p, seq = posts(spark, d, EVENT_COLUMNS), F.col("id").cast("bigint")
+    mixed = p.select(
+        "id", F.when(seq % 13 == 0, F.lit("many")).otherwise(F.col("favourites_count").cast("string")).alias("favourites_count"),
+        F.when(seq % 17 == 0, F.col("account.followers_count") + F.lit(1 << 40))
+        .otherwise(F.col("account.followers_count")).alias("followers_count"),
+        F.when(seq % 19 == 0, F.lit("noon")).otherwise(F.col("created_at").cast("string")).alias("created_at"))
+    return conform(mixed, ENGAGEMENT_TABLE).select(
+        "id", "favourites_count", "followers_count", F.col("created_at").cast("timestamp_ntz").alias("created_at"), "conform_ok")
+
+
 # ------------------------------------------------------------------ views --
 
 def _indexed(spark, d):

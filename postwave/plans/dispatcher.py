@@ -144,6 +144,8 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
                          max_offsets_per_trigger=args.max_offsets_per_trigger)
     else:
         raw = read_replay(spark, args.input, max_files_per_trigger=args.max_files_per_trigger)
+    if args.timers and args.available_now:
+        raise ValueError("--timers needs a job that goes on, not --available-now")
     if args.sink == "console" and not args.console_rows:
         raise ValueError("--sink console needs --console-rows")
     if args.mode == "stream" and args.analysis == "full":

@@ -4,7 +4,7 @@ Canonical post = what producers publish; parsed post = the nine fields the
 stream operators keep; engagement / hashtag tables = the typed keyed outputs.
 """
 
-from pyspark.sql.types import (ArrayType, IntegerType, LongType, StringType,
+from pyspark.sql.types import (ArrayType, DoubleType, IntegerType, LongType, StringType,
                                StructField, StructType, TimestampType)
 
 ACCOUNT_SCHEMA = StructType([
@@ -91,6 +91,20 @@ HASHTAG_TABLE = StructType([
     StructField("indexed_at", TimestampType()),
 ])
 
+# Declared sink tables of the windowed jobs that write to topics.
+DASHBOARD_SINK = StructType([
+    StructField("window_start", TimestampType()),
+    StructField("window_end", TimestampType()),
+    StructField("metric_type", StringType()),
+    StructField("metric_name", StringType()),
+    StructField("metric_value", DoubleType()),
+])
+
+COUNTS_SINK = StructType([
+    StructField("window_end", StringType()),
+    StructField("post_count", LongType()),
+])
+
 # Topic names and defaults used by the pipelines.
 TOPIC_POSTS = "mastodon-posts"
 TOPIC_ENGAGEMENT = "mastodon-engagement"

@@ -7,7 +7,7 @@ are tested without a broker.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -31,6 +31,38 @@ def kafka_keyed_frame(df: DataFrame, key_col: str = "id", topic: str | None = No
     return out
 
 
+class SinkSchemaError(ValueError):
+    pass
+
+
+def typed_frame(df: DataFrame, schema: StructType) -> DataFrame:
+    """``df`` as a declared sink takes it: the columns of ``schema`` in its
+    order. A column that is missing, not declared or of another type is an
+    error before anything is written; what may be null is not compared."""
+    have = {f.name: f.dataType.simpleString() for f in df.schema.fields}
+    want = {f.name: f.dataType.simpleString() for f in schema.fields}
+    wrong = [f"{n}: missing" for n in want if n not in have]
+    wrong += [f"{n}: not declared" for n in have if n not in want]
+    wrong += [f"{n}: {have[n]}, declared {want[n]}" for n in want if n in have and have[n] != want[n]]
+    if wrong:
+        raise SinkSchemaError("the sink's schema does not fit: " + "; ".join(wrong))
+    return df.select(*[F.col(f"`{n}`") for n in want])
+
+
+def publish(frame: DataFrame, topic: str, bootstrap: str | None = None, send=None) -> dict:
+    """Sends a batch of Kafka-shaped records and tells what came of it:
+    ``topic``, ``outcome`` (``delivered`` / ``failed``), ``records`` delivered
+    and the ``error``. The records are counted as they are sent. ``send(frame,
+    topic)`` is the connector's writer by default."""
+    seen = Observation()
+    counted = frame.observe(seen, F.count(F.lit(1)).alias("records"))
+    try:
+        (send or (lambda f, t: write_kafka(f, bootstrap, t)))(counted, topic)
+    except Exception as e:  # the connector's or the cluster's; the caller decides what to do
+        return {"topic": topic, "outcome": "failed", "records": 0, "error": str(e).splitlines()[0]}
+    return {"topic": topic, "outcome": "delivered", "records": seen.get["records"], "error": None}
+
+
 def write_kafka(frame: DataFrame, bootstrap: str, topic: str | None = None):
     w = frame.write.format("kafka").option("kafka.bootstrap.servers", bootstrap)
     if topic:

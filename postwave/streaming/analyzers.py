@@ -20,10 +20,11 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.parse import source_table
 from ..plans.sql import custom_sql, default_output_mode
-from ..schemas import (TOPIC_COUNTS, TOPIC_DASHBOARD, TOPIC_ENGAGEMENT, TOPIC_FILTERED,
+from ..schemas import (COUNTS_SINK, DASHBOARD_SINK, TOPIC_COUNTS, TOPIC_DASHBOARD, TOPIC_ENGAGEMENT, TOPIC_FILTERED,
                        TOPIC_HASHTAGS, TOPIC_POSTS)
 from ..session import ensure_checkpoint_dir
 from ..sources.kafka import read_replay, read_topic
@@ -35,6 +36,10 @@ from .jobs import (engagement_job, filter_job, full_pipeline_job, hashtag_job, w
 from .timers import timed_windows
 
 
+# outputs that are declared tables
+DECLARED = {TOPIC_DASHBOARD: DASHBOARD_SINK, TOPIC_COUNTS: COUNTS_SINK}
+
+
 class _Analyzer:
     default_offsets = "earliest"
 
@@ -93,11 +98,11 @@ class _Analyzer:
             return {"path": f"{self.output_root.rstrip('/')}/{name}"}
         return {"rows": self.console_rows}
 
-    def _start(self, df: DataFrame, original_fmt: str, name: str,
-               output_mode: str = "append") -> StreamingQuery:
+    def _start(self, df: DataFrame, original_fmt: str, name: str, output_mode: str = "append",
+               schema: StructType | None = None) -> StreamingQuery:
         fmt = self._fmt(original_fmt)
         return write_stream(df, fmt, f"{self.checkpoint_root}/{name}", output_mode=output_mode,
-                            trigger=self.trigger, **self._target(fmt, name))
+                            trigger=self.trigger, schema=schema, **self._target(fmt, name))
 
 
 class StreamAnalyzer(_Analyzer):
@@ -151,18 +156,21 @@ class SQLAnalyzer(_Analyzer):
         self.delay = delay
         ends = {"availableNow", "once"} & set(self.trigger or ())
         self.heartbeat = not ends if heartbeat is None else heartbeat
+        if timers and ends:
+            raise ValueError("timers are due later: they need a job that goes on, not one that ends by itself")
         self.timers = timers
 
     def _window(self, analysis: str, window_minutes: int | None, original_fmt: str,
                 name: str) -> StreamingQuery:
         if self.timers and self.time == "processing":
-            return self._start(timed_windows(self._raw(), analysis, window_minutes), original_fmt, name)
+            return self._start(timed_windows(self._raw(), analysis, window_minutes), original_fmt, name,
+                               schema=DECLARED.get(name))
         hb = None
         if self.heartbeat and self.time == "processing":
             hb = heartbeat(self.spark, "proc_time")
         out = window_stream(self._raw(), analysis, time=self.time, window_minutes=window_minutes,
                             delay=self.delay, heartbeat=hb)
-        return self._start(out, original_fmt, name)
+        return self._start(out, original_fmt, name, schema=DECLARED.get(name))
 
     def analyze_language_distribution(self, window_minutes: int = 5) -> StreamingQuery:
         return self._window("language", window_minutes, "parquet", "language_stats")

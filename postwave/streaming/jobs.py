@@ -23,12 +23,13 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from ..functions.parse import Decoder, accepted, is_record, parse_posts, record, refused, source_table, split_records
 from ..operators import windows as W
 from ..operators.transforms import engagement_score, extract_hashtags, scored_view
 from ..plans.pipelines import engagement_pipeline, filtered_pipeline, hashtag_pipeline
-from ..sinks.writers import JSON_OPTS, kafka_value_frame
+from ..sinks.writers import JSON_OPTS, kafka_value_frame, typed_frame
 from .keyed import META, checkpoint_name, each_batch_once, part_name, write_split
 
 WINDOW_ANALYSES: dict[str, Callable[..., DataFrame]] = {
@@ -43,13 +44,16 @@ WINDOW_ANALYSES: dict[str, Callable[..., DataFrame]] = {
 def write_stream(df: DataFrame, fmt: str, checkpoint: str, *, path: str | None = None,
                  topic: str | None = None, bootstrap: str | None = None,
                  output_mode: str = "append", trigger: dict | None = None,
-                 query_name: str | None = None, rows: int | None = None) -> StreamingQuery:
+                 query_name: str | None = None, rows: int | None = None,
+                 schema: StructType | None = None) -> StreamingQuery:
     """Attach a sink. ``fmt``: kafka | json | parquet | text | memory | console.
+    With ``schema`` the sink is a declared table: other columns or types are
+    refused before the job starts.
     The console shows ``rows`` rows of each batch, which must be named: it is
     the one sink that does not hold every row."""
     if fmt == "console" and not rows:
         raise ValueError("the console sink needs rows, the number of rows it shows of each batch")
-    out = df
+    out = df = df if schema is None else typed_frame(df, schema)
     if fmt == "kafka":
         out = kafka_value_frame(df)
     w = out.writeStream.outputMode(output_mode).option("checkpointLocation", checkpoint)
