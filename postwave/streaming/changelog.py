@@ -23,7 +23,8 @@ from pyspark.sql.types import StructType
 from ..functions.parse import normalise_created_at, parse_posts
 from ..operators.transforms import engagement_score
 from ..operators.upsert import upsert_latest
-from .keyed import META, _read, compact, each_batch_once, read_rows, read_table, retire, write_part
+from .keyed import (META, MOST_KEYS, _read, compact, each_batch_once, lookup, read_rows, read_table, retire,
+                    write_part)
 from .manifest import ManifestLog
 
 # The kinds of change.
@@ -107,8 +108,9 @@ def changelog_job(df: DataFrame, root: str, checkpoint: str, key: list[str] | No
             changes = batch.select(F.lit(NEW).alias("kind"), row.alias("row"))
             return {"tables": {"changes": write_part(spark, root, "changes", part, changes.select(
                 number.alias("batch"), "kind", "row.*"), None, tables.get("changes"))}}
-        new = batch.select(key_text(key).alias("key"), row.alias("row"))
-        changes = signed(new, last_values(spark, root, new.schema), mode == "complete").persist()
+        new = batch.select(key_text(key).alias("key"), row.alias("row")).persist()
+        old = last_values(spark, root, new.schema, None if mode == "complete" else new)
+        changes = signed(new, old, mode == "complete").persist()
         try:
             told = write_part(spark, root, "changes", part, changes.select(number.alias("batch"), "kind", "row.*"),
                               None, tables.get("changes"))
@@ -118,6 +120,7 @@ def changelog_job(df: DataFrame, root: str, checkpoint: str, key: list[str] | No
             return {"tables": {"changes": told, "last": write_part(spark, root, "last", part, kept, "key", tables.get("last"))}}
         finally:
             changes.unpersist()
+            new.unpersist()
 
     def after(log: ManifestLog, batch_id: int) -> None:
         if (batch_id + 1) % compact_every == 0:
@@ -127,10 +130,17 @@ def changelog_job(df: DataFrame, root: str, checkpoint: str, key: list[str] | No
     return each_batch_once(df, root, checkpoint, job, trigger, mode)
 
 
-def last_values(spark: SparkSession, root: str, schema: StructType) -> DataFrame:
-    """key, row of the rows that are in the answer now."""
+def last_values(spark: SparkSession, root: str, schema: StructType, of: DataFrame | None = None) -> DataFrame:
+    """key, row of the rows that are in the answer now, at least those with a
+    key of ``of``. Up to MOST_KEYS keys are looked up, which opens few files;
+    with more the table is read."""
     kept = StructType(schema.fields).add("live", "boolean").add("seq", "long")
-    return read_table(spark, f"{root}/last", "key", LAST, kept).where("live").select("key", "row")
+    keys = [] if of is None else [r.key for r in of.select("key").limit(MOST_KEYS + 1).collect()]
+    if 0 < len(keys) <= MOST_KEYS:
+        rows = lookup(spark, f"{root}/last", "key", LAST, kept, keys)
+    else:
+        rows = read_table(spark, f"{root}/last", "key", LAST, kept)
+    return rows.where("live").select("key", "row")
 
 
 def read_changes(spark: SparkSession, root: str) -> DataFrame:

@@ -46,6 +46,29 @@ def test_output_modes_and_groups(spark):
         C.group_columns(of("SELECT count(*) AS n FROM mastodon_posts GROUP BY language"))
 
 
+@pytest.mark.parametrize("most", [C.MOST_KEYS, 1])
+def test_changed_keys_are_looked_up(spark, monkeypatch, most):
+    """With few changed groups only files that can hold them are read."""
+    monkeypatch.setattr(C, "MOST_KEYS", most)
+    read, base = [], shared_path(spark, "t-lookups")
+    for name in ("lookup", "read_table"):
+        def told(*args, _name=name, _fn=getattr(C, name)):
+            read.append(_name)
+            return _fn(*args)
+        monkeypatch.setattr(C, name, told)
+    query = "SELECT language, count(*) AS n FROM mastodon_posts GROUP BY language"
+    for b in range(4):
+        put(spark, base, [(b * 9 + i, {"id": str(i), "language": f"l{(b + i) % 5}"}) for i in range(3)])
+        drain(C.changelog_job(answer(spark, base, query), f"{base}/out", f"{base}/ckpt", compact_every=2))
+    assert set(read) == ({"lookup"} if most > 1 else {"read_table"}) and len(read) == 4
+    now = C.folded(C.read_changes(spark, f"{base}/out").drop("batch"))
+    want = {}
+    for b in range(4):
+        for i in range(3):
+            want[f"l{(b + i) % 5}"] = want.get(f"l{(b + i) % 5}", 0) + 1
+    assert {r.language: r.n for r in now.collect()} == want
+
+
 def test_kinds_of_change_with_restarts(spark):
     base = shared_path(spark, "t-kinds")
     query = "SELECT language, count(*) AS n FROM mastodon_posts GROUP BY language HAVING count(*) < 3"
