@@ -36,12 +36,12 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from postwave.llm.hashing import text_chunks
-from postwave.llm.tables import read, remainder, small_batches
+from postwave.llm.tables import read, remainder, small_batches, small_or_merge, written
 
 # Letters of labelled rows that are learned from, in all and of one language; a
 # row may be up to one of ROW_PART parts of its language's share.
 SAMPLE_LETTERS = 8_000_000
-LANGUAGE_LETTERS, LANGUAGE_ROWS = 40_000, 1_000
+LANGUAGE_LETTERS, LANGUAGE_ROWS = 40_000, 250
 ROW_PART = 8
 FEW = 200
 BLOCK = 256
@@ -199,12 +199,16 @@ def learn(docs: DataFrame, sample_letters: int = SAMPLE_LETTERS) -> tuple[tuple[
     those up to a ROW_PART of the language's share first. A longer text gives
     a slice of that length from a seeded place."""
     known = docs.where(F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    languages = known.select("lang").distinct().count()
-    share = max(min(LANGUAGE_LETTERS, sample_letters // max(languages, 1)), FEW)
+    many = written(known.groupBy("lang").agg(F.count("*").alias("n")), "language-rows")
+    share = max(min(LANGUAGE_LETTERS, sample_letters // max(many.count(), 1)), FEW)
     most = max(share // ROW_PART, 1)
     place = F.pmod(F.xxhash64(F.lit(SEED + 1), "doc_id"), F.greatest(F.length("text") - most, F.lit(0)) + 1) + 1
-    rows = known.select("lang", (F.length("text") > most).alias("long"), F.xxhash64(F.lit(SEED), "doc_id").alias("turn"),
-                        F.substring(F.col("text"), place.cast("int"), F.lit(most)).alias("text"))
+    rows = known.select("lang", "text", place.cast("int").alias("place"), F.xxhash64(F.lit(SEED), "doc_id").alias("turn"))
+    # a few times the rows that are taken, so that no task gets more however many there are
+    few = F.pmod("turn", F.lit(1 << 30)) / float(1 << 30) * F.col("n") <= 4.0 * LANGUAGE_ROWS
+    rows = rows.join(small_or_merge(many), "lang").where(few).select(
+        "lang", (F.length("text") > most).alias("long"), "turn",
+        F.substring(F.col("text"), F.col("place"), F.lit(most)).alias("text"))
     order = Window.partitionBy("lang").orderBy("long", "turn", "text")
     rows = rows.withColumn("i", F.row_number().over(order)).where(F.col("i") <= LANGUAGE_ROWS)
     rows = rows.withColumn("upto", F.sum(F.length("text")).over(order)).where((F.col("upto") <= share) | (F.col("i") == 1))
