@@ -68,11 +68,16 @@ def fold(spark: SparkSession, path: str, state: str, digest=sha256,
         batch.write.mode("overwrite").parquet(f"{log}/batch={number}")
 
     # many small state stores: none of them claims megabytes of log in advance
-    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
-    query = (seen.writeStream.outputMode("update").foreachBatch(keep)
-             .option("checkpointLocation", f"{state}/checkpoint")
-             .trigger(availableNow=True).start())
-    query.awaitTermination()
+    setting = "spark.sql.streaming.stateStore.rocksdb.allowFAllocate"
+    was = spark.conf.get(setting, None)
+    spark.conf.set(setting, "false")
+    try:
+        query = (seen.writeStream.outputMode("update").foreachBatch(keep)
+                 .option("checkpointLocation", f"{state}/checkpoint")
+                 .trigger(availableNow=True).start())
+        query.awaitTermination()
+    finally:
+        spark.conf.unset(setting) if was is None else spark.conf.set(setting, was)
     if not _exists(spark, log):
         return spark.createDataFrame([], seen.schema)
     # the state is sent again whenever it changes; the last has the most rows
