@@ -64,7 +64,7 @@ def test_custom_sql_guard(spark):
 def test_dispatcher_rejects_mismatch(spark):
     raw = spark.createDataFrame([('{"id":"1"}',)], "value string")
     with pytest.raises(ValueError):
-        run_analysis(spark, raw, "stream", "language")
+        run_analysis(spark, raw, "stream", "users")
     with pytest.raises(ValueError):
         run_analysis(spark, raw, "sql", "custom")
     assert run_analysis(spark, raw, "stream", "engagement").collect()[0].engagement_score == 0
