@@ -27,6 +27,8 @@ BASE_CONF = {
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     # commit only the state changes of each micro-batch, not full snapshots
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # one small store per state partition: none claims megabytes of log in advance
+    "spark.sql.streaming.stateStore.rocksdb.allowFAllocate": "false",
 }
 
 
