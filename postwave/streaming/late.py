@@ -73,13 +73,12 @@ def accounted_windows_job(raw: DataFrame, analysis: str, root: str, checkpoint:
     def job(batch: DataFrame, state: dict, part: str) -> dict:
         spark, tables = batch.sparkSession, state["tables"]
         before = state["marks"].get("closed")
-        rows = (source_table(batch, value_col, with_proc_time=False)
-                .select("id", "event_time", *READ, F.window("event_time", size).alias("w")))
-        # F.window drops rows without a time; they are told apart first
-        timeless = (source_table(batch, value_col, with_proc_time=False).where("event_time is null")
-                    .select("id", "event_time", F.lit(None).cast("timestamp").alias("window_start"),
-                            F.lit(None).cast("timestamp").alias("window_end"), F.lit(NO_TIME).alias("reason")))
-        rows = rows.withColumn("window_end_us", _micros(F.col("w.end"))).persist()
+        posts = source_table(batch, value_col, with_proc_time=False).select("id", "event_time", *READ).persist()
+        # F.window drops rows without a time; they are told apart
+        rows = posts.select("*", F.window("event_time", size).alias("w")).withColumn("window_end_us", _micros(F.col("w.end")))
+        timeless = posts.where("event_time is null").select(
+            "id", "event_time", F.lit(None).cast("timestamp").alias("window_start"),
+            F.lit(None).cast("timestamp").alias("window_end"), F.lit(NO_TIME).alias("reason"))
         try:
             behind = F.col("window_end_us") <= before if before is not None else F.lit(False)
             late = rows.where(behind).select("id", "event_time", F.col("w.start").alias("window_start"),
@@ -89,9 +88,11 @@ def accounted_windows_job(raw: DataFrame, analysis: str, root: str, checkpoint:
             told = {"late": write_part(spark, root, "late", part, late.unionByName(timeless), None, tables.get("late")),
                     "open": write_part(spark, root, "open", part, waiting, "window_end_us", tables.get("open"))}
         finally:
-            rows.unpersist()
-        newest = max(x for x in (newest, state["marks"].get("newest"), 0) if x is not None)
-        marks = {"newest": newest, "closed": max(newest - delay, before or 0)} if newest else {}
+            posts.unpersist()
+        known = [x for x in (newest, state["marks"].get("newest")) if x is not None]
+        closed = [max(known) - delay] if known else []
+        # never back, also if the delay was shorter before
+        marks = {"newest": max(known), "closed": max(closed + [before] * (before is not None))} if known else {}
         return _with_closed(spark, root, part, fn, state, told, before, marks)
 
     def after(log: ManifestLog, batch_id: int) -> None:
