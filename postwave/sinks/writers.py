@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 JSON_OPTS = {"ignoreNullFields": "false"}
+# Files of whole records are gzipped (readers see it by the name)
+# and end after so many records, as one task must read such a file.
+RECORD_FILES = {"compression": "gzip", "maxRecordsPerFile": "50000"}
 
 
 def kafka_value_frame(df: DataFrame, topic: str | None = None) -> DataFrame:

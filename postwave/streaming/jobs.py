@@ -29,7 +29,7 @@ from ..functions.parse import Decoder, accepted, is_record, parse_posts, record,
 from ..operators import windows as W
 from ..operators.transforms import engagement_score, extract_hashtags, scored_view
 from ..plans.pipelines import engagement_pipeline, filtered_pipeline, hashtag_pipeline
-from ..sinks.writers import JSON_OPTS, kafka_value_frame, typed_frame
+from ..sinks.writers import JSON_OPTS, RECORD_FILES, kafka_value_frame, typed_frame
 from .keyed import META, checkpoint_name, each_batch_once, part_name, write_split
 
 WINDOW_ANALYSES: dict[str, Callable[..., DataFrame]] = {
@@ -45,10 +45,10 @@ def write_stream(df: DataFrame, fmt: str, checkpoint: str, *, path: str | None =
                  topic: str | None = None, bootstrap: str | None = None,
                  output_mode: str = "append", trigger: dict | None = None,
                  query_name: str | None = None, rows: int | None = None,
-                 schema: StructType | None = None) -> StreamingQuery:
+                 schema: StructType | None = None, options: dict | None = None) -> StreamingQuery:
     """Attach a sink. ``fmt``: kafka | json | parquet | text | memory | console.
     With ``schema`` the sink is a declared table: other columns or types are
-    refused before the job starts.
+    refused before the job starts. ``options`` go to a file sink's writer.
     The console shows ``rows`` rows of each batch, which must be named: it is
     the one sink that does not hold every row."""
     if fmt == "console" and not rows:
@@ -70,7 +70,7 @@ def write_stream(df: DataFrame, fmt: str, checkpoint: str, *, path: str | None =
         w = w.format(fmt)
         if fmt == "json":
             w = w.option("ignoreNullFields", "false")
-        return w.start(path)
+        return w.options(**(options or {})).start(path)
     if fmt == "console":
         w = w.option("numRows", str(rows)).option("truncate", "false")
     return w.format(fmt).start()
@@ -172,11 +172,11 @@ def archive_job(raw: DataFrame, path: str, checkpoint: str,
     """J5: append every raw record that is one JSON object to a JSON-lines
     archive, as it came: unknown and ill-typed fields, missing and null keys
     stay what they were. Line breaks between its tokens become blanks, so that
-    a record is one line (exactly-once file sink; the archive re-reads with
-    ``sinks.writers.read_jsonl``)."""
+    a record is one line (exactly-once file sink, gzipped files; the archive
+    re-reads with ``sinks.writers.read_jsonl``)."""
     recs = raw.where(is_record(record(F.col("value")))).select(
         F.regexp_replace("value", "[\\r\\n]+", " ").alias("value"))
-    return write_stream(recs, "text", checkpoint, path=path, trigger=trigger)
+    return write_stream(recs, "text", checkpoint, path=path, trigger=trigger, options=RECORD_FILES)
 
 
 def run_with_callback(raw: DataFrame, callback: Callable[[DataFrame, int], None],

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sinks.writers import RECORD_FILES
+
 # Fixed value: control record that closes every real window, filtered out of
 # results by its window start.
 FLUSH_CREATED_AT = "2100-01-01T00:00:00+00:00"
@@ -21,7 +23,7 @@ FLUSH_BEFORE = "2099-01-01"
 
 def write_replay(df: DataFrame, path: str, value_col: str = "value") -> None:
     """Records as text lines (one JSON value per line)."""
-    df.select(value_col).write.mode("append").text(path)
+    df.select(value_col).write.mode("append").options(**RECORD_FILES).text(path)
 
 
 def flush(spark: SparkSession, path: str) -> None:
