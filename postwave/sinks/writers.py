@@ -75,9 +75,8 @@ def write_kafka(frame: DataFrame, bootstrap: str, topic: str | None = None):
 
 def write_jsonl(df: DataFrame, path: str, append: bool = True) -> None:
     """Append (or overwrite) JSON lines; the writer creates the folder.
-    Each task writes its own part file, so the archive scales with executors."""
-    df.write.mode("append" if append else "overwrite").option("ignoreNullFields", "false") \
-        .json(path)
+    Each task writes its own part files, so the archive scales with executors."""
+    df.write.mode("append" if append else "overwrite").options(**JSON_OPTS, **RECORD_FILES).json(path)
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
