@@ -23,15 +23,13 @@ from pyspark.sql.types import DataType, LongType, StructType
 from ..schemas import PARSED_POST_COLUMNS, POST_SCHEMA
 
 # A record must be one JSON object and nothing else. Its text
-# starts with "{" (after blanks); parsed inside "[" ... ",0]" it must give a
-# two-element array whose last element is the integer 0. A text that itself
-# holds a close of that wrapper (FORGED_CLOSE) is parsed a second time inside
-# "[" ... ",1]". OBJECT_TEXT is the coarse shape used to label quarantined
-# records.
+# starts with "{" (after blanks); parsed inside "[" ... ",MARK]" it must give a
+# two-element array whose last element is the integer MARK. A text that itself
+# holds the digits of MARK is parsed a second time inside "[" ... ",MARK_2]".
+# OBJECT_TEXT is the coarse shape used to label quarantined records.
 OBJECT_START = r"^\s*\{"
 OBJECT_TEXT = r"(?s)^\s*\{.*\}\s*$"
-WRAP_OPEN, WRAP_CLOSE, WRAP_CLOSE_2 = "[", ",0]", ",1]"
-FORGED_CLOSE = r",\s*-?[0-9][0-9.eE+-]*\s*\]"
+MARK, MARK_2 = "7352619840112233", "7352619840112234"
 
 
 def _v(path_root: Column, path: str) -> Column:
@@ -39,35 +37,34 @@ def _v(path_root: Column, path: str) -> Column:
 
 
 def record(value: Column) -> Column:
-    """Parse a JSON record text once, as the Variant ``[record, 0]``.
+    """Parse a JSON record text once, as the Variant ``[record, MARK]``.
 
     Spark's JSON parser stops after the first complete value and ignores
     what follows, so ``{...}{...}`` or ``{...} junk}`` would parse as the
-    first object. Parsed inside ``[`` ... ``,0]``, trailing content either
+    first object. Parsed inside ``[`` ... ``,MARK]``, trailing content either
     breaks the array or changes its length or last element, which
     ``is_record`` checks. Texts that do not start with ``{`` are not parsed.
     """
-    first = F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE)))
-    # A text such as '{...},0]' closes the wrapper itself, and the rest is
-    # ignored. Only such texts can pass the first check falsely, and then
-    # the wrapper's second element is the text's own 0. They are parsed
-    # again with another closing element: the second element is 1 only if
-    # the parser read the text to its end. (One reference to the second
-    # parse, so its code is generated once.)
-    second = F.try_parse_json(F.concat(F.lit(WRAP_OPEN), value, F.lit(WRAP_CLOSE_2)))
-    read_whole = F.coalesce(F.try_variant_get(second, "$[1]", "bigint") == 1, F.lit(False))
-    return F.when(value.rlike(OBJECT_START),
-                  F.when(value.rlike(FORGED_CLOSE) & ~read_whole, F.lit(None))
-                   .otherwise(first))
+    wrapped = lambda mark: F.try_parse_json(F.concat(F.lit("["), value, F.lit(f",{mark}]")))
+    # A text such as '{...},7]' closes the wrapper itself, and the rest is
+    # ignored. It passes the first check falsely only if its own last element
+    # is MARK, so only texts with these digits are parsed again, with another
+    # closing element: the second element is MARK_2 only if the parser read
+    # the text to its end. (One reference to the second parse, so its code is
+    # generated once.)
+    read_whole = F.coalesce(F.try_variant_get(wrapped(MARK_2), "$[1]", "bigint") == int(MARK_2), F.lit(False))
+    return F.when(value.startswith("{") | value.rlike(OBJECT_START),
+                  F.when(value.contains(MARK) & ~read_whole, F.lit(None))
+                   .otherwise(wrapped(MARK)))
 
 
 def is_record(w: Column) -> Column:
-    """``w`` (from ``record``) is ``[x, 0]`` with 0 the JSON integer (not
-    ``"0"`` or ``0.0``), i.e. holds exactly one JSON object; never NULL.
+    """``w`` (from ``record``) is ``[x, MARK]`` with MARK the JSON integer (not
+    a string), i.e. holds exactly one JSON object; never NULL.
     ``w`` is referenced twice only, since filters pushed through projections
     inline it at every reference."""
     return F.coalesce(F.try_variant_get(w, "$[2]", "variant").isNull()
-                      & (F.to_json(F.try_variant_get(w, "$[1]", "variant")) == F.lit("0")),
+                      & (F.to_json(F.try_variant_get(w, "$[1]", "variant")) == F.lit(MARK)),
                       F.lit(False))
 
 
@@ -239,7 +236,7 @@ def quarantine(df: DataFrame, value_col: str = "value") -> DataFrame:
     txt = F.col(value_col)
     staged = df.withColumn("_w", record(txt))
     reason = (F.when(txt.isNull(), F.lit("null"))
-               .when(~txt.rlike(OBJECT_TEXT), F.lit("not_an_object"))
+               .when(~object_text(txt), F.lit("not_an_object"))
                .otherwise(F.lit("malformed_json")))
     # a generator, as in _keep_if: a filter would parse each record again
     return _keep_if(staged, df.columns, txt.isNull() | ~is_record(F.col("_w")), [reason.alias("reason")])
@@ -305,10 +302,16 @@ def normalise_created_at(col: Column) -> Column:
 
 # ---- one pass for accepted and refused records ------------------------------
 
+def object_text(value: Column) -> Column:
+    """``value`` has the shape of OBJECT_TEXT; without blanks around it two
+    characters tell."""
+    return (value.startswith("{") & value.endswith("}")) | value.rlike(OBJECT_TEXT)
+
+
 def base_reason(value: Column, w: Column) -> Column:
     """Why a text is not one JSON object; null if it is."""
     return (F.when(value.isNull(), F.lit("null"))
-             .when(~value.rlike(OBJECT_TEXT), F.lit("not_an_object"))
+             .when(~object_text(value), F.lit("not_an_object"))
              .when(~is_record(w), F.lit("malformed_json")))
 
 

@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.joins import sized_side
+from ..operators.joins import fits_broadcast, sized_side
 from .tables import read_table, table_path
 
 # Edge-case injection rules of the posts adapter (moduli of
@@ -47,17 +47,36 @@ def _k(props: Column) -> Column:
     return F.regexp_extract(props, r"([0-9]+)", 1)
 
 
+# Fixed value: events that one task turns into posts.
+EVENTS_PER_TASK = 100_000
+
+
+def _tasks(spark: SparkSession, df: DataFrame) -> int:
+    """Tasks for the per-post work: as many as cores, and more as rows grow,
+    so that what a task holds does not grow with the table."""
+    return max(spark.sparkContext.defaultParallelism, -(-df.count() // EVENTS_PER_TASK))
+
+
 def _spread(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
-    """Hash-spread a scan that arrives in fewer partitions than the cluster
-    has cores (e.g. one parquet row group), so the per-post work after it
-    runs in parallel. Large inputs already split into many partitions and are
-    left alone; only narrow event rows move, never document text."""
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, key)
+    """Hash-spread a scan that arrives in fewer partitions than ``_tasks`` (a
+    split of a file may hold no row group, or a large one), so the per-post
+    work after it runs in parallel. Inputs already split into that many
+    partitions are left alone; only narrow event rows move, never document
+    text."""
+    tasks = _tasks(spark, df)
+    if df.rdd.getNumPartitions() < tasks:
+        return df.repartition(tasks, key)
     return df
 
 
+def _spread_for_join(spark: SparkSession, df: DataFrame, key: str) -> DataFrame:
+    """The events by the key of a join that shuffles. Adaptive execution merges
+    partitions by the bytes that are shuffled, but each event leaves the join
+    with a whole text, so the number of tasks comes from the rows. Fewer than
+    the session's shuffle partitions would be shuffled once more."""
+    return df.repartition(max(_tasks(spark, df), int(spark.conf.get("spark.sql.shuffle.partitions"))), key)
+
+
 # Post columns that come from ``documents``, and the column each needs.
 FROM_DOCUMENTS = {"content": "text", "language": "lang"}
 COLUMNS = ("id", "created_at", "content", "account", "language", "favourites_count",
@@ -70,16 +89,19 @@ def posts(spark: SparkSession, sf_dir: str, columns: tuple[str, ...] = COLUMNS)
     """Canonical posts table; ``created_at`` is the event timestamp. Only
     ``columns`` are made: without content and language ``documents`` is
     neither read nor joined, and its size is measured on what is carried."""
-    ev = _spread(spark, read_table(spark, sf_dir, "events"), "event_id")
+    ev = read_table(spark, sf_dir, "events")
     carried = [c for p, c in FROM_DOCUMENTS.items() if p in columns]
     if carried:
         docs = read_table(spark, sf_dir, "documents").select("doc_id", *carried)
         n_docs = docs.select(F.count(F.lit(1))).scalar()
-        e = ev.withColumn("_doc", F.col("event_id") % n_docs)
+        small = fits_broadcast(spark, docs, [table_path(sf_dir, "documents")])
         docs = sized_side(spark, docs, [table_path(sf_dir, "documents")])
+        ev = _spread(spark, ev, "event_id") if small else ev
+        e = ev.withColumn("_doc", F.col("event_id") % n_docs)
+        e = e if small else _spread_for_join(spark, e, "_doc")
         j = e.join(docs, e["_doc"] == docs["doc_id"], "left")
     else:
-        j = ev
+        j = _spread(spark, ev, "event_id")
     eid = F.col("event_id")
     uid = F.col("user_id").cast("string")
     k = _k(F.col("props"))

@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType, StructField, StructType, TimestampType
 
-from ..functions.parse import OBJECT_TEXT, field, is_record, record
+from ..functions.parse import field, is_record, object_text, record
 from ..operators.upsert import upsert_latest
 from ..sources.kafka import route_by_topic
 from .manifest import ManifestLog
@@ -318,7 +318,7 @@ def decode(df: DataFrame, schema: StructType, stamp_col: str = "indexed_at") ->
                F.lit(f.name)) for f in fields]))
     value = F.col("value")
     reason = (F.when(value.isNull(), F.lit("null"))
-               .when(~value.rlike(OBJECT_TEXT), F.lit("not_an_object"))
+               .when(~object_text(value), F.lit("not_an_object"))
                .when(~F.col("_is"), F.lit("malformed_json"))
                .when(F.size(ill) > 0, F.concat(F.lit("ill_typed:"), F.array_join(ill, ","))))
     return staged.withColumn("reason", reason).select(*df.columns, "r", "reason")
