@@ -37,6 +37,33 @@ def test_words_give_the_ids_of_the_whole_text(monkeypatch):
     assert (again == ids).all()
 
 
+def test_letters_of_a_word_are_merged_once_for_all_spellings():
+    words = WordTokens(packing.public_vocabulary())
+    asked, merges = [], words.merges
+
+    class Counted:
+        def tokenize(self, letters):
+            asked.append(letters)
+            return merges.tokenize(letters)
+    words.merges = Counted()
+    texts = ["Ontionoror ontionoror, ONTIONOROR. (Ontionoror", "ontionoror###", "\u00c9toile! \u00e9toile"]
+    ids, n = words.encode([t.encode() for t in texts])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == plain_ids(texts)
+    assert sorted(asked, key=len)[-2:] == ["\u00c3\u00a9toile", "ontionoror"] and len(set(asked)) == len(asked)
+
+
+def test_letters_stay_as_they_are_before_marks_and_in_special_tokens():
+    """NFC has a letter for h with a line below but none for H with one, and
+    only the special tokens' own spelling is special."""
+    texts = ["H\u0331 h\u0331 T\u0308 t\u0308x A\u0301 I\u0307", "<|ENDOFTEXT|> The <|endoftext|> THE", "<|EndOfText|>",
+             "<|startoftext|>The", "The THE the"]
+    words = WordTokens(packing.public_vocabulary())
+    for _ in range(2):
+        ids, n = words.encode([t.encode() for t in texts])
+        assert [x.tolist() for x in np.split(ids, np.cumsum(n)[:-1])] == plain_ids(texts)
+    assert words.encode([])[0].tolist() == []
+
+
 def test_other_tokenizers_encode_whole_texts(tmp_path):
     """A file that is not split at white space is not taken apart."""
     import json
